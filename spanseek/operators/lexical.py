@@ -64,15 +64,15 @@ def drop_stopwords(tokens: DataFrame) -> DataFrame:
 
 
 def count_terms(chunks: DataFrame, partitions: int) -> DataFrame:
-    """Postings of ``chunks`` with one shuffle, of one row per chunk.
+    """Postings of ``chunks`` with one shuffle, of the chunks themselves.
 
-    The chunk's token array is shuffled, not its tokens: exploding afterwards
-    keeps the partitioning, so the count needs no further exchange.
+    Text is more compact than its tokens, and tokens made after the shuffle
+    keep its partitioning, so the count needs no further exchange.
     """
-    tokens = chunks.select(*SPAN, corpus_tokens(F.col("content")).alias("tokens"))
-    spread = tokens.repartition(partitions, *SPAN_KEY)
+    spread = chunks.select(*SPAN, "content").repartition(partitions, *SPAN_KEY)
+    tokens = spread.select(*SPAN, corpus_tokens(F.col("content")).alias("tokens"))
     marked = F.concat(F.array(F.lit(CHUNK_MARK)), F.col("tokens"))
-    rows = spread.select(*SPAN, F.size("tokens").alias("dl"), F.explode(marked).alias("term"))
+    rows = tokens.select(*SPAN, F.size("tokens").alias("dl"), F.explode(marked).alias("term"))
     return rows.groupBy(*SPAN, "dl", "term").agg(F.count("*").alias("tf"))
 
 
@@ -114,7 +114,7 @@ def write_index(chunks: DataFrame, path: str, buckets: int | None = None) -> Lex
         # Spans repeat once per term: a large dictionary stores each path once.
         .option("parquet.dictionary.page.size", 16 << 20)
         .bucketBy(buckets, *SPAN_KEY)
-        .sortBy("term", *SPAN_KEY)
+        .sortBy("term")
         .saveAsTable(name)
     )
     postings = spark.table(name)
@@ -136,7 +136,7 @@ def load_index(spark: SparkSession, path: str) -> LexicalIndex:
     location = path.replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({_POSTING_COLUMNS}) USING parquet "
-        f"CLUSTERED BY ({', '.join(SPAN_KEY)}) SORTED BY (term, {', '.join(SPAN_KEY)}) "
+        f"CLUSTERED BY ({', '.join(SPAN_KEY)}) SORTED BY (term) "
         f"INTO {buckets} BUCKETS LOCATION '{location}/postings'"
     )
     return LexicalIndex(spark.table(name), spark.read.parquet(f"{path}/term_stats"), corpus_stats)

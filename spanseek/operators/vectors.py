@@ -10,6 +10,7 @@ rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -36,13 +37,22 @@ _DECIMALS = 6
 # --- embedding ---------------------------------------------------------------
 
 
+def _bucket(token: str) -> int:
+    """First 32 bits of the token's MD5, modulo the dimension."""
+    return int.from_bytes(hashlib.md5(token.encode()).digest()[:4], "big") % HASH_DIMENSIONS
+
+
 @F.arrow_udf(T.ArrayType(T.FloatType()))
-def _unit_histogram(buckets: pa.Array) -> pa.Array:
-    """Counts per bucket, scaled to length 1 (all zero for no tokens)."""
-    rows, width = len(buckets), HASH_DIMENSIONS
-    sizes = pc.fill_null(pc.list_value_length(buckets), 0).to_numpy(zero_copy_only=False)
-    row_of = np.repeat(np.arange(rows), sizes)
-    cells = row_of * width + buckets.flatten().to_numpy(zero_copy_only=False)
+def _unit_histogram(tokens: pa.Array) -> pa.Array:
+    """Tokens counted per bucket, scaled to length 1 (all zero for no tokens).
+
+    Each distinct token of a batch is hashed once.
+    """
+    rows, width = len(tokens), HASH_DIMENSIONS
+    coded = tokens.flatten().dictionary_encode()
+    bucket_of = np.fromiter(map(_bucket, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+    sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+    cells = np.repeat(np.arange(rows) * width, sizes) + bucket_of[coded.indices.to_numpy()]
     counts = np.bincount(cells, minlength=rows * width).reshape(rows, width).astype(np.float64)
     length = np.sqrt((counts**2).sum(axis=1, keepdims=True))
     unit = np.divide(counts, length, out=np.zeros_like(counts), where=length > 0)
@@ -50,15 +60,6 @@ def _unit_histogram(buckets: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(unit.astype(np.float32).ravel()))
 
 
-def _hash_buckets(text: Column) -> Column:
-    """Bucket of every token: first 32 bits of its MD5, modulo the dimension."""
-    tokens = corpus_tokens(text, drop_stop_words=False)
-    return F.transform(
-        tokens,
-        lambda t: (F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long") % HASH_DIMENSIONS).cast("int"),
-    )
-
-
 def embed_text(
     df: DataFrame, column: str, embed_factory: EmbedFactory | None = None, output: str = "embedding"
 ) -> DataFrame:
@@ -68,7 +69,7 @@ def embed_text(
     texts in batches. Without one, a hashed bag of words of unit length is used.
     """
     if embed_factory is None:
-        return df.withColumn(output, _unit_histogram(_hash_buckets(F.col(column))))
+        return df.withColumn(output, _unit_histogram(corpus_tokens(F.col(column), drop_stop_words=False)))
 
     @F.pandas_udf("array<float>")
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from ..functions import path_suffix
 from ..operators.evaluation import Truth, count_copies
 from ..schemas import SPAN
+from ..staging import spread_if_narrow
 
 _PASSAGE_WORDS = 6  # a passage of a truth has at least this many words
-_ANCHOR_WORDS = 4
 _WORDS = r"[\s]+"
 
 
@@ -45,17 +45,24 @@ CATALOGUE_PATH = (
 )
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return spread_if_narrow(rows, "doc_id")
+
+
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, file_path, ext, text)``: all documents, as three kinds of files."""
-    rows = table(spark, sf_dir, "documents")
     path = f"source || '/d' || doc_id || {EXT_OF_DOC}"
-    return rows.selectExpr("doc_id", f"{path} AS file_path", f"{EXT_OF_DOC} AS ext", f"{MIXED_TEXT} AS text")
+    return _documents(spark, sf_dir).selectExpr(
+        "doc_id", f"{path} AS file_path", f"{EXT_OF_DOC} AS ext", f"{MIXED_TEXT} AS text"
+    )
 
 
 def docs_of_kind(spark: SparkSession, sf_dir: str, ext: str) -> DataFrame:
     """All documents as files of one kind."""
-    rows = table(spark, sf_dir, "documents")
-    return rows.selectExpr(f"source || '/d' || doc_id || '{ext}' AS file_path", f"{structured('text', ext)} AS text")
+    return _documents(spark, sf_dir).selectExpr(
+        f"source || '/d' || doc_id || '{ext}' AS file_path", f"{structured('text', ext)} AS text"
+    )
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,24 +95,20 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def passages(documents: DataFrame, asked: DataFrame) -> DataFrame:
     """Documents that quote a question word for word: ``(question_id, span)``.
 
-    A quoted passage brings its inner words along whole, so four of them from
-    its middle are an anchor that must occur in the document. Anchors meet
-    documents in an equality join on a hash and only those pairs are verified
-    character by character.
+    A quoted passage brings its inner words along whole, so its longest inner
+    word is an anchor that must occur in the document. Anchors meet the
+    distinct words of documents in an equality join, and only those pairs are
+    verified character by character.
     """
     words = F.split(F.trim("question"), _WORDS)
-    middle = F.floor((F.size("words") - _ANCHOR_WORDS) / 2).cast("int") + 1
-    long_enough = asked.select("question_id", words.alias("words")).where(F.size("words") >= _PASSAGE_WORDS)
-    anchors = long_enough.select("question_id", F.xxhash64(F.slice("words", middle, _ANCHOR_WORDS)).alias("anchor"))
-
-    split = documents.select("file_path", F.split("text", _WORDS).alias("words"))
-    starts = F.sequence(F.lit(1), F.size("words") - (_ANCHOR_WORDS - 1))
-    shingles = F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, _ANCHOR_WORDS)))
-    spread = split.where(F.size("words") >= _ANCHOR_WORDS).select(
-        "file_path", F.explode(F.array_distinct(shingles)).alias("anchor")
-    )
+    inner = asked.select("question_id", words.alias("words")).where(F.size("words") >= _PASSAGE_WORDS)
+    inner = inner.select("question_id", F.slice("words", 2, F.size("words") - 2).alias("inner"))
+    longest = F.array_max(F.transform("inner", lambda w: F.struct(F.length(w).alias("n"), w.alias("word"))))
+    anchors = inner.select("question_id", longest["word"].alias("word"))
+
+    found_words = F.explode(F.array_distinct(F.split("text", _WORDS))).alias("word")
     # Texts stay out of the anchor join and come back for the few pairs it finds.
-    pairs = spread.join(anchors, "anchor").select("file_path", "question_id")
+    pairs = documents.select("file_path", found_words).join(anchors, "word").select("file_path", "question_id")
     checked = documents.select("file_path", "text").join(pairs, "file_path").join(asked, "question_id")
     at = F.position(F.col("question"), F.col("text"))
     found = checked.select("question_id", "file_path", at.alias("at"), F.length("question").alias("n"))

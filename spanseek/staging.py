@@ -52,3 +52,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     """
     small = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if small else df
+
+
+def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash a scan over the cores if its files give fewer splits than there are cores.
+
+    For per-row work that is heavy on the processor, such as tokenising. A
+    large table has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
