@@ -19,7 +19,7 @@ _LINE = T.StructType([T.StructField("pos", T.LongType()), *result_item.fields, T
 
 
 def _document(spark: SparkSession, path: str) -> DataFrame:
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(strip(F.col("value")).alias("doc"))
 
 
