@@ -34,30 +34,25 @@ def extension_counts(files: DataFrame) -> DataFrame:
 
 
 def extension_report(files: DataFrame) -> DataFrame:
-    """Count and share of every kind, in report order, with a total row.
+    """Count and share of every kind, sorted for reading, with a total row.
 
-    ``position`` gives the order: most frequent first, equal counts by name,
-    files without suffix next to last, the total last. The windows run over one
-    row per kind, never over files. An empty catalogue gives no rows.
+    Most frequent first, equal counts by name, files without suffix next to
+    last, the total last. The order is a range sort over one row per kind. An
+    empty catalogue gives no rows.
     """
     counts = extension_counts(files)
     total = counts.agg(F.sum("n_files").alias("n_files")).where(F.col("n_files") > 0)
     ranked = counts.select("ext", "n_files", (F.col("ext") == NO_EXTENSION).cast("int").alias("place"))
     rows = ranked.unionByName(total.select(F.lit("total").alias("ext"), "n_files", F.lit(2).alias("place")))
     share = 100.0 * F.col("n_files") / total.scalar()
-    return rows.select(
-        F.expr("row_number() over (order by place, n_files desc, ext)").cast("bigint").alias("position"),
-        "ext",
-        "n_files",
-        F.round(share, 2).alias("percentage"),
-    )
+    ordered = rows.orderBy("place", F.desc("n_files"), "ext")
+    return ordered.select("ext", "n_files", F.round(share, 2).alias("percentage"))
 
 
 def extension_list(files: DataFrame) -> DataFrame:
-    """Distinct suffixes in lower case, sorted, with "" last, numbered by ``position``."""
+    """Distinct suffixes in lower case, sorted, with "" last."""
     suffixes = files.select(F.lower(path_suffix(F.col("path"))).alias("ext")).distinct()
-    order = "row_number() over (order by case when ext = '' then 1 else 0 end, ext)"
-    return suffixes.select(F.expr(order).cast("bigint").alias("position"), "ext")
+    return suffixes.orderBy(F.col("ext") == "", "ext")
 
 
 def find_by_extension(files: DataFrame, extension: str, include_hidden: bool = False) -> DataFrame:

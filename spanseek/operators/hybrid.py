@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..constants import VECTOR_SCORE
 from ..schemas import SPAN, SPAN_KEY, span_type
 from .lexical import LexicalIndex, bm25_topk
-from .vectors import EmbedFactory, embed_text, knn
+from .vectors import EmbedFactory, embed_text, knn, knn_lsh
 
 
 def hybrid_candidates(lexical: DataFrame, nearest: DataFrame, vector_score: float = VECTOR_SCORE) -> DataFrame:
@@ -60,14 +60,20 @@ def hybrid_topk(
     vectors: DataFrame,
     k: int,
     embed_factory: EmbedFactory | None = None,
+    probes: int | None = None,
 ) -> DataFrame:
     """Ranked spans of each query, best ``k`` of both searches.
 
     The lexical side cleans the question, the vector side embeds it as it is.
+    With ``probes`` the vector side is approximate and ``vectors`` needs cells.
     """
     lexical = bm25_topk(queries, index, k)
     asked = embed_text(queries.select("query_id", "question"), "question", embed_factory)
-    nearest = knn(asked.select("query_id", "embedding"), vectors, k, "l2", SPAN)
+    asked = asked.select("query_id", "embedding")
+    if probes is None:
+        nearest = knn(asked, vectors, k, "l2", SPAN)
+    else:
+        nearest = knn_lsh(asked, vectors, k, "l2", SPAN, probes=probes)
     return cut(dedupe(fuse(hybrid_candidates(lexical, nearest))), k)
 
 

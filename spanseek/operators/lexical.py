@@ -30,13 +30,15 @@ from pyspark.sql import functions as F
 from ..constants import BM25_B, BM25_K1, STOP_WORDS
 from ..functions import corpus_tokens, query_terms
 from ..schemas import SPAN, SPAN_KEY
-from ..staging import broadcast_if_small, new_folder, stage
+from ..staging import broadcast_if_small, new_folder, partitions_for, stage
 
 CHUNK_MARK = ""
 _POSTING_COLUMNS = (
     "term string, file_path string, first_character_index int, "
     "last_character_index int, tf bigint, dl int"
 )
+# Text per bucket; a bucket is one task in building and in searching.
+_BUCKET_BYTES = 512 << 20
 # Terms above this share of all postings are joined apart from the rest.
 _HOT_SHARE = 10_000
 
@@ -100,11 +102,12 @@ def _term_stats(postings: DataFrame, corpus_stats: DataFrame) -> DataFrame:
 def write_index(chunks: DataFrame, path: str, buckets: int | None = None) -> LexicalIndex:
     """Build an index of ``chunks`` at ``path`` in one pass over their text.
 
-    Existing tables at ``path`` are replaced. ``buckets`` should grow with the
-    corpus; the default is ``spark.sql.shuffle.partitions``.
+    Existing tables at ``path`` are replaced. The number of buckets grows with
+    the stored size of the chunks unless it is given.
     """
     spark = chunks.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    buckets = buckets or min(most, partitions_for(chunks, _BUCKET_BYTES))
     name = _table_name()
     (
         count_terms(chunks, buckets)

@@ -313,10 +313,10 @@ def knn_lsh(
 ) -> DataFrame:
     """Approximate ``knn``: each query looks into the ``probes`` most likely cells.
 
-    ``cells`` is the output of ``assign_cells``, best stored partitioned by
-    ``cell``: the cells no query asks for are then not read. A cell that holds
-    a large share of the vectors is read by as many tasks as it has file
-    splits, so no cell becomes one task's work. Query sets beyond the
+    ``cells`` is the output of ``assign_cells``, best stored sorted by ``cell``
+    (``write_vectors``): pages of cells no query asks for are then skipped. A
+    cell that holds a large share of the vectors is spread over all files, so
+    no cell becomes one task's work. Query sets beyond the
     broadcast bound are answered by the exact search.
     """
     keys = keys or ["vec_id"]

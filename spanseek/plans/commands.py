@@ -99,12 +99,14 @@ def index_tree(
     """
     catalog.check_extensions(extensions)
     size = chunking.validate_chunk_size(max_chunk_size)
-    listing = filetree.list_tree(spark, root, extensions)
+    # Listed once: the state describes the very files that are read.
+    listing = stage(filetree.list_tree(spark, root, extensions), "listing")
     newest = catalog.tree_status(listing, extensions).first()["newest_mtime"]
     wanted = (f"{path}/state", size, extensions, root, newest)
     if stores.index_is_fresh(spark, *wanted):
         return "fresh"
-    if build_store(ingest(spark, root, size, extensions), path, buckets, embed_factory) is None:
+    chunks = chunking.chunk_documents(chunking.decode_text(filetree.read_contents(listing)), size)
+    if build_store(chunks, path, buckets, embed_factory) is None:
         return "empty"
     stores.write_state(spark, *wanted)
     return "built"
@@ -126,26 +128,38 @@ def search(
     question: str,
     k: int = DEFAULT_K,
     embed_factory: vectors.EmbedFactory | None = None,
+    probes: int | None = None,
 ) -> DataFrame:
     """Ranked spans ``(rank, span)`` for one question.
 
     The batch search on one row; as the terms are known beforehand, they are
-    pushed into the scan of the postings, which are sorted by term.
+    pushed into the scans of the tables that are sorted by term.
     """
     asked = _one_question(spark, question)
     terms = asked.select(F.array_distinct(query_terms(F.col("question")))).first()[0]
     index = store.index
     if len(terms) <= _MAX_PRUNING_TERMS:
-        index = replace(index, postings=index.postings.where(F.col("term").isin(terms)))
-    ranked = hybrid.hybrid_topk(_queries(asked), index, store.vectors, validate_k(k), embed_factory)
+        wanted = F.col("term").isin(terms)
+        index = replace(index, postings=index.postings.where(wanted), term_stats=index.term_stats.where(wanted))
+    ranked = hybrid.hybrid_topk(_queries(asked), index, store.vectors, validate_k(k), embed_factory, probes)
     return ranked.select("rank", *SPAN)
 
 
 def search_dataset(
-    questions: DataFrame, store: Store, k: int = DEFAULT_K, embed_factory: vectors.EmbedFactory | None = None
+    questions: DataFrame,
+    store: Store,
+    k: int = DEFAULT_K,
+    embed_factory: vectors.EmbedFactory | None = None,
+    probes: int | None = None,
 ) -> DataFrame:
-    """``(pos, question_id, question_str, retrieved_sources)`` for all questions at once."""
-    ranked = hybrid.hybrid_topk(_queries(questions), store.index, store.vectors, validate_k(k), embed_factory)
+    """``(pos, question_id, question_str, retrieved_sources)`` for all questions at once.
+
+    Nearest vectors are exact; ``probes`` makes them approximate, which reads
+    less of a large store.
+    """
+    ranked = hybrid.hybrid_topk(
+        _queries(questions), store.index, store.vectors, validate_k(k), embed_factory, probes
+    )
     return hybrid.pack_results(questions, ranked)
 
 

@@ -232,15 +232,10 @@ def oracle_sql() -> dict[str, str]:
         "hidden_filter": _sql(r"SELECT path FROM catalogue WHERE NOT regexp_matches(path, '(^|/)\.')"),
         "extension_counts": _sql("SELECT ext, n_files FROM counts"),
         "extension_report": _sql(
-            """SELECT row_number() OVER (ORDER BY place, n_files DESC, ext) AS position, ext,
-                CAST(n_files AS BIGINT) AS n_files, round(100.0 * n_files / (SELECT sum(n_files) FROM counts), 2) AS percentage
-            FROM (SELECT ext, n_files, CASE ext WHEN 'no_ext' THEN 1 ELSE 0 END AS place FROM counts
-                  UNION ALL SELECT 'total', sum(n_files), 2 FROM counts)"""
-        ),
-        "extension_list": _sql(
-            """SELECT row_number() OVER (ORDER BY CASE WHEN ext = '' THEN 1 ELSE 0 END, ext) AS position, ext
-            FROM (SELECT DISTINCT lower(suffix) AS ext FROM kinds)"""
+            """SELECT ext, CAST(n_files AS BIGINT) AS n_files, round(100.0 * n_files / (SELECT sum(n_files) FROM counts), 2) AS percentage
+            FROM (SELECT ext, n_files FROM counts UNION ALL SELECT 'total', sum(n_files) FROM counts)"""
         ),
+        "extension_list": _sql("SELECT DISTINCT lower(suffix) AS ext FROM kinds"),
         "find_by_extension": _sql("SELECT path FROM kinds WHERE lower(suffix) = '.md'"),
         "find_without_extension": _sql(r"SELECT path FROM kinds WHERE suffix = '' AND NOT regexp_matches(path, '(^|/)\.')"),
         "tree_status": _sql(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import path_suffix
 from ..operators.evaluation import Truth, count_copies
 from ..schemas import SPAN
-from ..staging import spread_if_narrow
+from ..staging import spread_if_narrow, stage
 
 _PASSAGE_WORDS = 6  # a passage of a truth has at least this many words
 _WORDS = r"[\s]+"
@@ -121,9 +121,10 @@ def truth(spark: SparkSession, sf_dir: str) -> Truth:
     """Truth of all benchmark items; items quoted nowhere have no spans.
 
     Built in long form: an item quoted by very many documents stays many rows.
+    Staged, because an evaluation reads it more than once.
     """
     asked = questions(spark, sf_dir)
-    spans = passages(docs(spark, sf_dir), asked)
+    spans = stage(passages(docs(spark, sf_dir), asked), "truth")
     counted = spans.groupBy("question_id").agg(F.count("*").alias("n"))
     items = asked.join(counted, "question_id", "left").select(
         "question_id", F.coalesce("n", F.lit(0)).alias("n_truth")

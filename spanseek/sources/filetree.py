@@ -14,17 +14,23 @@ import os
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..schemas import file_listing
+from ..staging import stage
 
 _BATCH_BYTES = 16 << 20
-# Directories the driver expands to find enough work to hand out.
-_MAX_EXPANDED = 2_000
+_PARTITION_BYTES = 128 << 20
+# Directories the driver expands to find enough work to hand out, and the most
+# subdirectories it takes from one of them.
+_MAX_EXPANDED = 10_000
+_MAX_SUBDIRECTORIES = 100_000
 
 
 def _suffix(name: str) -> str:
@@ -32,26 +38,24 @@ def _suffix(name: str) -> str:
     return name[dot:] if 0 < dot < len(name) - 1 else ""
 
 
-def _list(directory: str) -> tuple[list[str], list[tuple[str, int, float]]]:
-    """Subdirectories and ``(path, size, mtime)`` of the files of one directory."""
-    directories, files = [], []
+def _entries(directory: str) -> Iterator[tuple[str, int | None, float | None]]:
+    """Entries of one directory: ``(path, size, mtime)``, size ``None`` for a directory."""
     if "://" in directory:
         system, base = pafs.FileSystem.from_uri(directory)
         scheme = directory[: len(directory.rstrip("/")) - len(base.rstrip("/"))]
         for info in system.get_file_info(pafs.FileSelector(base)):
             if info.type == pafs.FileType.Directory:
-                directories.append(scheme + info.path)
+                yield scheme + info.path, None, None
             elif info.type == pafs.FileType.File:
-                files.append((scheme + info.path, info.size, info.mtime_ns / 1e9))
-        return directories, files
+                yield scheme + info.path, info.size, info.mtime_ns / 1e9
+        return
     with os.scandir(directory) as entries:
         for entry in entries:
             if entry.is_dir(follow_symlinks=False):
-                directories.append(entry.path)
+                yield entry.path, None, None
             elif entry.is_file():
                 status = entry.stat()
-                files.append((entry.path, status.st_size, status.st_mtime))
-    return directories, files
+                yield entry.path, status.st_size, status.st_mtime
 
 
 @dataclass
@@ -63,26 +67,36 @@ class _Subtree(InputPartition):
 class _TreeReader(DataSourceReader):
     def __init__(self, options: dict):
         self.root = options["path"].rstrip("/") or "/"
-        self.tasks = int(options.get("tasks", "64"))
+        self.tasks = int(options.get("tasks", "1000"))
         wanted = options.get("extensions")
         self.extensions = None if wanted is None else set(wanted.split("\n"))
 
     def partitions(self) -> list[InputPartition]:
-        """Expand directories breadth-first until there is work for every task."""
-        flat, open_ = [], deque([self.root])
-        while open_ and len(flat) < _MAX_EXPANDED and len(open_) < self.tasks:
+        """Expand directories breadth-first until there is work for every task.
+
+        The driver keeps directory names only, of which there is a bound; a
+        directory with more subdirectories is walked by one task.
+        """
+        parts, open_ = [], deque([self.root])
+        while open_ and len(parts) < _MAX_EXPANDED and len(open_) < self.tasks:
             directory = open_.popleft()
-            flat.append(_Subtree(directory, False))
-            open_.extend(_list(directory)[0])
-        return flat + [_Subtree(directory, True) for directory in open_]
+            below = (path for path, size, _ in _entries(directory) if size is None)
+            found = list(islice(below, _MAX_SUBDIRECTORIES + 1))
+            if len(found) > _MAX_SUBDIRECTORIES:
+                parts.append(_Subtree(directory, True))
+            else:
+                parts.append(_Subtree(directory, False))
+                open_.extend(found)
+        return parts + [_Subtree(directory, True) for directory in open_]
 
     def read(self, partition: _Subtree) -> Iterator[tuple]:
         todo = [partition.directory]
         while todo:
-            directories, files = _list(todo.pop())
-            if partition.recursive:
-                todo.extend(directories)
-            for path, size, mtime in files:
+            for path, size, mtime in _entries(todo.pop()):
+                if size is None:
+                    if partition.recursive:
+                        todo.append(path)
+                    continue
                 ext = _suffix(path.rsplit("/", 1)[-1])
                 if self.extensions is None or ext in self.extensions:
                     yield path, path[len(self.root) :].lstrip("/"), ext, size, mtime
@@ -154,12 +168,16 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def read_contents(files: DataFrame, partitions: int | None = None) -> DataFrame:
     """``(path, mtime, content)`` of listed files; unreadable ones give no row.
 
-    The number of partitions is explicit because the listing is tiny and
-    adaptive coalescing would put all reading into one task.
+    The number of partitions follows the sizes in the listing, if it has them.
+    It is explicit because the listing itself is tiny and adaptive coalescing
+    would put all reading into one task.
     """
-    spark = files.sparkSession
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = partitions or max(configured, spark.sparkContext.defaultParallelism)
+    if partitions is None:
+        spark = files.sparkSession
+        configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        total = files.agg(F.sum("size")).first()[0] if "size" in files.columns else None
+        needed = -(-(total or 0) // _PARTITION_BYTES)
+        partitions = max(configured, spark.sparkContext.defaultParallelism, needed)
     spread = files.select("path", "mtime").repartition(partitions, "path")
     return spread.mapInArrow(_read_batches, "path string, mtime double, content binary")
 
@@ -167,5 +185,5 @@ def read_contents(files: DataFrame, partitions: int | None = None) -> DataFrame:
 def read_tree(
     spark: SparkSession, root: str, extensions: list[str] | None = None, partitions: int | None = None
 ) -> DataFrame:
-    """List, filter by suffix, then read."""
-    return read_contents(list_tree(spark, root, extensions), partitions)
+    """List, filter by suffix, then read; the tree is walked once."""
+    return read_contents(stage(list_tree(spark, root, extensions), "listing"), partitions)

@@ -54,6 +54,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     return F.broadcast(df) if small else df
 
 
+def partitions_for(df: DataFrame, bytes_each: int) -> int:
+    """How many partitions of about ``bytes_each`` the rows of ``df`` fill.
+
+    From Catalyst's estimate, which for stored tables is the size of the files;
+    at least ``spark.sql.shuffle.partitions``.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // bytes_each))
+
+
 def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
     """Hash a scan over the cores if its files give fewer splits than there are cores.
 
