@@ -177,12 +177,15 @@ _PARTS = {
     "means": " UNION ALL ".join(f"SELECT {k} AS k, avg(r{k}) AS recall FROM recalls" for k in RECALL_DEPTHS),
     "fetched": """SELECT item_id, rank, file_path, h.a, h.b, substr(text, h.a + 1, h.b - h.a) AS content
         FROM hits h JOIN docs USING (file_path)""",
+    "hybrid_fetched": """SELECT item_id, rank, file_path, substr(text, h.a + 1, h.b - h.a) AS content
+        FROM hybrid h JOIN docs USING (file_path)""",
     "contexts": r"""SELECT item_id, string_agg('Source: ' || file_path || chr(10) || 'Content: ' ||
             regexp_replace(content, '^\s+|\s+$', '', 'g'), chr(10) || chr(10) ORDER BY rank) AS context
         FROM fetched GROUP BY 1""",
     "prompts": f"""SELECT item_id, text AS question, {_text(PROMPT_HEAD)} || coalesce(context, '') ||
             {_text(PROMPT_MIDDLE)} || text || {_text(PROMPT_TAIL)} AS prompt
         FROM benchmark LEFT JOIN contexts USING (item_id)""",
+    "longest": "SELECT arg_max(item_id, (length(text), item_id)) AS item_id FROM benchmark",
     "raw_answers": """SELECT conv_id, turn,
             CASE WHEN turn % 2 = 1 THEN 'Answer: ' || text ELSE text END AS raw
         FROM conversations WHERE role = 'assistant'""",
@@ -190,6 +193,9 @@ _PARTS = {
     "centres": """SELECT label, list(x ORDER BY dim) AS vec FROM (
         SELECT label, dim, avg(CAST(x AS DOUBLE)) AS x FROM centre_cells GROUP BY ALL) GROUP BY label""",
 }
+# The same steps on the hybrid ranking.
+_PARTS["hybrid_contexts"] = _PARTS["contexts"].replace("FROM fetched", "FROM hybrid_fetched")
+_PARTS["hybrid_prompts"] = _PARTS["prompts"].replace("JOIN contexts", "JOIN hybrid_contexts")
 _BUCKET = f"CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) % {HASH_DIMENSIONS}"
 for _name in ("chunk_unit", "question_unit"):
     _PARTS[_name] = _PARTS[_name] % _BUCKET
@@ -289,16 +295,18 @@ def oracle_sql() -> dict[str, str]:
                 list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) AS vv
               FROM centres c CROSS JOIN embeddings)) QUALIFY rank <= 10"""
         ),
+        "scalar_metadata": "SELECT doc_id, n_chars, CAST(to_json({'lang': lang, 'source': source}) AS VARCHAR) AS origin FROM documents",
         # hybrid ranking
         "hybrid_candidates": _sql(
             f"SELECT item_id AS query_id, {_SPAN}, round(score, 6) AS score, CAST(origin AS BIGINT) AS origin, origin_rank FROM candidates"
         ),
         "hybrid_topk": _sql(f"SELECT item_id AS query_id, rank, {_SPAN} FROM hybrid"),
         "search_one": _sql(
-            f"SELECT rank, {_SPAN} FROM hybrid WHERE item_id = (SELECT arg_max(item_id, (length(text), item_id)) FROM benchmark)"
+            f"SELECT rank, {_SPAN} FROM hybrid JOIN longest USING (item_id)"
         ),
         "search_dataset": _sql("SELECT pos, question_id, question_str, spans FROM packed_hybrid"),
         "pack_results": _sql("SELECT pos, question_id, question_str, spans FROM packed_hits"),
+        "results_roundtrip": _sql("SELECT pos, question_id, question_str, spans, CAST(10 AS BIGINT) AS k FROM packed_hits"),
         "normalize_paths": _sql(
             """SELECT item_id AS pos, string_agg(CASE WHEN starts_with(file_path, 'src1') THEN file_path
                 ELSE 'src1' || file_path END || ':' || a || '-' || b, '|' ORDER BY rank) AS spans FROM hits GROUP BY 1"""
@@ -314,6 +322,11 @@ def oracle_sql() -> dict[str, str]:
             """SELECT pos, question_id, question_str, spans, length(prompt) || ' characters' AS answer
             FROM packed_hits JOIN prompts ON pos = item_id"""
         ),
+        "answer_one": _sql(
+            """SELECT CAST(0 AS BIGINT) AS pos, sha256(question_str) AS question_id, question_str, spans,
+                length(prompt) || ' characters' AS answer
+            FROM packed_hybrid JOIN longest ON pos = item_id JOIN hybrid_prompts USING (item_id)"""
+        ),
         "clean_answer": _sql(
             r"""SELECT conv_id, turn, CASE WHEN length(t) < 3 OR NOT regexp_matches(t, '[\p{L}\p{N}]')
                 THEN 'I don''t know' ELSE t END AS answer

@@ -275,6 +275,12 @@ def knn_lsh(spark, sf_dir):
     return vectors.knn_lsh(tables.label_centres(spark, sf_dir), stored, DEFAULT_K, "cosine")
 
 
+@_query
+def scalar_metadata(spark, sf_dir):
+    origin = F.struct("lang", "source").alias("origin")
+    return vectors.scalar_metadata(tables.table(spark, sf_dir, "documents").select("doc_id", "n_chars", origin))
+
+
 # --- hybrid ranking -----------------------------------------------------------------------
 
 
@@ -292,11 +298,14 @@ def hybrid_topk(spark, sf_dir):
     return hybrid.hybrid_topk(_asked(spark, sf_dir), store.index, store.vectors, DEFAULT_K)
 
 
+def _longest_question(spark: SparkSession, sf_dir: str) -> str:
+    longest = F.max_by("question", F.struct(F.length("question"), "query_id"))
+    return _asked(spark, sf_dir).agg(longest).first()[0]
+
+
 @_query
 def search_one(spark, sf_dir):
-    longest = F.max_by("question", F.struct(F.length("question"), "query_id"))
-    question = _asked(spark, sf_dir).agg(longest).first()[0]
-    return commands.search(spark, _store(spark, sf_dir), question)
+    return commands.search(spark, _store(spark, sf_dir), _longest_question(spark, sf_dir))
 
 
 @_query
@@ -310,6 +319,13 @@ def pack_results(spark, sf_dir):
     return _as_text(_lexical_results(spark, sf_dir))
 
 
+@_query
+def results_roundtrip(spark, sf_dir):
+    found = _lexical_results(spark, sf_dir)
+    target = exchange.write_results(found, new_folder(spark, "export"), "questions.json", DEFAULT_K)
+    return _as_text(exchange.read_result_lines(spark, target))
+
+
 @_query
 def normalize_paths(spark, sf_dir):
     found = _lexical_results(spark, sf_dir).select("pos", "retrieved_sources")
@@ -365,6 +381,12 @@ def answer_dataset(spark, sf_dir):
     return _as_text(commands.answer_dataset(results, stub_generator, tables.docs(spark, sf_dir)))
 
 
+@_query
+def answer_one(spark, sf_dir):
+    question, docs = _longest_question(spark, sf_dir), tables.docs(spark, sf_dir)
+    return _as_text(commands.answer(spark, _store(spark, sf_dir), question, stub_generator, docs=docs))
+
+
 @_query
 def clean_answer_(spark, sf_dir):
     raw = F.when(F.col("turn") % 2 == 1, F.concat(F.lit("Answer: "), "text")).otherwise(F.col("text"))
