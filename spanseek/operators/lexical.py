@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..constants import BM25_B, BM25_K1, STOP_WORDS
 from ..functions import corpus_tokens, query_terms
 from ..schemas import SPAN, SPAN_KEY
-from ..staging import broadcast_if_small, new_folder, partitions_for, stage
+from ..staging import broadcast_if_small, is_small, new_folder, partitions_for, stage
 
 CHUNK_MARK = ""
 _POSTING_COLUMNS = (
@@ -166,21 +166,21 @@ def _saturation(index: LexicalIndex) -> Column:
 def weighted_postings(index: LexicalIndex) -> DataFrame:
     """All postings with their weights.
 
-    A term may hold a large share of the postings. At most ``_HOT_SHARE`` terms
-    can each hold more than ``1/_HOT_SHARE`` of them, so those are broadcast,
-    with the bound checked by arithmetic; the join by shuffle sees only terms
-    below that share.
+    A small vocabulary is broadcast. For a large one, note that a term may hold
+    a large share of the postings, but at most ``_HOT_SHARE`` terms can each
+    hold more than ``1/_HOT_SHARE`` of them: those are broadcast, and the join
+    by shuffle sees only terms below that share.
     """
     postings = index.postings.where(F.col("term") != CHUNK_MARK)
-    n_postings = index.term_stats.agg(F.sum("df")).scalar()
-    is_hot = F.col("df") * _HOT_SHARE > n_postings
-    hot = F.broadcast(index.term_stats.where(is_hot).select("term", "df", "idf"))
-    cold = index.term_stats.where(~is_hot)
-    split = postings.join(hot, "term", "left")
-    served = split.where(F.col("df").isNotNull())
-    rest = split.where(F.col("df").isNull()).drop("df", "idf").join(cold, "term")
-    both = served.unionByName(rest)
-    return both.select(*SPAN, "term", "tf", "dl", "df", (F.col("idf") * _saturation(index)).alias("weight"))
+    stats = index.term_stats.select("term", "df", "idf")
+    if is_small(stats):
+        joined = postings.join(F.broadcast(stats), "term")
+    else:
+        is_hot = F.col("df") * _HOT_SHARE > stats.agg(F.sum("df")).scalar()
+        split = postings.join(F.broadcast(stats.where(is_hot)), "term", "left")
+        rest = split.where(F.col("df").isNull()).drop("df", "idf").join(stats.where(~is_hot), "term")
+        joined = split.where(F.col("df").isNotNull()).unionByName(rest)
+    return joined.select(*SPAN, "term", "tf", "dl", "df", (F.col("idf") * _saturation(index)).alias("weight"))
 
 
 def query_weights(queries: DataFrame, index: LexicalIndex) -> DataFrame:

@@ -275,7 +275,10 @@ def _arrow_fields(schema: T.StructType) -> list[tuple[str, pa.DataType]]:
 
 
 def _hyperplanes(width: int, bits: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((width, bits))
+    """Pseudo-random normals in (-1, 1), from a formula any engine can repeat."""
+    dimension, bit = np.arange(width)[:, None], np.arange(bits)[None, :]
+    noise = np.sin(dimension * 12.9898 + bit * 78.233 + seed) * 43758.5453
+    return 2.0 * (noise - np.floor(noise)) - 1.0
 
 
 def _cell_numbers(margins: np.ndarray) -> np.ndarray:

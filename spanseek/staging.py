@@ -44,14 +44,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows, by counting no further than that.
+
+    ``df`` should be stored or staged, so that its lineage does not run twice.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting; otherwise leave the join to Catalyst.
 
-    ``df`` should be staged, so that the count reads Parquet footers only.
     Beyond the bound a shuffle join runs, with AQE splitting skewed keys.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def partitions_for(df: DataFrame, bytes_each: int) -> int:
