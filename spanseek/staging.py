@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 # A side with at most this many (narrow) rows may be broadcast.
 MAX_BROADCAST_ROWS = 1_000_000
+# Size estimates from here on mean that Catalyst knows nothing.
+_UNKNOWN_BYTES = 1 << 58
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -64,10 +66,12 @@ def partitions_for(df: DataFrame, bytes_each: int) -> int:
     """How many partitions of about ``bytes_each`` the rows of ``df`` fill.
 
     From Catalyst's estimate, which for stored tables is the size of the files;
-    at least ``spark.sql.shuffle.partitions``.
+    at least ``spark.sql.shuffle.partitions``. Rows that do not come from files
+    have no estimate (Catalyst then assumes the largest number) and get just that.
     """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // bytes_each))
+    needed = -(-size // bytes_each) if size < _UNKNOWN_BYTES else 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), needed)
 
 
 def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:

@@ -29,6 +29,8 @@ def test_partitions_follow_size(spark, tmp_path):
     stored = spark.read.parquet(path)
     assert staging.partitions_for(stored, 1 << 40) == 8
     assert staging.partitions_for(stored, 10_000) > 30
+    unknown = spark.createDataFrame([("a", 1)], "s string, i int").selectExpr("concat(s, s) AS s")
+    assert staging.partitions_for(unknown, 1 << 20) == 8
 
 
 def test_narrow_scans_are_spread(spark, tmp_path):
