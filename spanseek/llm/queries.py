@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language
+from . import byte_bpe, language, secret_scan, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -62,3 +62,28 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(docs, F.col("doc_id").isNotNull() & ~held)
     found = language.predict(docs.select("doc_id", "text"), model, keep=["doc_id"])
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.find(docs, keep=["doc_id"])
+    kinds = [rule.kind for rule in secret_scan.BASE]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in kinds],
+        F.sha2(secret_scan.spans_text(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
