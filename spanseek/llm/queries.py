@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language, secret_scan, simhash
+from ..staging import new_folder
+from . import byte_bpe, language, secret_scan, simhash, substring_dedup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -87,3 +88,44 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = substring_dedup.remove_repeats(docs)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archive = new_folder(spark, "warc")
+    warc.write(warc.share_payloads(pages, "page_id", "html", "url"), archive)
+    records = warc.read(spark, archive).where(F.col("record_type").isin("response", "revisit"))
+    stored = F.col("record_type") == "response"
+
+    def page(column: str) -> Column:
+        return F.regexp_extract(column, ":(-?[0-9]+)>$", 1).try_cast("bigint")
+
+    return records.select(
+        page("record_id").alias("page_id"),
+        F.when(stored, F.octet_length("payload")).otherwise(F.col("payload_bytes")).cast("bigint").alias("payload_bytes"),
+        F.when(stored, F.sha1("payload")).otherwise(F.col("payload_sha1")).alias("payload_digest"),
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
+_ORACLES["op3_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), best AS (
+  SELECT payload_digest, max(page_id) AS stored FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id < stored AND payload_bytes >= 1000 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < stored AND payload_bytes >= 1000 THEN stored END AS refers_to
+FROM p LEFT JOIN best USING (payload_digest)
+"""
