@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..staging import new_folder
-from . import byte_bpe, language, secret_scan, simhash, substring_dedup, warc
+from . import byte_bpe, language, secret_scan, simhash, substring_dedup, warc, weighted_sampling
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -129,3 +129,8 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id < stored AND payload_bytes >= 1000 THEN stored END AS refers_to
 FROM p LEFT JOIN best USING (payload_digest)
 """
+
+
+@query
+def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
