@@ -195,10 +195,10 @@ def predict(
 ) -> DataFrame:
     """Rows of ``docs`` with ``lang_pred`` and the posterior ``score`` of it."""
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = rows.ship(docs.sparkSession, model)
 
     def factory():
-        known = shared.value
+        known = shared()
 
         def run(texts: list) -> list:
             spelled = [bool(t) and any(map(str.isalpha, t)) for t in texts]

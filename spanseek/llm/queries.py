@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..staging import new_folder
-from . import byte_bpe, language, secret_scan, simhash, substring_dedup, warc, weighted_sampling
+from . import byte_bpe, decontaminate, language, secret_scan, simhash, substring_dedup, warc, weighted_sampling
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -134,3 +134,10 @@ FROM p LEFT JOIN best USING (payload_digest)
 @query
 def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select("doc_id", "item_id", *[F.col(c).cast("bigint").alias(c) for c in ("distance", "start", "end")])

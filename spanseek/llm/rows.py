@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Texts turned into Python strings at a time.
@@ -15,6 +17,12 @@ SLICE = 256
 TextsFunction = Callable[[list], list]
 
 
+def ship(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Broadcast ``value`` with the code of its class; the result returns it in a task."""
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(shared.value)
+
+
 def append(
     df: DataFrame,
     text: str,
