@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..staging import new_folder
-from . import byte_bpe, decontaminate, language, secret_scan, simhash, substring_dedup, warc, weighted_sampling
+from . import byte_bpe, decontaminate, language, secret_scan, simhash, substring_dedup, toxicity, warc, weighted_sampling
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -141,3 +141,13 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
     return found.select("doc_id", "item_id", *[F.col(c).cast("bigint").alias(c) for c in ("distance", "start", "end")])
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held = held_out("doc_id", 5, 0)
+    model = toxicity.train(docs, labels, F.col("doc_id").isNotNull() & ~held, held_out("doc_id", 5, 4))
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

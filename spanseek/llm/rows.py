@@ -93,13 +93,14 @@ def mix(h: np.ndarray) -> np.ndarray:
 class WordHasher:
     """64-bit numbers of the words of a UTF-8 text, equal for equal words.
 
-    A word is a run of bytes other than ASCII white space. The number is a
-    polynomial in an odd base modulo 2**64, summed over all words at once.
+    A word is a run of bytes other than separators (default: ASCII white
+    space). The number is a polynomial in an odd base modulo 2**64, summed over
+    all words at once.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, separators: set[int] = frozenset((0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D))) -> None:
         self._space = np.zeros(256, bool)
-        self._space[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+        self._space[list(separators)] = True
         self._grow(_BLOCK)
 
     def _grow(self, n: int) -> None:
