@@ -287,7 +287,7 @@ def _single_windows(cut_out: DataFrame, window: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of, runs = WordHasher(), (RunHasher(_BASES[0]), RunHasher(_BASES[1]))
         for batch in batches:
-            for k1, k2, text, wanted in zip(*batch.columns):
+            for _, k1, k2, text, wanted in zip(*batch.columns):
                 data, _ = joined([text.as_py()])
                 words = words_of(data)[2]
                 at = np.concatenate([np.arange(x["s"], x["s"] + x["c"]) for x in wanted.as_py()])
@@ -296,7 +296,7 @@ def _single_windows(cut_out: DataFrame, window: int) -> DataFrame:
                 arrays = [*ids, pa.array(at.astype(np.int32)), pa.array(h1), pa.array(h2)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["k1", "k2", "w", "h1", "h2"])
 
-    columns = cut_out.select("k1", "k2", "text", "wanted")
+    columns = cut_out.select("id", "k1", "k2", "text", "wanted")
     return columns.mapInArrow(work, "k1 bigint, k2 int, w int, h1 bigint, h2 bigint")
 
 
@@ -320,7 +320,8 @@ def repeated_ranges(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, ho
     offset = F.transform("ranges", lambda x: x + F.col("s"))
     ranges = pairs.select("k1", "k2", offset.alias("ranges"))
     if shared.where("hot").limit(1).count():
-        single = stage(_single_windows(cut_out(kept.where("hot")), window), "windows")
+        # Not stored: in one plan with the joins above it reads the same exchange of the texts.
+        single = _single_windows(cut_out(kept.where("hot")), window)
         more = single.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1")
         many = single.join(more, ["h1", "h2"]).select("k1", "k2", F.array("w", F.col("w") + 1).alias("ranges"))
         ranges = ranges.union(many)
