@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .rows import ship
+from .rows import append, ship
 
 SHARE = 0.2
 RECALL = 0.9
@@ -260,6 +260,33 @@ def search_texts(index: Index, texts: list[list[str]]) -> list[tuple[int, int, i
     return out
 
 
+def _blocks(items: DataFrame, item_key: str, item_text: str, block_items: int, share: float, recall: float) -> Iterator[Index]:
+    """Indexes of blocks of the items; each block is read to the driver on its own."""
+    asked = items.select(F.col(item_key), F.col(item_text).alias("__item")).where(F.length(F.trim("__item")) > 0)
+    blocks = max(1, -(-asked.count() // block_items))
+    number = F.pmod(F.xxhash64(item_key, "__item"), F.lit(blocks))
+    for block in range(blocks):
+        rows = [(r[0], normalise(r[1])) for r in asked.where(number == block).collect()]
+        yield Index([r for r in rows if r[1]], share, recall)
+
+
+def _searched(index: Index, texts: Iterator[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
+    """What ``search_texts`` finds, for texts taken a few at a time."""
+    held: list[list[str]] = []
+    numbers: list[int] = []
+    size = 0
+    for i, text in enumerate(texts):
+        if text:
+            held.append(normalise(text))
+            numbers.append(i)
+            size += len(text)
+        if size > _SLICE_BYTES:
+            yield from ((numbers[f[0]], *f[1:]) for f in search_texts(index, held))
+            held, numbers, size = [], [], 0
+    if held:
+        yield from ((numbers[f[0]], *f[1:]) for f in search_texts(index, held))
+
+
 def find(
     docs: DataFrame,
     items: DataFrame,
@@ -276,58 +303,66 @@ def find(
     Places are in characters of the document in lower case with collapsed white
     space. Overlapping places of the same item are reported once.
     """
-    spark = docs.sparkSession
-    asked = items.select(F.col(item_key), F.col(item_text).alias("__item")).where(F.length(F.trim("__item")) > 0)
-    blocks = max(1, -(-asked.count() // block_items))
-    number = F.pmod(F.xxhash64(item_key, "__item"), F.lit(blocks))
+    integer = T.IntegerType()
     schema = T.StructType(
         [
             T.StructField(key, docs.schema[key].dataType),
             T.StructField(item_key, items.schema[item_key].dataType),
-            T.StructField("distance", T.IntegerType()),
-            T.StructField("start", T.IntegerType()),
-            T.StructField("end", T.IntegerType()),
+            *(T.StructField(name, integer) for name in ("distance", "start", "end")),
         ]
     )
     source = docs.select(key, F.col(text).alias("__text"))
+    item_type = pa.int64() if isinstance(schema[1].dataType, T.LongType) else None
     out = None
-    for block in range(blocks):
-        rows = [(r[0], normalise(r[1])) for r in asked.where(number == block).collect()]
-        index = Index([r for r in rows if r[1]], share, recall)
-        shared = ship(spark, index)
+    for index in _blocks(items, item_key, item_text, block_items, share, recall):
+        shared = ship(docs.sparkSession, index)
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             known = shared()
             names = [n for n, _ in known.items]
             for batch in batches:
-                ids = batch.column(0)
-                held: list[list[str]] = []
-                rows: list[int] = []
-                size = 0
-
-                def done():
-                    found = search_texts(known, held)
+                found = list(_searched(known, (v.as_py() for v in batch.column(1))))
+                if found:
+                    owner, item, *places = zip(*found)
                     columns = [
-                        ids.take(pa.array([rows[f[0]] for f in found], pa.int64())),
-                        pa.array([names[f[1]] for f in found]),
-                        *(pa.array([f[i] for f in found], pa.int32()) for i in (2, 3, 4)),
+                        batch.column(0).take(pa.array(owner)),
+                        pa.array([names[i] for i in item], item_type),
+                        *(pa.array(p, pa.int32()) for p in places),
                     ]
-                    if found:
-                        yield pa.RecordBatch.from_arrays(columns, names=[key, item_key, "distance", "start", "end"])
-
-                for i, value in enumerate(batch.column(1)):
-                    own = value.as_py()
-                    if not own:
-                        continue
-                    held.append(normalise(own))
-                    rows.append(i)
-                    size += len(own)
-                    if size > _SLICE_BYTES:
-                        yield from done()
-                        held, rows, size = [], [], 0
-                if held:
-                    yield from done()
+                    yield pa.RecordBatch.from_arrays(columns, names=[key, item_key, "distance", "start", "end"])
 
         found = source.mapInArrow(work, schema)
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def mark(
+    docs: DataFrame,
+    items: DataFrame,
+    into: str,
+    text: str = "text",
+    item_key: str = "item_id",
+    item_text: str = "text",
+    share: float = SHARE,
+    recall: float = RECALL,
+    block_items: int = BLOCK_ITEMS,
+) -> DataFrame:
+    """Rows of ``docs`` with the number of places found in each, so that no row needs a join to be judged."""
+    out = docs.withColumn(into, F.lit(0))
+    for index in _blocks(items, item_key, item_text, block_items, share, recall):
+        shared = ship(docs.sparkSession, index)
+
+        def factory(shared=shared):
+            known = shared()
+
+            def run(texts: list) -> list:
+                counts = [0] * len(texts)
+                for owner, *_ in _searched(known, iter(texts)):
+                    counts[owner] += 1
+                return [counts]
+
+            return run
+
+        once = append(out, text, [T.StructField("__found", T.IntegerType())], factory)
+        out = once.withColumn(into, F.col(into) + F.col("__found")).drop("__found")
+    return out

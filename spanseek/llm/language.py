@@ -192,9 +192,10 @@ def predict(
     model: Model | None,
     text: str = "text",
     keep: list[str] | None = None,
+    into: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
-    """Rows of ``docs`` with ``lang_pred`` and the posterior ``score`` of it."""
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    """Rows of ``docs`` with the predicted language and its posterior probability."""
+    fields = [T.StructField(into[0], T.StringType()), T.StructField(into[1], T.DoubleType())]
     shared = rows.ship(docs.sparkSession, model)
 
     def factory():

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..staging import new_folder
-from . import byte_bpe, decontaminate, language, secret_scan, simhash, substring_dedup, toxicity, warc, weighted_sampling
+from . import byte_bpe, decontaminate, language, perplexity, secret_scan, simhash, substring_dedup, toxicity, warc, weighted_sampling
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -151,3 +151,16 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, labels, F.col("doc_id").isNotNull() & ~held, held_out("doc_id", 5, 4))
     scored = toxicity.score(docs, model, keep=["doc_id"])
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op5_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return perplexity.classify(docs, table(spark, sf_dir, "labels").where("quality = 1"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the top of the repository; it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
