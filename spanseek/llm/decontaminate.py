@@ -67,8 +67,8 @@ class Walk:
 
     def __init__(self, span: int, repeats: int) -> None:
         draw = random.Random(f"{_SEED}:{span}")
-        # At half a byte per step the walk seldom passes the span.
-        self.steps = min(64, max(2, span + span // 4))
+        # A step moves on by one byte at most, so the walk stays within the span.
+        self.steps = span
         self.turn = max(1, self.steps * 3 // 8)
         # Bit j of a byte's number says whether step j moves on; zeros end texts and hold the walk.
         self.moves = np.array([0, *(draw.getrandbits(64) for _ in range(255))], np.uint64)

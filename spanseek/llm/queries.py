@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..staging import new_folder
-from . import byte_bpe, decontaminate, language, perplexity, secret_scan, simhash, substring_dedup, toxicity, warc, weighted_sampling
+from . import byte_bpe, decontaminate, language, oracles, perplexity, secret_scan, simhash, substring_dedup, toxicity, warc, weighted_sampling
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
-_ORACLES: dict[str, str] = {}
 
 
 def query(function: Query) -> Query:
@@ -25,7 +24,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return oracles.oracle_sql()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,19 +116,6 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_ORACLES["op3_warc"] = """
-WITH p AS (
-  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
-  FROM pages
-), best AS (
-  SELECT payload_digest, max(page_id) AS stored FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest
-)
-SELECT page_id, payload_bytes, payload_digest,
-  CASE WHEN page_id < stored AND payload_bytes >= 1000 THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN page_id < stored AND payload_bytes >= 1000 THEN stored END AS refers_to
-FROM p LEFT JOIN best USING (payload_digest)
-"""
-
 
 @query
 def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:

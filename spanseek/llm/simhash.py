@@ -38,7 +38,6 @@ SEED = 42
 _BYTES = 8
 _SHINGLES = 1 << 16  # hashed at a time
 _PAIRWISE = 64  # postings up to this size are compared pair by pair
-_FIELD = T.StructField("fp", T.LongType())
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -61,13 +60,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(set_bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = None, shingle: int = SHINGLE) -> DataFrame:
-    """Rows of ``docs`` with ``fp``."""
+def fingerprints(
+    docs: DataFrame, text: str = "text", keep: list[str] | None = None, shingle: int = SHINGLE, into: str = "fp"
+) -> DataFrame:
+    """Rows of ``docs`` with their fingerprint."""
 
     def factory():
         return lambda texts: [[fingerprint(t, shingle) for t in texts]]
 
-    return rows.append(docs, text, [_FIELD], factory, keep)
+    return rows.append(docs, text, [T.StructField(into, T.LongType())], factory, keep)
 
 
 def _least_shared(distance: int) -> int:
@@ -180,7 +181,7 @@ def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle
     place = F.struct(F.col(key).isNull().alias("unknown"), F.col(key).alias("id"), F.col("fp"))
     firsts = prints.groupBy("fp").agg(F.min(place).alias("place"))
     best = firsts.join(roots, "fp").groupBy("root").agg(F.min("place").alias("place"))
-    best = best.select(F.col("place.id").alias("__id"), F.col("place.fp").alias("__fp"))
-    marked = fingerprints(docs, text, None, shingle).withColumnRenamed("fp", "__fp")
-    kept = marked.join(best, (marked[key].eqNullSafe(best["__id"])) & (marked["__fp"] == best["__fp"]), "left_semi")
+    best = best.select(F.col("place.id").alias("__id"), F.col("place.fp").alias("__best"))
+    marked = fingerprints(docs, text, None, shingle, "__fp")
+    kept = marked.join(best, (F.col(key).eqNullSafe(F.col("__id"))) & (F.col("__fp") == F.col("__best")), "left_semi")
     return kept.dropDuplicates([key, "__fp"]).select(*docs.columns)

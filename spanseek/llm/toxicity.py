@@ -128,7 +128,7 @@ SUSPECT = re.compile(
     rf"|(?P<again>{_LETTER})(?P=again)(?P=again)"
 )
 _BODY = re.compile(rf"(?:{_LETTER}|[{_SIGNS}])*")
-_KEEP, _SWAP, _DROP, _DOUBLE, _AS_IS = (math.log(p) for p in (0.9, 0.6, 0.5, 0.02, 1e-4))
+_KEEP, _SWAP, _DROP, _AS_IS = (math.log(p) for p in (0.9, 0.6, 0.5, 1e-4))
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
@@ -138,9 +138,10 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     for i, char in enumerate(token):
         run = run + 1 if i and token[i - 1] == char else 1
         if char.isalpha():
-            # The third and later letters of a run stand for nothing; the second may, seldom if there is no third.
-            drop = _DROP if token[i + 1 : i + 2] == char else _DOUBLE
-            options = [(char, _KEEP)] if run == 1 else [(char, _KEEP), ("", drop)] if run == 2 else [("", _DROP)]
+            # The third and later letters of a run stand for nothing; if there is a third, the second may.
+            options = [("", _DROP)] if run > 2 else [(char, _KEEP)]
+            if run == 2 and token[i + 1 : i + 2] == char:
+                options.append(("", _DROP))
         elif char in LOOK_ALIKES:
             meant = LOOK_ALIKES[char]
             options = [(c, _SWAP - math.log(len(meant))) for c in meant] + [(char, _AS_IS)]
