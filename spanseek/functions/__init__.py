@@ -1,5 +1,6 @@
 """Column expressions: everything here stays inside the JVM."""
 
+from .numbers import two_decimals
 from .text import (
     after_last,
     clean_answer,
@@ -23,5 +24,6 @@ __all__ = [
     "path_suffix",
     "query_terms",
     "strip",
+    "two_decimals",
     "url_suffix",
 ]

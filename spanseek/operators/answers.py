@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..constants import GENERATION_OPTIONS, PROMPT_HEAD, PROMPT_MIDDLE, PROMPT_TAIL
 from ..functions import clean_answer, strip
 from ..schemas import SPAN
+from ..staging import broadcast_if_small, stage
 
 # Generator plug-in: called once per Python worker, returns
 # (prompts, **options) -> completions.
@@ -29,12 +30,13 @@ def unpack_results(results: DataFrame) -> DataFrame:
 def fetch_spans(ranked: DataFrame, docs: DataFrame) -> DataFrame:
     """Add the text of each span; spans of unknown files are skipped.
 
-    Offsets count characters of the normalised text. The distinct paths, a set
-    no larger than the spans, restrict the documents before their text moves,
-    and a document is read once however many spans quote it.
+    Offsets count characters of the normalised text. The distinct paths are
+    stored first; if they are few by count and bytes they are broadcast, so that
+    texts of files nobody quotes do not move. A document is read once however
+    many spans quote it.
     """
     span = F.struct("query_id", "rank", *SPAN[1:])
-    paths = ranked.select("file_path").distinct()
+    paths = broadcast_if_small(stage(ranked.select("file_path").distinct(), "paths"))
     texts = docs.select("file_path", "text").join(paths, "file_path", "left_semi")
     length = F.col("last_character_index") - F.col("first_character_index")
     piece = F.substring(F.col("text"), F.col("first_character_index") + 1, F.greatest(length, F.lit(0)))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ALLOWED_EXTENSIONS, NO_EXTENSION, NO_EXTENSION_NAMES
-from ..functions import path_suffix
+from ..functions import path_suffix, two_decimals
 
 
 def _kind(path: Column) -> Column:
@@ -46,7 +46,7 @@ def extension_report(files: DataFrame) -> DataFrame:
     rows = ranked.unionByName(total.select(F.lit("total").alias("ext"), "n_files", F.lit(2).alias("place")))
     share = 100.0 * F.col("n_files") / total.scalar()
     ordered = rows.orderBy("place", F.desc("n_files"), "ext")
-    return ordered.select("ext", "n_files", F.round(share, 2).alias("percentage"))
+    return ordered.select("ext", "n_files", two_decimals(share).alias("percentage"))
 
 
 def extension_list(files: DataFrame) -> DataFrame:

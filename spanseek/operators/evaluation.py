@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..constants import CONTEXT_BUDGET, HIT_SHARE, RECALL_DEPTHS
+from ..functions import two_decimals
 from ..schemas import SPAN
 
 _FIRST, _LAST = SPAN[1], SPAN[2]
@@ -182,4 +183,4 @@ def evaluation_report(
     """``(k, n_questions, recall)``: all items of the truth, recall to two decimals."""
     n_questions = truth_items.agg(F.count("*")).scalar()
     means = recall_at_k(results, truth, depths)
-    return means.select("k", n_questions.alias("n_questions"), F.round("recall", 2).alias("recall"))
+    return means.select("k", n_questions.alias("n_questions"), two_decimals(F.col("recall")).alias("recall"))

@@ -20,8 +20,9 @@ would cost a shuffle of all postings by term.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from ..constants import BM25_B, BM25_K1, STOP_WORDS
 from ..functions import corpus_tokens, query_terms
 from ..schemas import SPAN, SPAN_KEY
-from ..staging import broadcast_if_small, is_small, new_folder, partitions_for, stage
+from ..staging import is_small, new_folder, partitions_for, stage
 
 CHUNK_MARK = ""
 _POSTING_COLUMNS = (
@@ -39,6 +40,9 @@ _POSTING_COLUMNS = (
 )
 # Text per bucket; a bucket is one task in building and in searching.
 _BUCKET_BYTES = 512 << 20
+# Query terms, and bytes of them, that are broadcast at a time.
+MAX_BLOCK_ROWS = 1_000_000
+_BLOCK_TERM_BYTES = 64 << 20
 # Terms above this share of all postings are joined apart from the rest.
 _HOT_SHARE = 10_000
 
@@ -108,7 +112,7 @@ def write_index(chunks: DataFrame, path: str, buckets: int | None = None) -> Lex
     spark = chunks.sparkSession
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
     buckets = buckets or min(most, partitions_for(chunks, _BUCKET_BYTES))
-    name = _table_name()
+    name = _table_name(path)
     (
         count_terms(chunks, buckets)
         .selectExpr(*[f"cast({c.split()[0]} as {c.split()[1]})" for c in _POSTING_COLUMNS.split(", ")])
@@ -135,10 +139,10 @@ def load_index(spark: SparkSession, path: str) -> LexicalIndex:
     """Open an index; a missing one is an error (``AnalysisException``)."""
     corpus_stats = spark.read.parquet(f"{path}/corpus_stats")
     buckets = corpus_stats.first()["buckets"]
-    name = _table_name()
-    location = path.replace("'", "\\'")
+    name = _table_name(path)
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE {name} ({_POSTING_COLUMNS}) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {name} ({_POSTING_COLUMNS}) USING parquet "
         f"CLUSTERED BY ({', '.join(SPAN_KEY)}) SORTED BY (term) "
         f"INTO {buckets} BUCKETS LOCATION '{location}/postings'"
     )
@@ -150,10 +154,10 @@ def build_index(chunks: DataFrame, buckets: int | None = None) -> LexicalIndex:
     return write_index(chunks, new_folder(chunks.sparkSession, "index"), buckets)
 
 
-def _table_name() -> str:
+def _table_name(path: str) -> str:
     # External tables: the catalogue entry carries the bucketing, the data
-    # stays at the index path.
-    return f"spanseek_postings_{uuid.uuid4().hex}"
+    # stays at the index path. One name per place, so opening adds none.
+    return f"spanseek_postings_{hashlib.md5(path.rstrip('/').encode()).hexdigest()}"
 
 
 def _saturation(index: LexicalIndex) -> Column:
@@ -192,24 +196,48 @@ def query_weights(queries: DataFrame, index: LexicalIndex) -> DataFrame:
     )
 
 
-def bm25_scores(queries: DataFrame, index: LexicalIndex) -> DataFrame:
-    """Score of every (query, chunk) pair that shares a term.
+def _weight_blocks(queries: DataFrame, index: LexicalIndex, max_rows: int) -> list[DataFrame]:
+    """Query weights in blocks of whole queries, each small enough to broadcast."""
+    weights = stage(query_weights(queries, index), "query-weights")
+    n, size = weights.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    blocks = max(1, -(-n // max_rows), -(-size // _BLOCK_TERM_BYTES))
+    number = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    return [F.broadcast(weights.where(number == block)) for block in range(blocks)]
 
-    ``queries`` is ``(query_id, question)`` with unique ids.
-    """
-    weights = broadcast_if_small(stage(query_weights(queries, index), "query-weights"))
+
+def _block_scores(weights: DataFrame, index: LexicalIndex) -> DataFrame:
     hits = index.postings.join(weights, "term")
     part = F.col("query_weight") * _saturation(index)
     return hits.groupBy("query_id", *SPAN).agg(F.sum(part).alias("score"))
 
 
-def bm25_topk(queries: DataFrame, index: LexicalIndex, k: int) -> DataFrame:
+def bm25_scores(queries: DataFrame, index: LexicalIndex, max_block_rows: int = MAX_BLOCK_ROWS) -> DataFrame:
+    """Score of every (query, chunk) pair that shares a term.
+
+    ``queries`` is ``(query_id, question)`` with unique ids. However many they
+    are, postings stay in their buckets: queries come in blocks that are
+    broadcast, of about ``max_block_rows`` terms.
+    """
+    blocks = [_block_scores(weights, index) for weights in _weight_blocks(queries, index, max_block_rows)]
+    return reduce(DataFrame.unionByName, blocks)
+
+
+def bm25_topk(
+    queries: DataFrame, index: LexicalIndex, k: int, max_block_rows: int = MAX_BLOCK_ROWS
+) -> DataFrame:
     """Best ``k`` chunks per query with a positive score, ``rank`` from 1.
 
     Scores equal to six decimals are ordered by span. A corpus with fewer than
-    ``k`` hits gives what it has. The rank filter becomes a group limit before
-    the shuffle, so at most ``k`` rows per query leave a task.
+    ``k`` hits gives what it has. Each block of queries is cut by itself: the
+    rank filter becomes a group limit before the shuffle, so at most ``k`` rows
+    per query leave a task and only one block's pairs exist at a time. ``k``
+    above ``spark.sql.optimizer.windowGroupLimitThreshold`` gives the same rows
+    without that early cut.
     """
-    scores = bm25_scores(queries, index).where(F.col("score") > 0)
     best_first = W.partitionBy("query_id").orderBy(F.round("score", 6).desc(), *SPAN_KEY)
-    return scores.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
+
+    def cut(weights: DataFrame) -> DataFrame:
+        scores = _block_scores(weights, index).where(F.col("score") > 0)
+        return scores.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
+
+    return reduce(DataFrame.unionByName, [cut(w) for w in _weight_blocks(queries, index, max_block_rows)])

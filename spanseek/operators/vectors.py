@@ -1,18 +1,19 @@
 """Embeddings and nearest neighbours.
 
 Exact search compares every query with every vector, but never forms the
-pairs as rows: a task multiplies one Arrow batch of vectors with the query
-matrix and emits the best k per query. The query matrix reaches the tasks as a
-broadcast of checked size; a larger set of queries is spread with the vectors
-over a grid of (vector part, query block) groups instead. Both give the same
-rows.
+pairs as rows: a task multiplies its Arrow batches of vectors with the query
+matrix, keeps the best k per query and gives them out once. Approximate search
+does the same within the cells a query looks into. Queries reach the tasks in
+blocks, each a broadcast of bounded size; vectors do not move, and the rows do
+not depend on the size of a block.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from itertools import combinations
+from functools import reduce
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -25,12 +26,17 @@ from pyspark.sql import types as T
 
 from ..constants import EMBED_BATCH, HASH_DIMENSIONS
 from ..functions import corpus_tokens
+from ..staging import stage
 
 # Embedder plug-in: called once per Python worker, returns texts -> matrix.
 EmbedFactory = Callable[[], Callable[[list[str]], np.ndarray]]
 
-# Query matrices up to this size are broadcast (numbers, 8 bytes each).
+# Queries are broadcast in blocks of this size (numbers, 8 bytes each).
 MAX_QUERY_NUMBERS = 8_000_000
+# Hyperplanes that cut the space into cells.
+DEFAULT_BITS = 6
+# More cells than this are not listed in the filter of a scan.
+_MAX_LISTED_CELLS = 10_000
 _QUERY_BLOCK = 256
 _DECIMALS = 6
 
@@ -144,34 +150,71 @@ def _best_rows(distance: np.ndarray, order: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((order[near], distance[near]))][:k]
 
 
-def _nearest(query_ids, queries, vectors: pa.Table, keys, k, metric, probes=None) -> pa.Table | None:
-    """Best k rows of one batch of vectors for every query."""
-    matrix = _matrix(vectors.column("embedding"))
-    n_rows = len(matrix)
-    if n_rows == 0 or len(queries) == 0:
-        return None
-    by_key = pc.sort_indices(vectors.select(keys), sort_keys=[(key, "ascending") for key in keys])
-    order = np.empty(n_rows, dtype=np.int64)
-    order[by_key.to_numpy()] = np.arange(n_rows)
-    cells = None if probes is None else vectors.column("cell").to_numpy()
-    owners, rows, values = [], [], []
-    for at in range(0, len(queries), _QUERY_BLOCK):
-        block = _distances(queries[at : at + _QUERY_BLOCK], matrix, metric)
-        for offset, distance in enumerate(block):
-            if cells is None:
-                best = _best_rows(distance, order, k)
-            else:
-                inside = np.flatnonzero(np.isin(cells, probes[at + offset]))
-                best = inside[_best_rows(distance[inside], order[inside], k)]
-            owners.append(np.full(len(best), at + offset))
-            rows.append(best)
-            values.append(distance[best])
-    owner, row = np.concatenate(owners), np.concatenate(rows)
-    found = vectors.select(keys).take(pa.array(row))
-    return pa.table(
-        [pa.array(query_ids).take(pa.array(owner)), *found.columns, pa.array(np.concatenate(values))],
-        names=["query_id", *keys, "distance"],
-    )
+class _RunningBest:
+    """The k best rows per query over the batches of a task."""
+
+    def __init__(self, ids: pa.Array, queries: np.ndarray, keys: list[str], k: int, metric: str, probes=None) -> None:
+        self._ids, self._queries, self._keys, self._k, self._metric = ids, queries, keys, k, metric
+        self._limits = np.full(len(queries), np.inf)
+        self._best: pa.Table | None = None
+        # Which queries look into a cell; without probes one cell holds all rows and queries.
+        self._askers: dict[int, np.ndarray] | None = None
+        if probes is not None:
+            owner = np.repeat(np.arange(len(queries)), probes.shape[1])
+            order = np.argsort(probes.ravel(), kind="stable")
+            cells, starts = np.unique(probes.ravel()[order], return_index=True)
+            self._askers = dict(zip(cells.tolist(), np.split(owner[order], starts[1:])))
+
+    def _groups(self, batch: pa.RecordBatch):
+        """Row numbers and query numbers that meet."""
+        if self._askers is None:
+            yield np.arange(batch.num_rows), np.arange(len(self._queries))
+            return
+        cells = batch.column("cell").to_numpy()
+        order = np.argsort(cells, kind="stable")
+        found, starts = np.unique(cells[order], return_index=True)
+        for cell, rows in zip(found.tolist(), np.split(order, starts[1:])):
+            if cell in self._askers:
+                yield rows, self._askers[cell]
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        if batch.num_rows == 0 or len(self._queries) == 0:
+            return
+        matrix = _matrix(batch.column("embedding"))
+        owners, rows, values = [], [], []
+        for own, askers in self._groups(batch):
+            for at in range(0, len(askers), _QUERY_BLOCK):
+                block = askers[at : at + _QUERY_BLOCK]
+                distance = _distances(self._queries[block], matrix[own], self._metric)
+                limit = self._limits[block]
+                if distance.shape[1] > self._k:
+                    limit = np.minimum(limit, np.partition(distance, self._k - 1, axis=1)[:, self._k - 1])
+                query, row = np.nonzero(distance <= limit[:, None])
+                owners.append(block[query])
+                rows.append(own[row])
+                values.append(distance[query, row])
+        if not owners:
+            return
+        owner, row, value = (np.concatenate(x) for x in (owners, rows, values))
+        found = batch.select(self._keys).take(pa.array(row))
+        table = pa.table([pa.array(owner), *found.columns, pa.array(value)], names=["owner", *self._keys, "distance"])
+        self._cut(table if self._best is None else pa.concat_tables([self._best, table]))
+
+    def _cut(self, table: pa.Table) -> None:
+        names = ["owner", "distance", *self._keys]
+        table = table.take(pc.sort_indices(table, sort_keys=[(n, "ascending") for n in names]))
+        owner = table.column("owner").to_numpy()
+        place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        self._best = table.filter(pa.array(place < self._k)).combine_chunks()
+        full = np.flatnonzero(place == self._k - 1)
+        self._limits[owner[full]] = table.column("distance").to_numpy()[full]
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """At most k rows per query, once per task."""
+        if self._best is not None:
+            named = self._ids.take(self._best.column("owner").combine_chunks())
+            columns = [named, *(self._best.column(n) for n in (*self._keys, "distance"))]
+            yield from pa.table(columns, names=["query_id", *self._keys, "distance"]).to_batches()
 
 
 def _top(found: DataFrame, keys: list[str], k: int) -> DataFrame:
@@ -185,16 +228,42 @@ def _found_schema(queries: DataFrame, vectors: DataFrame, keys: list[str]) -> T.
     return T.StructType([*fields, T.StructField("distance", T.DoubleType())])
 
 
-# --- exact search -------------------------------------------------------------
+# --- search in blocks of queries ------------------------------------------------
 
 
-def _bounded_queries(queries: DataFrame, max_numbers: int) -> pa.Table | None:
-    """The queries if their matrix is within the bound, else ``None``."""
-    first = queries.select("embedding").first()
-    width = len(first["embedding"]) if first else 1
-    max_rows = max(1, max_numbers // max(1, width))
-    table = queries.select("query_id", "embedding").limit(max_rows + 1).toArrow()
-    return table if table.num_rows <= max_rows else None
+def _query_blocks(queries: DataFrame, max_numbers: int) -> Iterator[pa.Table]:
+    """The queries in blocks of about ``max_numbers`` numbers.
+
+    They are stored first, so that a model embeds them once.
+    """
+    stored = stage(queries.select("query_id", "embedding"), "queries")
+    n_rows, width = stored.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
+    blocks = max(1, -(-n_rows * max(1, width) // max_numbers))
+    number = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    for block in range(blocks):
+        yield stored.where(number == block).toArrow() if blocks > 1 else stored.toArrow()
+
+
+def _search(blocks, vectors: DataFrame, keys: list[str], k: int, metric: str, schema: T.StructType) -> DataFrame:
+    """Each block of queries is broadcast and meets the vectors where they are; each is cut by itself.
+
+    ``blocks`` gives queries, the columns to read and the cells to look into.
+    """
+    out = []
+    for table, read, probes in blocks:
+        ids = table.column("query_id").combine_chunks()
+        shared = vectors.sparkSession.sparkContext.broadcast((ids.to_pylist(), _matrix(table.column("embedding")), probes))
+        id_type = table.schema.field("query_id").type
+
+        def search(batches: Iterator[pa.RecordBatch], shared=shared, id_type=id_type) -> Iterator[pa.RecordBatch]:
+            ids, matrix, probes = shared.value
+            best = _RunningBest(pa.array(ids, id_type), matrix, keys, k, metric, probes)
+            for batch in batches:
+                best.add(batch)
+            yield from best.batches()
+
+        out.append(_top(read.mapInArrow(search, schema), keys, k))
+    return reduce(DataFrame.unionByName, out)
 
 
 def knn(
@@ -210,65 +279,14 @@ def knn(
     ``queries`` is ``(query_id, embedding)``, ``vectors`` has an ``embedding``
     and the columns ``keys`` that identify a row. ``l2`` is the squared
     distance. Distances are rounded to six decimals; equal ones go by key.
+    Vectors never move: a task keeps its k best rows per query and gives them
+    out once. ``k`` above ``spark.sql.optimizer.windowGroupLimitThreshold``
+    gives the same rows.
     """
     keys = keys or ["vec_id"]
-    schema = _found_schema(queries, vectors, keys)
-    table = _bounded_queries(queries, max_query_numbers)
-    if table is None:
-        return _knn_grid(queries, vectors, k, metric, keys, schema, max_query_numbers)
-    shared = queries.sparkSession.sparkContext.broadcast(
-        (table.column("query_id").to_pylist(), _matrix(table.column("embedding")))
-    )
-    id_type = table.schema.field("query_id").type
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix = shared.value
-        ids = pa.array(ids, id_type)
-        for batch in batches:
-            found = _nearest(ids, matrix, pa.Table.from_batches([batch]), keys, k, metric)
-            if found is not None:
-                yield from found.to_batches()
-
-    return _top(vectors.select(*keys, "embedding").mapInArrow(search, schema), keys, k)
-
-
-def _knn_grid(queries, vectors, k, metric, keys, schema, max_numbers) -> DataFrame:
-    """Exact search for query sets beyond the broadcast bound.
-
-    Vectors are hashed into parts, queries into blocks; each part meets each
-    block in one group of bounded size. Ids and keys are unique, so hashing
-    spreads both evenly.
-    """
-    width = len(queries.select("embedding").first()["embedding"])
-    per_group = max(1, max_numbers // max(1, width))
-    n_blocks = -(-queries.count() // per_group)
-    n_parts = -(-vectors.count() // per_group) or 1
-
-    def spread(df, by, own, own_n, other, other_n):
-        mine = F.pmod(F.xxhash64(*by), F.lit(own_n)).alias(own)
-        return df.withColumn(own, mine).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)).cast("array<bigint>"))
-        )
-
-    left = spread(queries.select("query_id", "embedding"), ["query_id"], "block", n_blocks, "part", n_parts)
-    right = spread(vectors.select(*keys, "embedding"), keys, "part", n_parts, "block", n_blocks)
-    empty = pa.schema(_arrow_fields(schema))
-
-    def search(asked: pa.Table, stored: pa.Table) -> pa.Table:
-        if asked.num_rows == 0 or stored.num_rows == 0:
-            return empty.empty_table()
-        ids = asked.column("query_id").combine_chunks()
-        found = _nearest(ids, _matrix(asked.column("embedding")), stored, keys, k, metric)
-        return empty.empty_table() if found is None else found
-
-    grid = left.groupBy("part", "block").cogroup(right.groupBy("part", "block"))
-    return _top(grid.applyInArrow(search, schema), keys, k)
-
-
-def _arrow_fields(schema: T.StructType) -> list[tuple[str, pa.DataType]]:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return [(field.name, to_arrow_type(field.dataType)) for field in schema.fields]
+    read = vectors.select(*keys, "embedding")
+    blocks = ((table, read, None) for table in _query_blocks(queries, max_query_numbers))
+    return _search(blocks, vectors, keys, k, metric, _found_schema(queries, vectors, keys))
 
 
 # --- approximate search ---------------------------------------------------------
@@ -285,12 +303,7 @@ def _cell_numbers(margins: np.ndarray) -> np.ndarray:
     return (margins > 0) @ (1 << np.arange(margins.shape[1], dtype=np.int64))
 
 
-def _probe_order(bits: int) -> list[np.ndarray]:
-    """All subsets of bits to flip, small subsets first."""
-    return [np.array(flips, dtype=np.int64) for n in range(bits + 1) for flips in combinations(range(bits), n)]
-
-
-def assign_cells(vectors: DataFrame, bits: int = 6, seed: int = 7) -> DataFrame:
+def assign_cells(vectors: DataFrame, bits: int = DEFAULT_BITS, seed: int = 7) -> DataFrame:
     """Add ``cell``: which side of ``bits`` random hyperplanes a vector is on."""
 
     @F.arrow_udf("bigint")
@@ -309,52 +322,55 @@ def knn_lsh(
     k: int,
     metric: str = "l2",
     keys: list[str] | None = None,
-    bits: int = 6,
+    bits: int = DEFAULT_BITS,
     seed: int = 7,
     probes: int = 16,
     max_query_numbers: int = MAX_QUERY_NUMBERS,
 ) -> DataFrame:
     """Approximate ``knn``: each query looks into the ``probes`` most likely cells.
 
-    ``cells`` is the output of ``assign_cells``, best stored sorted by ``cell``
-    (``write_vectors``): pages of cells no query asks for are then skipped. A
-    cell that holds a large share of the vectors is spread over all files, so
-    no cell becomes one task's work. Query sets beyond the
-    broadcast bound are answered by the exact search.
+    ``cells`` is the output of ``assign_cells`` with the same ``bits``, best
+    stored sorted by ``cell`` (``write_vectors``): pages of cells no query asks
+    for are then skipped, and a query is multiplied with the rows of its own
+    cells only. A cell that holds a large share of the vectors is spread over
+    all files, so no cell becomes one task's work. The rows do not depend on
+    ``max_query_numbers``.
     """
     keys = keys or ["vec_id"]
-    table = _bounded_queries(queries, max_query_numbers)
-    if table is None:
-        return knn(queries, cells.drop("cell"), k, metric, keys, max_query_numbers)
-    matrix = _matrix(table.column("embedding"))
-    wanted = _probe_cells(matrix, bits, seed, probes)
-    shared = queries.sparkSession.sparkContext.broadcast(
-        (table.column("query_id").to_pylist(), matrix, wanted)
-    )
-    id_type = table.schema.field("query_id").type
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, asked, cells_of = shared.value
-        ids = pa.array(ids, id_type)
-        for batch in batches:
-            found = _nearest(ids, asked, pa.Table.from_batches([batch]), keys, k, metric, cells_of)
-            if found is not None:
-                yield from found.to_batches()
-
-    # At most 2**bits different cells, so the list is small.
-    read = cells.where(F.col("cell").isin([int(c) for c in np.unique(wanted)]))
-    schema = _found_schema(queries, cells, keys)
-    return _top(read.select(*keys, "embedding", "cell").mapInArrow(search, schema), keys, k)
+
+    def blocks():
+        for table in _query_blocks(queries, max_query_numbers):
+            wanted = _probe_cells(_matrix(table.column("embedding")), bits, seed, probes)
+            # At most as many cells as there are, and as a block's queries ask for.
+            listed = [int(c) for c in np.unique(wanted)]
+            inside = F.col("cell").isin(listed) if len(listed) < _MAX_LISTED_CELLS else F.lit(True)
+            yield table, cells.where(inside).select(*keys, "embedding", "cell"), wanted
+
+    return _search(blocks(), cells, keys, k, metric, _found_schema(queries, cells, keys))
 
 
 def _probe_cells(queries: np.ndarray, bits: int, seed: int, probes: int) -> np.ndarray:
-    """Per query the cells with the least total margin to cross."""
+    """Per query the cells with the least total margin to cross, nearest first.
+
+    Sets of bits to flip are made in order of their cost: from a set, the next
+    ones replace its dearest bit by the following one or add that to it.
+    """
     if len(queries) == 0:
         return np.zeros((0, 1), dtype=np.int64)
     margins = queries @ _hyperplanes(queries.shape[1], bits, seed)
     own = _cell_numbers(margins)
-    subsets = _probe_order(bits)
-    cost = np.stack([(margins[:, flips] ** 2).sum(axis=1) for flips in subsets], axis=1)
-    masks = np.array([int((1 << flips).sum()) for flips in subsets], dtype=np.int64)
-    nearest = np.argsort(cost, axis=1, kind="stable")[:, :probes]
-    return own[:, None] ^ masks[nearest]
+    wanted = min(probes, 1 << bits)
+    out = np.empty((len(queries), wanted), dtype=np.int64)
+    for i, row in enumerate(margins**2):
+        by_cost = np.argsort(row, kind="stable").tolist()
+        cost = [float(row[b]) for b in by_cost]
+        out[i, 0] = own[i]
+        heap = [(cost[0], 0, 1 << by_cost[0])] if bits else []
+        for place in range(1, wanted):
+            total, last, mask = heappop(heap)
+            out[i, place] = own[i] ^ mask
+            if last + 1 < bits:
+                step, bit = cost[last + 1], 1 << by_cost[last + 1]
+                heappush(heap, (total + step, last + 1, mask | bit))
+                heappush(heap, (total - cost[last] + step, last + 1, mask ^ (1 << by_cost[last]) | bit))
+    return out

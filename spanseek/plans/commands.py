@@ -1,8 +1,10 @@
 """The commands of the library, composed from the operators.
 
 Each command reads and writes tables; nothing is carried in memory from one to
-the next. A store is a folder with ``chunks``, ``index``, ``vectors`` and
-``state``.
+the next. A store is a folder of versions, each with ``chunks``, ``index`` and
+``vectors``, a table that names the complete ones, and the ``state`` of the
+last build. Versions that are no longer current stay for their readers until
+``stores.remove_old_versions``.
 """
 
 from __future__ import annotations
@@ -60,27 +62,32 @@ def build_store(
     buckets: int | None = None,
     embed_factory: vectors.EmbedFactory | None = None,
 ) -> Store | None:
-    """Write chunks, index and vectors below ``path``; ``None`` for no chunks.
+    """Write a new version of chunks, index and vectors below ``path``; ``None`` for no chunks.
 
     The chunk store is written first and read by the other two, so the tree is
     read and cut once. Chunking and embedding are map-only; the index shuffles
-    once.
+    once. The version counts once all three are complete: an empty or failing
+    build leaves the store as it was.
     """
-    stored = stores.write_chunks(chunks, f"{path}/chunks")
+    version = stores.new_version()
+    place = f"{path}/{version}"
+    stored = stores.write_chunks(chunks, f"{place}/chunks")
     if stored.isEmpty():
         return None
-    index = lexical.write_index(stored, f"{path}/index", buckets)
+    index = lexical.write_index(stored, f"{place}/index", buckets)
     embedded = vectors.embed_text(stored, "content", embed_factory).select(*SPAN, "embedding")
-    found = stores.write_vectors(vectors.assign_cells(embedded), f"{path}/vectors")
+    found = stores.write_vectors(vectors.assign_cells(embedded), f"{place}/vectors")
+    stores.publish(chunks.sparkSession, path, version)
     return Store(stored, index, found)
 
 
 def open_store(spark: SparkSession, path: str) -> Store:
-    """Open a store; a missing one is an error."""
+    """Open the newest complete version of a store; a missing one is an error."""
+    place = f"{path}/{stores.current_version(spark, path)}"
     return Store(
-        stores.read_chunks(spark, f"{path}/chunks"),
-        lexical.load_index(spark, f"{path}/index"),
-        stores.read_vectors(spark, f"{path}/vectors"),
+        stores.read_chunks(spark, f"{place}/chunks"),
+        lexical.load_index(spark, f"{place}/index"),
+        stores.read_vectors(spark, f"{place}/vectors"),
     )
 
 
@@ -185,13 +192,29 @@ def answer(
     k: int = DEFAULT_K,
     docs: DataFrame | None = None,
     embed_factory: vectors.EmbedFactory | None = None,
+    probes: int | None = None,
 ) -> DataFrame:
     """One question: retrieve, then answer; a result of one row."""
-    ranked = search(spark, store, question, k, embed_factory).withColumn("query_id", F.lit(0))
+    ranked = search(spark, store, question, k, embed_factory, probes).withColumn("query_id", F.lit(0))
     results = hybrid.pack_results(_one_question(spark, question), ranked)
     return answer_dataset(stage(results, "results"), generator_factory, docs)
 
 
+def scan_tree(spark: SparkSession, root: str, include_hidden: bool = False) -> DataFrame:
+    """Report of the kinds of files below ``root``, hidden ones only if asked for."""
+    return report_files(filetree.list_tree(spark, root), include_hidden)
+
+
+def report_files(files: DataFrame, include_hidden: bool = False) -> DataFrame:
+    """``scan_tree`` for listed files."""
+    return catalog.extension_report(files if include_hidden else catalog.drop_hidden(files))
+
+
+def find_files(spark: SparkSession, root: str, extension: str, include_hidden: bool = False) -> DataFrame:
+    """Files below ``root`` of one kind, sorted by path."""
+    return catalog.find_by_extension(filetree.list_tree(spark, root), extension, include_hidden)
+
+
 def evaluate(results: DataFrame, truth_items: DataFrame) -> DataFrame:
     """Report ``(k, n_questions, recall)`` for read results and ground truth."""
     return evaluation.evaluation_report(results, truth_items, evaluation.truth_tables(truth_items))

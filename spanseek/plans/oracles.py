@@ -23,6 +23,7 @@ from ..constants import (
     STOP_WORDS,
     VECTOR_SCORE,
 )
+from ..functions.numbers import SPLIT
 from .tables import CATALOGUE_PATH, EXT_OF_DOC, MIXED_TEXT, structured
 
 
@@ -103,6 +104,8 @@ _PARTS = {
     "kinds": f"SELECT path, mtime, {_suffix('path')} AS suffix FROM catalogue",
     "counts": """SELECT CASE WHEN suffix = '' THEN 'no_ext' ELSE lower(suffix) END AS ext,
         count(*) AS n_files FROM kinds GROUP BY 1""",
+    "shown_counts": r"""SELECT CASE WHEN suffix = '' THEN 'no_ext' ELSE lower(suffix) END AS ext,
+        count(*) AS n_files FROM kinds WHERE NOT regexp_matches(path, '(^|/)\.') GROUP BY 1""",
     "tokens": f"""SELECT file_path, a, b, unnest({_TOKENS % 'content'}) AS term,
         generate_subscripts({_TOKENS % 'content'}, 1) - 1 AS position FROM chunks""",
     "words": f"SELECT file_path, a, b, term FROM tokens WHERE term NOT IN ({_in(STOP_WORDS)})",
@@ -157,7 +160,7 @@ _PARTS = {
             string_agg(file_path || ':' || a || '-' || b, '|' ORDER BY rank) AS spans FROM %s GROUP BY 1) USING (item_id)""",
     "quotes": """SELECT item_id, file_path, strpos(d.text, q.text) - 1 AS a,
             strpos(d.text, q.text) - 1 + length(q.text) AS b FROM docs d, benchmark q
-        WHERE contains(d.text, q.text) AND len(string_split_regex(trim(q.text), '\\s+')) >= 6""",
+        WHERE contains(d.text, q.text)""",
     "quote_spans": "SELECT item_id, file_path, a, b, count(*) AS copies FROM quotes GROUP BY ALL",
     "truth_items": """SELECT item_id, coalesce(n, 0) AS n_truth FROM benchmark
         LEFT JOIN (SELECT item_id, count(*) AS n FROM quotes GROUP BY 1) USING (item_id)""",
@@ -224,6 +227,23 @@ _PARTS["packed_hybrid"] = _PARTS.pop("packed") % "hybrid"
 _REUSED = {"chunks", "tokens", "tf", "lengths", "postings", "hits", "quotes", "near", "hybrid", "chunk_vectors"}
 
 
+def _two_decimals(value: str) -> str:
+    """As printed: by the exact value, exact halves go to the even digit."""
+    value = f"({value})"
+    low = f"floor({value} * 100)"
+    rest = f"({value} * 100 - {low})"
+    high = f"({value} * {SPLIT}::DOUBLE - ({value} * {SPLIT}::DOUBLE - {value}))"
+    lost = f"(({high} * 100 - {value} * 100) + ({value} - {high}) * 100)"
+    half = f"{lost} > 0 OR ({lost} = 0 AND CAST({low} AS BIGINT) % 2 = 1)"
+    return f"CAST({low} + CASE WHEN {rest} > 0.5 OR ({rest} = 0.5 AND ({half})) THEN 1 ELSE 0 END AS DOUBLE) / 100"
+
+
+def _report(counts: str) -> str:
+    share = _two_decimals(f"CAST(100.0 AS DOUBLE) * n_files / (SELECT sum(n_files) FROM {counts})")
+    return f"""SELECT ext, CAST(n_files AS BIGINT) AS n_files, {share} AS percentage
+        FROM (SELECT ext, n_files FROM {counts} UNION ALL SELECT 'total', sum(n_files) FROM {counts})"""
+
+
 def _sql(statement: str) -> str:
     needed: list[str] = []
 
@@ -257,10 +277,8 @@ def oracle_sql() -> dict[str, str]:
         + " AS suffix FROM pages",
         "hidden_filter": _sql(r"SELECT path FROM catalogue WHERE NOT regexp_matches(path, '(^|/)\.')"),
         "extension_counts": _sql("SELECT ext, n_files FROM counts"),
-        "extension_report": _sql(
-            """SELECT ext, CAST(n_files AS BIGINT) AS n_files, round(100.0 * n_files / (SELECT sum(n_files) FROM counts), 2) AS percentage
-            FROM (SELECT ext, n_files FROM counts UNION ALL SELECT 'total', sum(n_files) FROM counts)"""
-        ),
+        "extension_report": _sql(_report("counts")),
+        "scan_report": _sql(_report("shown_counts")),
         "extension_list": _sql("SELECT DISTINCT lower(suffix) AS ext FROM kinds"),
         "find_by_extension": _sql("SELECT path FROM kinds WHERE lower(suffix) = '.md'"),
         "find_without_extension": _sql(r"SELECT path FROM kinds WHERE suffix = '' AND NOT regexp_matches(path, '(^|/)\.')"),
@@ -320,8 +338,10 @@ def oracle_sql() -> dict[str, str]:
         "pack_results": _sql("SELECT pos, question_id, question_str, spans FROM packed_hits"),
         "results_roundtrip": _sql("SELECT pos, question_id, question_str, spans, CAST(10 AS BIGINT) AS k FROM packed_hits"),
         "normalize_paths": _sql(
-            """SELECT item_id AS pos, string_agg(CASE WHEN starts_with(file_path, 'src1') THEN file_path
-                ELSE 'src1' || file_path END || ':' || a || '-' || b, '|' ORDER BY rank) AS spans FROM hits GROUP BY 1"""
+            """SELECT item_id AS pos, coalesce(spans, '') AS spans FROM benchmark LEFT JOIN (
+                SELECT item_id, string_agg(CASE WHEN starts_with(file_path, 'src1') THEN file_path
+                ELSE 'src1' || file_path END || ':' || a || '-' || b, '|' ORDER BY rank) AS spans FROM hits GROUP BY 1)
+                USING (item_id)"""
         ),
         # context, prompt, answers
         "fetch_spans": _sql(f"SELECT item_id AS query_id, rank, {_SPAN}, content FROM fetched"),
@@ -374,6 +394,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "recall_at_k": _sql("SELECT CAST(k AS BIGINT) AS k, round(recall, 6) AS recall FROM means"),
         "evaluate_report": _sql(
-            "SELECT CAST(k AS BIGINT) AS k, (SELECT count(*) FROM benchmark) AS n_questions, round(recall, 2) AS recall FROM means"
+            "SELECT CAST(k AS BIGINT) AS k, (SELECT count(*) FROM benchmark) AS n_questions, "
+            f"{_two_decimals('recall')} AS recall FROM means"
         ),
     }

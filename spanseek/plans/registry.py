@@ -110,6 +110,11 @@ def extension_report(spark, sf_dir):
     return catalog.extension_report(tables.catalogue(spark, sf_dir))
 
 
+@_query
+def scan_report(spark, sf_dir):
+    return commands.report_files(tables.catalogue(spark, sf_dir))
+
+
 @_query
 def extension_list(spark, sf_dir):
     return catalog.extension_list(tables.catalogue(spark, sf_dir))
@@ -330,7 +335,7 @@ def results_roundtrip(spark, sf_dir):
 def normalize_paths(spark, sf_dir):
     found = _lexical_results(spark, sf_dir).select("pos", "retrieved_sources")
     # Some paths start with this prefix and others do not.
-    return _as_text(exchange.normalize_paths(found.where(F.size("retrieved_sources") > 0), "src1"))
+    return _as_text(exchange.normalize_paths(found, "src1"))
 
 
 # --- context, prompt, answers ---------------------------------------------------------------

@@ -15,7 +15,8 @@ from ..operators.evaluation import Truth, count_copies
 from ..schemas import SPAN
 from ..staging import spread_if_narrow, stage
 
-_PASSAGE_WORDS = 6  # a passage of a truth has at least this many words
+# Items without an inner word are looked for in blocks of so many.
+_SHORT_BLOCK = 500
 _WORDS = r"[\s]+"
 
 
@@ -98,11 +99,12 @@ def passages(documents: DataFrame, asked: DataFrame) -> DataFrame:
     A quoted passage brings its inner words along whole, so its longest inner
     word is an anchor that must occur in the document. Anchors meet the
     distinct words of documents in an equality join, and only those pairs are
-    verified character by character.
+    verified character by character. The few items of one or two words have no
+    inner word; they are looked for in every text, a block of items at a time.
     """
     words = F.split(F.trim("question"), _WORDS)
-    inner = asked.select("question_id", words.alias("words")).where(F.size("words") >= _PASSAGE_WORDS)
-    inner = inner.select("question_id", F.slice("words", 2, F.size("words") - 2).alias("inner"))
+    split = asked.select("question_id", "question", words.alias("words"))
+    inner = split.where(F.size("words") > 2).select("question_id", F.slice("words", 2, F.size("words") - 2).alias("inner"))
     longest = F.array_max(F.transform("inner", lambda w: F.struct(F.length(w).alias("n"), w.alias("word"))))
     anchors = inner.select("question_id", longest["word"].alias("word"))
 
@@ -112,11 +114,26 @@ def passages(documents: DataFrame, asked: DataFrame) -> DataFrame:
     checked = documents.select("file_path", "text").join(pairs, "file_path").join(asked, "question_id")
     at = F.position(F.col("question"), F.col("text"))
     found = checked.select("question_id", "file_path", at.alias("at"), F.length("question").alias("n"))
-    return found.where("at > 0").selectExpr(
+    return found.unionByName(_short_passages(documents, split)).where("at > 0").selectExpr(
         "question_id", "file_path", f"at - 1 AS {SPAN[1]}", f"at - 1 + n AS {SPAN[2]}"
     )
 
 
+def _short_passages(documents: DataFrame, split: DataFrame) -> DataFrame:
+    """``(question_id, file_path, at, n)`` for items of at most two words, map-side."""
+    short = split.where(F.size("words") <= 2)
+    blocks = -(-short.count() // _SHORT_BLOCK)
+    out = documents.select(F.lit("").alias("question_id"), "file_path", F.lit(0).alias("at"), F.lit(0).alias("n")).where("false")
+    for block in range(blocks):
+        own = short.where(F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == block).select("question_id", "question").collect()
+        items = [F.struct(F.lit(r[0]).alias("question_id"), F.lit(r[1]).alias("question")) for r in own]
+        if items:
+            each = documents.select("file_path", "text", F.explode(F.array(*items)).alias("item"))
+            at = F.position(F.col("item.question"), F.col("text"))
+            out = out.unionByName(each.select("item.question_id", "file_path", at.alias("at"), F.length("item.question").alias("n")))
+    return out
+
+
 def truth(spark: SparkSession, sf_dir: str) -> Truth:
     """Truth of all benchmark items; items quoted nowhere have no spans.
 

@@ -2,13 +2,43 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..constants import MTIME_TOLERANCE
 from ..schemas import chunk, ingest_state
 
 
+_VERSIONS = "versions"
+
+
+def new_version() -> str:
+    """A name for a version that sorts by time and is used once."""
+    return f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def publish(spark: SparkSession, path: str, version: str) -> None:
+    """Make a complete version current: one appended row, which is there whole or not at all."""
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("append").parquet(f"{path}/{_VERSIONS}")
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """The version published last; without any, an error (``AnalysisException``)."""
+    return spark.read.schema("version string").parquet(f"{path}/{_VERSIONS}").agg(F.max("version")).first()[0]
+
+
+def remove_old_versions(spark: SparkSession, path: str) -> None:
+    """Delete the files of the published versions before the current one; a build that is under way is left alone."""
+    current = current_version(spark, path)
+    for row in spark.read.schema("version string").parquet(f"{path}/{_VERSIONS}").where(F.col("version") < current).collect():
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{row['version']}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def write_chunks(chunks: DataFrame, path: str) -> DataFrame:
     """Replace the chunk store at ``path`` and return a reader of it."""
     chunks.write.mode("overwrite").parquet(path)

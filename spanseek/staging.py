@@ -14,8 +14,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side with at most this many (narrow) rows may be broadcast.
+# A side with at most so many rows, and bytes of text in them, may be broadcast.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 # Size estimates from here on mean that Catalyst knows nothing.
 _UNKNOWN_BYTES = 1 << 58
 
@@ -27,7 +28,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        if not context.master.startswith("local"):
+        # "local-cluster" has executors with folders of their own.
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spanseek-"))
     return context.getCheckpointDir()
@@ -46,12 +48,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, by counting no further than that.
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows with ``max_bytes`` of text, by counting no further than that.
 
     ``df`` should be stored or staged, so that its lineage does not run twice.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    texts = [F.octet_length(f.name) for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    size = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(0)).cast("bigint")
+    rows, held = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows <= max_rows and held <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark import cloudpickle
 from spanseek.constants import GENERATION_OPTIONS
 from spanseek.operators import answers
 from spanseek.plans import commands
-from spanseek.sources import exchange
+from spanseek.sources import exchange, stores
 
 # The generator below travels with the job; workers cannot import test modules.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -68,6 +68,39 @@ def test_nothing_to_ingest(spark, tmp_path):
     assert not (store / "state").exists()
 
 
+def test_empty_or_failing_rebuild_leaves_the_store(spark, tmp_path):
+    tree, place = tmp_path / "tree", str(tmp_path / "store")
+    tree.mkdir()
+    (tree / "a.py").write_text("paged attention block\n" * 30)
+    assert commands.index_tree(spark, str(tree), place, 300) == "built"
+    before = commands.search(spark, commands.open_store(spark, place), "paged attention").collect()
+    (tree / "b.py").write_text("more text\n" * 30)
+
+    def broken():
+        raise RuntimeError("no model")
+
+    with pytest.raises(Exception, match="no model"):
+        commands.index_tree(spark, str(tree), place, 300, embed_factory=broken)
+    assert commands.search(spark, commands.open_store(spark, place), "paged attention").collect() == before
+    (tree / "a.py").unlink()
+    (tree / "b.py").unlink()
+    assert commands.index_tree(spark, str(tree), place, 300) == "empty"
+    assert commands.search(spark, commands.open_store(spark, place), "paged attention").collect() == before
+    (tree / "c.py").write_text("something else\n" * 30)
+    assert commands.index_tree(spark, str(tree), place, 300) == "built"
+    stores.remove_old_versions(spark, place)
+    found = commands.search(spark, commands.open_store(spark, place), "something").collect()
+    assert {r.file_path for r in found} == {f"{tree}/c.py"}
+    assert len([p for p in (tmp_path / "store").iterdir() if p.name.startswith("v0")]) <= 3
+
+
+def test_scan_commands(spark, tree):
+    report = commands.scan_tree(spark, tree).collect()
+    assert [tuple(r)[:2] for r in report] == [(".py", 2), (".md", 1), (".txt", 1), ("no_ext", 1), ("total", 5)]
+    found = commands.find_files(spark, tree, "PY").collect()
+    assert [r.path.rsplit("/", 1)[-1] for r in found] == ["__init__.py", "cache.py"]
+
+
 def test_search(spark, store, tree):
     found = commands.search(spark, store, "What does the paged-attention kernel read?", 3).orderBy("rank").collect()
     assert [r["rank"] for r in found] == [1, 2, 3]

@@ -113,6 +113,25 @@ def test_index_roundtrip_and_overwrite(spark, chunks, asked, index, tmp_path, ro
         lexical.load_index(spark, str(tmp_path / "missing"))
 
 
+def test_blocks_of_queries_give_the_same_rows(asked, index, rows):
+    whole = rows(lexical.bm25_topk(asked, index, 5))
+    blocks = lexical.bm25_topk(asked, index, 5, max_block_rows=2)
+    assert rows(blocks) == whole
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    # Only ranked rows are shuffled, by query; postings stay in their buckets.
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(query_id") > 1
+    assert rows(lexical.bm25_scores(asked, index, 2)) == rows(lexical.bm25_scores(asked, index))
+
+
+def test_opening_adds_no_tables(spark, chunks, tmp_path):
+    path = str(tmp_path / "it's an index")
+    lexical.write_index(chunks, path, 2)
+    before = len(spark.catalog.listTables())
+    for _ in range(3):
+        assert lexical.load_index(spark, path).postings.count() > 0
+    assert len(spark.catalog.listTables()) == before
+
+
 def test_scoring_needs_no_shuffle_by_chunk(asked, index):
     plan = lexical.bm25_topk(asked, index, 5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(query_id") == 1
@@ -154,7 +173,7 @@ def brute_nearest(data, targets, k, metric):
 
 
 @pytest.mark.parametrize("metric", ["l2", "cosine"])
-@pytest.mark.parametrize("bound", [10**6, 8])  # broadcast, grid
+@pytest.mark.parametrize("bound", [10**6, 8])  # one block, a block per query
 def test_knn_is_exact(points, targets, metric, bound):
     found = vectors.knn(targets[1], points[1], 20, metric, max_query_numbers=bound)
     got = [tuple(r) for r in found.orderBy("query_id", "rank").collect()]
@@ -177,8 +196,43 @@ def test_lsh_recall(spark, points, targets, tmp_path):
     some = {(r.query_id, r.vec_id) for r in vectors.knn_lsh(targets[1], stored, 10, probes=16).collect()}
     assert every == exact
     assert len(some & exact) / len(exact) >= 0.8
-    beyond = vectors.knn_lsh(targets[1], stored, 10, max_query_numbers=8)
-    assert {(r.query_id, r.vec_id) for r in beyond.collect()} == exact
+
+
+@pytest.mark.parametrize("probes", [1, 4, 64])
+def test_rows_do_not_depend_on_blocks(spark, points, targets, rows, probes):
+    cells = vectors.assign_cells(points[1])
+    one = rows(vectors.knn_lsh(targets[1], cells, 10, probes=probes))
+    assert one and rows(vectors.knn_lsh(targets[1], cells, 10, probes=probes, max_query_numbers=8)) == one
+
+
+def test_probed_cells_are_the_cheapest():
+    rng = np.random.default_rng(3)
+    queries = rng.standard_normal((5, 12))
+    found = vectors._probe_cells(queries, 5, 7, 9)
+    margins = queries @ vectors._hyperplanes(12, 5, 7)
+    for i, row in enumerate(margins):
+        own = int(vectors._cell_numbers(margins[i : i + 1])[0])
+        cost = sorted((sum(row[b] ** 2 for b in range(5) if mask >> b & 1), own ^ mask) for mask in range(32))
+        assert found[i].tolist() == [cell for _, cell in cost[:9]]
+    assert vectors._probe_cells(queries, 40, 7, 16).shape == (5, 16)
+
+
+def test_a_task_gives_out_k_rows_per_query(spark, targets):
+    rng = np.random.default_rng(4)
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(rng.standard_normal((4000, 8)))]
+    many = spark.createDataFrame(data, "vec_id long, embedding array<float>").coalesce(2)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        best = vectors.knn(targets[1], many, 5)
+        assert [r.vec_id for r in best.where("query_id = 0").orderBy("rank").collect()] == [
+            i for _, i, _, _ in brute_nearest(np.array([v for _, v in data]), targets[0][:1], 5, "l2")
+        ]
+        plan = best._jdf.queryExecution().executedPlan()
+        counted = str(plan.toString())
+        assert counted.count("MapInArrow") == 1
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
 
 
 def test_hash_embedding(spark):

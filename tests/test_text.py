@@ -10,6 +10,7 @@ from spanseek.functions import (
     path_suffix,
     query_terms,
     strip,
+    two_decimals,
     url_suffix,
 )
 
@@ -77,3 +78,9 @@ def test_clean_answer(apply):
     raw = ["Answer: yes\nmore", "ok", "???", "  Answer:  two Answer: words \n", "\n\n a line\nb", "Answer:", ""]
     refusal = "I don't know"
     assert apply(clean_answer, raw) == ["yes", refusal, refusal, "two  words", "a line", refusal, refusal]
+
+
+def test_two_decimals_are_rounded_as_printed(spark):
+    values = [0.125, 3.125, 0.375, 2.675, 14.3, 100.0, 0.0, 0.005, 0.015, 66.66666666666667, 1 / 3]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in frame.select(two_decimals(frame.v)).collect()] == [float(f"{v:.2f}") for v in values]
