@@ -23,8 +23,7 @@ LEAST_CERTAIN = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language is unknown (null text, no letter) or uncertain."""
     model = language.train(docs, F.col("doc_id").isNotNull() & ~held_out("doc_id", 4, 2))
-    named = docs.select(*docs.columns, F.col("text").alias("__read"))
-    found = language.predict(named, model, "__read", into=("__lang", "__score"))
+    found = language.predict(docs, model, into=("__lang", "__score"))
     sure = (F.col("__lang") != language.UNKNOWN) & (F.col("__score") >= LEAST_CERTAIN)
     return found.where(sure).select(*docs.columns)
 

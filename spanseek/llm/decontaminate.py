@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .rows import append, ship
+from .rows import append, bound_batches, ship
 
 SHARE = 0.2
 RECALL = 0.9
@@ -311,6 +311,7 @@ def find(
             *(T.StructField(name, integer) for name in ("distance", "start", "end")),
         ]
     )
+    bound_batches(docs.sparkSession)
     source = docs.select(key, F.col(text).alias("__text"))
     item_type = pa.int64() if isinstance(schema[1].dataType, T.LongType) else None
     out = None

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 # Texts turned into Python strings at a time.
 SLICE = 256
+# Rows per Arrow batch.
+BATCH_ROWS = 1024
 
 TextsFunction = Callable[[list], list]
 
@@ -23,6 +25,17 @@ def ship(spark: SparkSession, value: object) -> Callable[[], object]:
     return lambda: pickle.loads(shared.value)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the rows per Arrow batch to ``BATCH_ROWS``, unless the session sets a number of its own.
+
+    Spark's default of 10,000 suits narrow rows; with texts a batch is many
+    megabytes, several times over in each task.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def append(
     df: DataFrame,
     text: str,
@@ -37,18 +50,21 @@ def append(
     (default: all) are passed through; one that has the name of a new field is
     replaced by it. Nothing is shuffled and memory is bounded by a batch.
     """
+    bound_batches(df.sparkSession)
     new = {field.name.lower() for field in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
-    source = df.select(*kept, df[text].alias("__text"))
-    schema = T.StructType([*source.drop("__text").schema.fields, *fields])
     n = len(kept)
+    # A text that is passed through travels once.
+    at_text = kept.index(text) if text in kept else n
+    source = df.select(*kept) if at_text < n else df.select(*kept, df[text].alias("__text"))
+    schema = T.StructType([*source.schema.fields[:n], *fields])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = factory()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
-                made = run(part.column(n).to_pylist())
+                made = run(part.column(at_text).to_pylist())
                 arrays = [pa.array(values, ARROW[field.dataType.simpleString()]) for values, field in zip(made, fields)]
                 columns = [*part.columns[:n], *arrays]
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[:n], *(f.name for f in fields)])

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..staging import stage
-from .rows import SLICE, WordHasher, _powers, mix
+from .rows import SLICE, WordHasher, _powers, bound_batches, mix
 
 WINDOW = 35
 GRAM = 5
@@ -332,6 +332,7 @@ def remove_repeats(
     docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, gram: int = GRAM, hot: int = HOT
 ) -> DataFrame:
     """``(key, n_words, n_removed, kept)`` per row; ``kept`` holds the words left, joined by one space."""
+    bound_batches(docs.sparkSession)
     keyed = _keyed(docs, key, text)
     marked = keyed.join(repeated_ranges(keyed, window, gram, hot), ["k1", "k2"], "left")
 

@@ -80,6 +80,7 @@ def count_trigrams(docs: DataFrame, text: str) -> np.ndarray:
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"triple": pa.array(found), "n": pa.array(total[found])})
 
+    rows.bound_batches(docs.sparkSession)
     counts = docs.select(text).mapInArrow(work, "triple bigint, n bigint")
     out = np.zeros(size, np.float64)
     for triple, n in counts.groupBy("triple").agg(F.sum("n")).collect():
