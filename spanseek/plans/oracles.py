@@ -337,6 +337,24 @@ def oracle_sql() -> dict[str, str]:
         "search_dataset": _sql("SELECT pos, question_id, question_str, spans FROM packed_hybrid"),
         "pack_results": _sql("SELECT pos, question_id, question_str, spans FROM packed_hits"),
         "results_roundtrip": _sql("SELECT pos, question_id, question_str, spans, CAST(10 AS BIGINT) AS k FROM packed_hits"),
+        "results_object_roundtrip": _sql("SELECT question_id, question_str, spans, CAST(10 AS BIGINT) AS k FROM packed_hits"),
+        "questions_roundtrip": _sql(
+            """SELECT CASE WHEN item_id % 2 = 0 THEN CAST(item_id AS VARCHAR) ELSE sha256(text) END AS question_id,
+                text AS question, CAST(NULL AS VARCHAR) AS difficulty, true AS is_valid FROM benchmark"""
+        ),
+        "truth_roundtrip": _sql(
+            """SELECT CAST(doc_id AS VARCHAR) AS question_id, 'question ' || doc_id AS question,
+                CASE WHEN doc_id % 3 > 0 THEN 'yes' END AS answer,
+                CASE WHEN doc_id % 3 > 0 THEN file_path END AS file_path,
+                CASE WHEN doc_id % 3 > 0 THEN CAST(0 AS BIGINT) END AS first_character_index,
+                CASE WHEN doc_id % 3 > 0 THEN length(text) END AS last_character_index FROM docs"""
+        ),
+        "tree_roundtrip": _sql("SELECT file_path, ext, text FROM docs WHERE length(text) > 0"),
+        "freshness": _sql(
+            """SELECT state, fresh, (SELECT max(mtime) FROM kinds WHERE suffix IN ('.py', '.MD')) AS newest
+            FROM (VALUES ('none', false), ('same', true), ('hardly newer', true), ('newer', false),
+                ('other size', false), ('other kinds', false)) AS v(state, fresh)"""
+        ),
         "normalize_paths": _sql(
             """SELECT item_id AS pos, coalesce(spans, '') AS spans FROM benchmark LEFT JOIN (
                 SELECT item_id, string_agg(CASE WHEN starts_with(file_path, 'src1') THEN file_path

@@ -17,7 +17,7 @@ from ..constants import ALLOWED_EXTENSIONS, DEFAULT_EXTENSIONS, DEFAULT_K
 from ..functions import after_last, clean_answer, path_suffix, query_terms, url_suffix
 from ..operators import answers, catalog, chunking, evaluation, hybrid, lexical, vectors
 from ..schemas import SPAN
-from ..sources import exchange, stores
+from ..sources import exchange, filetree, stores
 from ..staging import new_folder, stage
 from . import commands, tables
 
@@ -115,6 +115,34 @@ def scan_report(spark, sf_dir):
     return commands.report_files(tables.catalogue(spark, sf_dir))
 
 
+@_query
+def freshness(spark, sf_dir):
+    files = tables.catalogue(spark, sf_dir)
+    kinds = [".py", ".MD"]
+    newest = catalog.tree_status(files.withColumn("ext", path_suffix(F.col("path"))), kinds).first()["newest_mtime"]
+    place = new_folder(spark, "state")
+    cases = {
+        "same": (1000, kinds[::-1], newest),
+        "hardly newer": (1000, kinds, newest + 0.0005),
+        "newer": (1000, kinds, newest + 1),
+        "other size": (999, kinds, newest),
+        "other kinds": (1000, [".py"], newest),
+    }
+    before = stores.index_is_fresh(spark, place, 1000, kinds, sf_dir, newest)
+    stores.write_state(spark, place, 1000, kinds, sf_dir, newest)
+    found = [("none", before)]
+    found += [(name, stores.index_is_fresh(spark, place, size, own, sf_dir, at)) for name, (size, own, at) in cases.items()]
+    return spark.createDataFrame([(name, fresh, newest) for name, fresh in found], "state string, fresh boolean, newest double")
+
+
+@_query
+def tree_roundtrip(spark, sf_dir):
+    root = new_folder(spark, "tree")
+    tables.write_files(tables.files(spark, sf_dir), root)
+    found = chunking.decode_text(filetree.read_tree(spark, root))
+    return found.select(F.substring("file_path", len(root) + 2, 1_000_000).alias("file_path"), "ext", "text")
+
+
 @_query
 def extension_list(spark, sf_dir):
     return catalog.extension_list(tables.catalogue(spark, sf_dir))
@@ -331,6 +359,41 @@ def results_roundtrip(spark, sf_dir):
     return _as_text(exchange.read_result_lines(spark, target))
 
 
+@_query
+def results_object_roundtrip(spark, sf_dir):
+    found = _lexical_results(spark, sf_dir)
+    target = exchange.write_results(found, new_folder(spark, "export"), "questions.json", DEFAULT_K, layout="object")
+    return _as_text(exchange.read_results(spark, target)).drop("pos")
+
+
+@_query
+def questions_roundtrip(spark, sf_dir):
+    target = new_folder(spark, "questions")
+    asked = tables.questions(spark, sf_dir)
+    # Every other question goes without an id.
+    named = F.when(F.col("pos") % 2 == 0, F.col("question_id")).alias("question_id")
+    asked.select(named, "question").write.json(target)
+    return exchange.read_question_lines(spark, target).drop("pos")
+
+
+@_query
+def truth_roundtrip(spark, sf_dir):
+    target = new_folder(spark, "truth")
+    docs = tables.docs(spark, sf_dir)
+    span = F.struct(
+        "file_path",
+        F.lit("0").alias(SPAN[1]),
+        F.length("text").cast("double").alias(SPAN[2]),
+    )
+    answer = F.when(F.col("doc_id") % 3 > 0, F.lit("yes")).alias("answer")
+    question = F.concat(F.lit("question "), F.col("doc_id").cast("string")).alias("question")
+    docs.select(F.col("doc_id").cast("string").alias("question_id"), question, F.array(span).alias("sources"), answer).write.json(target)
+    read = exchange.read_ground_truth_lines(spark, target)
+    return read.select("question_id", "question", "answer", F.explode_outer("sources").alias("s")).select(
+        "question_id", "question", "answer", "s.*"
+    )
+
+
 @_query
 def normalize_paths(spark, sf_dir):
     found = _lexical_results(spark, sf_dir).select("pos", "retrieved_sources")

@@ -7,6 +7,8 @@ they leave none out.
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +76,21 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_files(named: DataFrame, root: str) -> None:
+    """Write ``(path, content)`` as files below ``root``, a place all executors share, from the tasks."""
+
+    def work(batches):
+        for batch in batches:
+            system, base = pafs.FileSystem.from_uri(root)
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                system.create_dir(f"{base}/{path}".rsplit("/", 1)[0], recursive=True)
+                with system.open_output_stream(f"{base}/{path}", compression=None) as out:
+                    out.write(content)
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    named.select("path", "content").mapInArrow(work, "n bigint").agg(F.sum("n")).collect()
+
+
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(path, rel_path, mtime)``: one file name per document, of seven shapes."""
     rows = table(spark, sf_dir, "documents")

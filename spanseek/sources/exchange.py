@@ -1,8 +1,11 @@
 """JSON exchange files: questions, ground truth, search results, answers.
 
-Each is one JSON document, so one file is one task; a directory of result
-lines, as ``write_results`` makes it, is read in parallel. Schemas are given,
-never inferred. Broken JSON and items without a required field fail the load.
+A single JSON document is one task. Forms that are read in parallel: a directory
+of lines, one item each (``read_question_lines``, ``read_ground_truth_lines``,
+``read_result_lines``), and the directory that ``write_results`` makes of one
+object, whose parts hold an item per line. Schemas are given, never inferred.
+Broken JSON and items without a required field fail the load. Character indexes
+may be written as any integral number or numeral (``5``, ``5.0``, ``"5"``).
 """
 
 from __future__ import annotations
@@ -15,7 +18,18 @@ from ..functions import strip
 from ..schemas import question_item, result_item, span_type, truth_item
 
 _STRICT = {"mode": "FAILFAST"}
-_LINE = T.StructType([T.StructField("pos", T.LongType()), *result_item.fields, T.StructField("k", T.IntegerType())])
+# Spans as they are read: indexes are texts until they are known to be integral.
+_RAW_SPANS = T.ArrayType(T.StructType([T.StructField(name, T.StringType()) for name in span_type.fieldNames()]))
+
+
+def _raw(item: T.StructType) -> T.StructType:
+    spans = T.ArrayType(span_type)
+    return T.StructType([T.StructField(f.name, _RAW_SPANS if f.dataType == spans else f.dataType) for f in item.fields])
+
+
+_LINE = T.StructType([T.StructField("pos", T.LongType()), *_raw(result_item).fields, T.StructField("k", T.IntegerType())])
+_OBJECT_HEAD = '{"search_results": ['
+_OBJECT_TAIL = r'^\], "k": (-?[0-9]+)\}$'
 
 
 def _document(spark: SparkSession, path: str) -> DataFrame:
@@ -27,6 +41,19 @@ def _required(column: Column, name: str) -> Column:
     return F.when(column.isNull(), F.raise_error(F.lit(f"missing or bad field: {name}"))).otherwise(column)
 
 
+def _integral(text: Column) -> Column:
+    """An int from any way to write an integral number, else null."""
+    number = F.trim(text).try_cast("double")
+    return F.when((number == F.floor(number)) & (F.abs(number) < 2**31), number.cast("int"))
+
+
+def _spans(raw: Column) -> Column:
+    path, first, last = span_type.fieldNames()
+    return F.transform(
+        raw, lambda s: F.struct(s[path].alias(path), _integral(s[first]).alias(first), _integral(s[last]).alias(last))
+    )
+
+
 def _valid_spans(spans: Column) -> Column:
     fields = span_type.fieldNames()
     return spans.isNotNull() & F.forall(
@@ -36,19 +63,33 @@ def _valid_spans(spans: Column) -> Column:
 
 def _items(listed: DataFrame, schema: T.StructType) -> DataFrame:
     """One row per item of ``items`` (array of JSON texts), with its position."""
-    rows = listed.select(F.posexplode("items").alias("pos", "raw"))
-    parsed = rows.select(F.col("pos").cast("long").alias("pos"), F.from_json("raw", schema).alias("item"))
-    return parsed.select("pos", "item.*")
+    return _parsed(listed.select(F.posexplode("items").alias("pos", "raw")), schema)
+
+
+def _line_items(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """One row per line that is not blank; ``pos`` is unique and grows within a file."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return _parsed(lines.select(F.monotonically_increasing_id().alias("pos"), F.col("value").alias("raw")), schema)
+
+
+def _parsed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    item = F.from_json("raw", _raw(schema)).alias("item")
+    return rows.select(F.col("pos").cast("long").alias("pos"), F.json_object_keys("raw").alias("given"), item).select(
+        "pos", "given", "item.*"
+    )
 
 
 def _question_columns() -> list[Column]:
     question = _required(F.col("question"), "question")
+    given = lambda name: F.coalesce(F.array_contains("given", name), F.lit(False))
     return [
-        # A repeatable id in place of a random one.
-        F.coalesce("question_id", F.sha2(question, 256)).alias("question_id"),
+        # A repeatable id in place of a random one; an id that is there must not be null.
+        F.when(given("question_id"), _required(F.col("question_id"), "question_id"))
+        .otherwise(F.sha2(question, 256))
+        .alias("question_id"),
         question.alias("question"),
         F.col("difficulty"),
-        F.coalesce("is_valid", F.lit(True)).alias("is_valid"),
+        F.when(given("is_valid"), F.col("is_valid")).otherwise(F.lit(True)).alias("is_valid"),
     ]
 
 
@@ -66,6 +107,11 @@ def read_questions(spark: SparkSession, path: str) -> DataFrame:
     return _items(listed, question_item).select("pos", *_question_columns())
 
 
+def read_question_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The same columns from lines of one item each."""
+    return _line_items(spark, path, question_item).select("pos", *_question_columns())
+
+
 def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
     """``(pos, question_id, question, difficulty, is_valid, sources, answer)``.
 
@@ -77,7 +123,16 @@ def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
     items = F.when(doc.startswith("["), F.from_json(doc, "array<string>", _STRICT)).otherwise(
         _required(listed, "rag_questions")
     )
-    rows = _items(_document(spark, path).select(items.alias("items")), truth_item)
+    return _truth_columns(_items(_document(spark, path).select(items.alias("items")), truth_item))
+
+
+def read_ground_truth_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The same columns from lines of one item each."""
+    return _truth_columns(_line_items(spark, path, truth_item))
+
+
+def _truth_columns(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("sources", _spans(F.col("sources")))
     answered = _valid_spans(F.col("sources")) & F.col("answer").isNotNull()
     none = F.array().cast(T.ArrayType(span_type))
     return rows.select(
@@ -92,22 +147,43 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     """``(pos, question_id, question_str, retrieved_sources, k)`` of one result object.
 
     ``question`` is accepted for ``question_str`` and goes first if both are
-    there; further fields, such as answers, are ignored.
+    there; further fields, such as answers, are ignored. A directory is taken
+    for the parts of one object, as ``write_results`` writes them, and read in
+    parallel: ``pos`` is then unique and grows within a part.
     """
+    if _is_folder(spark, path):
+        return _read_object_parts(spark, path)
     whole = F.from_json("doc", "struct<search_results: array<string>, k: int>", _STRICT)
     parsed = _document(spark, path).select(whole.alias("r"))
     items = _required(F.col("r.search_results"), "search_results")
     listed = parsed.select(F.posexplode(items).alias("pos", "raw"), _required(F.col("r.k"), "k").alias("k"))
-    rows = listed.select(F.col("pos").cast("long").alias("pos"), "k", F.from_json("raw", result_item).alias("item"))
+    rows = listed.select(F.col("pos").cast("long").alias("pos"), "k", F.from_json("raw", _raw(result_item)).alias("item"))
     return _result_columns(rows.select("pos", "k", "item.*"))
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.exists(place) and system.getFileStatus(place).isDirectory()
+
+
+def _read_object_parts(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.text(path)
+    value = F.col("value")
+    depth = lines.where(value.rlike(_OBJECT_TAIL)).agg(F.max(F.regexp_extract(value, _OBJECT_TAIL, 1).cast("int")))
+    items = lines.where((value != _OBJECT_HEAD) & ~value.rlike(_OBJECT_TAIL) & (F.trim(value) != ""))
+    item = F.from_json(F.regexp_replace(value, "^,", ""), _raw(result_item))
+    rows = items.select(F.monotonically_increasing_id().alias("pos"), item.alias("item"))
+    return _result_columns(rows.select("pos", _required(depth.scalar(), "k").alias("k"), "item.*"))
+
+
 def read_result_lines(spark: SparkSession, path: str) -> DataFrame:
     """The same columns from a directory written by ``write_results``."""
     return _result_columns(spark.read.schema(_LINE).option("mode", "FAILFAST").json(path))
 
 
 def _result_columns(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("retrieved_sources", _spans(F.col("retrieved_sources")))
     spans = F.col("retrieved_sources")
     checked = F.when(_valid_spans(spans), spans)
     return rows.select(
@@ -153,7 +229,7 @@ def write_results(
         F.lit(1).alias("section"), "pos", F.concat(F.when(F.col("pos") > first, ",").otherwise(""), item).alias("value")
     )
     frame = rows.sparkSession.createDataFrame(
-        [(0, 0, '{"search_results": ['), (2, 0, f'], "k": {int(k)}}}')], "section int, pos long, value string"
+        [(0, 0, _OBJECT_HEAD), (2, 0, f'], "k": {int(k)}}}')], "section int, pos long, value string"
     )
     ordered = lines.unionByName(frame).orderBy("section", "pos")
     ordered.select("value").write.mode("overwrite").text(target)

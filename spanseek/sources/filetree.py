@@ -15,6 +15,7 @@ from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
+from zlib import crc32
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -39,7 +40,15 @@ def _suffix(name: str) -> str:
 
 
 def _entries(directory: str) -> Iterator[tuple[str, int | None, float | None]]:
-    """Entries of one directory: ``(path, size, mtime)``, size ``None`` for a directory."""
+    """Entries of one directory: ``(path, size, mtime)``, size ``None`` for a directory.
+
+    Links to directories are not followed. A directory or file that cannot be
+    read is passed over.
+    """
+    if directory.startswith("file://"):
+        local = directory.removeprefix("file://")
+        yield from (("file://" + path, size, mtime) for path, size, mtime in _entries(local))
+        return
     if "://" in directory:
         system, base = pafs.FileSystem.from_uri(directory)
         scheme = directory[: len(directory.rstrip("/")) - len(base.rstrip("/"))]
@@ -49,19 +58,31 @@ def _entries(directory: str) -> Iterator[tuple[str, int | None, float | None]]:
             elif info.type == pafs.FileType.File:
                 yield scheme + info.path, info.size, info.mtime_ns / 1e9
         return
-    with os.scandir(directory) as entries:
+    try:
+        entries = os.scandir(directory)
+    except OSError:
+        return
+    with entries:
         for entry in entries:
-            if entry.is_dir(follow_symlinks=False):
-                yield entry.path, None, None
-            elif entry.is_file():
-                status = entry.stat()
-                yield entry.path, status.st_size, status.st_mtime
+            try:
+                if entry.is_dir(follow_symlinks=False):
+                    found = entry.path, None, None
+                elif entry.is_file():
+                    status = entry.stat()
+                    found = entry.path, status.st_size, status.st_mtime
+                else:
+                    continue
+            except OSError:
+                continue
+            yield found
 
 
 @dataclass
 class _Subtree(InputPartition):
     directory: str
     recursive: bool
+    part: int = 0
+    parts: int = 1
 
 
 class _TreeReader(DataSourceReader):
@@ -74,8 +95,9 @@ class _TreeReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         """Expand directories breadth-first until there is work for every task.
 
-        The driver keeps directory names only, of which there is a bound; a
-        directory with more subdirectories is walked by one task.
+        The driver keeps directory names only, of which there is a bound; the
+        subdirectories of a directory with more are dealt out by their names'
+        hash to as many tasks as are wanted, which each list it again.
         """
         parts, open_ = [], deque([self.root])
         while open_ and len(parts) < _MAX_EXPANDED and len(open_) < self.tasks:
@@ -83,7 +105,7 @@ class _TreeReader(DataSourceReader):
             below = (path for path, size, _ in _entries(directory) if size is None)
             found = list(islice(below, _MAX_SUBDIRECTORIES + 1))
             if len(found) > _MAX_SUBDIRECTORIES:
-                parts.append(_Subtree(directory, True))
+                parts += [_Subtree(directory, True, part, self.tasks) for part in range(self.tasks)]
             else:
                 parts.append(_Subtree(directory, False))
                 open_.extend(found)
@@ -92,11 +114,15 @@ class _TreeReader(DataSourceReader):
     def read(self, partition: _Subtree) -> Iterator[tuple]:
         todo = [partition.directory]
         while todo:
-            for path, size, mtime in _entries(todo.pop()):
+            directory = todo.pop()
+            dealt = partition.parts > 1 and directory == partition.directory
+            for path, size, mtime in _entries(directory):
                 if size is None:
-                    if partition.recursive:
+                    if partition.recursive and not (dealt and crc32(path.encode()) % partition.parts != partition.part):
                         todo.append(path)
                     continue
+                if dealt and partition.part:
+                    continue
                 ext = _suffix(path.rsplit("/", 1)[-1])
                 if self.extensions is None or ext in self.extensions:
                     yield path, path[len(self.root) :].lstrip("/"), ext, size, mtime

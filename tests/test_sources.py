@@ -57,6 +57,31 @@ def test_unreadable_file_gives_no_row(spark, tree):
     assert filetree.read_contents(gone).count() == 1
 
 
+def test_crowded_directories_are_dealt_out(spark, tree, rows, monkeypatch):
+    whole = rows(filetree.list_tree(spark, str(tree)))
+    monkeypatch.setattr(filetree, "_MAX_SUBDIRECTORIES", 1)
+    reader = filetree._TreeReader({"path": str(tree), "tasks": "3"})
+    parts = reader.partitions()
+    assert len([p for p in parts if p.parts == 3]) == 3
+    assert sorted(r for p in parts for r in reader.read(p)) == [tuple(r) for r in whole]
+
+
+def test_what_cannot_be_read_is_passed_over(tree, monkeypatch):
+    scandir = os.scandir
+
+    def guarded(path):
+        if str(path).endswith("_priv"):
+            raise PermissionError(path)
+        return scandir(path)
+
+    monkeypatch.setattr(os, "scandir", guarded)
+    for root in (str(tree), f"file://{tree}"):
+        reader = filetree._TreeReader({"path": root})
+        found = [r for p in reader.partitions() for r in reader.read(p)]
+        # Links to directories are not followed, so the walk ends.
+        assert len(found) == 7 and all(r[0].startswith(root) for r in found)
+
+
 def test_root_must_exist(spark, tree):
     with pytest.raises(ValueError):
         filetree.list_tree(spark, str(tree / "nowhere"))
@@ -164,6 +189,54 @@ def test_object_parts_join_to_one_object(spark, tmp_path, save, rows, count):
     assert rows(back.drop("k")) == rows(results_of(spark, count))
 
 
+def test_object_folder_is_read_part_by_part(spark, tmp_path, rows):
+    adaptive = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(adaptive, "false")
+    try:
+        target = exchange.write_results(results_of(spark, 200), str(tmp_path), "set.json", 7, layout="object")
+    finally:
+        spark.conf.unset(adaptive)
+    assert len([p for p in os.listdir(target) if p.startswith("part-")]) > 1
+    back = exchange.read_results(spark, target)
+    assert rows(back.drop("pos", "k")) == rows(results_of(spark, 200).drop("pos"))
+    assert back.select("pos").distinct().count() == 200 and back.where("k != 7").count() == 0
+
+
+@pytest.mark.parametrize("last", [5, 5.0, "5", " 5.0", "5e0"])
+def test_indexes_may_be_any_integral_number(spark, save, last):
+    span = {"file_path": "a", "first_character_index": "0", "last_character_index": last}
+    item = {"question_id": "1", "question": "a", "sources": [span], "answer": "x"}
+    (row,) = exchange.read_ground_truth(spark, save([item])).collect()
+    assert tuple(row.sources[0]) == ("a", 0, 5)
+    found = {"search_results": [{"question_id": "1", "retrieved_sources": [span]}], "k": 1}
+    assert tuple(exchange.read_results(spark, save(found)).first().retrieved_sources[0]) == ("a", 0, 5)
+
+
+@pytest.mark.parametrize("last", [5.5, "x", None, 2**40])
+def test_other_indexes_do_not_count(spark, save, last):
+    span = {"file_path": "a", "first_character_index": 0, "last_character_index": last}
+    (row,) = exchange.read_ground_truth(spark, save([{"question": "a", "sources": [span], "answer": "x"}])).collect()
+    assert row.sources == []
+    with pytest.raises(Exception):
+        exchange.read_results(spark, save({"search_results": [{"question_id": "1", "retrieved_sources": [span]}], "k": 1})).collect()
+
+
+def test_null_is_not_a_default(spark, save):
+    with pytest.raises(Exception):
+        exchange.read_questions(spark, save([{"question_id": None, "question": "a"}])).collect()
+    (row,) = exchange.read_questions(spark, save([{"question": "a", "is_valid": None}])).collect()
+    assert row.is_valid is None and len(row.question_id) == 64
+
+
+def test_lines_of_questions_and_truth(spark, save):
+    lines = [{"question": "a"}, {"question": "b", "question_id": "7", "sources": [SPAN], "answer": "x"}]
+    path = save("\n".join(map(json.dumps, lines)) + "\n\n", "lines.json")
+    assert [r.question for r in exchange.read_question_lines(spark, path).orderBy("pos").collect()] == ["a", "b"]
+    assert [len(r.sources) for r in exchange.read_ground_truth_lines(spark, path).orderBy("pos").collect()] == [0, 1]
+    with pytest.raises(Exception):
+        exchange.read_question_lines(spark, save('{"question": "a"}\n{"x": 1}', "bad.json")).collect()
+
+
 # --- state ------------------------------------------------------------------------
 
 
