@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,9 +37,32 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# Folders handed out in each open scope, innermost last.
+_SCOPES: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/spanseek-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/spanseek-{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, the folders that were staged in it.
+
+    Results must be written or collected inside the block: they read the
+    staged tables until then.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

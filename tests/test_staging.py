@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from spanseek import staging
@@ -12,6 +14,15 @@ def test_staged_table_survives_its_source(spark, tmp_path):
     assert staged.count() == 10
 
 
+def test_scratch_removes_what_was_staged_in_it(spark):
+    kept = staging.stage(spark.range(3), "kept")
+    with staging.scratch(spark):
+        inner = staging.new_folder(spark, "inner")
+        spark.range(5).write.parquet(inner)
+        assert spark.read.parquet(inner).count() == 5
+    assert not os.path.exists(inner.removeprefix("file:")) and kept.count() == 3
+
+
 def test_folders_are_new_and_shared(spark):
     one, two = staging.new_folder(spark, "x"), staging.new_folder(spark, "x")
     assert one != two and one.startswith(staging.shared_folder(spark))
