@@ -24,7 +24,7 @@ from ..staging import partitions_for, stage
 SAMPLES = 24
 # Cells of the key range that hold equally many rows, and bytes of text per bucket.
 CELLS = 256
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 8 << 20
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
