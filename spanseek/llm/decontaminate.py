@@ -3,18 +3,18 @@
 The CGK random walk turns edit distance into Hamming distance: at step ``j`` it
 emits the byte it stands on and moves on if a random bit of (``j``, byte) says
 so, so that two texts fall back into step after an edit. Items and documents
-are walked with the same bits, items from several of their words, documents
-from every word. A repetition samples steps of the walk; a window whose sampled
-bytes equal those of an item is a candidate, and the item-sized text around it
-is verified by exact edit distance. Repetitions are added until a window whose
-embedding agrees with the item's on the share ``AGREEMENT`` of steps is found
-with probability ``RECALL``; an item has a window at every sixth word, each with
-that chance. Candidates whose embedding agrees on few steps are not verified.
-
-The first samples of a repetition lie early in the walk, so that most windows
-are given up soon. Items of different length use windows of
-different length. Items are taken in blocks of bounded size; each block is one
-pass over the documents, which are not shuffled.
+are walked with the same bits, both from every word. A repetition draws a walk
+of its own and samples steps of it; a window whose sampled bytes equal those of
+an item is a candidate. Walks are short, so that some window of an item lies
+between the edits even if a fifth of its characters are edited; items of
+different length use walks of different length (``CLASSES``), whose numbers of
+repetitions come from measured recall at the edit limit.
+
+The text around a candidate is verified by exact edit distance. Candidates are
+first given the sum of the distances of the item's parts of 64 characters, a
+lower bound of the distance, so that no item within the limit is given up.
+Items are taken in blocks of bounded size; each block is one pass over the
+documents, which are not shuffled.
 
 Texts are compared in lower case with white space collapsed. An item is found
 if at most ``share`` of its characters are edited. Null, empty and blank texts
@@ -36,20 +36,15 @@ from pyspark.sql import types as T
 from .rows import append, bound_batches, ship
 
 SHARE = 0.2
-RECALL = 0.9
-AGREEMENT = 0.85
-# Steps sampled per repetition, and how many of them lie in the first part of the walk.
-SAMPLES = 10
-EARLY = 4
-# Candidates must agree with the item on this share of all steps to be verified.
-LEAST_AGREEMENT = 0.65
+# Least bytes of an item, steps of its walks, steps sampled, repetitions (independent walks).
+CLASSES = ((160, 32, 24, 4), (80, 20, 16, 4), (48, 16, 14, 5), (24, 12, 9, 6), (8, 6, 4, 5), (4, 4, 3, 2), (1, 1, 1, 1))
 BLOCK_ITEMS = 10_000
-# Characters the windows of a class span; an item uses the largest that fits.
-SPANS = (64, 32, 16, 8, 4, 1)
-_ANCHOR_WORDS = 6
+# Characters of an item compared at a time for the lower bound.
+_PART = 64
 _SEED = 2
-_HINT_BITS = 16
-_SLICE_BYTES = 96 << 10
+_HINT_BITS = 18
+_SLICE_BYTES = 1 << 20
+_BOUND_ROWS = 1 << 14
 
 
 def normalise(text: str | None) -> list[str]:
@@ -57,132 +52,135 @@ def normalise(text: str | None) -> list[str]:
     return (text or "").replace("\0", " ").lower().split()
 
 
-def repetitions(recall: float = RECALL, agreement: float = AGREEMENT, samples: int = SAMPLES) -> int:
+def repetitions(recall: float, agreement: float, samples: int) -> int:
     """How often to sample so that a window with this agreement is found with probability ``recall``."""
     return math.ceil(math.log(1 - recall) / math.log(1 - agreement**samples))
 
 
 class Walk:
-    """A random walk over windows of ``span`` characters, with the sampled steps of its repetitions."""
+    """A random walk with the steps it samples."""
 
-    def __init__(self, span: int, repeats: int) -> None:
-        draw = random.Random(f"{_SEED}:{span}")
-        # A step moves on by one byte at most, so the walk stays within the span.
-        self.steps = span
-        self.turn = max(1, self.steps * 3 // 8)
+    def __init__(self, steps: int, samples: int, number: int) -> None:
+        draw = random.Random(f"{_SEED}:{steps}:{number}")
         # Bit j of a byte's number says whether step j moves on; zeros end texts and hold the walk.
-        self.moves = np.array([0, *(draw.getrandbits(64) for _ in range(255))], np.uint64)
-        early = min(EARLY, self.turn)
-        late = min(SAMPLES - early, self.steps - self.turn)
-        self.samples = [
-            (sorted(draw.sample(range(self.turn), early)), sorted(draw.sample(range(self.turn, self.steps), late)))
-            for _ in range(repeats)
-        ]
-
-    def go(self, data: np.ndarray, moves: np.ndarray, at: np.ndarray, first: int, last: int, wanted: set[int]):
-        """Walk from step ``first`` to ``last``: the places reached and the bytes at the wanted steps."""
-        at = at.copy()
-        bits = np.empty(at.size, np.uint64)
-        step = bits.view(np.int64)
-        seen = {}
-        one = np.uint64(1)
-        for j in range(first, last):
-            if j in wanted:
-                seen[j] = data.take(at)
-            np.take(moves, at, out=bits, mode="clip")
-            np.right_shift(bits, np.uint64(j), out=bits)
-            np.bitwise_and(bits, one, out=bits)
-            np.add(at, step, out=at)
-        return at, seen
-
-    def embed(self, data: np.ndarray, moves: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """``windows x steps``: the whole embedding."""
-        _, seen = self.go(data, moves, at, 0, self.steps, set(range(self.steps)))
-        return np.stack([seen[j] for j in range(self.steps)], axis=1)
-
-
-def _key(seen: dict[int, np.ndarray], steps: list[int]) -> np.ndarray:
-    """The sampled bytes as one number: exact for up to eight, mixed beyond."""
-    out = seen[steps[0]].astype(np.uint64)
-    for j in steps[1:]:
-        out *= np.uint64(0x100000001B3)
-        out ^= seen[j]
-    return out
-
-
-def _join(head: np.ndarray, tail: np.ndarray | None) -> np.ndarray:
-    return head if tail is None else head * np.uint64(0x9E3779B97F4A7C15) ^ tail
+        self.moves = np.array([0, *(draw.getrandbits(steps) for _ in range(255))], np.uint32)
+        self.samples = sorted(draw.sample(range(steps), samples))
+
+    def keys(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sampled bytes of the windows at ``at`` as one number each, and the last place read."""
+        moves = self.moves[data]
+        at = at.astype(np.int32)
+        out = np.zeros(at.size, np.uint64)
+        bits = np.empty(at.size, np.uint32)
+        step = bits.view(np.int32)
+        for j in range(self.samples[-1] + 1):
+            if j in self.samples:
+                out *= np.uint64(0x100000001B3)
+                out ^= data.take(at)
+            if j < self.samples[-1]:
+                np.take(moves, at, out=bits, mode="clip")
+                np.right_shift(bits, np.uint32(j), out=bits)
+                np.bitwise_and(bits, np.uint32(1), out=bits)
+                np.add(at, step, out=at)
+        return out, at
 
 
 def _place(keys: np.ndarray) -> np.ndarray:
     return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _HINT_BITS)).astype(np.int64)
 
 
-def _hint(keys: np.ndarray) -> np.ndarray:
-    out = np.zeros(1 << _HINT_BITS, bool)
-    out[_place(keys)] = True
-    return out
+def _folded(text: str) -> np.ndarray:
+    """Code points by their low byte: equal ones stay equal, so no distance grows."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint8)
 
 
 class Index:
     """Sampled bytes of the windows of a block of items."""
 
-    def __init__(self, items: list[tuple], share: float, recall: float) -> None:
+    def __init__(self, items: list[tuple], share: float) -> None:
         self.items = [(key, " ".join(words)) for key, words in items]
-        self.limits = [int(share * len(text)) for _, text in self.items]
+        self.limits = np.array([int(share * len(text)) for _, text in self.items], np.int64)
+        self.sizes = np.array([len(text) for _, text in self.items], np.int64)
+        self.folded = np.concatenate([np.zeros(0, np.uint8), *(_folded(text) for _, text in self.items)])
+        self.folded_at = np.cumsum(self.sizes) - self.sizes
         texts = [text.encode("utf-8", "surrogatepass") for _, text in self.items]
         begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
         data = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
-        windows: dict[int, list] = {}
+        windows: dict[tuple, list] = {}
         for n, (_, words) in enumerate(items):
+            kind = next(c for c in CLASSES if len(texts[n]) >= c[0])
             at = place = 0
-            for i, word in enumerate(words):
-                span = next(s for s in SPANS if len(self.items[n][1]) - at >= s)
-                if i == 0 or (i % _ANCHOR_WORDS == 0 and span == SPANS[0]):
-                    windows.setdefault(span, []).append((n, at, int(begin[n]) + place))
+            for word in words:
+                windows.setdefault(kind, []).append((n, at, int(begin[n]) + place))
                 at += len(word) + 1
                 place += len(word.encode("utf-8", "surrogatepass")) + 1
-        self.walks = []
-        for span, anchors in windows.items():
-            walk = Walk(span, repetitions(recall))
-            embedded = walk.embed(data, walk.moves[data], np.array([a[2] for a in anchors], np.int64))
-            seen = dict(enumerate(embedded.T))
-            tables = []
-            for early, late in walk.samples:
-                head = _key(seen, early)
-                whole = _join(head, _key(seen, late) if late else None)
-                order = np.argsort(whole, kind="stable")
-                tables.append((_hint(head), _hint(whole), whole[order], order))
-            self.walks.append((walk, tables, embedded, [a[:2] for a in anchors]))
-
-
-def candidates(index: Index, data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
-    """``(window numbers, anchor numbers, anchors)``: windows whose samples equal those of an item."""
-    for walk, tables, embedded, anchors in index.walks:
-        moves = walk.moves[data]
-        wanted = {j for early, _ in walk.samples for j in early}
-        middle, seen = walk.go(data, moves, starts, 0, walk.turn, wanted)
-        pairs = []
-        for (early, late), (heads, hint, wholes, order) in zip(walk.samples, tables):
-            head = _key(seen, early)
-            alive = np.flatnonzero(heads[_place(head)])
-            tail = None
-            if late and alive.size:
-                _, rest = walk.go(data, moves, middle[alive], walk.turn, walk.steps, set(late))
-                tail = _key(rest, late)
-            whole = _join(head[alive], tail)
-            near = np.flatnonzero(hint[_place(whole)])
-            alive, whole = alive[near], whole[near]
-            low, high = np.searchsorted(wholes, whole, "left"), np.searchsorted(wholes, whole, "right")
-            counts = high - low
-            within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            anchor = order[np.repeat(low, counts) + within]
-            pairs.append(np.repeat(alive, counts) * len(anchors) + anchor)
-        window, anchor = np.divmod(np.unique(np.concatenate(pairs)), len(anchors))
-        if window.size:
-            own, which = np.unique(window, return_inverse=True)
-            agree = (walk.embed(data, moves, starts[own])[which] == embedded[anchor]).mean(axis=1) >= LEAST_AGREEMENT
-            yield window[agree], anchor[agree], anchors
+        self.tables = []
+        for (_, steps, samples, repeats), anchors in windows.items():
+            owner, offset, place = (np.array(x, np.int64) for x in zip(*anchors))
+            for number in range(repeats):
+                walk = Walk(steps, samples, number)
+                keys, last = walk.keys(data, place)
+                # A walk that leaves its item says nothing about documents.
+                inside = np.flatnonzero(last < begin[owner + 1] - 1)
+                order = inside[np.argsort(keys[inside], kind="stable")]
+                hint = np.zeros(1 << _HINT_BITS, bool)
+                hint[_place(keys[order])] = True
+                self.tables.append((walk, hint, keys[order], owner[order], offset[order]))
+
+
+def candidates(index: Index, data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(window numbers, item numbers, offsets)``: windows whose samples equal those of an item."""
+    for walk, hint, keys, owner, offset in index.tables:
+        own, _ = walk.keys(data, starts)
+        near = np.flatnonzero(hint[_place(own)])
+        own = own[near]
+        low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+        counts = high - low
+        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        hit = np.repeat(low, counts) + within
+        yield np.repeat(near, counts), owner[hit], offset[hit]
+
+
+def bounds(index: Index, item: np.ndarray, text: np.ndarray, low: np.ndarray, high: np.ndarray, slack: np.ndarray) -> np.ndarray:
+    """Whether the item may be within its limit in ``text[low:high]``, beginning at ``low`` up to ``low + slack``.
+
+    Bit-parallel edit distance of each part of the item, over many candidates at once; their sum is a lower bound.
+    """
+    total = np.zeros(item.size, np.int64)
+    alive = np.arange(item.size)
+    one = np.uint64(1)
+    for begin in range(0, int(index.sizes[item].max(initial=0)), _PART):
+        alive = alive[total[alive] <= index.limits[item[alive]]]
+        own = alive[index.sizes[item[alive]] > begin]
+        if not own.size:
+            continue
+        kinds, which = np.unique(item[own], return_inverse=True)
+        size = np.minimum(index.sizes[kinds] - begin, _PART)
+        masks = np.zeros((kinds.size, 256), np.uint64)
+        for i in range(int(size.max())):
+            has = np.flatnonzero(size > i)
+            masks[has, index.folded[index.folded_at[kinds[has]] + begin + i]] |= one << np.uint64(i)
+        masks = masks.ravel()
+        row, length = which * 256, size[which]
+        top = (length - 1).astype(np.uint64)
+        # Where this part may lie, edits before it included.
+        first = np.minimum(low[own] + np.maximum(begin - index.limits[item[own]], 0), high[own])
+        last = np.minimum(low[own] + begin + length + slack[own] + index.limits[item[own]], high[own])
+        plus, minus = np.full(own.size, ~np.uint64(0)), np.zeros(own.size, np.uint64)
+        score = length.astype(np.int64)
+        best = score.copy()
+        for step in range(int((last - first).max(initial=0))):
+            at = first + step
+            eq = masks[row + text.take(np.minimum(at, text.size - 1))]
+            diagonal = (((eq & plus) + plus) ^ plus) | eq | minus
+            up, down = minus | ~(diagonal | plus), plus & diagonal
+            score += ((up >> top) & one).astype(np.int64) - ((down >> top) & one).astype(np.int64)
+            up, down = up << one, down << one
+            plus, minus = down | ~(diagonal | up), up & diagonal
+            # Reading on past the end of the place only makes the bound smaller.
+            np.minimum(best, score, out=best)
+        total[own] += best
+    return total <= index.limits[item]
 
 
 def edit_search(pattern: str, text: str) -> tuple[int, int]:
@@ -213,9 +211,12 @@ def edit_search(pattern: str, text: str) -> tuple[int, int]:
 
 
 def verify(item: str, limit: int, text: str, at: int) -> tuple[int, int, int] | None:
-    """``(distance, start, end)`` of the item near place ``at`` of ``text``, if within ``limit`` edits."""
+    """``(distance, start, end)`` of the item near place ``at`` of ``text``, if within ``limit`` edits.
+
+    Places up to half of ``limit`` after ``at`` need no look of their own.
+    """
     low = max(0, at - limit - 2)
-    window = text[low : at + len(item) + limit + 2]
+    window = text[low : at + len(item) + limit + limit // 2 + 2]
     distance, end = edit_search(item, window)
     if distance > limit or not end:
         return None
@@ -227,47 +228,60 @@ def search_texts(index: Index, texts: list[list[str]]) -> list[tuple[int, int, i
     """``(text number, item number, distance, start, end)`` in characters of the normalised texts."""
     strings = [" ".join(words) for words in texts]
     encoded = [s.encode("utf-8", "surrogatepass") for s in strings]
-    sizes = np.array([len(e) + 1 for e in encoded])
-    begins = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"\0".join([*encoded, b""]), np.uint8)
     gaps = (data == 0x20) | (data == 0)
     first = np.ones(data.size, bool)
     first[1:] = gaps[:-1]
     starts = np.flatnonzero(first & ~gaps)
-    if not starts.size:
+    if not starts.size or not index.items:
         return []
-    pairs: dict[tuple[int, int], set[int]] = {}
-    for windows, found, anchors in candidates(index, data, starts):
-        places = starts[windows]
-        owners = np.searchsorted(begins, places, "right") - 1
-        for owner, place, anchor in zip(owners.tolist(), (places - begins[owners]).tolist(), found.tolist()):
-            n, offset = anchors[anchor]
-            at = len(encoded[owner][:place].decode("utf-8", "surrogatepass")) - offset
-            pairs.setdefault((owner, n), set()).add(at)
+    characters = np.cumsum((data & 0xC0) != 0x80)[starts] - 1
+    ends = np.cumsum([len(s) + 1 for s in strings])
+    begins = ends - [len(s) + 1 for s in strings]
+    owners = np.searchsorted(ends, characters, "right")
+    span = int(ends[-1]) + 1
+    cells = []
+    for window, item, offset in candidates(index, data, starts):
+        # Places within half of the limit are looked at once.
+        cell = (characters[window] - begins[owners[window]] - offset + span) // (index.limits[item] // 2 + 1)
+        cells.append(np.unique((owners[window] * len(index.items) + item) * (2 * span) + cell))
+    pair, cell = np.divmod(np.unique(np.concatenate(cells)), 2 * span)
+    owner, item = np.divmod(pair, len(index.items))
+    limit = index.limits[item]
+    at = cell * (limit // 2 + 1) - span
+    low = np.maximum(at - limit - 2, 0) + begins[owner]
+    high = np.minimum(at + index.sizes[item] + limit + limit // 2 + 2 + begins[owner], ends[owner] - 1)
+    folded = np.concatenate([_folded(s + "\0") for s in strings])
+    slack = 2 * limit + limit // 2 + 4
     out = []
-    for (owner, n), places in sorted(pairs.items()):
-        item, limit = index.items[n][1], index.limits[n]
-        covered = -1
-        seen = None
-        for at in sorted(places):
-            if at < covered or (seen is not None and at - seen <= limit // 2):
-                continue
-            found = verify(item, limit, strings[owner], at)
-            seen = at
-            if found:
-                out.append((owner, n, *found))
-                covered, seen = found[2], None
-    return out
-
-
-def _blocks(items: DataFrame, item_key: str, item_text: str, block_items: int, share: float, recall: float) -> Iterator[Index]:
+    for some in range(0, at.size, _BOUND_ROWS):
+        part = slice(some, some + _BOUND_ROWS)
+        near = bounds(index, item[part], folded, low[part], np.maximum(high[part], low[part]), slack[part])
+        out.append(np.flatnonzero(near) + some)
+    kept = np.concatenate(out) if out else np.zeros(0, np.int64)
+    found: list[tuple[int, int, int, int, int]] = []
+    last, covered = None, -1
+    for o, n, place in zip(owner[kept].tolist(), item[kept].tolist(), at[kept].tolist()):
+        if (o, n) != last:
+            last, covered = (o, n), -1
+        if place < covered:
+            continue
+        hit = verify(index.items[n][1], int(index.limits[n]), strings[o], place)
+        # The look may reach back into the place before.
+        if hit and hit[1] >= covered:
+            found.append((o, n, *hit))
+            covered = hit[2]
+    return found
+
+
+def _blocks(items: DataFrame, item_key: str, item_text: str, block_items: int, share: float) -> Iterator[Index]:
     """Indexes of blocks of the items; each block is read to the driver on its own."""
     asked = items.select(F.col(item_key), F.col(item_text).alias("__item")).where(F.length(F.trim("__item")) > 0)
     blocks = max(1, -(-asked.count() // block_items))
     number = F.pmod(F.xxhash64(item_key, "__item"), F.lit(blocks))
     for block in range(blocks):
         rows = [(r[0], normalise(r[1])) for r in asked.where(number == block).collect()]
-        yield Index([r for r in rows if r[1]], share, recall)
+        yield Index([r for r in rows if r[1]], share)
 
 
 def _searched(index: Index, texts: Iterator[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
@@ -295,7 +309,6 @@ def find(
     item_key: str = "item_id",
     item_text: str = "text",
     share: float = SHARE,
-    recall: float = RECALL,
     block_items: int = BLOCK_ITEMS,
 ) -> DataFrame:
     """``(key, item_key, distance, start, end)``: each place of a document that is an item but for a share of edits.
@@ -315,7 +328,7 @@ def find(
     source = docs.select(key, F.col(text).alias("__text"))
     item_type = pa.int64() if isinstance(schema[1].dataType, T.LongType) else None
     out = None
-    for index in _blocks(items, item_key, item_text, block_items, share, recall):
+    for index in _blocks(items, item_key, item_text, block_items, share):
         shared = ship(docs.sparkSession, index)
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -345,12 +358,11 @@ def mark(
     item_key: str = "item_id",
     item_text: str = "text",
     share: float = SHARE,
-    recall: float = RECALL,
     block_items: int = BLOCK_ITEMS,
 ) -> DataFrame:
     """Rows of ``docs`` with the number of places found in each, so that no row needs a join to be judged."""
     out = docs.withColumn(into, F.lit(0))
-    for index in _blocks(items, item_key, item_text, block_items, share, recall):
+    for index in _blocks(items, item_key, item_text, block_items, share):
         shared = ship(docs.sparkSession, index)
 
         def factory(shared=shared):

@@ -246,3 +246,23 @@ def test_short_and_odd_items(spark):
 def test_repetitions_reach_the_recall():
     n = decontaminate.repetitions(0.9, 0.85, 10)
     assert 1 - (1 - 0.85**10) ** n >= 0.9 > 1 - (1 - 0.85**10) ** (n - 1)
+
+
+def test_recall_up_to_the_limit_in_each_length_class(spark):
+    """Items of every length class, also of fewer than 64 characters, with as many edits as still count."""
+    texts = [r.text for r in documents(spark, "sf0.01").limit(100).collect()]
+    whole = [decontaminate.normalise(r.text) for r in table(spark, SF, "benchmark").collect()]
+    for size in (300, 100, 70, 50, 30):
+        items = []
+        for n, words in enumerate(whole):
+            while len(words) > 1 and len(" ".join(words)) > size:
+                words = words[:-1]
+            items.append((n, words))
+        index = decontaminate.Index(items, decontaminate.SHARE)
+        for share in (0.10, 0.15, 0.20):
+            rng, hits = random.Random(size), 0
+            for i, text in enumerate(texts):
+                n = i % len(items)
+                part = [f"{text[:150]} {edited(rng, ' '.join(items[n][1]), share)} {text[150:300]}"]
+                hits += any(f[1] == n for f in decontaminate.search_texts(index, [decontaminate.normalise(t) for t in part]))
+            assert hits >= 90, (size, share, hits)
