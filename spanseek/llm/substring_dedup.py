@@ -45,7 +45,7 @@ _CHUNK_ROWS = 20_000
 _HELD_BYTES = 16 << 20
 _BASES = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
-_OCCURRENCE = "m bigint, f bigint, k1 bigint, k2 int, s int, c int"
+_OCCURRENCE = "m bigint, f bigint, k1 bigint, k2 bigint, s int, c int"
 
 
 class _Powers:
@@ -147,11 +147,15 @@ class SuperKmers:
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``(k1, k2, id, text)``: the key and a hash of the text tell rows of different texts apart."""
+    """``(k1, k2, id, text)``: the key and a 64-bit hash of the text tell rows of different texts apart.
+
+    A key, or null, may be shared by any number of rows: among 10 million
+    texts under one key two agree with a probability of about 3 in a million.
+    """
     whole = isinstance(docs.schema[key].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
     number = F.col(key).cast("bigint") if whole else F.xxhash64(key)
     return docs.select(
-        F.coalesce(number, F.lit(-1)).alias("k1"), F.hash(text).alias("k2"), F.col(key).alias("id"), F.col(text).alias("text")
+        F.coalesce(number, F.lit(-1)).alias("k1"), F.xxhash64(text).alias("k2"), F.col(key).alias("id"), F.col(text).alias("text")
     )
 
 
@@ -297,7 +301,7 @@ def _single_windows(cut_out: DataFrame, window: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, names=["k1", "k2", "w", "h1", "h2"])
 
     columns = cut_out.select("id", "k1", "k2", "text", "wanted")
-    return columns.mapInArrow(work, "k1 bigint, k2 int, w int, h1 bigint, h2 bigint")
+    return columns.mapInArrow(work, "k1 bigint, k2 bigint, w int, h1 bigint, h2 bigint")
 
 
 def repeated_ranges(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:

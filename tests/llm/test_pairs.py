@@ -150,3 +150,17 @@ def test_equal_numbers_are_compared_by_words(monkeypatch):
     monkeypatch.setattr(bucket, "_runs", lambda words, a, b: np.zeros(a.size, np.uint64))
     assert bucket([b"a b c", b"x a b"], [1, 1]) == [[0, 1], [1, 2]]
     assert bucket([b"a b c", b"x y z"], [1, 2]) == [[], [0, 2]]
+
+
+def test_texts_of_one_key_with_equal_32_bit_hashes_are_told_apart(spark):
+    # Some of these 400,000 texts agree in Spark's 32-bit hash; null keys do not tell them apart.
+    text = F.concat(F.expr("repeat('x ', cast(id % 7 AS int))"), F.lit("t"), F.col("id"), F.lit(" a b c d e"), F.col("id") % 5)
+    texts = spark.range(400_000).select("id", text.alias("text"), F.hash(text).alias("h"))
+    alike = texts.join(texts.groupBy("h").count().where("count > 1"), "h").orderBy("h", "id")
+    picked = [r.text for r in alike.collect()]
+    assert len(picked) > 2
+    frame = spark.createDataFrame([(None, t) for t in picked], "doc_id long, text string")
+    keyed = substring_dedup._keyed(frame, "doc_id", "text")
+    assert keyed.select("k1", "k2").distinct().count() == len(picked)
+    found = substring_dedup.remove_repeats(frame, window=4, gram=2).collect()
+    assert sorted((r.n_words, r.n_removed, r.kept) for r in found) == sorted(brute_removal(picked, 4))
