@@ -73,5 +73,48 @@ FROM p LEFT JOIN best USING (payload_digest)
 """
 
 
+def op13_filter_audit() -> str:
+    """Masks per document, orders by joining letters with each other, counts per part, order and step."""
+    word = r"[^\x20\x09-\x0D]+"
+    letters = "(VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS {0}(l, b)"
+    orders = f"""
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM {letters.format('a')}, {letters.format('b')}, {letters.format('c')}, {letters.format('d')}, {letters.format('e')}
+  WHERE a.b + b.b + c.b + d.b + e.b = 31 AND a.b & b.b = 0 AND (a.b | b.b) & c.b = 0 AND (a.b | b.b | c.b) & d.b = 0"""
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '{word}') AS words FROM t),
+m AS (
+  SELECT doc_id, part,
+    CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN min(doc_id) OVER (PARTITION BY t) < doc_id THEN 16 ELSE 0 END AS mask
+  FROM w
+),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+c AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask
+),
+o AS ({orders}
+),
+s AS (
+  SELECT filter_order, i AS step, bits[i] AS own, CASE WHEN i > 1 THEN list_sum(bits[1 : i - 1]) ELSE 0 END::INTEGER AS before
+  FROM o, unnest(range(1, 6)) AS r(i)
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+  coalesce(sum(n) FILTER (mask & (own | before) = 0), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (mask & own > 0 AND mask & before = 0), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (mask & own > 0 AND mask & before > 0), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (mask & own > 0 AND mask & before = 0), 0)::BIGINT AS good_lost,
+  coalesce(sum(toxic) FILTER (mask & own > 0 AND mask & before = 0), 0)::BIGINT AS toxic_lost,
+  coalesce(sum(n * 120 // greatest(bit_count(mask), 1)) FILTER (mask & own > 0), 0)::BIGINT AS shapley
+FROM c CROSS JOIN s GROUP BY part, filter_order, step
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_WARC, "op8_secret_scan": op8_secret_scan(), "op9_substring_dedup": op9_substring_dedup()}
+    return {"op3_warc": OP3_WARC, "op8_secret_scan": op8_secret_scan(), "op9_substring_dedup": op9_substring_dedup(), "op13_filter_audit": op13_filter_audit()}

@@ -8,9 +8,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..staging import new_folder
-from . import byte_bpe, decontaminate, language, oracles, perplexity, secret_scan, simhash, substring_dedup, toxicity, warc, weighted_sampling
+from . import (
+    byte_bpe,
+    decontaminate,
+    filter_audit,
+    language,
+    oracles,
+    perplexity,
+    secret_scan,
+    sharding,
+    simhash,
+    substring_dedup,
+    token_alignment,
+    toxicity,
+    warc,
+    weighted_sampling,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Files in a micro-batch of streaming operators.
+FILES_PER_BATCH = 64
 _QUERIES: dict[str, Query] = {}
 
 
@@ -145,6 +162,35 @@ def op5_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.classify(docs, table(spark, sf_dir, "labels").where("quality = 1"))
 
 
+@query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    names = "byte_bpe_50k.json", "piece_bpe_32k.model"
+    vocabularies = token_alignment.Tokenizers(*map(public_tokenizers.path, names))
+
+    def digest(shown: Column) -> Column:
+        return F.when(F.col("n_a") > 0, F.sha2(shown.cast("binary"), 256)).otherwise(F.lit(""))
+
+    aligned = token_alignment.align(docs, vocabularies, keep=["doc_id"], groups=digest)
+    counts = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    return aligned.select("doc_id", *counts, F.col("groups").alias("groups_sha256"))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"), files_per_batch=FILES_PER_BATCH)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # at the top of the repository; it imports this module

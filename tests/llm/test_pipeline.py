@@ -79,5 +79,5 @@ def test_odd_and_empty_tables(spark):
 
 def test_all_operators_are_registered():
     names = list(queries.queries())
-    assert sorted(n.split("_")[0] for n in names) == sorted([f"op{i}" for i in range(1, 11)] + ["pipeline"])
+    assert sorted(n.split("_")[0] for n in names) == sorted([f"op{i}" for i in range(1, 14)] + ["pipeline"])
     assert pipeline.ORACLE_SQL is None
