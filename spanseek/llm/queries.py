@@ -26,8 +26,6 @@ from . import (
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
-# Files in a micro-batch of streaming operators.
-FILES_PER_BATCH = 64
 _QUERIES: dict[str, Query] = {}
 
 
@@ -188,7 +186,7 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"), files_per_batch=FILES_PER_BATCH)
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
 
 
 @query

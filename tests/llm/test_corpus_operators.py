@@ -209,6 +209,8 @@ def test_many_dictionaries_count_alike(spark, vocabularies, monkeypatch):
     once = {r.doc_id: r for r in token_alignment.align(short(spark), vocabularies, keep=["doc_id"]).collect()}
     monkeypatch.setattr(token_alignment, "DICTIONARY_TOKENS", 500)
     monkeypatch.setattr(token_alignment, "REMEMBERED", 1)
+    monkeypatch.setattr(token_alignment, "MEMORY", 1000)
+    monkeypatch.setattr(token_alignment, "LONG", 1000)
     monkeypatch.setattr(token_alignment.rows, "SLICE", 3)
     again = token_alignment.align(short(spark).repartition(3), vocabularies, keep=["doc_id"]).collect()
     assert {r.doc_id: r for r in again} == once
@@ -332,7 +334,7 @@ def test_smaller_ids_retract_what_was_counted(spark):
     docs = [(900 - i, rng.choice(texts), rng.choice(["a", "b", None])) for i in range(120)]
     labels = [(900 - i, rng.randrange(2), rng.choice([0, 1, None])) for i in range(0, 120, 2)] + [(900, 1, 1), (None, 1, 1)]
     path = in_files(spark, docs, 6)
-    made = filter_audit.audit(spark, path, spark.createDataFrame(labels, LABELS), files_per_batch=1)
+    made = filter_audit.audit(spark, path, spark.createDataFrame(labels, LABELS), batches=6)
     assert collected(made) == brute_audit(docs, labels)
 
 
@@ -340,9 +342,9 @@ def test_a_second_run_takes_up_new_files_only(spark):
     docs = [(50 - i, f"text {i % 7}", "s") for i in range(40)]
     labels = spark.createDataFrame([(11, 1, 1)], LABELS)
     path, folder = in_files(spark, docs[:20], 2), new_folder(spark, "audit")
-    filter_audit.run(spark, path, labels, folder, 1)
+    filter_audit.run(spark, path, labels, folder, 1, 5)
     spark.createDataFrame(docs[20:], "doc_id long, text string, source string").write.mode("append").parquet(path)
-    counters = filter_audit.run(spark, path, labels, folder, 1)
+    counters = filter_audit.run(spark, path, labels, folder, 1, 5)
     assert collected(filter_audit.report(counters, "ABCDE")) == brute_audit(docs, [(11, 1, 1)])
     assert len([f for f in os.listdir(f"{folder.removeprefix('file:')}/checkpoint/commits") if f.isdigit()]) >= 3
 
@@ -352,7 +354,7 @@ def test_audit_of_odd_and_empty_tables(spark):
     labels = [(1, 1, None), (1, 0, 1), (2, None, None), (3, 1, 1)]
     path = new_folder(spark, "docs")
     spark.createDataFrame([(*d, "x", 1) for d in docs], "doc_id long, text string, source string, mask string, salt int").write.parquet(path)
-    made = filter_audit.audit(spark, path, spark.createDataFrame(labels, LABELS), files_per_batch=3)
+    made = filter_audit.audit(spark, path, spark.createDataFrame(labels, LABELS), batches=3)
     assert collected(made) == brute_audit(docs, labels)
     none = new_folder(spark, "docs")
     spark.createDataFrame([], DOCS).coalesce(1).write.parquet(none)
