@@ -25,6 +25,7 @@ one. A kept column that has the name of a new one is replaced by it.
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -41,8 +42,16 @@ from .byte_bpe import to_bytes
 
 # A dictionary is closed after so many tokens of both sides.
 DICTIONARY_TOKENS = 4_000_000
+# Windows remembered per task.
+MEMORY = 400_000
 # Longer windows (tokens of one side) are aligned anew each time.
 REMEMBERED = 64
+# Characters of texts that are aligned together.
+SLICE_CHARS = 1_000_000
+# Longer texts are not given to the library for ranks.
+LONG = 200_000
+# Fixed value: how a byte-level vocabulary cuts text before it merges.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SPACE = "▁"
 _RESULT = [
     T.StructField("n_a", T.LongType()),
@@ -76,164 +85,250 @@ class Tokenizers:
 
 
 class Encoder:
-    """Ids of texts on both sides, ``None`` where the bytes of a side are not those of the text."""
+    """Ids of texts on both sides, ``None`` where the bytes of a side are not those of the text.
 
-    def __init__(self, vocabularies: Tokenizers) -> None:
-        import os
+    Where the merges of A stand in the order of their ids, as is usual, its
+    vocabulary is also one of ranks, and the faster library for ranks gives the
+    same ids; very long texts are left to the library of the JSON file.
+    """
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, vocabularies: Tokenizers) -> None:
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self._a = Tokenizer.from_str(vocabularies.byte_level)
-        # strings of special tokens inside a text are ordinary text
-        self._a.encode_special_tokens = True
+        self._json = vocabularies.byte_level
+        self._whole = None
         self._b = sentencepiece.SentencePieceProcessor(model_proto=vocabularies.pieces)
-        known = self._a.get_vocab(with_added_tokens=True)
-        self.a = [b""] * (max(known.values()) + 1)
+        described = json.loads(vocabularies.byte_level)
+        added = {t["content"]: t["id"] for t in described["added_tokens"]}
+        known = {t: n for t, n in described["model"]["vocab"].items() if t not in added}
+        self.a = [b""] * (max([*known.values(), *added.values()]) + 1)
         for token, number in known.items():
-            try:
-                self.a[number] = to_bytes(token)
-            except UnicodeEncodeError:  # an added token that is no byte-level text
-                self.a[number] = token.encode()
-        size = self._b.get_piece_size()
-        self.b = [piece_bytes(p) for p in self._b.id_to_piece(list(range(size)))]
-
-    def __call__(self, texts: list[str | None]) -> list[tuple[list[int], list[int]] | None]:
+            self.a[number] = to_bytes(token)
+        for token, number in added.items():
+            self.a[number] = token.encode()
+        self._ranks = self._by_rank(described, known)
+        self.b = [piece_bytes(p) for p in self._b.id_to_piece(list(range(self._b.get_piece_size())))]
+
+    def _by_rank(self, described: dict, known: dict[str, int]):
+        cut = described["pre_tokenizer"] or {}
+        merged = [known.get(m.replace(" ", "", 1) if isinstance(m, str) else "".join(m), -1) for m in described["model"]["merges"]]
+        ordered = len(merged) == len(known) - 256 and merged == sorted(known.values())[256:]
+        plain = described["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+        if not (ordered and plain):
+            return None
+        import tiktoken
+
+        ranks = {self.a[number]: number for number in known.values()}
+        return tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _first(self, text: str) -> list[int]:
+        if self._ranks is not None and len(text) <= LONG:
+            return self._ranks.encode_ordinary(text)
+        if self._whole is None:
+            from tokenizers import Tokenizer
+
+            self._whole = Tokenizer.from_str(self._json)
+            # strings of special tokens inside a text are ordinary text
+            self._whole.encode_special_tokens = True
+        return self._whole.encode(text, add_special_tokens=False).ids
+
+    def __call__(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         held = [i for i, t in enumerate(texts) if t]
         out: list = [None] * len(texts)
-        spaced = [" " + texts[i] for i in held]
-        first = [e.ids for e in self._a.encode_batch_fast(spaced, add_special_tokens=False)]
         second = self._b.encode([texts[i] for i in held], num_threads=1)
         a, b = self.a.__getitem__, self.b.__getitem__
-        for i, text, x, y in zip(held, spaced, first, second):
+        for i, y in zip(held, second):
+            text = " " + texts[i]
+            x = self._first(text)
             data = text.encode("utf-8", "replace")
             if b"".join(map(a, x)) == data and b"".join(map(b, y)) == data:
-                out[i] = (x, y)
+                out[i] = (np.array(x, np.int32), np.array(y, np.int32))
         return out
 
 
-def cut(a: list[int], b: list[int], length_a: list[int], length_b: list[int]) -> list[tuple[list[int], list[int]]]:
-    """Groups of two id sequences over the same bytes: they end where tokens of both sides end."""
-    groups = []
-    i = j = end_a = end_b = from_a = from_b = 0
-    n = len(a)
-    while i < n:
-        if end_a <= end_b:
-            end_a += length_a[a[i]]
-            i += 1
-        else:
-            end_b += length_b[b[j]]
-            j += 1
-        if end_a == end_b:
-            groups.append((a[from_a:i], b[from_b:j]))
-            from_a, from_b = i, j
-        elif i == n:
-            while end_b < end_a:
-                end_b += length_b[b[j]]
-                j += 1
-            groups.append((a[from_a:], b[from_b:j]))
-    return groups
-
-
-class _Grown:
-    """An array that grows at its end."""
-
-    def __init__(self, kind: type) -> None:
-        self.data = np.zeros(1 << 12, kind)
-        self.size = 0
-
-    def extend(self, values: list) -> None:
-        end = self.size + len(values)
-        if end > self.data.size:
-            self.data = np.concatenate([self.data, np.zeros(max(end, self.data.size), self.data.dtype)])
-        self.data[self.size : end] = values
-        self.size = end
+class _Lists:
+    """Numbered lists of numbers in one array."""
+
+    def __init__(self) -> None:
+        self.count = self.used = 0
+        self._ends = np.zeros(1 << 12, np.int64)
+        self._values = np.zeros(1 << 14, np.int64)
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        return array if size <= array.size else np.concatenate([array, np.zeros(max(size, array.size), array.dtype)])
+
+    def extend(self, sizes: np.ndarray, values: np.ndarray) -> None:
+        self._ends = self._room(self._ends, self.count + sizes.size)
+        self._values = self._room(self._values, self.used + values.size)
+        self._ends[self.count : self.count + sizes.size] = self.used + np.cumsum(sizes)
+        self._values[self.used : self.used + values.size] = values
+        self.count += sizes.size
+        self.used += values.size
+
+    def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes of some lists, and their values one list after the other."""
+        ends = self._ends[numbers]
+        firsts = np.where(numbers > 0, self._ends[numbers - 1], 0)
+        sizes = ends - firsts
+        return sizes, self._values[_ranges(firsts, sizes)]
+
+
+def _ranges(firsts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``first … first + size - 1`` of all ranges."""
+    return np.repeat(firsts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
 class Dictionary:
-    """Windows and id pairs of the texts of a task, numbered as they come."""
+    """Windows, groups and id pairs of the texts of a task, numbered as they come.
+
+    A window is known by its two id tuples and is a list of groups; a group is
+    known by its ids and is a list of pairs.
+    """
 
     def __init__(self, encoder: Encoder) -> None:
-        self._bytes = (encoder.a, encoder.b)
-        self._lengths = tuple([len(t) for t in tokens] for tokens in self._bytes)
-        self._sizes = tuple(np.array(lengths, np.int64) for lengths in self._lengths)
-        self._spaced = tuple(np.array([t[:1] == b" " for t in tokens]) for tokens in self._bytes)
+        self._sizes = tuple(np.array([len(t) for t in tokens], np.int64) for tokens in (encoder.a, encoder.b))
+        self._spaced = tuple(np.array([t[:1] == b" " for t in tokens]) for tokens in (encoder.a, encoder.b))
         self.clear()
 
     def clear(self) -> None:
         self.tokens = 0
-        self._windows: dict[tuple[bytes, bytes], int] = {}
+        self._windows: dict[bytes, int] = {}
+        self._groups: dict[tuple[bytes, bytes], int] = {}
         self._text: list[str] = []
-        self._of_window = [_Grown(np.int64) for _ in range(4)]  # first entry, entries, groups, links
-        self._entries = [_Grown(np.int64) for _ in range(2)]  # pair, times
+        self._of_window, self._of_group, self._times = _Lists(), _Lists(), _Lists()
+        self._links = _Lists()
         self._pairs: dict[int, int] = {}
         self._held = np.zeros(1 << 12, np.int64)
 
-    def _learn(self, a: bytes, b: bytes) -> int:
-        groups = cut(np.frombuffer(a, np.int32).tolist(), np.frombuffer(b, np.int32).tolist(), *self._lengths)
-        times: Counter = Counter()
-        links = 0
-        for x, y in groups:
-            links += len(x) * len(y)
-            if len(x) == len(y) == 1:
-                times[x[0] << 32 | y[0]] += 1
-                continue
-            for p, n in Counter(x).items():
-                for q, m in Counter(y).items():
-                    times[p << 32 | q] += n * m
+    def _starts(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = [np.cumsum(size[ids]) for size, ids in zip(self._sizes, (a, b))]
+        return tuple(np.concatenate([[0], e[:-1]]) for e in ends)
+
+    def _add_groups(self, keys: list[tuple[bytes, bytes]]) -> None:
+        sizes, numbers, values, links = [], [], [], []
         pairs = self._pairs
-        first = self._entries[0].size
-        self._entries[0].extend([pairs.setdefault(p, len(pairs)) for p in times])
-        self._entries[1].extend(list(times.values()))
-        for column, value in zip(self._of_window, (first, len(times), len(groups), links)):
-            column.extend([value])
-        self._text.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-        return len(self._text) - 1
-
-    def add(self, a: list[int], b: list[int]) -> tuple[int, int, str, bytes]:
-        """Number of groups and links, the groups in text, and the pairs with their times, packed."""
-        ids = np.array(a, np.int32), np.array(b, np.int32)
-        starts = []
-        for side in (0, 1):
-            ends = np.cumsum(self._sizes[side][ids[side]])
-            starts.append(np.concatenate([[0], ends[:-1]]))
-        marked = [s[m[i]] for s, m, i in zip(starts, self._spaced, ids)]
+        for key in keys:
+            x, y = (np.frombuffer(side, np.int32).tolist() for side in key)
+            times = {p << 32 | q: n * m for p, n in Counter(x).items() for q, m in Counter(y).items()}
+            sizes.append(len(times))
+            numbers += [pairs.setdefault(p, len(pairs)) for p in times]
+            values += times.values()
+            links.append(len(x) * len(y))
+            self._groups[key] = len(self._text)
+            self._text.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
+        self._of_group.extend(np.array(sizes), np.array(numbers))
+        self._times.extend(np.array(sizes), np.array(values))
+        self._links.extend(np.ones(len(keys), np.int64), np.array(links))
+
+    def _group_numbers(self, a: np.ndarray, b: np.ndarray, firsts: list[np.ndarray]) -> np.ndarray:
+        """Numbers of the groups of two id sequences that begin at ``firsts``."""
+        at_a, at_b = (np.append(f, ids.size) for f, ids in zip(firsts, (a, b)))
+        numbers = np.empty(at_a.size - 1, np.int64)
+        single = (np.diff(at_a) == 1) & (np.diff(at_b) == 1)
+        pairs, back = np.unique(a[firsts[0][single]].astype(np.int64) << 32 | b[firsts[1][single]], return_inverse=True)
+        ones = [(np.int32(p >> 32).tobytes(), np.int32(p & 0xFFFFFFFF).tobytes()) for p in pairs.tolist()]
+        data_a, data_b, rest = a.tobytes(), b.tobytes(), np.flatnonzero(~single)
+        bounds = [(at[rest + i] * 4).tolist() for at in (at_a, at_b) for i in (0, 1)]
+        many = [(data_a[p:q], data_b[r:t]) for p, q, r, t in zip(*bounds)]
+        known = self._groups
+        new = [key for key in dict.fromkeys([*ones, *many]) if key not in known]
+        if new:
+            self._add_groups(new)
+        numbers[single] = np.fromiter(map(known.__getitem__, ones), np.int64, len(ones))[back]
+        numbers[rest] = np.fromiter(map(known.__getitem__, many), np.int64, len(many))
+        return numbers
+
+    def _add_windows(self, keys: list[bytes]) -> None:
+        """Align windows: both sides end at the end of each, so they can be put one after the other."""
+        ids = np.frombuffer(b"".join(keys), np.int32)
+        of_a = ids >= 0
+        a, b = ids[of_a], ~ids[~of_a]
+        starts = self._starts(a, b)
+        shared = np.intersect1d(*starts, assume_unique=True)
+        firsts = [np.searchsorted(s, shared) for s in starts]
+        # How many tokens of A, and then groups, begin before each window.
+        ends = np.cumsum(np.fromiter(map(len, keys), np.int64, len(keys))) // 4
+        tokens = np.concatenate([[0], np.cumsum(of_a)])[np.concatenate([[0], ends])]
+        self._of_window.extend(np.diff(np.searchsorted(firsts[0], tokens)), self._group_numbers(a, b, firsts))
+
+    def _window_numbers(self, keys: list[bytes]) -> np.ndarray:
+        known = self._windows
+        numbers = list(map(known.get, keys))
+        if None in numbers:
+            missing = list(dict.fromkeys(k for k, n in zip(keys, numbers) if n is None))
+            first = self._of_window.count
+            self._add_windows(missing)
+            new = dict(zip(missing, range(first, first + len(missing))))
+            numbers = [new[k] if n is None else n for k, n in zip(keys, numbers)]
+            known.update(new)
+            for key in missing:
+                if len(key) > 8 * REMEMBERED:
+                    del known[key]
+        return np.array(numbers)
+
+    def add(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int, str, bytes]]:
+        """Per text: numbers of groups and links, the groups in text, and the pairs with their times, packed."""
+        # A text begins with a space on both sides, so it begins at an anchor and texts can be put one after the other.
+        a, b = (np.concatenate(side) for side in zip(*texts))
+        starts = self._starts(a, b)
+        marked = [s[m[i]] for s, m, i in zip(starts, self._spaced, (a, b))]
         anchors = np.intersect1d(*marked, assume_unique=True)
-        cuts = [(np.searchsorted(s, anchors[anchors > 0]) * 4).tolist() for s in starts]
-        data = [i.tobytes() for i in ids]
-        at_a, at_b = [0, *cuts[0], len(data[0])], [0, *cuts[1], len(data[1])]
-        (data_a, data_b), known, learn = data, self._windows, self._learn
-        keys = [(data_a[p:q], data_b[r:s]) for p, q, r, s in zip(at_a, at_a[1:], at_b, at_b[1:])]
-        windows = list(map(known.get, keys))
-        if None in windows:
-            for i, key in enumerate(keys):
-                if windows[i] is None:
-                    number = known.get(key)
-                    if number is None:
-                        number = learn(*key)
-                        if len(key[0]) <= 4 * REMEMBERED and len(key[1]) <= 4 * REMEMBERED:
-                            known[key] = number
-                    windows[i] = number
-        number, times = np.unique(np.array(windows), return_counts=True)
-        first, entries, groups, links = (column.data[number] for column in self._of_window)
-        place = np.repeat(first - (np.cumsum(entries) - entries), entries) + np.arange(entries.sum())
-        pairs, back = np.unique(self._entries[0].data[place], return_inverse=True)
-        weights = self._entries[1].data[place] * np.repeat(times, entries)
-        total = np.zeros(pairs.size, np.int64)
-        np.add.at(total, back, weights)
-        if len(self._pairs) > self._held.size:
-            self._held = np.concatenate([self._held, np.zeros(len(self._pairs), np.int64)])
-        self._held[pairs] += 1
-        self.tokens += len(a) + len(b)
-        text = ";".join(map(self._text.__getitem__, windows))
-        packed = pairs.astype("<u4").tobytes() + total.astype("<u8").tobytes()
-        return int((groups * times).sum()), int((links * times).sum()), text, packed
-
-    def packed(self) -> bytes:
-        """Per pair, in order of number: the two ids and the texts that hold it."""
-        pairs = np.fromiter(self._pairs, np.uint64, len(self._pairs))
-        return pairs.astype("<u8").tobytes() + self._held[: pairs.size].astype("<u8").tobytes()
+        firsts = [np.searchsorted(s, anchors) for s in starts]
+        # A window's key is its ids of A and, as negative numbers, of B.
+        both = np.empty(a.size + b.size, np.int32)
+        for side, ids, other in ((0, a, firsts[1]), (1, ~b, np.append(firsts[0][1:], a.size))):
+            own = np.diff(np.append(firsts[side], ids.size))
+            both[np.arange(ids.size) + np.repeat(other, own)] = ids
+        data, bounds = both.tobytes(), ((firsts[0] + firsts[1]) * 4).tolist()
+        keys = [data[p:q] for p, q in zip(bounds, [*bounds[1:], len(data)])]
+        sizes, groups = self._of_window.get(self._window_numbers(keys))
+        owner = np.searchsorted(np.cumsum([len(x) for x, _ in texts]), firsts[0], side="right")
+        of_text = np.repeat(owner, sizes)
+        n = len(texts)
+        ends = np.cumsum(np.bincount(of_text, minlength=n)).tolist()
+        links = np.zeros(n, np.int64)
+        np.add.at(links, of_text, self._links.get(groups)[1])
+        sizes, pairs = self._of_group.get(groups)
+        _, times = self._times.get(groups)
+        width = len(self._pairs)
+        cells, back = np.unique(np.repeat(of_text, sizes) * width + pairs, return_inverse=True)
+        total = np.zeros(cells.size, np.int64)
+        np.add.at(total, back, times)
+        pairs = cells % width
+        if width > self._held.size:
+            self._held = np.concatenate([self._held, np.zeros(width, np.int64)])
+        np.add.at(self._held, pairs, 1)
+        self.tokens += a.size + b.size
+        cuts = np.searchsorted(cells, np.arange(n + 1) * width).tolist()
+        shown = list(map(self._text.__getitem__, groups.tolist()))
+        pairs, total = pairs.astype("<u4"), total.astype("<u8")
+        out = []
+        for i, (first, end) in enumerate(zip([0, *ends], ends)):
+            packed = pairs[cuts[i] : cuts[i + 1]].tobytes() + total[cuts[i] : cuts[i + 1]].tobytes()
+            out.append((end - first, int(links[i]), ";".join(shown[first:end]), packed))
+        return out
+
+    def close(self) -> bytes:
+        """Per pair met since the last call: its number, the two ids and the texts that hold it."""
+        met = np.flatnonzero(self._held)
+        pairs = np.fromiter(self._pairs, np.int64, len(self._pairs))[met]
+        packed = b"".join(column.astype("<i8").tobytes() for column in (met, pairs, self._held[met]))
+        self.tokens = 0
+        self._held[:] = 0
+        if len(self._windows) > MEMORY:
+            self.clear()
+        return packed
+
+
+def _slices(texts: list[str | None]) -> Iterator[slice]:
+    """Texts that are aligned together: few, or one that is long."""
+    first = size = 0
+    for i, text in enumerate(texts):
+        size += len(text or "")
+        if size >= SLICE_CHARS or i + 1 - first >= rows.SLICE or i + 1 == len(texts):
+            yield slice(first, i + 1)
+            first, size = i + 1, 0
 
 
 def _tasks(docs: DataFrame, vocabularies: Tokenizers, text: str, keep: list[str]) -> DataFrame:
@@ -256,27 +351,28 @@ def _tasks(docs: DataFrame, vocabularies: Tokenizers, text: str, keep: list[str]
 
         def close() -> pa.RecordBatch:
             empty = [pa.nulls(1, field.type) for field in list(made)[:n]]
-            values = [None, None, None, None, None, number, None, dictionary.packed()]
+            values = [None, None, None, None, None, number, None, dictionary.close()]
             return pa.RecordBatch.from_arrays([*empty, *(pa.array([v], t) for v, t in zip(values, types))], schema=made)
 
         for batch in batches:
             if made is None:
                 fields = [pa.field(f.name, f.type) for f in list(batch.schema)[:n]]
                 made = pa.schema([*fields, *(pa.field(c, t) for c, t in zip(names, types))])
-            for at in range(0, batch.num_rows, rows.SLICE):
-                part = batch.slice(at, rows.SLICE)
+            texts = batch.column(n).to_pylist()
+            for taken in _slices(texts):
+                part = batch.slice(taken.start, taken.stop - taken.start)
+                ids = encoder(texts[taken])
+                held = [pair for pair in ids if pair]
+                found = iter(dictionary.add(held) if held else ())
                 out = []
-                for ids in encoder(part.column(n).to_pylist()):
-                    if ids is None:
-                        out.append((0, 0, 0, 0, "", number, b"", None))
-                        continue
-                    groups, links, shown, packed = dictionary.add(*ids)
-                    out.append((len(ids[0]), len(ids[1]), groups, links, shown, number, packed, None))
+                for pair in ids:
+                    groups, links, shown, packed = next(found) if pair else (0, 0, "", b"")
+                    lengths = (pair[0].size, pair[1].size) if pair else (0, 0)
+                    out.append((*lengths, groups, links, shown, number, packed, None))
                 columns = [pa.array(list(values), t) for values, t in zip(zip(*out), types)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n], *columns], schema=made)
                 if dictionary.tokens >= DICTIONARY_TOKENS:
                     yield close()
-                    dictionary.clear()
                     number += 1
         if dictionary.tokens:
             yield close()
@@ -287,17 +383,16 @@ def _tasks(docs: DataFrame, vocabularies: Tokenizers, text: str, keep: list[str]
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for number, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            pairs, held = np.frombuffer(packed, "<u8").reshape(2, -1)
+            numbers, pairs, held = np.frombuffer(packed, "<i8").reshape(3, -1)
             for at in range(0, pairs.size, 1 << 16):
                 part = slice(at, at + (1 << 16))
-                size = pairs[part].size
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(size, number, np.int64)),
-                        pa.array(np.arange(at, at + size, dtype=np.int32)),
-                        pa.array((pairs[part] >> np.uint64(32)).astype(np.int32)),
-                        pa.array((pairs[part] & np.uint64(0xFFFFFFFF)).astype(np.int32)),
-                        pa.array(held[part].astype(np.int64)),
+                        pa.array(np.full(pairs[part].size, number, np.int64)),
+                        pa.array(numbers[part].astype(np.int32)),
+                        pa.array((pairs[part] >> 32).astype(np.int32)),
+                        pa.array((pairs[part] & 0xFFFFFFFF).astype(np.int32)),
+                        pa.array(held[part]),
                     ],
                     names=["dictionary", "number", "a", "b", "held"],
                 )
@@ -306,8 +401,8 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _score(texts: pa.Table, found: pa.Table) -> pa.Table:
     """Sums over the links of each text of a dictionary."""
     order = found.column("number").to_numpy()
-    count = np.zeros(order.size, np.int64)
-    best = np.zeros(order.size, np.int64)
+    count = np.zeros(int(order.max()) + 1 if order.size else 0, np.int64)
+    best = np.zeros_like(count)
     count[order] = found.column("held").to_numpy()
     best[order] = found.column("best").to_numpy(zero_copy_only=False)
     sums = []
