@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..constants import VECTOR_SCORE
 from ..schemas import SPAN, SPAN_KEY, span_type
 from .lexical import LexicalIndex, bm25_topk
-from .vectors import EmbedFactory, embed_text, knn, knn_lsh
+from .vectors import PROBED_SHARE, CellIndex, EmbedFactory, embed_text, knn, knn_lsh
 
 
 def hybrid_candidates(lexical: DataFrame, nearest: DataFrame, vector_score: float = VECTOR_SCORE) -> DataFrame:
@@ -57,23 +57,23 @@ def cut(fused: DataFrame, k: int) -> DataFrame:
 def hybrid_topk(
     queries: DataFrame,
     index: LexicalIndex,
-    vectors: DataFrame,
+    vectors: CellIndex,
     k: int,
     embed_factory: EmbedFactory | None = None,
-    probes: int | None = None,
+    share: float | None = PROBED_SHARE,
 ) -> DataFrame:
     """Ranked spans of each query, best ``k`` of both searches.
 
-    The lexical side cleans the question, the vector side embeds it as it is.
-    With ``probes`` the vector side is approximate and ``vectors`` needs cells.
+    The lexical side cleans the question, the vector side embeds it as it is
+    and looks into ``share`` of the vectors; with ``None`` it is exact.
     """
     lexical = bm25_topk(queries, index, k)
     asked = embed_text(queries.select("query_id", "question"), "question", embed_factory)
     asked = asked.select("query_id", "embedding")
-    if probes is None:
-        nearest = knn(asked, vectors, k, "l2", SPAN)
+    if share is None:
+        nearest = knn(asked, vectors.vectors, k, "l2", SPAN)
     else:
-        nearest = knn_lsh(asked, vectors, k, "l2", SPAN, probes=probes)
+        nearest = knn_lsh(asked, vectors, k, SPAN, share)
     return cut(dedupe(fuse(hybrid_candidates(lexical, nearest))), k)
 
 

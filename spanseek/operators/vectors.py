@@ -3,7 +3,7 @@
 Exact search compares every query with every vector, but never forms the
 pairs as rows: a task multiplies its Arrow batches of vectors with the query
 matrix, keeps the best k per query and gives them out once. Approximate search
-does the same within the cells a query looks into. Queries reach the tasks in
+does the same within the trained cells a query looks into. Queries reach the tasks in
 blocks, each a broadcast of bounded size; vectors do not move, and the rows do
 not depend on the size of a block.
 """
@@ -12,8 +12,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import reduce
-from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -33,8 +33,15 @@ EmbedFactory = Callable[[], Callable[[list[str]], np.ndarray]]
 
 # Queries are broadcast in blocks of this size (numbers, 8 bytes each).
 MAX_QUERY_NUMBERS = 8_000_000
-# Hyperplanes that cut the space into cells.
-DEFAULT_BITS = 6
+# Trained cells: how many for the root of the number of rows, and at most.
+CELLS_PER_ROOT = 16
+MAX_CELLS = 16_384
+# Numbers in the sample cells are trained on, and rounds of training.
+SAMPLE_NUMBERS = 8_000_000
+TRAIN_ROUNDS = 4
+# A query is compared with this share of the rows, or with so many rows.
+PROBED_SHARE = 0.25
+LEAST_ROWS = 4096
 # More cells than this are not listed in the filter of a scan.
 _MAX_LISTED_CELLS = 10_000
 _QUERY_BLOCK = 256
@@ -160,9 +167,9 @@ class _RunningBest:
         # Which queries look into a cell; without probes one cell holds all rows and queries.
         self._askers: dict[int, np.ndarray] | None = None
         if probes is not None:
-            owner = np.repeat(np.arange(len(queries)), probes.shape[1])
-            order = np.argsort(probes.ravel(), kind="stable")
-            cells, starts = np.unique(probes.ravel()[order], return_index=True)
+            owner, probed = probes
+            order = np.argsort(probed, kind="stable")
+            cells, starts = np.unique(probed[order], return_index=True)
             self._askers = dict(zip(cells.tolist(), np.split(owner[order], starts[1:])))
 
     def _groups(self, batch: pa.RecordBatch):
@@ -292,85 +299,150 @@ def knn(
 # --- approximate search ---------------------------------------------------------
 
 
-def _hyperplanes(width: int, bits: int, seed: int) -> np.ndarray:
-    """Pseudo-random normals in (-1, 1), from a formula any engine can repeat."""
-    dimension, bit = np.arange(width)[:, None], np.arange(bits)[None, :]
-    noise = np.sin(dimension * 12.9898 + bit * 78.233 + seed) * 43758.5453
-    return 2.0 * (noise - np.floor(noise)) - 1.0
+@dataclass(frozen=True)
+class CellIndex:
+    """Vectors sorted into trained cells.
 
+    ``vectors`` has keys, ``embedding`` and ``cell``; ``cells`` is ``(cell,
+    centre)`` and ``places`` ``(file, cell, rows)``, both of bounded size.
+    ``read`` opens some of the files.
+    """
+
+    vectors: DataFrame
+    cells: DataFrame
+    places: DataFrame
+    metric: str
+    read: Callable[[list[str]], DataFrame]
+
+
+def _placed(matrix: np.ndarray, metric: str) -> np.ndarray:
+    """Vectors as cells see them: directions for ``cosine``."""
+    if metric != "cosine":
+        return matrix
+    lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
+
+
+def _nearest(matrix: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    squares = (centres**2).sum(axis=1)
+    parts = [squares - 2.0 * (matrix[at : at + _QUERY_BLOCK] @ centres.T) for at in range(0, len(matrix), _QUERY_BLOCK)]
+    return np.concatenate([p.argmin(axis=1) for p in parts]) if parts else np.zeros(0, np.int64)
+
+
+def _k_means(matrix: np.ndarray, n_cells: int, rounds: int) -> np.ndarray:
+    """Centres of ``matrix``, near ones next to each other; rows spread over it are the start."""
+    place = np.arange(len(matrix))
+    centres = matrix[(place + 1) * n_cells // len(matrix) > place * n_cells // len(matrix)].copy()
+    for _ in range(rounds):
+        owner = _nearest(matrix, centres)
+        order = np.argsort(owner, kind="stable")
+        held, starts = np.unique(owner[order], return_index=True)
+        sums = np.add.reduceat(matrix[order], starts, axis=0)
+        centres[held] = sums / np.diff(np.append(starts, len(order)))[:, None]
+    middle = centres - centres.mean(axis=0)
+    along = np.linalg.svd(middle, full_matrices=False)[2][0] if len(centres) > 1 else np.zeros(centres.shape[1])
+    return centres[np.argsort(middle @ along, kind="stable")]
 
-def _cell_numbers(margins: np.ndarray) -> np.ndarray:
-    return (margins > 0) @ (1 << np.arange(margins.shape[1], dtype=np.int64))
 
+def train_cells(
+    vectors: DataFrame,
+    metric: str = "l2",
+    n_cells: int | None = None,
+    sample_numbers: int = SAMPLE_NUMBERS,
+    rounds: int = TRAIN_ROUNDS,
+    seed: int = 7,
+) -> DataFrame:
+    """``(cell, centre)`` of k-means over a sample of at most about ``sample_numbers`` numbers.
+
+    There are ``CELLS_PER_ROOT`` times as many cells as the root of the number
+    of rows, with four rows each on average at least, and at most ``MAX_CELLS``.
+    The sample is bounded, so one task trains on it, whatever the table's size.
+    """
+    stored = vectors.select("embedding")
+    n_rows, width = stored.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
+    most = max(1, sample_numbers // max(1, width))
+    wanted = n_cells or max(1, min(MAX_CELLS, most // 4, int(CELLS_PER_ROOT * n_rows**0.5), n_rows // 4))
+    sample = stored if n_rows <= most else stored.sample(most / n_rows, seed)
 
-def assign_cells(vectors: DataFrame, bits: int = DEFAULT_BITS, seed: int = 7) -> DataFrame:
-    """Add ``cell``: which side of ``bits`` random hyperplanes a vector is on."""
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [_matrix(b.column(0)) for b in batches if b.num_rows]
+        if parts:
+            matrix = _placed(np.concatenate(parts), metric)
+            centres = _k_means(matrix, min(wanted, len(matrix)), rounds)
+            cells = pa.array(np.arange(len(centres), dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([cells, pa.array(list(centres), pa.list_(pa.float64()))], names=["cell", "centre"])
 
-    @F.arrow_udf("bigint")
+    return stage(sample.coalesce(1).mapInArrow(train, "cell int, centre array<double>"), "cells")
+
+
+def _centres(cells: DataFrame) -> np.ndarray:
+    """At most ``MAX_CELLS`` centres, in order of their cells."""
+    table = cells.select("cell", "centre").toArrow().sort_by("cell")
+    return _matrix(table.column("centre"))
+
+
+def assign_cells(vectors: DataFrame, cells: DataFrame, metric: str = "l2") -> DataFrame:
+    """Add ``cell``: the one with the nearest centre. Every row gets one."""
+    shared = vectors.sparkSession.sparkContext.broadcast(_centres(cells))
+
+    @F.arrow_udf("int")
     def cell(embedding: pa.Array) -> pa.Array:
         matrix = _matrix(embedding)
-        if len(matrix) == 0:
-            return pa.array([], pa.int64())
-        return pa.array(_cell_numbers(matrix @ _hyperplanes(matrix.shape[1], bits, seed)))
+        return pa.array(_nearest(_placed(matrix, metric), shared.value) if len(matrix) else [], pa.int32())
 
     return vectors.withColumn("cell", cell(F.col("embedding")))
 
 
+def _probes(queries: np.ndarray, centres: np.ndarray, sizes: np.ndarray, rows: float) -> tuple[np.ndarray, np.ndarray]:
+    """``(query, cell)`` pairs: the nearest cells that hold at most ``rows`` rows together, and the nearest in any case."""
+    squares, owners, cells = (centres**2).sum(axis=1), [], []
+    for at in range(0, len(queries), _QUERY_BLOCK):
+        block = queries[at : at + _QUERY_BLOCK]
+        order = np.argsort(squares - 2.0 * (block @ centres.T), axis=1, kind="stable")
+        taken = np.cumsum(sizes[order], axis=1) <= rows
+        taken[:, 0] = True
+        query, place = np.nonzero(taken)
+        owners.append(query + at)
+        cells.append(order[query, place])
+    return (np.concatenate(owners), np.concatenate(cells)) if owners else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
 def knn_lsh(
     queries: DataFrame,
-    cells: DataFrame,
+    index: CellIndex,
     k: int,
-    metric: str = "l2",
     keys: list[str] | None = None,
-    bits: int = DEFAULT_BITS,
-    seed: int = 7,
-    probes: int = 16,
+    share: float = PROBED_SHARE,
     max_query_numbers: int = MAX_QUERY_NUMBERS,
 ) -> DataFrame:
-    """Approximate ``knn``: each query looks into the ``probes`` most likely cells.
+    """Approximate ``knn`` in the metric of the index: each query looks into its nearest cells only.
 
-    ``cells`` is the output of ``assign_cells`` with the same ``bits``, best
-    stored sorted by ``cell`` (``write_vectors``): pages of cells no query asks
-    for are then skipped, and a query is multiplied with the rows of its own
-    cells only. A cell that holds a large share of the vectors is spread over
-    all files, so no cell becomes one task's work. The rows do not depend on
+    These hold at most ``share`` of all rows, or ``LEAST_ROWS`` if that is more,
+    so small tables are searched whole. Rows of the probed cells are compared
+    exactly. Files without a probed cell are not opened, pages without one not
+    read. A cell that holds a large share of the vectors is spread over several
+    files, so no cell becomes one task's work. The rows do not depend on
     ``max_query_numbers``.
     """
     keys = keys or ["vec_id"]
+    places = index.places.toArrow().to_pandas()
+    centres = _centres(index.cells)
+    sizes = np.zeros(len(centres), np.int64)
+    np.add.at(sizes, places["cell"].to_numpy(), places["rows"].to_numpy())
+    most = max(LEAST_ROWS, share * sizes.sum())
 
     def blocks():
         for table in _query_blocks(queries, max_query_numbers):
-            wanted = _probe_cells(_matrix(table.column("embedding")), bits, seed, probes)
-            # At most as many cells as there are, and as a block's queries ask for.
-            listed = [int(c) for c in np.unique(wanted)]
-            inside = F.col("cell").isin(listed) if len(listed) < _MAX_LISTED_CELLS else F.lit(True)
-            yield table, cells.where(inside).select(*keys, "embedding", "cell"), wanted
-
-    return _search(blocks(), cells, keys, k, metric, _found_schema(queries, cells, keys))
-
-
-def _probe_cells(queries: np.ndarray, bits: int, seed: int, probes: int) -> np.ndarray:
-    """Per query the cells with the least total margin to cross, nearest first.
-
-    Sets of bits to flip are made in order of their cost: from a set, the next
-    ones replace its dearest bit by the following one or add that to it.
-    """
-    if len(queries) == 0:
-        return np.zeros((0, 1), dtype=np.int64)
-    margins = queries @ _hyperplanes(queries.shape[1], bits, seed)
-    own = _cell_numbers(margins)
-    wanted = min(probes, 1 << bits)
-    out = np.empty((len(queries), wanted), dtype=np.int64)
-    for i, row in enumerate(margins**2):
-        by_cost = np.argsort(row, kind="stable").tolist()
-        cost = [float(row[b]) for b in by_cost]
-        out[i, 0] = own[i]
-        heap = [(cost[0], 0, 1 << by_cost[0])] if bits else []
-        for place in range(1, wanted):
-            total, last, mask = heappop(heap)
-            out[i, place] = own[i] ^ mask
-            if last + 1 < bits:
-                step, bit = cost[last + 1], 1 << by_cost[last + 1]
-                heappush(heap, (total + step, last + 1, mask | bit))
-                heappush(heap, (total - cost[last] + step, last + 1, mask ^ (1 << by_cost[last]) | bit))
-    return out
+            probes = _probes(_placed(_matrix(table.column("embedding")), index.metric), centres, sizes, most) if len(centres) else None
+            read = index.vectors
+            if probes is not None:
+                listed = np.unique(probes[1])
+                held = places["cell"].isin(listed)
+                # Sorted by cell, a file holds few cells, so most files are left alone.
+                if held.sum() < len(places):
+                    read = index.read(sorted(set(places["file"][held]))) if held.any() else read.limit(0)
+                    if len(listed) < _MAX_LISTED_CELLS:
+                        read = read.where(F.col("cell").isin(listed.tolist()))
+            yield table, read.select(*keys, "embedding", "cell"), probes
+
+    return _search(blocks(), index.vectors, keys, k, index.metric, _found_schema(queries, index.vectors, keys))

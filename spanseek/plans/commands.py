@@ -31,7 +31,7 @@ class Store:
 
     chunks: DataFrame
     index: lexical.LexicalIndex
-    vectors: DataFrame
+    vectors: vectors.CellIndex
 
 
 def validate_k(value) -> int:
@@ -75,8 +75,9 @@ def build_store(
     if stored.isEmpty():
         return None
     index = lexical.write_index(stored, f"{place}/index", buckets)
-    embedded = vectors.embed_text(stored, "content", embed_factory).select(*SPAN, "embedding")
-    found = stores.write_vectors(vectors.assign_cells(embedded), f"{place}/vectors")
+    # Training, assigning and storing read the vectors, so a model embeds them once before.
+    embedded = stage(vectors.embed_text(stored, "content", embed_factory).select(*SPAN, "embedding"), "embedded")
+    found = stores.write_vectors(embedded, f"{place}/vectors")
     stores.publish(chunks.sparkSession, path, version)
     return Store(stored, index, found)
 
@@ -135,12 +136,14 @@ def search(
     question: str,
     k: int = DEFAULT_K,
     embed_factory: vectors.EmbedFactory | None = None,
-    probes: int | None = None,
+    share: float | None = vectors.PROBED_SHARE,
 ) -> DataFrame:
     """Ranked spans ``(rank, span)`` for one question.
 
     The batch search on one row; as the terms are known beforehand, they are
-    pushed into the scans of the tables that are sorted by term.
+    pushed into the scans of the tables that are sorted by term, and only the
+    files with cells near the question are opened. ``share`` is the part of the
+    vectors it is compared with; ``None`` compares all.
     """
     asked = _one_question(spark, question)
     terms = asked.select(F.array_distinct(query_terms(F.col("question")))).first()[0]
@@ -148,7 +151,7 @@ def search(
     if len(terms) <= _MAX_PRUNING_TERMS:
         wanted = F.col("term").isin(terms)
         index = replace(index, postings=index.postings.where(wanted), term_stats=index.term_stats.where(wanted))
-    ranked = hybrid.hybrid_topk(_queries(asked), index, store.vectors, validate_k(k), embed_factory, probes)
+    ranked = hybrid.hybrid_topk(_queries(asked), index, store.vectors, validate_k(k), embed_factory, share)
     return ranked.select("rank", *SPAN)
 
 
@@ -157,15 +160,15 @@ def search_dataset(
     store: Store,
     k: int = DEFAULT_K,
     embed_factory: vectors.EmbedFactory | None = None,
-    probes: int | None = None,
+    share: float | None = None,
 ) -> DataFrame:
     """``(pos, question_id, question_str, retrieved_sources)`` for all questions at once.
 
-    Nearest vectors are exact; ``probes`` makes them approximate, which reads
-    less of a large store.
+    Nearest vectors are exact; ``share`` makes them approximate. Many questions
+    together look into most cells, so that saves multiplications, not reads.
     """
     ranked = hybrid.hybrid_topk(
-        _queries(questions), store.index, store.vectors, validate_k(k), embed_factory, probes
+        _queries(questions), store.index, store.vectors, validate_k(k), embed_factory, share
     )
     return hybrid.pack_results(questions, ranked)
 
@@ -192,10 +195,10 @@ def answer(
     k: int = DEFAULT_K,
     docs: DataFrame | None = None,
     embed_factory: vectors.EmbedFactory | None = None,
-    probes: int | None = None,
+    share: float | None = vectors.PROBED_SHARE,
 ) -> DataFrame:
     """One question: retrieve, then answer; a result of one row."""
-    ranked = search(spark, store, question, k, embed_factory, probes).withColumn("query_id", F.lit(0))
+    ranked = search(spark, store, question, k, embed_factory, share).withColumn("query_id", F.lit(0))
     results = hybrid.pack_results(_one_question(spark, question), ranked)
     return answer_dataset(stage(results, "results"), generator_factory, docs)
 

@@ -298,14 +298,14 @@ def knn_l2(spark, sf_dir):
 @_query
 def knn_cosine(spark, sf_dir):
     stored = tables.table(spark, sf_dir, "embeddings")
-    return vectors.knn(tables.label_centres(spark, sf_dir), stored, DEFAULT_K, "cosine")
+    return vectors.knn(tables.vector_queries(spark, sf_dir), stored, DEFAULT_K, "cosine")
 
 
 @_query
 def knn_lsh(spark, sf_dir):
-    cells = vectors.assign_cells(tables.table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
-    stored = stores.write_vectors(cells, new_folder(spark, "vectors"))
-    return vectors.knn_lsh(tables.label_centres(spark, sf_dir), stored, DEFAULT_K, "cosine")
+    stored = tables.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = stores.write_vectors(stored, new_folder(spark, "vectors"), "cosine")
+    return vectors.knn_lsh(tables.vector_queries(spark, sf_dir), index, DEFAULT_K)
 
 
 @_query
@@ -322,13 +322,13 @@ def hybrid_candidates(spark, sf_dir):
     store, asked = _store(spark, sf_dir), _asked(spark, sf_dir)
     hits = lexical.bm25_topk(asked, store.index, DEFAULT_K)
     embedded = vectors.embed_text(asked, "question").select("query_id", "embedding")
-    return hybrid.hybrid_candidates(hits, vectors.knn(embedded, store.vectors, DEFAULT_K, "l2", SPAN))
+    return hybrid.hybrid_candidates(hits, vectors.knn(embedded, store.vectors.vectors, DEFAULT_K, "l2", SPAN))
 
 
 @_query
 def hybrid_topk(spark, sf_dir):
     store = _store(spark, sf_dir)
-    return hybrid.hybrid_topk(_asked(spark, sf_dir), store.index, store.vectors, DEFAULT_K)
+    return hybrid.hybrid_topk(_asked(spark, sf_dir), store.index, store.vectors, DEFAULT_K, share=None)
 
 
 def _longest_question(spark: SparkSession, sf_dir: str) -> str:

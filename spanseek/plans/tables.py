@@ -186,12 +186,7 @@ def source_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr("doc_id AS pos", "source AS question_id")
 
 
-def label_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mean vector of each label, as ``(query_id, embedding)``."""
-    cells = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("at", "x"))
-    means = cells.groupBy("label", "at").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    # One entry per dimension and label: the gathered list has a fixed length.
-    ordered = F.sort_array(F.collect_list(F.struct("at", "x")))
-    return means.groupBy(F.col("label").cast("long").alias("query_id")).agg(
-        F.transform(ordered, lambda e: e["x"]).alias("embedding")
-    )
+def vector_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every twentieth vector as a query, ``(query_id, embedding)``."""
+    rows = table(spark, sf_dir, "embeddings").where("vec_id % 20 = 0")
+    return rows.select(F.col("vec_id").alias("query_id"), "embedding")

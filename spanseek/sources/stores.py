@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import MTIME_TOLERANCE
+from ..operators.vectors import CellIndex, assign_cells, train_cells
 from ..schemas import chunk, ingest_state
-
+from ..staging import partitions_for
 
 _VERSIONS = "versions"
+# Bytes of vectors per file, by the estimate of their size.
+_FILE_BYTES = 128 << 20
 
 
 def new_version() -> str:
@@ -50,21 +53,38 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(chunk).parquet(path)
 
 
-def write_vectors(cells: DataFrame, path: str) -> DataFrame:
-    """Replace the vector store at ``path``, sorted by ``cell`` within each file.
+def write_vectors(vectors: DataFrame, path: str, metric: str = "l2", file_bytes: int = _FILE_BYTES) -> CellIndex:
+    """Sort ``vectors`` into trained cells and store them at ``path`` in the order of the cells.
 
-    Overwrites: a second build leaves no rows of the first behind. Sorting lets
-    a scan skip the pages of cells it does not ask for. Rows stay in their
-    tasks: no shuffle, no file per task and cell, and a cell with very many
-    vectors is spread over all files.
+    One shuffle by range of (cell, key hash): a file holds few neighbouring
+    cells, and a cell with very many vectors is cut over several files.
+    ``cells`` (centres) and ``places`` (rows per file and cell) are small tables
+    beside the ``data``. Overwrites: a second build leaves no rows of the first.
     """
-    cells.sortWithinPartitions("cell").write.mode("overwrite").parquet(path)
-    return read_vectors(cells.sparkSession, path)
-
-
-def read_vectors(spark: SparkSession, path: str) -> DataFrame:
-    """Vectors with their keys and ``cell``."""
-    return spark.read.parquet(path)
+    cells = train_cells(vectors, metric)
+    cells.withColumn("metric", F.lit(metric)).coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")
+    files = partitions_for(vectors, file_bytes)
+    spread = F.xxhash64(*vectors.columns)
+    placed = assign_cells(vectors, cells, metric)
+    ordered = placed.repartitionByRange(files, "cell", spread).sortWithinPartitions("cell")
+    ordered.write.mode("overwrite").parquet(f"{path}/data")
+    stored = vectors.sparkSession.read.schema(ordered.schema).parquet(f"{path}/data")
+    places = stored.groupBy(F.col("_metadata.file_path").alias("file"), "cell").agg(F.count("*").alias("rows"))
+    places.coalesce(1).write.mode("overwrite").parquet(f"{path}/places")
+    return read_vectors(vectors.sparkSession, path)
+
+
+def read_vectors(spark: SparkSession, path: str) -> CellIndex:
+    """Open a vector store; a missing one is an error (``AnalysisException``)."""
+    vectors = spark.read.parquet(f"{path}/data")
+    cells = spark.read.parquet(f"{path}/cells")
+    metric = cells.select("metric").first()
+
+    def read(files: list[str]) -> DataFrame:
+        return spark.read.schema(vectors.schema).parquet(*files)
+
+    places = spark.read.schema("file string, cell int, rows long").parquet(f"{path}/places")
+    return CellIndex(vectors, cells, places, metric[0] if metric else "l2", read)
 
 
 def write_state(

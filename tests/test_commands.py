@@ -48,7 +48,7 @@ def echo_factory():
 def test_chunks_cover_the_tree(store, tree):
     files = {r.file_path for r in store.chunks.select("file_path").distinct().collect()}
     assert files == {f"{tree}/pkg/cache.py", f"{tree}/guide.md", f"{tree}/LICENSE"}
-    assert store.vectors.count() == store.chunks.count() == store.index.corpus_stats.first().n_docs
+    assert store.vectors.vectors.count() == store.chunks.count() == store.index.corpus_stats.first().n_docs
 
 
 def test_second_build_is_skipped(spark, tree, path):

@@ -1,14 +1,17 @@
 import math
 import random
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from spanseek.constants import STOP_WORDS
 from spanseek.operators import hybrid, lexical, vectors
+from spanseek.plans import registry
 from spanseek.schemas import SPAN, chunk
 from spanseek.sources import stores
 
@@ -189,32 +192,112 @@ def test_knn_with_few_rows(points, targets):
     assert vectors.knn(targets[1], few.where("false"), 5).count() == 0
 
 
-def test_lsh_recall(spark, points, targets, tmp_path):
-    stored = stores.write_vectors(vectors.assign_cells(points[1]), str(tmp_path / "v"))
-    exact = {(r.query_id, r.vec_id) for r in vectors.knn(targets[1], points[1], 10).collect()}
-    every = {(r.query_id, r.vec_id) for r in vectors.knn_lsh(targets[1], stored, 10, probes=64).collect()}
-    some = {(r.query_id, r.vec_id) for r in vectors.knn_lsh(targets[1], stored, 10, probes=16).collect()}
-    assert every == exact
-    assert len(some & exact) / len(exact) >= 0.8
+def recall(found, exact):
+    expected = {(r.query_id, r.vec_id) for r in exact.collect()}
+    return len({(r.query_id, r.vec_id) for r in found.collect()} & expected) / len(expected)
 
 
-@pytest.mark.parametrize("probes", [1, 4, 64])
-def test_rows_do_not_depend_on_blocks(spark, points, targets, rows, probes):
-    cells = vectors.assign_cells(points[1])
-    one = rows(vectors.knn_lsh(targets[1], cells, 10, probes=probes))
-    assert one and rows(vectors.knn_lsh(targets[1], cells, 10, probes=probes, max_query_numbers=8)) == one
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_of_the_registered_search(spark, sf):
+    exact = registry.queries()["knn_cosine"](spark, f"/root/testdata/{sf}")
+    found = registry.queries()["knn_lsh"](spark, f"/root/testdata/{sf}")
+    assert found.count() == exact.count() >= 250 and recall(found, exact) >= 0.9
 
 
-def test_probed_cells_are_the_cheapest():
+def multiplied(index, queries, share, metric):
+    """Share of all pairs of a query and a row that are compared."""
+    places = index.places.toPandas()
+    sizes = places.groupby("cell")["rows"].sum()
+    centres = vectors._centres(index.cells)
+    rows = np.array([sizes.get(c, 0) for c in range(len(centres))])
+    matrix = vectors._placed(np.array([r.embedding for r in queries.collect()], float), metric)
+    _, cells = vectors._probes(matrix, centres, rows, max(vectors.LEAST_ROWS, share * rows.sum()))
+    return rows[cells].sum() / len(matrix) / rows.sum()
+
+
+@pytest.fixture(scope="module")
+def many_vectors(spark, tmp_path_factory):
+    """Vectors of sf0.1, each with eleven others around it."""
+    base = np.array([r.embedding for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()], float)
+    rng = np.random.default_rng(8)
+    data = np.repeat(base, 12, axis=0) + rng.standard_normal((12 * len(base), base.shape[1])) * 0.11
+    frame = pa.table({"vec_id": np.arange(len(data)), "embedding": pa.array(list(data.astype(np.float32)))})
+    path = str(tmp_path_factory.mktemp("vectors") / "plain")
+    spark.createDataFrame(frame).repartition(6).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_recall_with_a_quarter_of_the_rows(spark, many_vectors, tmp_path, metric):
+    index = stores.write_vectors(many_vectors, str(tmp_path / "v"), metric)
+    asked = many_vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    exact = vectors.knn(asked, many_vectors, 10, metric)
+    assert multiplied(index, asked, vectors.PROBED_SHARE, metric) <= 0.25
+    assert recall(vectors.knn_lsh(asked, index, 10), exact) >= 0.9
+    assert index.vectors.count() == many_vectors.count()
+
+
+def test_a_probe_opens_the_files_of_its_cells(spark, many_vectors, tmp_path):
+    index = stores.write_vectors(many_vectors, str(tmp_path / "v"), "l2", file_bytes=400_000)
+    places = index.places.toPandas()
+    n_files, n_cells = places["file"].nunique(), places["cell"].nunique()
+    assert n_files >= 10 and len(places) <= n_files + n_cells
+    opened = []
+    watched = replace(index, read=lambda files: opened.extend(files) or index.read(files))
+    one = many_vectors.where("vec_id = 77").select(F.col("vec_id").alias("query_id"), "embedding")
+    found = vectors.knn_lsh(one, watched, 10, share=0.02)
+    assert found.first().vec_id == 77 and found.count() == 10
+    matrix = np.array([one.first().embedding], float)
+    sizes = places.groupby("cell")["rows"].sum().reindex(range(n_cells), fill_value=0).to_numpy()
+    _, cells = vectors._probes(matrix, vectors._centres(index.cells), sizes, vectors.LEAST_ROWS)
+    assert set(opened) == set(places[places["cell"].isin(cells)]["file"]) and len(opened) <= len(cells) / n_cells * n_files + len(cells)
+
+
+def test_copies_of_a_vector_spread_over_files(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    data = rng.standard_normal((6000, 8))
+    data[:4000] = data[0]
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "vec_id long, embedding array<float>")
+    index = stores.write_vectors(frame, str(tmp_path / "v"), "l2", file_bytes=30_000)
+    places = index.places.toPandas()
+    hot = places[places["cell"] == places.groupby("cell")["rows"].sum().idxmax()]
+    assert hot["rows"].sum() >= 4000 and len(hot) > 2 and hot["rows"].max() < 2000
+    asked = frame.where("vec_id in (3, 5000)").select(F.col("vec_id").alias("query_id"), "embedding")
+    got = [(r.query_id, r.vec_id) for r in vectors.knn_lsh(asked, index, 3).orderBy("query_id", "rank").collect()]
+    assert got[:3] == [(3, 0), (3, 1), (3, 2)] and got[3] == (5000, 5000)
+
+
+def test_cells_of_few_and_no_rows(spark, points, targets, tmp_path):
+    for i, frame in enumerate((points[1].where("vec_id < 2"), points[1].where("false"))):
+        index = stores.write_vectors(frame, str(tmp_path / str(i)))
+        assert vectors.knn_lsh(targets[1], index, 5).count() == 3 * frame.count()
+        assert vectors.knn_lsh(targets[1].where("false"), index, 5).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.01, 0.3, 1.0])
+def test_rows_do_not_depend_on_blocks(spark, points, targets, rows, share, tmp_path, monkeypatch):
+    monkeypatch.setattr(vectors, "LEAST_ROWS", 1)
+    index = stores.write_vectors(points[1], str(tmp_path / "v"))
+    one = rows(vectors.knn_lsh(targets[1], index, 10, share=share))
+    assert one and rows(vectors.knn_lsh(targets[1], index, 10, share=share, max_query_numbers=8)) == one
+    if share == 1:
+        assert one == rows(vectors.knn(targets[1], points[1], 10))
+
+
+def test_probed_cells_are_the_nearest():
     rng = np.random.default_rng(3)
-    queries = rng.standard_normal((5, 12))
-    found = vectors._probe_cells(queries, 5, 7, 9)
-    margins = queries @ vectors._hyperplanes(12, 5, 7)
-    for i, row in enumerate(margins):
-        own = int(vectors._cell_numbers(margins[i : i + 1])[0])
-        cost = sorted((sum(row[b] ** 2 for b in range(5) if mask >> b & 1), own ^ mask) for mask in range(32))
-        assert found[i].tolist() == [cell for _, cell in cost[:9]]
-    assert vectors._probe_cells(queries, 40, 7, 16).shape == (5, 16)
+    queries, centres, sizes = rng.standard_normal((5, 12)), rng.standard_normal((40, 12)), rng.integers(1, 9, 40)
+    owner, cells = vectors._probes(queries, centres, sizes, 30)
+    for i, query in enumerate(queries):
+        order = np.argsort(((centres - query) ** 2).sum(axis=1))
+        expected, held = [], 0
+        for cell in order:
+            held += sizes[cell]
+            if held > 30:
+                break
+            expected.append(cell)
+        assert cells[owner == i].tolist() == expected
+    assert len(vectors._probes(queries, centres, np.full(40, 100), 30)[1]) == 5
 
 
 def test_a_task_gives_out_k_rows_per_query(spark, targets):

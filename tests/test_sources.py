@@ -262,7 +262,7 @@ def test_broken_state_is_an_error(spark, tmp_path):
 
 
 def test_vector_store_overwrites(spark, tmp_path):
-    frame = spark.createDataFrame([(1, 0), (2, 1)], "vec_id long, cell long")
+    frame = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0, 0.0])], "vec_id long, embedding array<float>")
     stores.write_vectors(frame, str(tmp_path / "v"))
     again = stores.write_vectors(frame.where("vec_id = 1"), str(tmp_path / "v"))
-    assert [tuple(r) for r in again.collect()] == [(1, 0)]
+    assert [tuple(r) for r in again.vectors.select("vec_id", "cell").collect()] == [(1, 0)]
