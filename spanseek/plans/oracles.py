@@ -253,6 +253,17 @@ def oracle_sql() -> dict[str, str]:
     recall_columns = ", ".join(f"round(r{k}, 6) AS recall_{k}" for k in RECALL_DEPTHS)
     overlap_columns = ", ".join(f"CAST(o{k} AS BIGINT) AS overlap_{k}" for k in RECALL_DEPTHS)
     topk = _sql(f"SELECT item_id AS query_id, {_SPAN}, round(score, 6) AS score, rank FROM hits")
+    questions = _sql(
+        """SELECT CASE WHEN item_id % 2 = 0 THEN CAST(item_id AS VARCHAR) ELSE sha256(text) END AS question_id,
+            text AS question, CAST(NULL AS VARCHAR) AS difficulty, true AS is_valid FROM benchmark"""
+    )
+    truth = _sql(
+        """SELECT CAST(doc_id AS VARCHAR) AS question_id, 'question ' || doc_id AS question,
+            CASE WHEN doc_id % 3 > 0 THEN 'yes' END AS answer,
+            CASE WHEN doc_id % 3 > 0 THEN file_path END AS file_path,
+            CASE WHEN doc_id % 3 > 0 THEN CAST(0 AS BIGINT) END AS first_character_index,
+            CASE WHEN doc_id % 3 > 0 THEN length(text) END AS last_character_index FROM docs"""
+    )
     return {
         # catalogue
         "path_suffix": _sql("SELECT path, suffix FROM kinds"),
@@ -323,17 +334,13 @@ def oracle_sql() -> dict[str, str]:
         "pack_results": _sql("SELECT pos, question_id, question_str, spans FROM packed_hits"),
         "results_roundtrip": _sql("SELECT pos, question_id, question_str, spans, CAST(10 AS BIGINT) AS k FROM packed_hits"),
         "results_object_roundtrip": _sql("SELECT question_id, question_str, spans, CAST(10 AS BIGINT) AS k FROM packed_hits"),
-        "questions_roundtrip": _sql(
-            """SELECT CASE WHEN item_id % 2 = 0 THEN CAST(item_id AS VARCHAR) ELSE sha256(text) END AS question_id,
-                text AS question, CAST(NULL AS VARCHAR) AS difficulty, true AS is_valid FROM benchmark"""
-        ),
-        "truth_roundtrip": _sql(
-            """SELECT CAST(doc_id AS VARCHAR) AS question_id, 'question ' || doc_id AS question,
-                CASE WHEN doc_id % 3 > 0 THEN 'yes' END AS answer,
-                CASE WHEN doc_id % 3 > 0 THEN file_path END AS file_path,
-                CASE WHEN doc_id % 3 > 0 THEN CAST(0 AS BIGINT) END AS first_character_index,
-                CASE WHEN doc_id % 3 > 0 THEN length(text) END AS last_character_index FROM docs"""
+        "results_document_roundtrip": _sql(
+            "SELECT row_number() OVER (ORDER BY pos) - 1 AS pos, question_id, question_str, spans, CAST(10 AS BIGINT) AS k FROM packed_hits"
         ),
+        "questions_roundtrip": questions,
+        "questions_document_roundtrip": questions,
+        "truth_roundtrip": truth,
+        "truth_document_roundtrip": truth,
         "tree_roundtrip": _sql("SELECT file_path, ext, text FROM docs WHERE length(text) > 0"),
         "freshness": _sql(
             """SELECT state, fresh, (SELECT max(mtime) FROM kinds WHERE suffix IN ('.py', '.MD')) AS newest

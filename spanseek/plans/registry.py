@@ -366,6 +366,36 @@ def results_object_roundtrip(spark, sf_dir):
     return _as_text(exchange.read_results(spark, target)).drop("pos")
 
 
+@_query
+def results_document_roundtrip(spark, sf_dir):
+    found = _lexical_results(spark, sf_dir)
+    target = exchange.write_results(found, new_folder(spark, "export"), "questions.json", DEFAULT_K, layout="file")
+    return _as_text(exchange.read_results(spark, target))
+
+
+def _as_document(items: DataFrame, order: str, key: str | None) -> str:
+    """One JSON file of ``items``: a list, or an object that holds it under ``key``."""
+    spark = items.sparkSession
+    fields = F.struct(*[c for c in items.columns if c != order])
+    first = items.agg(F.min(order)).scalar()
+    line = F.concat(F.when(F.col(order) > first, ",").otherwise(""), F.to_json(fields))
+    head, tail = ("[", "]") if key is None else (f'{{"{key}": [', "]}")
+    frame = spark.createDataFrame([(0, 0, head), (2, 0, tail)], "section int, at long, value string")
+    lines = items.select(F.lit(1).alias("section"), F.col(order).cast("long").alias("at"), line.alias("value"))
+    parts, target = new_folder(spark, "parts"), new_folder(spark, "document")
+    lines.unionByName(frame).orderBy("section", "at").select("value").write.text(parts)
+    exchange.join_parts(spark, parts, f"{target}/items.json")
+    return f"{target}/items.json"
+
+
+@_query
+def questions_document_roundtrip(spark, sf_dir):
+    asked = tables.questions(spark, sf_dir)
+    named = F.when(F.col("pos") % 2 == 0, F.col("question_id")).alias("question_id")
+    target = _as_document(asked.select("pos", named, "question"), "pos", None)
+    return exchange.read_questions(spark, target).drop("pos")
+
+
 @_query
 def questions_roundtrip(spark, sf_dir):
     target = new_folder(spark, "questions")
@@ -379,7 +409,17 @@ def questions_roundtrip(spark, sf_dir):
 @_query
 def truth_roundtrip(spark, sf_dir):
     target = new_folder(spark, "truth")
-    docs = tables.docs(spark, sf_dir)
+    _truth_items(spark, sf_dir).drop("doc_id").write.json(target)
+    return _truth_rows(exchange.read_ground_truth_lines(spark, target))
+
+
+@_query
+def truth_document_roundtrip(spark, sf_dir):
+    target = _as_document(_truth_items(spark, sf_dir), "doc_id", "rag_questions")
+    return _truth_rows(exchange.read_ground_truth(spark, target))
+
+
+def _truth_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = F.struct(
         "file_path",
         F.lit("0").alias(SPAN[1]),
@@ -387,8 +427,11 @@ def truth_roundtrip(spark, sf_dir):
     )
     answer = F.when(F.col("doc_id") % 3 > 0, F.lit("yes")).alias("answer")
     question = F.concat(F.lit("question "), F.col("doc_id").cast("string")).alias("question")
-    docs.select(F.col("doc_id").cast("string").alias("question_id"), question, F.array(span).alias("sources"), answer).write.json(target)
-    read = exchange.read_ground_truth_lines(spark, target)
+    docs = tables.docs(spark, sf_dir)
+    return docs.select("doc_id", F.col("doc_id").cast("string").alias("question_id"), question, F.array(span).alias("sources"), answer)
+
+
+def _truth_rows(read: DataFrame) -> DataFrame:
     return read.select("question_id", "question", "answer", F.explode_outer("sources").alias("s")).select(
         "question_id", "question", "answer", "s.*"
     )

@@ -1,23 +1,25 @@
 """JSON exchange files: questions, ground truth, search results, answers.
 
-A single JSON document is one task. Forms that are read in parallel: a directory
-of lines, one item each (``read_question_lines``, ``read_ground_truth_lines``,
-``read_result_lines``), and the directory that ``write_results`` makes of one
-object, whose parts hold an item per line. Schemas are given, never inferred.
+A single JSON document is cut into its items by many tasks (``documents``).
+Other forms are a directory of lines, one item each (``read_question_lines``,
+``read_ground_truth_lines``, ``read_result_lines``), and the directory that
+``write_results`` makes of one object, whose parts hold an item per line. Schemas are given, never inferred.
 Broken JSON and items without a required field fail the load. Character indexes
 may be written as any integral number or numeral (``5``, ``5.0``, ``"5"``).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import strip
 from ..schemas import question_item, result_item, span_type, truth_item
+from ..staging import new_folder
+from .documents import Document, read_document
 
-_STRICT = {"mode": "FAILFAST"}
 # Spans as they are read: indexes are texts until they are known to be integral.
 _RAW_SPANS = T.ArrayType(T.StructType([T.StructField(name, T.StringType()) for name in span_type.fieldNames()]))
 
@@ -28,15 +30,11 @@ def _raw(item: T.StructType) -> T.StructType:
 
 
 _LINE = T.StructType([T.StructField("pos", T.LongType()), *_raw(result_item).fields, T.StructField("k", T.IntegerType())])
+_COPY_BYTES = 1 << 20
 _OBJECT_HEAD = '{"search_results": ['
 _OBJECT_TAIL = r'^\], "k": (-?[0-9]+)\}$'
 
 
-def _document(spark: SparkSession, path: str) -> DataFrame:
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(strip(F.col("value")).alias("doc"))
-
-
 def _required(column: Column, name: str) -> Column:
     return F.when(column.isNull(), F.raise_error(F.lit(f"missing or bad field: {name}"))).otherwise(column)
 
@@ -61,11 +59,6 @@ def _valid_spans(spans: Column) -> Column:
     )
 
 
-def _items(listed: DataFrame, schema: T.StructType) -> DataFrame:
-    """One row per item of ``items`` (array of JSON texts), with its position."""
-    return _parsed(listed.select(F.posexplode("items").alias("pos", "raw")), schema)
-
-
 def _line_items(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One row per line that is not blank; ``pos`` is unique and grows within a file."""
     lines = spark.read.text(path).where(F.trim("value") != "")
@@ -99,12 +92,11 @@ def read_questions(spark: SparkSession, path: str) -> DataFrame:
     The file holds a list, or an object whose first value is the list; any
     other shape gives no rows.
     """
-    doc = F.col("doc")
-    first_value = F.map_values(F.from_json(doc, "map<string,string>", _STRICT))[0]
-    body = F.when(doc.startswith("["), doc).when(doc.startswith("{"), first_value)
-    items = F.when(strip(body).startswith("["), F.from_json(body, "array<string>", _STRICT))
-    listed = _document(spark, path).select(items.alias("items"))
-    return _items(listed, question_item).select("pos", *_question_columns())
+    document = read_document(spark, path)
+    listed = document.items(next(iter(document.members), ""))
+    if listed is None:
+        listed = document.pieces.where("false").selectExpr("number AS pos", "text AS raw")
+    return _parsed(listed, question_item).select("pos", *_question_columns())
 
 
 def read_question_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -118,12 +110,15 @@ def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
     The file holds ``{"rag_questions": [...]}`` or a list. An item counts as
     answered only with valid sources and an answer; else it has no sources.
     """
-    doc = F.col("doc")
-    listed = F.from_json(doc, "struct<rag_questions: array<string>>", _STRICT)["rag_questions"]
-    items = F.when(doc.startswith("["), F.from_json(doc, "array<string>", _STRICT)).otherwise(
-        _required(listed, "rag_questions")
-    )
-    return _truth_columns(_items(_document(spark, path).select(items.alias("items")), truth_item))
+    document = read_document(spark, path)
+    return _truth_columns(_parsed(_list_of(document, "" if document.kind == "[" else "rag_questions"), truth_item))
+
+
+def _list_of(document: Document, key: str) -> DataFrame:
+    listed = document.items(key)
+    if listed is None:
+        raise ValueError(f"missing or bad field: {key}")
+    return listed
 
 
 def read_ground_truth_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -153,11 +148,12 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     """
     if _is_folder(spark, path):
         return _read_object_parts(spark, path)
-    whole = F.from_json("doc", "struct<search_results: array<string>, k: int>", _STRICT)
-    parsed = _document(spark, path).select(whole.alias("r"))
-    items = _required(F.col("r.search_results"), "search_results")
-    listed = parsed.select(F.posexplode(items).alias("pos", "raw"), _required(F.col("r.k"), "k").alias("k"))
-    rows = listed.select(F.col("pos").cast("long").alias("pos"), "k", F.from_json("raw", _raw(result_item)).alias("item"))
+    document = read_document(spark, path)
+    k = (document.scalar("k") or "").strip()
+    if not re.fullmatch("-?[0-9]+", k):
+        raise ValueError("missing or bad field: k")
+    item = F.from_json("raw", _raw(result_item)).alias("item")
+    rows = _list_of(document, "search_results").select("pos", F.lit(int(k)).alias("k"), item)
     return _result_columns(rows.select("pos", "k", "item.*"))
 
 
@@ -215,7 +211,9 @@ def write_results(
     ``lines`` writes one JSON object per result, with ``k``. ``object`` writes
     text parts that, put together in name order, are the one object
     ``{"search_results": [...], "k": k}``; a small result is a single part.
-    Neither passes the results through one task.
+    Neither passes the results through one task. ``file`` puts these parts into
+    one file that any JSON reader takes: blocks of them are copied one after the
+    other, and the file gets its name when it is complete.
     """
     rows = results if prefix is None else normalize_paths(results, prefix)
     fields = [c for c in ("question_id", "question_str", "retrieved_sources", "answer") if c in rows.columns]
@@ -232,5 +230,31 @@ def write_results(
         [(0, 0, _OBJECT_HEAD), (2, 0, f'], "k": {int(k)}}}')], "section int, pos long, value string"
     )
     ordered = lines.unionByName(frame).orderBy("section", "pos")
-    ordered.select("value").write.mode("overwrite").text(target)
+    parts = target if layout == "object" else new_folder(rows.sparkSession, "parts")
+    ordered.select("value").write.mode("overwrite").text(parts)
+    if layout == "file":
+        join_parts(rows.sparkSession, parts, target)
     return target
+
+
+def join_parts(spark: SparkSession, parts: str, target: str) -> None:
+    """Copy the files of ``parts`` in order of their names into the one file ``target``, replacing it."""
+    hadoop = spark._jvm.org.apache.hadoop
+    settings = spark._jsc.hadoopConfiguration()
+    folder, place, made = (hadoop.fs.Path(p) for p in (parts, target, f"{target}._joining"))
+    source, system = folder.getFileSystem(settings), place.getFileSystem(settings)
+    names = sorted(s.getPath().getName() for s in source.listStatus(folder) if s.getPath().getName().startswith("part-"))
+    out = system.create(made, True)
+    try:
+        for name in names:
+            part = source.open(hadoop.fs.Path(folder, name))
+            try:
+                hadoop.io.IOUtils.copyBytes(part, out, _COPY_BYTES, False)
+            finally:
+                part.close()
+    finally:
+        out.close()
+    system.delete(place, True)
+    if not system.rename(made, place):
+        raise OSError(f"cannot write {target}")
+    source.delete(folder, True)

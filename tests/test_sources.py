@@ -1,11 +1,12 @@
 import json
 import os
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
 
 from spanseek.operators import catalog
-from spanseek.sources import exchange, filetree, stores
+from spanseek.sources import documents, exchange, filetree, stores
 
 
 @pytest.fixture
@@ -202,6 +203,62 @@ def test_object_folder_is_read_part_by_part(spark, tmp_path, rows):
     assert back.select("pos").distinct().count() == 200 and back.where("k != 7").count() == 0
 
 
+@pytest.mark.parametrize("count", [0, 1, 40])
+def test_results_in_one_file(spark, tmp_path, rows, count):
+    (tmp_path / "set.json").mkdir()  # replaced
+    target = exchange.write_results(results_of(spark, count), str(tmp_path), "set.json", 7, layout="file")
+    with open(target, encoding="utf-8") as file:
+        value = json.load(file)
+    assert value["k"] == 7 and [r["question_str"] for r in value["search_results"]] == [f'say "{i}"' for i in range(count)]
+    assert rows(exchange.read_results(spark, target).drop("k")) == rows(results_of(spark, count))
+    assert [n for n in os.listdir(tmp_path) if not n.startswith(".")] == ["set.json"]
+
+
+@pytest.fixture
+def small_blocks(spark):
+    settings = {"spark.sql.files.maxPartitionBytes": "40", "spark.sql.files.openCostInBytes": "1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def nasty(rng):
+    """JSON values whose strings hold brackets, commas, quotes and backslashes."""
+    text = lambda: "".join(rng.choices('ab,[]{}:"\\ \n\té🙂', k=rng.randrange(14)))
+    return {text(): rng.choice([text(), 5, None, [text(), [1, text()]], {text(): [text()]}]) for _ in range(rng.randrange(4))}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_blocks_of_a_document_are_joined(spark, tmp_path, small_blocks, seed):
+    rng = random.Random(seed)
+    items = [nasty(rng) for _ in range(rng.choice([0, 1, 25]))]
+    before, after = {"x,": [nasty(rng), "]"], "k": 3}, {"y": {"z": [1, 2]}, "n": "a,b", "last": 12}
+    shapes = [(items, ""), ({"items": items}, "items"), (before | {"items": items} | after, "items")]
+    for i, (value, key) in enumerate(shapes):
+        path = tmp_path / f"{i}.json"
+        path.write_text(json.dumps(value, indent=rng.choice([None, 1]), ensure_ascii=rng.random() < 0.5) + rng.choice(["", "\n"]), encoding="utf-8")
+        document = documents.read_document(spark, str(path))
+        found = document.items(key).orderBy("pos").collect()
+        assert [r.pos for r in found] == list(range(len(items))) and [json.loads(r.raw) for r in found] == items
+    assert list(document.members) == ["x,", "k", "items", "y", "n", "last"]
+    assert (document.scalar("k"), document.scalar("last"), document.items("y"), document.scalar("x,")) == ("3", "12", None, None)
+
+
+def test_a_document_is_read_by_many_tasks(spark, tmp_path, small_blocks):
+    path = tmp_path / "one-line.json"
+    path.write_text(json.dumps([{"question": f"number {i}, or {{"} for i in range(60)]), encoding="utf-8")
+    assert documents._scanned(spark, str(path)).rdd.getNumPartitions() > 5
+    assert [r.question for r in exchange.read_questions(spark, str(path)).orderBy("pos").collect()] == [f"number {i}, or {{" for i in range(60)]
+
+
+@pytest.mark.parametrize("text", ['[{"question": "a"}', '[{"question": "a}]', '{"a": [1}', '[{"question": "a"}] x', '[1], [2]', '{"a": 1}, {', '[{"question": "a"},]'])
+def test_broken_documents_fail(spark, save, text):
+    with pytest.raises(Exception):
+        exchange.read_questions(spark, save(text)).collect()
+
+
 @pytest.mark.parametrize("last", [5, 5.0, "5", " 5.0", "5e0"])
 def test_indexes_may_be_any_integral_number(spark, save, last):
     span = {"file_path": "a", "first_character_index": "0", "last_character_index": last}
