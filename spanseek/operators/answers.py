@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import GENERATION_OPTIONS, PROMPT_HEAD, PROMPT_MIDDLE, PROMPT_TAIL
+from ..folding import membership_filter, once_per_text
 from ..functions import clean_answer, strip
 from ..schemas import SPAN
-from ..staging import broadcast_if_small, stage
+from ..staging import MAX_BROADCAST_ROWS, is_small, stage
 
 # Generator plug-in: called once per Python worker, returns
 # (prompts, **options) -> completions.
@@ -27,17 +28,22 @@ def unpack_results(results: DataFrame) -> DataFrame:
     return listed.select("query_id", (F.col("at") + 1).alias("rank"), "s.*")
 
 
-def fetch_spans(ranked: DataFrame, docs: DataFrame) -> DataFrame:
+def fetch_spans(ranked: DataFrame, docs: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Add the text of each span; spans of unknown files are skipped.
 
     Offsets count characters of the normalised text. The distinct paths are
-    stored first; if they are few by count and bytes they are broadcast, so that
-    texts of files nobody quotes do not move. A document is read once however
-    many spans quote it.
+    stored first; if they are few by count and bytes they are broadcast. If not,
+    a filter of bounded size made of them is applied where documents are read,
+    so that texts of files nobody quotes do not move in either case. A document
+    is read once however many spans quote it.
     """
     span = F.struct("query_id", "rank", *SPAN[1:])
-    paths = broadcast_if_small(stage(ranked.select("file_path").distinct(), "paths"))
-    texts = docs.select("file_path", "text").join(paths, "file_path", "left_semi")
+    paths = stage(ranked.select("file_path").distinct(), "paths")
+    texts = docs.select("file_path", "text")
+    if is_small(paths, max_rows):
+        texts = texts.join(F.broadcast(paths), "file_path", "left_semi")
+    else:
+        texts = texts.where(membership_filter(paths, "file_path")(F.col("file_path")))
     length = F.col("last_character_index") - F.col("first_character_index")
     piece = F.substring(F.col("text"), F.col("first_character_index") + 1, F.greatest(length, F.lit(0)))
     joined = ranked.select("file_path", span.alias("s")).join(texts, "file_path")
@@ -70,8 +76,9 @@ def build_prompt(results: DataFrame, contexts: DataFrame) -> DataFrame:
 def generate(prompts: DataFrame, generator_factory: GeneratorFactory) -> DataFrame:
     """Replace ``prompt`` by ``raw_answer`` from the caller's generator.
 
-    The model is built once per Python worker. The options ask for a greedy,
-    short completion that does not echo the prompt.
+    The model is built once per Python worker and gets each distinct prompt
+    once. The options ask for a greedy, short completion that does not echo the
+    prompt.
     """
 
     @F.pandas_udf("string")
@@ -80,7 +87,9 @@ def generate(prompts: DataFrame, generator_factory: GeneratorFactory) -> DataFra
         for texts in batches:
             yield pd.Series(model(texts.tolist(), **GENERATION_OPTIONS), dtype=object)
 
-    return prompts.withColumn("raw_answer", complete(F.col("prompt"))).drop("prompt")
+    answered = lambda distinct: distinct.withColumn("raw_answer", complete(F.col("prompt")))
+    # Read twice: for the distinct prompts, and to give the answers back.
+    return once_per_text(stage(prompts, "prompts"), "prompt", answered, "raw_answer").drop("prompt")
 
 
 def answer_results(results: DataFrame, docs: DataFrame, generator_factory: GeneratorFactory) -> DataFrame:

@@ -149,6 +149,11 @@ def load_index(spark: SparkSession, path: str) -> LexicalIndex:
     return LexicalIndex(spark.table(name), spark.read.parquet(f"{path}/term_stats"), corpus_stats)
 
 
+def drop_index(spark: SparkSession, path: str) -> None:
+    """Forget the catalogue's entry of the index at ``path``; its files are not touched."""
+    spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+
+
 def build_index(chunks: DataFrame, buckets: int | None = None) -> LexicalIndex:
     """An index below the shared folder, for use within one application."""
     return write_index(chunks, new_folder(chunks.sparkSession, "index"), buckets)

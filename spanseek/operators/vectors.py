@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import EMBED_BATCH, HASH_DIMENSIONS
+from ..folding import once_per_text
 from ..functions import corpus_tokens
 from ..staging import stage
 
@@ -79,7 +80,9 @@ def embed_text(
     """Add an ``array<float>`` embedding of a text column, documents and queries alike.
 
     ``embed_factory`` builds the caller's model once per Python worker; it gets
-    texts in batches. Without one, a hashed bag of words of unit length is used.
+    texts in batches, each distinct text once, so that copies in a corpus cost
+    nothing. Without one, a hashed bag of words of unit length is used. ``df``
+    is read twice for a model and should be stored.
     """
     if embed_factory is None:
         return df.withColumn(output, _unit_histogram(corpus_tokens(F.col(column), drop_stop_words=False)))
@@ -94,7 +97,7 @@ def embed_text(
                 rows.extend(np.asarray(model(part), dtype=np.float32))
             yield pd.Series(rows)
 
-    return df.withColumn(output, embed(F.col(column)))
+    return once_per_text(df, column, lambda distinct: distinct.withColumn(output, embed(F.col(column))), output)
 
 
 def scalar_metadata(df: DataFrame) -> DataFrame:

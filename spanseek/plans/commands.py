@@ -67,10 +67,24 @@ def build_store(
     The chunk store is written first and read by the other two, so the tree is
     read and cut once. Chunking and embedding are map-only; the index shuffles
     once. The version counts once all three are complete: an empty or failing
-    build leaves the store as it was.
+    build leaves the store as it was and removes what it wrote.
     """
     version = stores.new_version()
-    place = f"{path}/{version}"
+    try:
+        store = _write_store(chunks, f"{path}/{version}", buckets, embed_factory)
+    except Exception:
+        stores.remove_version(chunks.sparkSession, path, version)
+        raise
+    if store is None:
+        stores.remove_version(chunks.sparkSession, path, version)
+    else:
+        stores.publish(chunks.sparkSession, path, version)
+    return store
+
+
+def _write_store(
+    chunks: DataFrame, place: str, buckets: int | None, embed_factory: vectors.EmbedFactory | None
+) -> Store | None:
     stored = stores.write_chunks(chunks, f"{place}/chunks")
     if stored.isEmpty():
         return None
@@ -78,7 +92,6 @@ def build_store(
     # Training, assigning and storing read the vectors, so a model embeds them once before.
     embedded = stage(vectors.embed_text(stored, "content", embed_factory).select(*SPAN, "embedding"), "embedded")
     found = stores.write_vectors(embedded, f"{place}/vectors")
-    stores.publish(chunks.sparkSession, path, version)
     return Store(stored, index, found)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 
@@ -10,36 +11,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import MTIME_TOLERANCE
+from ..operators import lexical
 from ..operators.vectors import CellIndex, assign_cells, train_cells
 from ..schemas import chunk, ingest_state
 from ..staging import partitions_for
 
 _VERSIONS = "versions"
+_VERSION_ROW = "version string, published long"
+_VERSION_NAME = re.compile("^v([0-9]{20})-[0-9a-f]{8}$")
+# Seconds after which a build that was not published counts as given up.
+ABANDONED_AFTER = 7 * 24 * 3600.0
 # Bytes of vectors per file, by the estimate of their size.
 _FILE_BYTES = 128 << 20
 
 
 def new_version() -> str:
-    """A name for a version that sorts by time and is used once."""
+    """A name for a version that tells when its build began and is used once."""
     return f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
 def publish(spark: SparkSession, path: str, version: str) -> None:
     """Make a complete version current: one appended row, which is there whole or not at all."""
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("append").parquet(f"{path}/{_VERSIONS}")
+    row = spark.createDataFrame([(version, time.time_ns())], _VERSION_ROW)
+    row.coalesce(1).write.mode("append").parquet(f"{path}/{_VERSIONS}")
+
+
+def _published(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_VERSION_ROW).parquet(f"{path}/{_VERSIONS}")
 
 
 def current_version(spark: SparkSession, path: str) -> str:
-    """The version published last; without any, an error (``AnalysisException``)."""
-    return spark.read.schema("version string").parquet(f"{path}/{_VERSIONS}").agg(F.max("version")).first()[0]
+    """The version published last, whenever its build began; without any, an error (``AnalysisException``)."""
+    order = F.struct(F.coalesce("published", F.lit(0)), "version")
+    return _published(spark, path).agg(F.max_by("version", order)).first()[0]
+
 
+def remove_version(spark: SparkSession, path: str, version: str) -> None:
+    """Delete the files of a version and the catalogue's entry of its index."""
+    lexical.drop_index(spark, f"{path}/{version}/index")
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{version}")
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
-def remove_old_versions(spark: SparkSession, path: str) -> None:
-    """Delete the files of the published versions before the current one; a build that is under way is left alone."""
+
+def remove_old_versions(spark: SparkSession, path: str, abandoned_after: float = ABANDONED_AFTER) -> None:
+    """Delete all versions but the current one.
+
+    Versions without publication are builds under way, or ones whose driver was
+    lost: those that began more than ``abandoned_after`` seconds ago are deleted.
+    """
     current = current_version(spark, path)
-    for row in spark.read.schema("version string").parquet(f"{path}/{_VERSIONS}").where(F.col("version") < current).collect():
-        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{row['version']}")
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    done = {row["version"] for row in _published(spark, path).select("version").distinct().collect()}
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
+    limit = time.time_ns() - int(abandoned_after * 1e9)
+    for name in names:
+        began = _VERSION_NAME.match(name)
+        if began and name != current and (name in done or int(began[1]) < limit):
+            remove_version(spark, path, name)
 
 
 def write_chunks(chunks: DataFrame, path: str) -> DataFrame:

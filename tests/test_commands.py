@@ -1,13 +1,18 @@
 import json
 import sys
+import uuid
 
+import numpy as np
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
+from spanseek import folding, schemas
 from spanseek.constants import GENERATION_OPTIONS
-from spanseek.operators import answers
+from spanseek.operators import answers, vectors
 from spanseek.plans import commands
 from spanseek.sources import exchange, stores
+from spanseek.staging import stage
 
 # The generator below travels with the job; workers cannot import test modules.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -94,6 +99,90 @@ def test_empty_or_failing_rebuild_leaves_the_store(spark, tmp_path):
     assert len([p for p in (tmp_path / "store").iterdir() if p.name.startswith("v0")]) <= 3
 
 
+def versions(place):
+    return sorted(p.name for p in place.iterdir() if p.name.startswith("v0"))
+
+
+def test_the_version_published_last_is_current(spark, tmp_path):
+    place = str(tmp_path / "store")
+    early, late = stores.new_version(), stores.new_version()
+    stores.publish(spark, place, late)
+    stores.publish(spark, place, early)
+    assert early < late and stores.current_version(spark, place) == early
+
+
+def test_removed_versions_leave_no_tables(spark, tmp_path):
+    place = tmp_path / "store"
+    chunks = spark.createDataFrame([("a", 0, 9, "some text here")], schemas.chunk)
+    before = len(spark.catalog.listTables())
+    for _ in range(3):
+        commands.build_store(chunks, str(place))
+    abandoned, running = "v" + "1".zfill(20) + "-0000abcd", stores.new_version()
+    for name in (abandoned, running):
+        (place / name / "chunks").mkdir(parents=True)
+    current = stores.current_version(spark, str(place))
+    stores.remove_old_versions(spark, str(place))
+    assert versions(place) == sorted([current, running]) and len(spark.catalog.listTables()) == before + 1
+    with pytest.raises(Exception, match="no model"):
+        commands.build_store(chunks, str(place), embed_factory=broken_model)
+    assert commands.build_store(chunks.where("false"), str(place)) is None
+    assert versions(place) == sorted([current, running]) and len(spark.catalog.listTables()) == before + 1
+
+
+def broken_model():
+    raise RuntimeError("no model")
+
+
+def test_unquoted_texts_do_not_move(spark):
+    docs = spark.range(4000).select(F.concat(F.lit("f"), "id").alias("file_path"), F.repeat(F.lit("x"), 50).alias("text"))
+    docs = stage(docs, "docs")
+    ranked = spark.range(30).select(
+        "id", F.lit(1).alias("rank"), F.concat(F.lit("f"), "id").alias("file_path"), F.lit(0).alias("first_character_index"), F.lit(3).alias("last_character_index")
+    ).withColumnRenamed("id", "query_id")
+    found = answers.fetch_spans(ranked, docs, max_rows=1)
+    assert sorted((r.query_id, r.content) for r in found.collect()) == [(i, "xxx") for i in range(30)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    at = plan.index("Join")
+    assert "held(" in plan[at:]
+    kept = docs.where(folding.membership_filter(ranked, "file_path")(F.col("file_path")))
+    assert 30 <= kept.count() <= 150
+    physical = found._jdf.queryExecution().sparkPlan().toString()
+    assert "ArrowEvalPython" in physical
+
+
+def test_models_see_distinct_texts_only(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def note(texts):
+        for text in texts:
+            with open(log / str(uuid.uuid4()), "w") as file:
+                file.write(text)
+
+    def embedder():
+        def model(texts):
+            note(texts)
+            return np.array([[len(t), 1.0] for t in texts])
+
+        return model
+
+    def generator():
+        def complete(prompts, **options):
+            note(prompts)
+            return [p[:2] for p in prompts]
+
+        return complete
+
+    texts = ["alpha", "beta", "alpha", "alpha", "beta", "c"] * 20
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(5)
+    embedded = vectors.embed_text(frame, "text", embedder).collect()
+    assert sorted((r.id, list(r.embedding)) for r in embedded) == [(i, [len(t), 1.0]) for i, t in enumerate(texts)]
+    assert sorted(p.read_text() for p in log.iterdir()) == ["alpha", "beta", "c"]
+    answered = answers.generate(frame.withColumnRenamed("text", "prompt"), generator).collect()
+    assert sorted((r.id, r.raw_answer) for r in answered) == [(i, t[:2]) for i, t in enumerate(texts)]
+    assert len(list(log.iterdir())) == 6
+
+
 def test_scan_commands(spark, tree):
     report = commands.scan_tree(spark, tree).collect()
     assert [tuple(r)[:2] for r in report] == [(".py", 2), (".md", 1), (".txt", 1), ("no_ext", 1), ("total", 5)]

@@ -1,8 +1,9 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from spanseek import staging
+from spanseek import folding, staging
 from spanseek.operators import chunking
 
 
@@ -74,3 +75,28 @@ def test_row_operators_work_on_a_stream(spark, tmp_path, rows):
     )
     query.awaitTermination(60)
     assert rows(spark.read.parquet(target)) == rows(chunks(files))
+
+
+def test_filter_holds_all_keys_and_few_others(spark):
+    keys = spark.range(5000).select(F.concat(F.lit("dir/f"), "id").alias("path"))
+    for bits, most in ((folding.MAX_FILTER_BITS, 0.02), (1 << 15, 0.6)):
+        held = folding.membership_filter(keys, "path", bits)
+        assert keys.where(held(F.col("path"))).count() == 5000
+        others = spark.range(5000, 25000).select(F.concat(F.lit("dir/f"), "id").alias("path"))
+        assert others.where(held(F.col("path"))).count() <= most * 20000
+    none = folding.membership_filter(keys.where("false"), "path")
+    assert keys.where(none(F.col("path"))).count() == 0
+
+
+def test_texts_are_folded_and_given_back(spark, rows):
+    frame = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, ""), (5, None), (6, "b")], "id int, text string")
+    seen = []
+
+    def run(distinct):
+        seen.append(distinct.count())
+        return distinct.withColumn("made", F.coalesce(F.upper("text"), F.lit("none")))
+
+    out = folding.once_per_text(frame, "text", run, "made")
+    assert seen == [4] and out.columns == ["id", "text", "made"]
+    assert rows(out, "id", "made") == [(1, "A"), (2, "A"), (3, "none"), (4, ""), (5, "none"), (6, "B")]
+    assert folding.once_per_text(frame.where("false"), "text", run, "made").count() == 0
