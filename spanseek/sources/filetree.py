@@ -1,21 +1,26 @@
 """File trees as DataFrames.
 
 Spark's file sources skip names that start with ``_`` or ``.``, such as
-``__init__.py``, so trees are listed by a Python data source. Listing and
-reading are separate steps: directories are walked in parallel, filters on
-suffix or name run on the listing alone, and only then are contents read, in
-partitions hashed by path, so that one crowded directory does not become one
-task's work.
+``__init__.py``, so trees are listed by tasks of their own. Listing and reading
+are separate steps: directories are walked in parallel, filters on suffix or
+name run on the listing alone, and only then are contents read, in partitions
+hashed by path, so that one crowded directory does not become one task's work.
+
+A walk goes in rounds. A task lists the directories it was dealt and those below
+them, up to a number, and gives out the ones it has not come to, which are dealt
+anew in the next round. So each directory is listed once, by one task, however
+many entries it has, and the driver holds no names.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import islice
-from zlib import crc32
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -32,6 +37,12 @@ _PARTITION_BYTES = 128 << 20
 # subdirectories it takes from one of them.
 _MAX_EXPANDED = 10_000
 _MAX_SUBDIRECTORIES = 100_000
+# Directories a task of a walk lists on its own account, in the first round and in later ones.
+_FIRST_DIRECTORIES = 64
+_DIRECTORIES = 1024
+_WALK_ROWS = 10_000
+_WALKED = file_listing
+_WALKED_TYPES = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.float64()]
 
 
 def _suffix(name: str) -> str:
@@ -39,6 +50,11 @@ def _suffix(name: str) -> str:
     return name[dot:] if 0 < dot < len(name) - 1 else ""
 
 
+def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """PyArrow's file system and path for a URI; Hadoop's names for S3 are those of one system."""
+    return pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))
+
+
 def _entries(directory: str) -> Iterator[tuple[str, int | None, float | None]]:
     """Entries of one directory: ``(path, size, mtime)``, size ``None`` for a directory.
 
@@ -50,7 +66,7 @@ def _entries(directory: str) -> Iterator[tuple[str, int | None, float | None]]:
         yield from (("file://" + path, size, mtime) for path, size, mtime in _entries(local))
         return
     if "://" in directory:
-        system, base = pafs.FileSystem.from_uri(directory)
+        system, base = _file_system(directory)
         scheme = directory[: len(directory.rstrip("/")) - len(base.rstrip("/"))]
         for info in system.get_file_info(pafs.FileSelector(base)):
             if info.type == pafs.FileType.Directory:
@@ -81,8 +97,6 @@ def _entries(directory: str) -> Iterator[tuple[str, int | None, float | None]]:
 class _Subtree(InputPartition):
     directory: str
     recursive: bool
-    part: int = 0
-    parts: int = 1
 
 
 class _TreeReader(DataSourceReader):
@@ -95,9 +109,8 @@ class _TreeReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         """Expand directories breadth-first until there is work for every task.
 
-        The driver keeps directory names only, of which there is a bound; the
-        subdirectories of a directory with more are dealt out by their names'
-        hash to as many tasks as are wanted, which each list it again.
+        The driver keeps directory names only, of which there is a bound; a
+        directory with more subdirectories is one task's subtree.
         """
         parts, open_ = [], deque([self.root])
         while open_ and len(parts) < _MAX_EXPANDED and len(open_) < self.tasks:
@@ -105,7 +118,7 @@ class _TreeReader(DataSourceReader):
             below = (path for path, size, _ in _entries(directory) if size is None)
             found = list(islice(below, _MAX_SUBDIRECTORIES + 1))
             if len(found) > _MAX_SUBDIRECTORIES:
-                parts += [_Subtree(directory, True, part, self.tasks) for part in range(self.tasks)]
+                parts.append(_Subtree(directory, True))
             else:
                 parts.append(_Subtree(directory, False))
                 open_.extend(found)
@@ -114,15 +127,11 @@ class _TreeReader(DataSourceReader):
     def read(self, partition: _Subtree) -> Iterator[tuple]:
         todo = [partition.directory]
         while todo:
-            directory = todo.pop()
-            dealt = partition.parts > 1 and directory == partition.directory
-            for path, size, mtime in _entries(directory):
+            for path, size, mtime in _entries(todo.pop()):
                 if size is None:
-                    if partition.recursive and not (dealt and crc32(path.encode()) % partition.parts != partition.part):
+                    if partition.recursive:
                         todo.append(path)
                     continue
-                if dealt and partition.part:
-                    continue
                 ext = _suffix(path.rsplit("/", 1)[-1])
                 if self.extensions is None or ext in self.extensions:
                     yield path, path[len(self.root) :].lstrip("/"), ext, size, mtime
@@ -154,17 +163,56 @@ def list_tree(spark: SparkSession, root: str, extensions: list[str] | None = Non
     """
     if "://" not in root and not os.path.isdir(root):
         raise ValueError(f"not a directory: {root}")
-    spark.dataSource.register(FileTreeSource)
-    reader = spark.read.format("filetree")
-    if extensions is not None:
-        reader = reader.option("extensions", "\n".join(extensions))
-    return reader.load(root)
+    root = root.rstrip("/") or "/"
+    wanted = None if extensions is None else set(extensions)
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    listed: list[DataFrame] = []
+    todo, most = spark.createDataFrame([(root,)], "path string").coalesce(1), _FIRST_DIRECTORIES
+    while True:
+        found = stage(todo.mapInArrow(_walk(root, wanted, most), _WALKED), "walk")
+        listed.append(found.where("size IS NOT NULL"))
+        left = found.where("size IS NULL").select("path")
+        if left.isEmpty():
+            break
+        todo, most = left.repartition(tasks), _DIRECTORIES
+    return reduce(DataFrame.union, listed)
+
+
+def _walk(root: str, wanted: set[str] | None, most: int):
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+
+        def batch() -> pa.RecordBatch:
+            columns = [pa.array(list(values), kind) for values, kind in zip(zip(*rows), _WALKED_TYPES)]
+            rows.clear()
+            return pa.RecordBatch.from_arrays(columns, names=file_listing.fieldNames())
+
+        todo = (path for dealt in batches for path in dealt.column(0).to_pylist())
+        seen, below = 0, deque()
+        while True:
+            directory = below.popleft() if below else next(todo, None)
+            if directory is None:
+                break
+            # What was dealt is listed in any case; what lies below it only up to a number.
+            seen += 1
+            for path, size, mtime in _entries(directory):
+                ext = _suffix(path.rsplit("/", 1)[-1])
+                if size is None and len(below) + seen < most:
+                    below.append(path)
+                elif size is None or wanted is None or ext in wanted:
+                    rows.append((path, path[len(root) :].lstrip("/"), ext, size, mtime))
+                if len(rows) >= _WALK_ROWS:
+                    yield batch()
+        if rows:
+            yield batch()
+
+    return walk
 
 
 def _read(path: str) -> bytes | None:
     try:
         if "://" in path:
-            system, name = pafs.FileSystem.from_uri(path)
+            system, name = _file_system(path)
             with system.open_input_stream(name) as stream:
                 return stream.read()
         with open(path, "rb") as stream:

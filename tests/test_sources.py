@@ -1,6 +1,7 @@
 import json
 import os
 import random
+import uuid
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -58,15 +59,43 @@ def test_unreadable_file_gives_no_row(spark, tree):
     assert filetree.read_contents(gone).count() == 1
 
 
-def test_crowded_directories_are_dealt_out(spark, tree, rows, monkeypatch):
+def test_crowded_directories_are_one_subtree(spark, tree, rows, monkeypatch):
     whole = rows(filetree.list_tree(spark, str(tree)))
     monkeypatch.setattr(filetree, "_MAX_SUBDIRECTORIES", 1)
     reader = filetree._TreeReader({"path": str(tree), "tasks": "3"})
     parts = reader.partitions()
-    assert len([p for p in parts if p.parts == 3]) == 3
+    assert [p.recursive for p in parts] == [True]
     assert sorted(r for p in parts for r in reader.read(p)) == [tuple(r) for r in whole]
 
 
+@pytest.mark.parametrize("most", [1, 3, 1000])
+def test_each_directory_is_listed_once(spark, tree, rows, monkeypatch, tmp_path, most):
+    for i in range(30):
+        (tree / "wide" / f"d{i}" / "e").mkdir(parents=True)
+        (tree / "wide" / f"d{i}" / "e" / "f.py").write_text("x")
+    reader = filetree._TreeReader({"path": str(tree)})
+    expected = sorted(r for p in reader.partitions() for r in reader.read(p))
+    log, entries = tmp_path / "log", filetree._entries
+    log.mkdir()
+
+    def noted(directory):
+        with open(log / str(uuid.uuid4()), "w") as file:
+            file.write(directory)
+        return entries(directory)
+
+    monkeypatch.setattr(filetree, "_entries", noted)
+    monkeypatch.setattr(filetree, "_FIRST_DIRECTORIES", most)
+    monkeypatch.setattr(filetree, "_DIRECTORIES", most)
+    assert rows(filetree.list_tree(spark, str(tree))) == expected and len(expected) == 38
+    listed = sorted(p.read_text() for p in log.iterdir())
+    assert len(listed) == len(set(listed)) == 6 + 61
+
+
+def test_hadoop_names_for_s3_are_known():
+    system, path = filetree._file_system("s3a://bucket/a/b?region=us-east-1")
+    assert type(system).__name__ == "S3FileSystem" and path == "bucket/a/b"
+
+
 def test_what_cannot_be_read_is_passed_over(tree, monkeypatch):
     scandir = os.scandir
 
