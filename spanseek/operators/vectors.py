@@ -37,8 +37,9 @@ MAX_QUERY_NUMBERS = 8_000_000
 # Trained cells: how many for the root of the number of rows, and at most.
 CELLS_PER_ROOT = 16
 MAX_CELLS = 16_384
-# Numbers in the sample cells are trained on, and rounds of training.
+# Numbers in the sample cells are trained on, rows of it per cell, and rounds of training.
 SAMPLE_NUMBERS = 8_000_000
+ROWS_PER_CELL = 6
 TRAIN_ROUNDS = 4
 # A query is compared with this share of the rows, or with so many rows.
 PROBED_SHARE = 0.25
@@ -327,9 +328,11 @@ def _placed(matrix: np.ndarray, metric: str) -> np.ndarray:
 
 
 def _nearest(matrix: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    squares = (centres**2).sum(axis=1)
-    parts = [squares - 2.0 * (matrix[at : at + _QUERY_BLOCK] @ centres.T) for at in range(0, len(matrix), _QUERY_BLOCK)]
-    return np.concatenate([p.argmin(axis=1) for p in parts]) if parts else np.zeros(0, np.int64)
+    # Single precision: a row between two centres may be in either cell.
+    matrix, centres = matrix.astype(np.float32), centres.astype(np.float32)
+    squares, turned = (centres**2).sum(axis=1), np.ascontiguousarray(-2.0 * centres.T)
+    parts = [(squares + matrix[at : at + _QUERY_BLOCK] @ turned).argmin(axis=1) for at in range(0, len(matrix), _QUERY_BLOCK)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
 def _k_means(matrix: np.ndarray, n_cells: int, rounds: int) -> np.ndarray:
@@ -355,7 +358,7 @@ def train_cells(
     rounds: int = TRAIN_ROUNDS,
     seed: int = 7,
 ) -> DataFrame:
-    """``(cell, centre)`` of k-means over a sample of at most about ``sample_numbers`` numbers.
+    """``(cell, centre)`` of k-means over a sample of at most about ``sample_numbers`` numbers and ``ROWS_PER_CELL`` rows a cell.
 
     There are ``CELLS_PER_ROOT`` times as many cells as the root of the number
     of rows, with four rows each on average at least, and at most ``MAX_CELLS``.
@@ -365,6 +368,7 @@ def train_cells(
     n_rows, width = stored.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
     most = max(1, sample_numbers // max(1, width))
     wanted = n_cells or max(1, min(MAX_CELLS, most // 4, int(CELLS_PER_ROOT * n_rows**0.5), n_rows // 4))
+    most = min(most, ROWS_PER_CELL * wanted)
     sample = stored if n_rows <= most else stored.sample(most / n_rows, seed)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
