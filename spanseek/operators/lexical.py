@@ -1,18 +1,24 @@
 """BM25 over chunks, as tables.
 
-An index is three Parquet tables:
+An index is four Parquet tables:
 
-``postings``      term, span, tf, dl. Bucketed by span, sorted by term. The
-                  term "" marks a chunk once, so that chunks without tokens
-                  count and document statistics need no second table.
+``postings``      term, span, tf, dl, block. Bucketed by span, sorted by term
+                  and block. The term "" marks a chunk once, so that chunks
+                  without tokens count and document statistics need no second
+                  table.
 ``term_stats``    term, df, idf; files sorted by term.
 ``corpus_stats``  one row: n_docs, total_length, avgdl.
+``limits``        term, block, top_tf, least_dl; files sorted by term.
 
 Bucketing by span means every posting of a chunk sits in one bucket: scores
 are summed without a shuffle, whatever the frequency of a term, and only the
 best k rows per query and bucket cross the network. Sorting by term lets a
 single question read just the pages that hold its terms.
 
+A bucket's chunks are dealt into blocks by file. ``limits`` bounds the weight a
+term can have in a block, so a top-k search can score a query's most promising
+blocks first and skip those that cannot reach its k-th score.
+
 Weights are not stored: ``idf`` belongs to the term, ``tf`` and ``dl`` to the
 posting, so a weight is one product at query time and adding it to the table
 would cost a shuffle of all postings by term.
@@ -36,10 +42,18 @@ from ..staging import is_small, new_folder, partitions_for, stage
 CHUNK_MARK = ""
 _POSTING_COLUMNS = (
     "term string, file_path string, first_character_index int, "
-    "last_character_index int, tf bigint, dl int"
+    "last_character_index int, tf bigint, dl int, block bigint"
 )
 # Text per bucket; a bucket is one task in building and in searching.
 _BUCKET_BYTES = 512 << 20
+# Text per block, the unit that a pruned search skips.
+_BLOCK_BYTES = 128 << 10
+# Blocks of a query that are scored before others are skipped.
+PROBES = 8
+# Postings of all queries' terms from which a search is pruned; below, the bounds cost more than they save.
+PRUNED_FROM = 20_000_000
+# Blocks that are named in a filter of the scan.
+_MAX_NAMED_BLOCKS = 1000
 # Query terms, and bytes of them, that are broadcast at a time.
 MAX_BLOCK_ROWS = 1_000_000
 _BLOCK_TERM_BYTES = 64 << 20
@@ -54,6 +68,7 @@ class LexicalIndex:
     postings: DataFrame
     term_stats: DataFrame
     corpus_stats: DataFrame
+    limits: DataFrame
     k1: float = BM25_K1
     b: float = BM25_B
 
@@ -69,9 +84,12 @@ def drop_stopwords(tokens: DataFrame) -> DataFrame:
     return tokens.where(~F.col("term").isin(STOP_WORDS))
 
 
-def count_terms(chunks: DataFrame, partitions: int) -> DataFrame:
+def count_terms(chunks: DataFrame, partitions: int, blocks: int = 1) -> DataFrame:
     """Postings of ``chunks`` with one shuffle, of the chunks themselves.
 
+    Each of the ``partitions`` has ``blocks`` blocks of its own; the chunks of a
+    file that meet in a partition are in one block.
+
     Text is more compact than its tokens, and tokens made after the shuffle
     keep its partitioning, so the count needs no further exchange.
     """
@@ -79,7 +97,9 @@ def count_terms(chunks: DataFrame, partitions: int) -> DataFrame:
     tokens = spread.select(*SPAN, corpus_tokens(F.col("content")).alias("tokens"))
     marked = F.concat(F.array(F.lit(CHUNK_MARK)), F.col("tokens"))
     rows = tokens.select(*SPAN, F.size("tokens").alias("dl"), F.explode(marked).alias("term"))
-    return rows.groupBy(*SPAN, "dl", "term").agg(F.count("*").alias("tf"))
+    bucket = F.pmod(F.hash(*SPAN_KEY), F.lit(partitions)).cast("bigint")
+    block = bucket * blocks + F.pmod(F.xxhash64("file_path"), F.lit(blocks))
+    return rows.groupBy(*SPAN, "dl", "term").agg(F.count("*").alias("tf")).withColumn("block", block)
 
 
 def doc_stats(index: LexicalIndex) -> DataFrame:
@@ -103,25 +123,34 @@ def _term_stats(postings: DataFrame, corpus_stats: DataFrame) -> DataFrame:
     return counts.select("term", "df", F.log1p((n_docs - df + 0.5) / (df + 0.5)).alias("idf"))
 
 
-def write_index(chunks: DataFrame, path: str, buckets: int | None = None) -> LexicalIndex:
+def _limits(postings: DataFrame) -> DataFrame:
+    """For each term and block the largest count and the least length: no posting there weighs more than both give."""
+    found = postings.where(F.col("term") != CHUNK_MARK).groupBy("term", "block")
+    return found.agg(F.max("tf").alias("top_tf"), F.min("dl").alias("least_dl"))
+
+
+def write_index(
+    chunks: DataFrame, path: str, buckets: int | None = None, blocks: int | None = None
+) -> LexicalIndex:
     """Build an index of ``chunks`` at ``path`` in one pass over their text.
 
-    Existing tables at ``path`` are replaced. The number of buckets grows with
-    the stored size of the chunks unless it is given.
+    Existing tables at ``path`` are replaced. The numbers of buckets and of
+    blocks in each grow with the stored size of the chunks unless they are given.
     """
     spark = chunks.sparkSession
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
     buckets = buckets or min(most, partitions_for(chunks, _BUCKET_BYTES))
+    blocks = blocks or -(-partitions_for(chunks, _BLOCK_BYTES) // buckets)
     name = _table_name(path)
     (
-        count_terms(chunks, buckets)
+        count_terms(chunks, buckets, blocks)
         .selectExpr(*[f"cast({c.split()[0]} as {c.split()[1]})" for c in _POSTING_COLUMNS.split(", ")])
         .write.mode("overwrite")
         .option("path", f"{path}/postings")
         # Spans repeat once per term: a large dictionary stores each path once.
         .option("parquet.dictionary.page.size", 16 << 20)
         .bucketBy(buckets, *SPAN_KEY)
-        .sortBy("term")
+        .sortBy("term", "block")
         .saveAsTable(name)
     )
     postings = spark.table(name)
@@ -132,7 +161,10 @@ def write_index(chunks: DataFrame, path: str, buckets: int | None = None) -> Lex
     _term_stats(postings, corpus_stats).sortWithinPartitions("term").write.mode("overwrite").parquet(
         f"{path}/term_stats"
     )
-    return LexicalIndex(postings, spark.read.parquet(f"{path}/term_stats"), corpus_stats)
+    _limits(postings).sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/limits")
+    return LexicalIndex(
+        postings, spark.read.parquet(f"{path}/term_stats"), corpus_stats, spark.read.parquet(f"{path}/limits")
+    )
 
 
 def load_index(spark: SparkSession, path: str) -> LexicalIndex:
@@ -143,10 +175,12 @@ def load_index(spark: SparkSession, path: str) -> LexicalIndex:
     location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({_POSTING_COLUMNS}) USING parquet "
-        f"CLUSTERED BY ({', '.join(SPAN_KEY)}) SORTED BY (term) "
+        f"CLUSTERED BY ({', '.join(SPAN_KEY)}) SORTED BY (term, block) "
         f"INTO {buckets} BUCKETS LOCATION '{location}/postings'"
     )
-    return LexicalIndex(spark.table(name), spark.read.parquet(f"{path}/term_stats"), corpus_stats)
+    return LexicalIndex(
+        spark.table(name), spark.read.parquet(f"{path}/term_stats"), corpus_stats, spark.read.parquet(f"{path}/limits")
+    )
 
 
 def drop_index(spark: SparkSession, path: str) -> None:
@@ -165,11 +199,11 @@ def _table_name(path: str) -> str:
     return f"spanseek_postings_{hashlib.md5(path.rstrip('/').encode()).hexdigest()}"
 
 
-def _saturation(index: LexicalIndex) -> Column:
-    """The part of a weight that depends on the posting."""
+def _saturation(index: LexicalIndex, tf: str = "tf", dl: str = "dl") -> Column:
+    """The part of a weight that depends on the posting; it grows with ``tf`` and falls with ``dl``."""
     avgdl = index.corpus_stats.select("avgdl").scalar()
-    norm = index.k1 * (1 - index.b + index.b * F.col("dl") / avgdl)
-    return F.col("tf") / (F.col("tf") + norm)
+    norm = index.k1 * (1 - index.b + index.b * F.col(dl) / avgdl)
+    return F.col(tf) / (F.col(tf) + norm)
 
 
 def weighted_postings(index: LexicalIndex) -> DataFrame:
@@ -194,16 +228,24 @@ def weighted_postings(index: LexicalIndex) -> DataFrame:
 
 def query_weights(queries: DataFrame, index: LexicalIndex) -> DataFrame:
     """``(query_id, term, query_weight)``: repeats times idf; unknown terms vanish."""
+    return _query_weights(queries, index).drop("df")
+
+
+def _query_weights(queries: DataFrame, index: LexicalIndex) -> DataFrame:
     terms = queries.select("query_id", F.explode(query_terms(F.col("question"))).alias("term"))
     counted = terms.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
     return counted.join(index.term_stats, "term").select(
-        "query_id", "term", (F.col("qtf") * F.col("idf")).alias("query_weight")
+        "query_id", "term", (F.col("qtf") * F.col("idf")).alias("query_weight"), "df"
     )
 
 
-def _weight_blocks(queries: DataFrame, index: LexicalIndex, max_rows: int) -> list[DataFrame]:
+def _staged_weights(queries: DataFrame, index: LexicalIndex) -> DataFrame:
+    return stage(_query_weights(queries, index), "query-weights")
+
+
+def _weight_blocks(staged: DataFrame, max_rows: int) -> list[DataFrame]:
     """Query weights in blocks of whole queries, each small enough to broadcast."""
-    weights = stage(query_weights(queries, index), "query-weights")
+    weights = staged.drop("df")
     n, size = weights.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
     blocks = max(1, -(-n // max_rows), -(-size // _BLOCK_TERM_BYTES))
     number = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
@@ -223,12 +265,66 @@ def bm25_scores(queries: DataFrame, index: LexicalIndex, max_block_rows: int = M
     are, postings stay in their buckets: queries come in blocks that are
     broadcast, of about ``max_block_rows`` terms.
     """
-    blocks = [_block_scores(weights, index) for weights in _weight_blocks(queries, index, max_block_rows)]
-    return reduce(DataFrame.unionByName, blocks)
+    blocks = _weight_blocks(_staged_weights(queries, index), max_block_rows)
+    return reduce(DataFrame.unionByName, [_block_scores(weights, index) for weights in blocks])
+
+
+def _best(scores: DataFrame, k: int) -> DataFrame:
+    order = W.partitionBy("query_id").orderBy(F.round("score", 6).desc(), *SPAN_KEY)
+    positive = scores.where(F.col("score") > 0)
+    return positive.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def block_bounds(weights: DataFrame, index: LexicalIndex) -> DataFrame:
+    """``(query_id, block, bound)``: no chunk of the block scores more for the query."""
+    bound = F.col("query_weight") * _saturation(index, "top_tf", "least_dl")
+    return index.limits.join(weights, "term").groupBy("query_id", "block").agg(F.sum(bound).alias("bound"))
+
+
+def _postings_of(wanted: DataFrame, index: LexicalIndex) -> DataFrame:
+    """Postings of the blocks in ``wanted``; the scan is told them while they are few."""
+    named = [r[0] for r in wanted.select("block").distinct().limit(_MAX_NAMED_BLOCKS + 1).collect()]
+    return index.postings.where(F.col("block").isin(named)) if len(named) <= _MAX_NAMED_BLOCKS else index.postings
+
+
+def _scores_in(wanted: DataFrame, weights: DataFrame, index: LexicalIndex) -> DataFrame:
+    """Scores in the wanted ``(query_id, block)``, a table that may be broadcast."""
+    hits = _postings_of(wanted, index).join(weights, "term")
+    hits = hits.join(F.broadcast(wanted.select("query_id", "block")), ["query_id", "block"])
+    part = F.col("query_weight") * _saturation(index)
+    return hits.groupBy("query_id", *SPAN).agg(F.sum(part).alias("score"))
+
+
+def open_blocks(bounds: DataFrame, first: DataFrame, best: DataFrame, k: int) -> DataFrame:
+    """Blocks that may still hold one of the best ``k``, given the ``best`` of the blocks in ``first``."""
+    reached = best.where(F.col("rank") == k).select("query_id", F.round("score", 6).alias("reached"))
+    rest = bounds.join(first.select("query_id", "block"), ["query_id", "block"], "left_anti")
+    # Sums in another order may differ in the last bits, and scores are compared to six decimals.
+    return rest.join(reached, "query_id", "left").where(
+        F.col("reached").isNull() | (F.col("bound") + 2e-6 >= F.col("reached"))
+    ).drop("reached")
+
+
+def _pruned_topk(weights: DataFrame, index: LexicalIndex, k: int, probes: int) -> DataFrame:
+    """The best ``k`` without the postings of blocks that cannot matter."""
+    bounds = stage(block_bounds(weights, index), "bounds")
+    order = W.partitionBy("query_id").orderBy(F.col("bound").desc(), "block")
+    first = bounds.withColumn("place", F.row_number().over(order)).where(F.col("place") <= probes)
+    first = stage(first.select("query_id", "block"), "first-blocks")
+    best = stage(_best(_scores_in(first, weights, index), k), "first-scores")
+    rest = stage(open_blocks(bounds, first, best, k), "open-blocks")
+    if not is_small(rest):  # little can be skipped: all postings are scored
+        return _best(_block_scores(weights, index), k)
+    return _best(best.drop("rank").unionByName(_scores_in(rest, weights, index)), k)
 
 
 def bm25_topk(
-    queries: DataFrame, index: LexicalIndex, k: int, max_block_rows: int = MAX_BLOCK_ROWS
+    queries: DataFrame,
+    index: LexicalIndex,
+    k: int,
+    max_block_rows: int = MAX_BLOCK_ROWS,
+    pruned: bool | None = None,
+    probes: int = PROBES,
 ) -> DataFrame:
     """Best ``k`` chunks per query with a positive score, ``rank`` from 1.
 
@@ -238,11 +334,16 @@ def bm25_topk(
     per query leave a task and only one block's pairs exist at a time. ``k``
     above ``spark.sql.optimizer.windowGroupLimitThreshold`` gives the same rows
     without that early cut.
-    """
-    best_first = W.partitionBy("query_id").orderBy(F.round("score", 6).desc(), *SPAN_KEY)
-
-    def cut(weights: DataFrame) -> DataFrame:
-        scores = _block_scores(weights, index).where(F.col("score") > 0)
-        return scores.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
 
-    return reduce(DataFrame.unionByName, [cut(w) for w in _weight_blocks(queries, index, max_block_rows)])
+    ``pruned`` searches skip the postings of blocks of chunks that cannot reach
+    a query's k-th score, after its ``probes`` most promising ones; the rows are
+    the same. By default searches are pruned whose terms have many postings.
+    """
+    staged = _staged_weights(queries, index)
+    if pruned is None:
+        pruned = (staged.agg(F.sum("df")).first()[0] or 0) >= PRUNED_FROM
+    if pruned:
+        blocks = _weight_blocks(staged, max(1, max_block_rows // probes))
+        return reduce(DataFrame.unionByName, [_pruned_topk(w, index, k, probes) for w in blocks])
+    blocks = _weight_blocks(staged, max_block_rows)
+    return reduce(DataFrame.unionByName, [_best(_block_scores(w, index), k) for w in blocks])

@@ -163,7 +163,8 @@ def search(
     index = store.index
     if len(terms) <= _MAX_PRUNING_TERMS:
         wanted = F.col("term").isin(terms)
-        index = replace(index, postings=index.postings.where(wanted), term_stats=index.term_stats.where(wanted))
+        postings, stats, limits = (t.where(wanted) for t in (index.postings, index.term_stats, index.limits))
+        index = replace(index, postings=postings, term_stats=stats, limits=limits)
     ranked = hybrid.hybrid_topk(_queries(asked), index, store.vectors, validate_k(k), embed_factory, share)
     return ranked.select("rank", *SPAN)
 

@@ -311,6 +311,7 @@ def oracle_sql() -> dict[str, str]:
         "query_terms": _sql("SELECT item_id AS query_id, term, qtf FROM asked"),
         "bm25_scores": _sql(f"SELECT item_id AS query_id, {_SPAN}, round(score, 6) AS score FROM scores"),
         "bm25_topk": topk,
+        "bm25_topk_pruned": topk,
         "index_roundtrip": topk,
         # vector retrieval
         "hash_embed": _sql(

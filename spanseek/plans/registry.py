@@ -272,6 +272,11 @@ def bm25_topk(spark, sf_dir):
     return lexical.bm25_topk(_asked(spark, sf_dir), _index(spark, sf_dir), DEFAULT_K)
 
 
+@_query
+def bm25_topk_pruned(spark, sf_dir):
+    return lexical.bm25_topk(_asked(spark, sf_dir), _index(spark, sf_dir), DEFAULT_K, pruned=True)
+
+
 @_query
 def index_roundtrip(spark, sf_dir):
     path = new_folder(spark, "index")

@@ -126,6 +126,49 @@ def test_blocks_of_queries_give_the_same_rows(asked, index, rows):
     assert rows(lexical.bm25_scores(asked, index, 2)) == rows(lexical.bm25_scores(asked, index))
 
 
+def test_pruned_topk_gives_the_same_rows(spark, chunks, asked, tmp_path):
+    index = lexical.write_index(chunks, str(tmp_path / "index"), 2, blocks=4)
+    for k in (1, 3, 1000):
+        for probes in (1, 2, 50):
+            whole = lexical.bm25_topk(asked, index, k, pruned=False).orderBy("query_id", "rank").collect()
+            found = lexical.bm25_topk(asked, index, k, 20, pruned=True, probes=probes).orderBy("query_id", "rank").collect()
+            assert [(r.query_id, r["rank"], *(r[c] for c in SPAN)) for r in found] == [
+                (r.query_id, r["rank"], *(r[c] for c in SPAN)) for r in whole
+            ]
+            assert [r.score for r in found] == pytest.approx([r.score for r in whole])
+
+
+def test_bounds_hold_for_every_chunk(spark, chunks, asked, tmp_path):
+    index = lexical.write_index(chunks, str(tmp_path / "index"), 3, blocks=3)
+    blocks = index.postings.select(*SPAN, "block").distinct()
+    assert blocks.count() == chunks.select(*SPAN).distinct().count()  # a chunk is in one block
+    for constants in ({}, {"k1": 0.5, "b": 0.0}, {"k1": 3.0, "b": 1.0}):
+        own = replace(index, **constants)
+        scores = lexical.bm25_scores(asked, own).join(blocks, list(SPAN))
+        bounds = lexical.block_bounds(lexical.query_weights(asked, own), own)
+        joined = scores.join(bounds, ["query_id", "block"], "left")
+        assert joined.where("bound IS NULL OR score > bound + 1e-9").count() == 0
+
+
+def test_blocks_that_cannot_matter_are_not_scored(spark, tmp_path):
+    texts = [(f"f{i}", 0, 9, "common words everywhere " + ("needle common" if i % 50 == 7 else "filler")) for i in range(300)]
+    index = lexical.write_index(spark.createDataFrame(texts, chunk), str(tmp_path / "index"), 2, blocks=40)
+    asked = spark.createDataFrame([(1, "common needle")], "query_id long, question string")
+    weights = lexical.query_weights(asked, index)
+    bounds = lexical.block_bounds(weights, index)
+    first = bounds.orderBy(F.col("bound").desc()).limit(8)
+    best = lexical.bm25_topk(asked, index, 5)
+    rest = lexical.open_blocks(bounds, first, best, 5)
+    opened = lexical._postings_of(first, index).join(weights, "term").count()
+    opened += lexical._postings_of(rest, index).join(weights, "term").count() if rest.count() else 0
+    assert rest.count() == 0
+    assert opened * 4 < index.postings.join(weights, "term").count()
+    plan = lexical._postings_of(first, index)._jdf.queryExecution().executedPlan().toString()
+    assert "block" in plan.split("PushedFilters")[1]
+    found, whole = (lexical.bm25_topk(asked, index, 5, pruned=p).orderBy("rank").collect() for p in (True, False))
+    assert [r.file_path for r in found] == [r.file_path for r in whole]
+
+
 def test_opening_adds_no_tables(spark, chunks, tmp_path):
     path = str(tmp_path / "it's an index")
     lexical.write_index(chunks, path, 2)
