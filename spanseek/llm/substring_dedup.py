@@ -13,17 +13,22 @@ sorting the windows of a bucket counts them exactly.
    copies do not fill a bucket.
 3. Minimisers with more than ``hot`` different super-k-mers (a line found in very
    many documents) would make large buckets: their windows are counted one by
-   one, keyed by 128-bit hashes, which spreads them evenly.
+   one, keyed by the 128-bit BLAKE2b of their words, which spreads them evenly.
 4. Repeated windows return to the documents as ranges, joined by document.
 
 Null and empty texts have no words. Texts shorter than a window stay as they
 are. Repeated rows are documents of their own, so they remove each other's
-windows; rows that have the same key and text get the same result.
+windows; rows that have the same key and text get the same result. What a row
+gathers does not grow with its repeats, and super-k-mers that recur within a
+text (``x x x ...``) are one entry with the list of their places. An empty table
+gives an empty one; columns other than key and text are not looked at, whatever
+their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +50,7 @@ _CHUNK_ROWS = 20_000
 _HELD_BYTES = 16 << 20
 _BASES = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
-_OCCURRENCE = "m bigint, f bigint, k1 bigint, k2 bigint, s int, c int"
+_OCCURRENCE = "m bigint, f bigint, k1 bigint, k2 bigint, c int, starts array<int>"
 
 
 class _Powers:
@@ -168,9 +173,17 @@ def occurrences(keyed: DataFrame, window: int, gram: int) -> DataFrame:
                 if found is None:
                     continue
                 owner, m, f, s, c = found
-                rows = part.select([0, 1]).take(pa.array(owner))
-                columns = [m, f, rows.column(0), rows.column(1), s.astype(np.int32), c.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["m", "f", "k1", "k2", "s", "c"])
+                # Equal super-k-mers of a text are one entry with all their places.
+                order = np.lexsort((s, c, f, m, owner))
+                owner, m, f, s, c = (x[order] for x in found)
+                new = np.ones(s.size, bool)
+                new[1:] = (owner[1:] != owner[:-1]) | (m[1:] != m[:-1]) | (f[1:] != f[:-1]) | (c[1:] != c[:-1])
+                heads = np.flatnonzero(new)
+                bounds = pa.array(np.append(heads, s.size).astype(np.int32))
+                starts = pa.ListArray.from_arrays(bounds, pa.array(s.astype(np.int32)))
+                rows = part.select([0, 1]).take(pa.array(owner[heads]))
+                columns = [pa.array(m[heads]), pa.array(f[heads]), *rows.columns, pa.array(c[heads].astype(np.int32)), starts]
+                yield pa.RecordBatch.from_arrays(columns, names=["m", "f", "k1", "k2", "c", "starts"])
 
     return keyed.select("k1", "k2", "text").mapInArrow(work, _OCCURRENCE)
 
@@ -191,11 +204,11 @@ def _packed(cut_out: DataFrame, window: int) -> DataFrame:
             for text, wanted in zip(batch.column("text"), batch.column("wanted")):
                 words = text.as_py().encode("utf-8", "surrogatepass").split()
                 for one in wanted.as_py():
-                    s = one["s"]
+                    s = one["starts"][0]
                     packed = b" ".join(words[s : s + one["c"] + window - 1])
                     entry = (one["m"], one["f"], packed)
                     size += 0 if entry in held else len(packed)
-                    held[entry] = held.get(entry, 0) + 1
+                    held[entry] = held.get(entry, 0) + len(one["starts"])
                 if size > _HELD_BYTES:
                     yield flush()
                     held, size = {}, 0
@@ -286,16 +299,19 @@ def _counted(packed: DataFrame, window: int) -> DataFrame:
 
 
 def _single_windows(cut_out: DataFrame, window: int) -> DataFrame:
-    """``(k1, k2, w, h1, h2)``: every window of the listed super-k-mers with its 128-bit number."""
+    """``(k1, k2, w, h1, h2)``: every window of the listed super-k-mers with the 128-bit hash of its words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of, runs = WordHasher(), (RunHasher(_BASES[0]), RunHasher(_BASES[1]))
         for batch in batches:
             for _, k1, k2, text, wanted in zip(*batch.columns):
-                data, _ = joined([text.as_py()])
-                words = words_of(data)[2]
-                at = np.concatenate([np.arange(x["s"], x["s"] + x["c"]) for x in wanted.as_py()])
-                h1, h2 = (r(words, at, at + window).view(np.int64) for r in runs)
+                words = text.as_py().encode("utf-8", "surrogatepass").split()
+                spaced = b" ".join(words)
+                sizes = np.array([len(w) for w in words])
+                ends = np.cumsum(sizes + 1) - 1
+                at = np.concatenate([np.arange(s, s + x["c"]) for x in wanted.as_py() for s in x["starts"]])
+                bounds = zip((ends - sizes)[at].tolist(), ends[at + window - 1].tolist())
+                hashes = b"".join(blake2b(spaced[a:b], digest_size=16).digest() for a, b in bounds)
+                h1, h2 = np.frombuffer(hashes, "<i8").reshape(-1, 2).T.copy()
                 ids = [pa.array([k.as_py()] * at.size, k.type) for k in (k1, k2)]
                 arrays = [*ids, pa.array(at.astype(np.int32)), pa.array(h1), pa.array(h2)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["k1", "k2", "w", "h1", "h2"])
@@ -307,21 +323,20 @@ def _single_windows(cut_out: DataFrame, window: int) -> DataFrame:
 def repeated_ranges(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """``(k1, k2, ranges)``: per document the ranges of windows that start more than once anywhere."""
     found = occurrences(keyed, window, gram)
-    kinds = found.groupBy("m", "f").agg(F.count("*").alias("n"))
+    kinds = found.groupBy("m", "f").agg(F.sum(F.size("starts")).alias("n"))
     shared = kinds.groupBy("m").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).where("n > 1")
     shared = stage(shared.select("m", (F.col("kinds") > hot).alias("hot")), "minimisers")
     kept = stage(found.join(shared, "m"), "super-k-mers")
 
     def cut_out(rows: DataFrame) -> DataFrame:
         # At most a document's own super-k-mers are gathered in its row.
-        wanted = rows.groupBy("k1", "k2").agg(F.collect_set(F.struct("m", "f", "s", "c")).alias("wanted"))
+        wanted = rows.groupBy("k1", "k2").agg(F.collect_set(F.struct("m", "f", "c", "starts")).alias("wanted"))
         return keyed.join(wanted, ["k1", "k2"])
 
     even = kept.where("NOT hot").drop("hot")
     hits = _counted(_packed(cut_out(even), window), window)
-    # Repeated rows bring the same ranges twice; covering a word twice does no harm.
-    pairs = even.select("m", "f", "k1", "k2", "s").join(hits, ["m", "f"])
-    offset = F.transform("ranges", lambda x: x + F.col("s"))
+    pairs = even.select("m", "f", "k1", "k2", "starts").join(hits, ["m", "f"])
+    offset = F.flatten(F.transform("starts", lambda s: F.transform("ranges", lambda x: x + s)))
     ranges = pairs.select("k1", "k2", offset.alias("ranges"))
     if shared.where("hot").limit(1).count():
         # Not stored: in one plan with the joins above it reads the same exchange of the texts.
@@ -329,7 +344,8 @@ def repeated_ranges(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, ho
         more = single.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1")
         many = single.join(more, ["h1", "h2"]).select("k1", "k2", F.array("w", F.col("w") + 1).alias("ranges"))
         ranges = ranges.union(many)
-    return ranges.groupBy("k1", "k2").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    # As a set: repeated rows bring the same ranges, which are folded before they are shuffled.
+    return ranges.groupBy("k1", "k2").agg(F.flatten(F.collect_set("ranges")).alias("ranges"))
 
 
 def remove_repeats(

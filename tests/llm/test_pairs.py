@@ -125,6 +125,23 @@ def test_removal_equals_brute_force(spark):
         check_removal(spark, texts, window, gram, hot)
 
 
+def test_repeats_do_not_grow_lists(spark):
+    text = " ".join(f"w{i}" for i in range(120))
+    rows = [(1, text)] * 5000 + [(2, "x " * 1_000_000), (3, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    keyed = substring_dedup._keyed(frame, "doc_id", "text")
+    found = substring_dedup.occurrences(keyed.where("id = 2"), 35, 5)
+    assert found.count() < 10 and found.selectExpr("sum(size(starts))").first()[0] > 100_000
+    ranges = substring_dedup.repeated_ranges(keyed)
+    few = spark.createDataFrame([(1, text)] * 2, "doc_id long, text string")
+    size = substring_dedup.repeated_ranges(substring_dedup._keyed(few, "doc_id", "text")).selectExpr("size(ranges)").first()[0]
+    assert size == ranges.where("k1 = 1").selectExpr("size(ranges)").first()[0]
+    kept = substring_dedup.remove_repeats(frame).groupBy("doc_id", "n_words", "n_removed", "kept").count().collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept, r["count"]) for r in kept) == [
+        (1, 120, 120, "", 5000), (2, 1_000_000, 1_000_000, "", 1), (3, 0, 0, "", 1)
+    ]
+
+
 def test_removal_over_place_blocks(spark, monkeypatch):
     rng = random.Random(4)
     words = [rng.choice("abc") for _ in range(400)]
