@@ -369,19 +369,24 @@ def share_payloads(
     The others become revisits of it. Payloads are equal if their SHA-1 is.
     Digests travel without payloads, and a revisit is joined to its row by key
     and digest, so a group of copies is no group in any join of payloads. Rows
-    that repeat key and payload are all stored; a null key is never a revisit.
+    that repeat the largest key and its payload are all stored. A null key counts
+    as smaller than any other; if all keys of a group are null, all are stored.
     """
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     sized = pages.select(F.col(key).alias("key"), F.sha1(body).alias("sha1"), F.octet_length(body).alias("bytes"))
     large = stage(sized.where(F.col("bytes") >= least).select("key", "sha1"), "digests")
-    kept = large.groupBy("sha1").agg(F.max("key").alias("stored"), F.min("key").alias("least")).where("least < stored")
-    again = large.join(kept.select("sha1", "stored"), "sha1").where("key < stored").distinct()
+    counts = [F.count("*").alias("n"), F.count("key").alias("n_keys")]
+    kept = large.groupBy("sha1").agg(F.max("key").alias("stored"), F.min("key").alias("least"), *counts)
+    kept = kept.where("least < stored OR 0 < n_keys AND n_keys < n").select("sha1", "stored")
+    again = large.join(kept, "sha1").where("key IS NULL OR key < stored").distinct()
+    again = again.select(F.col("sha1").alias("again_sha1"), F.col("key").alias("again_key"), "stored")
 
     def identifier(column: str):
         return F.concat(F.lit(f"<{prefix}"), F.coalesce(F.col(column).cast("string"), F.lit("")), F.lit(">"))
 
     rows = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("target_uri"), body.alias("body"))
-    rows = rows.withColumn("sha1", F.sha1("body")).join(again, ["key", "sha1"], "left")
+    same = (F.col("sha1") == F.col("again_sha1")) & F.col("key").eqNullSafe(F.col("again_key"))
+    rows = rows.withColumn("sha1", F.sha1("body")).join(again, same, "left")
     is_again = F.col("stored").isNotNull()
     return rows.select(
         identifier("key").alias("record_id"),

@@ -30,7 +30,8 @@ def test_copies_are_stored_once(spark):
     assert len(found) == len(rows)
     page = lambda i: found[f"<urn:x-page:{'' if i is None else i}>"]
     kinds = {i: page(i).record_type for i, _, _ in rows}
-    assert {i for i, k in kinds.items() if k == "revisit"} == {1, 3, 4}
+    assert {i for i, k in kinds.items() if k == "revisit"} == {1, 3, 4, None}
+    assert page(None).refers_to == "<urn:x-page:10>"
     assert page(1).refers_to == page(3).refers_to == "<urn:x-page:7>" and page(4).refers_to == "<urn:x-page:10>"
     for i, url, html in rows:
         data = (html or "").encode()
@@ -39,6 +40,28 @@ def test_copies_are_stored_once(spark):
     assert page(8).target_uri is None and page(9).target_uri == "a%0D%0Ab: c".replace(" ", "%20")
 
 
+def test_rows_without_key(spark):
+    one, two, three = "a" * 1500, "b" * 1500, "c" * 1500
+    path = written(spark, [(None, "u", one), (5, "u", one), (None, "u", two), (None, "v", two), (9, "u", three), (9, "v", three), (None, "u", three)])
+    found = sorted((r.record_id, r.record_type, r.refers_to or "", r.payload_sha1) for r in warc.read(spark, path).collect())
+    sha = {t: hashlib.sha1(t.encode()).hexdigest() for t in (one, two, three)}
+    # One beside a stored row, two without any key, one beside a repeated row.
+    expected = [("<urn:x-page:>", "revisit", "<urn:x-page:5>", sha[one]), ("<urn:x-page:5>", "response", "", sha[one])]
+    expected += [("<urn:x-page:>", "response", "", sha[two])] * 2
+    expected += [("<urn:x-page:9>", "response", "", sha[three])] * 2 + [("<urn:x-page:>", "revisit", "<urn:x-page:9>", sha[three])]
+    assert found == sorted(expected)
+
+
+def test_clashing_names_and_very_long_payloads(spark):
+    names = ["stored", "sha1", "n", "least", "body", "key"]
+    wide = spark.createDataFrame([(1, "u", "é" * 3_000_000), (2, "u", "é" * 3_000_000), (2, "u", "é" * 3_000_000)], PAGES)
+    wide = wide.select("*", *[F.lit(0).alias(n) for n in names])
+    records = warc.share_payloads(wide, "page_id", "html", "url")
+    assert sorted(tuple(r) for r in records.select("record_type", "payload_bytes").collect()) == [
+        ("response", 6_000_000), ("response", 6_000_000), ("revisit", 6_000_000)
+    ]
+
+
 def test_header_predicates_are_pushed(spark):
     path = written(spark, [(i, f"http://{'ab'[i % 2]}/{i}", "y" * 1500 if i < 4 else "z" * i) for i in range(10)])
     read = warc.read(spark, path)
