@@ -1,21 +1,27 @@
 """Toxicity of texts after a noisy-channel decoder has undone disguises.
 
 Words written with look-alike digits and signs, with letters spaced out or with
-letters repeated are found by their look. Each becomes a lattice: a sign may
-stand for several letters or itself, a separator for nothing, a repeated letter
-for one. Viterbi search finds the most probable letters under a character
-trigram model of all documents (states: the last two letters). Other words have
-one path only and stay.
+letters repeated, or several of these at once, become lattices: a sign may stand
+for several letters or itself, a separator for nothing, a repeated letter for
+one. Viterbi search finds the most probable letters under a character trigram
+model of all documents (states: the last two letters). Other words have one path
+only and stay. So do words whose only choice is a letter written twice, where
+the model says it is meant twice: that choice depends on three letters and is
+read from a table. More than six equal signs in a row, or more than a dozen
+``*``, hide no word and stand as they are, so the work on a text is linear.
 
 The restored words are scored: weights are log-odds of words and word beginnings
 in toxic against other documents, learnt from bounded samples of the labelled
 rows that may be learnt from; on labelled rows held apart, a logistic function
-is fitted to the sum of a text's weights and to their share of its words.
+is fitted to the sum of a text's weights and to their share of its words. If one
+of the two parts lacks a label, all rows that may be learnt from serve as both.
 
 The trigram counts cover all documents; a task adds up its own before they are
 shuffled, and their number is bounded by the alphabet. Null, empty and letterless
 texts have weight zero and get the score of harmless text; without labels of
-both kinds every score is 0. Repeated rows are scored alike.
+both kinds, as with empty tables, every score is 0. Repeated rows are scored
+alike, texts of any length are read whole, and a column named like a new one is
+replaced by it.
 """
 
 from __future__ import annotations
@@ -120,42 +126,69 @@ LOOK_ALIKES = {
     "*": "abcdefghijklmnopqrstuvwxyz",
 }
 _SEPARATORS = " .-_*"
+# Signs that are marks at the end of a word, and between letters that stand alone.
+_MARKS = "*|!"
 _LETTER = r"[^\W\d_]"
 _SIGNS = re.escape("".join(LOOK_ALIKES))
+_FIRM = re.escape("".join(c for c in LOOK_ALIKES if c not in _MARKS))
+_UNIT = rf"(?:{_LETTER}|[{_FIRM}])"
 SUSPECT = re.compile(
-    rf"(?<!\w)(?P<spaced>{_LETTER}(?:[ .\-_*]+{_LETTER}){{3,}})(?!\w)"
+    rf"(?<![\w{_FIRM}])(?P<spaced>{_UNIT}(?:[ .\-_*]+{_UNIT}){{2,}})(?![\w{_FIRM}])"
     rf"|{_LETTER}[{_SIGNS}]+(?={_LETTER})"
+    rf"|{_LETTER}[{_FIRM}]+(?!\w)"
     rf"|(?<!\S)[{_SIGNS}]+(?={_LETTER})"
-    rf"|(?P<again>{_LETTER})(?P=again)(?P=again)"
+    rf"|(?P<again>{_LETTER})(?P=again)(?P<more>(?P=again)?)"
 )
 _BODY = re.compile(rf"(?:{_LETTER}|[{_SIGNS}])*")
+_LONG_RUN = re.compile(rf"([{_SIGNS}])\1{{6}}")
+_MOST_HIDDEN = 12
+# Probabilities of writing what is meant: as it is, a letter as a sign, nothing as a separator or a third letter, a sign
+# as itself; a letter twice instead of once; as itself a digit of a number at the end of a word, another sign there, a
+# separator in a short row.
 _KEEP, _SWAP, _DROP, _AS_IS = (math.log(p) for p in (0.9, 0.6, 0.5, 1e-4))
+_TWICE, _NUMBER, _END, _SHORT = (math.log(p) for p in (0.002, 0.3, 0.01, 0.05))
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each character what may have been meant, with the log-probability of writing it so."""
     out = []
     run = 0
+    end = len(token.rstrip("".join(LOOK_ALIKES)))
+    at_end = _NUMBER if token[end:].isdigit() else _END
+    # Three letters that stand alone may be just that; more rarely are.
+    apart = _SHORT if len(token) <= 5 else _AS_IS
     for i, char in enumerate(token):
         run = run + 1 if i and token[i - 1] == char else 1
         if char.isalpha():
-            # The third and later letters of a run stand for nothing; if there is a third, the second may.
+            # The third and later letters of a run stand for nothing; the second may, and does more often before a third.
             options = [("", _DROP)] if run > 2 else [(char, _KEEP)]
-            if run == 2 and token[i + 1 : i + 2] == char:
-                options.append(("", _DROP))
+            if run == 2:
+                options.append(("", _DROP if token[i + 1 : i + 2] == char else _TWICE))
         elif char in LOOK_ALIKES:
             meant = LOOK_ALIKES[char]
-            options = [(c, _SWAP - math.log(len(meant))) for c in meant] + [(char, _AS_IS)]
+            options = [(c, _SWAP - math.log(len(meant))) for c in meant] + [(char, _AS_IS if i < end else at_end)]
             if char in _SEPARATORS:
                 options.append(("", _AS_IS))
         elif char in _SEPARATORS:
-            options = [("", _DROP), (char, _AS_IS)]
+            options = [("", _DROP), (char, apart)]
         else:
             options = [(char, _KEEP)]
         out.append(options)
     return out
 
 
+def _without_marks(text: str, start: int, end: int) -> int:
+    """Where a word ends, without marks and without three or more of one sign."""
+    while end > start:
+        sign, run = text[end - 1], end
+        while run > start and text[run - 1] == sign:
+            run -= 1
+        if sign not in _MARKS and (sign.isalnum() or end - run < 3):
+            break
+        end = run
+    return end
+
+
 class Decoder:
     """Most probable readings of suspicious words, remembered per task."""
 
@@ -164,6 +197,9 @@ class Decoder:
     def __init__(self, model: np.ndarray) -> None:
         self._model = model
         self._known: dict[str, str] = {}
+        # [a, b, c]: between a and c, b written twice is meant once.
+        twice = np.einsum("abb->ab", model)[:, :, None] + np.einsum("bbc->bc", model)[None]
+        self._once = (model + _TWICE > twice + _KEEP).tolist()
 
     def decode(self, token: str) -> str:
         """Viterbi search through the lattice of ``token`` (lower case)."""
@@ -189,25 +225,39 @@ class Decoder:
             letters.append(meant)
         return "".join(reversed(letters))
 
+    def _stands(self, text: str, match: re.Match) -> bool:
+        """Whether the letter that ``match`` found twice is meant twice."""
+        start, end = match.span()
+        before, after = text[start - 1 : start], text[end : end + 1]
+        if before in LOOK_ALIKES or after in LOOK_ALIKES:
+            return False
+        once = self._once[symbol(before) if before else _EDGE][symbol(match["again"])]
+        return not once[symbol(after) if after else _EDGE]
+
     def restore(self, text: str) -> str:
         """``text`` in lower case with suspicious words replaced by their readings."""
         text = text.lower()
         parts, at = [], 0
         for match in SUSPECT.finditer(text):
-            if match.start() < at:
+            if match.start() < at or match["again"] and not match["more"] and self._stands(text, match):
                 continue
             if match["spaced"]:
                 start, end = match.span()
+                if sum(map(str.isalpha, match["spaced"])) < 2:
+                    continue
             else:
                 start = match.start()
                 while start > at and (text[start - 1].isalpha() or text[start - 1] in LOOK_ALIKES):
                     start -= 1
                 end = _BODY.match(text, match.start()).end()
-                while end > start and text[end - 1] in LOOK_ALIKES:  # signs at the end are marks
-                    end -= 1
+                end = _without_marks(text, start, end)
                 while start < end and text[start] in "*|!+":
                     start += 1
             token = text[start:end]
+            if token.count("*") > _MOST_HIDDEN or _LONG_RUN.search(token):
+                parts.append(text[at:end])
+                at = end
+                continue
             reading = self._known.get(token)
             if reading is None:
                 reading = self.decode(token)
@@ -318,11 +368,19 @@ def train(
 ) -> Model | None:
     """Learn from the rows of ``labels`` where ``learn`` holds: weights where ``hold`` does not, the rest where it does."""
     characters = log_probabilities(count_trigrams(docs, text))
-    decoder = rows.ship(docs.sparkSession, characters)
-    first = _labelled(docs, labels, key, text, label, learn & ~hold, per_label)
-    second = _labelled(docs, labels, key, text, label, learn & hold, per_label)
+
+    def part(which: Column) -> DataFrame | None:
+        return _labelled(docs, labels, key, text, label, which, per_label)
+
+    parts = part(learn & ~hold), part(learn & hold)
+    return _fit(docs, characters, *parts) or _fit(docs, characters, part(learn), part(learn))
+
+
+def _fit(docs: DataFrame, characters: np.ndarray, first: DataFrame | None, second: DataFrame | None) -> Model | None:
+    """Weights from ``first``, the logistic function from ``second``; ``None`` if one lacks a label."""
     if first is None or second is None:
         return None
+    decoder = rows.ship(docs.sparkSession, characters)
     size = 1 << BUCKET_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

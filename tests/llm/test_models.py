@@ -3,6 +3,8 @@
 import collections
 import math
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -19,8 +21,12 @@ SF = "/root/testdata/sf0.01"
 # --- toxicity ---------------------------------------------------------------------
 
 
+decoder_words = []
+
+
 @pytest.fixture(scope="module")
 def decoder(spark):
+    decoder_words[:] = [r.text.lower() for r in documents(spark, "sf0.001").select("text").collect() if r.text]
     return toxicity.Decoder(toxicity.log_probabilities(toxicity.count_trigrams(documents(spark, "sf0.01"), "text")))
 
 
@@ -29,8 +35,66 @@ def test_disguises_are_undone(decoder):
     cases |= {"stuuuupid": "stupid", "clooown": "clown", "w0rthl3ss": "worthless", "Idiotttt!!!": "idiot!!!"}
     for written, meant in cases.items():
         assert decoder.restore(f"the {written} and") == f"the {meant} and"
-    for plain in ("192.168.1.1", "of%%% the&&& an***", "a b c", "", "well, 3 of 10", "2.0"):
+    mixed = {"d i e": "die", "1 d 1 0 t": "idiot", "i d 1 0 t": "idiot", "stuupid": "stupid", "iidiott": "idiot"}
+    mixed |= {"s.t.u.p.1.d": "stupid", "id1o+": "idiot", "1d10+": "idiot"}
+    for written, meant in mixed.items():
+        assert decoder.restore(f"the {written} and") == f"the {meant} and"
+    for plain in ("192.168.1.1", "of%%% the&&& an***", "a b c", "", "well, 3 of 10", "2.0", "erster$$$ and", "x = 3 + y"):
+        assert decoder.restore(plain) == plain
+
+
+def test_runs_of_signs_stand_and_cost_little(decoder):
+    for plain in ("a" + "*" * 10_000, "b" + "$" * 500 + "c", "x" + "*1" * 5_000, "a_" + "1" * 300 + "b"):
+        started = time.perf_counter()
         assert decoder.restore(plain) == plain
+        assert time.perf_counter() - started < 1
+
+
+def test_doubled_letters_by_table_and_by_search_agree(decoder):
+    words = {w for r in decoder_words for w in r.split() if w.isalpha() and w.isascii()}
+    lone = [w for w in sorted(words) if sum(a == b for a, b in zip(w, w[1:])) == 1][:300]
+    assert len(lone) > 50
+    for word in [*lone, "stuupid", "idiott", "iidiot"]:
+        assert decoder.restore(word) == decoder.decode(word), word
+
+
+def test_weights_and_scores_equal_brute_force(spark):
+    labels = spark.range(60).selectExpr("id AS doc_id", "cast(id % 3 = 0 AS int) AS toxic")
+    text = "if(toxic = 1, concat('vile m0nster n', doc_id % 4), concat('pleasant day n', doc_id % 4))"
+    docs = labels.selectExpr("doc_id", f"{text} AS text")
+    model = toxicity.train(docs, labels, F.lit(True), F.col("doc_id") % 2 == 0)
+    undo = toxicity.Decoder(model.characters).restore
+    given = [(undo(r.text), r.toxic, r.doc_id) for r in docs.join(labels, "doc_id").collect()]
+    learnt = [(t, y) for t, y, i in given if i % 2]
+
+    def units(text):
+        words = re.findall("[a-z]+", text)
+        return [{w, *((w[:n], n) for n in toxicity.PREFIXES if len(w) > n)} for w in words]
+
+    seen = collections.Counter(y for _, y in learnt)
+    counts = collections.Counter((u, y) for t, y in learnt for u in set().union(*units(t)))
+
+    def weight(u):
+        a, b = counts[u, 1] + 0.5, counts[u, 0] + 0.5
+        odds = math.log(a / (seen[1] + 1)) - math.log(b / (seen[0] + 1)) - math.sqrt(1 / a + 1 / b)
+        return odds if odds >= toxicity.LEAST_WEIGHT else 0.0
+
+    def measured(text):
+        own = [max([0.0, *map(weight, u)]) for u in units(text)]
+        return [math.log1p(sum(own)), math.log1p(1000 * sum(own) / len(own)), 1.0]
+
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    for t, _, i in given:
+        assert scores[i] == pytest.approx(1 / (1 + math.exp(-np.dot(measured(t), model.logistic))), rel=1e-4)
+
+
+def test_one_part_without_a_label_still_teaches(spark):
+    labels = spark.range(200).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    docs = labels.selectExpr("doc_id", "if(toxic = 1, 'you horrible m0nster here', 'such a pleasant day') AS text")
+    for hold in (F.col("doc_id") % 2 == 0, F.lit(False), F.lit(True)):
+        model = toxicity.train(docs, labels, F.lit(True), hold)
+        scores = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+        assert all((s > 0.5) == (i % 2 == 1) for i, s in scores.items())
 
 
 def test_decoder_finds_the_best_path(decoder):
