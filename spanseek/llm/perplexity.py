@@ -1,146 +1,193 @@
 """Text quality by an interpolated modified Kneser-Ney model of characters.
 
-The model is trained on trusted text. Its counts are tables, dealt by n-gram:
-every task adds up the n-grams of its own texts, counts of equal n-grams meet,
-and the model follows by joins of those tables: raw counts for the longest
-n-grams, numbers of different left neighbours for shorter ones, three discounts
-per order from the counts of counts, and the mass a context leaves to shorter
-contexts. Characters are folded to 40 classes, so no table has more than
-``40 ** 4`` rows at any size of the input; the finished probabilities are a
-table of that bound and go to the tasks, where each text's perplexity is summed
-in numpy. Documents are not shuffled: the n-grams of one document are too many
-to travel to the counts (about 600 different ones in 3,400 characters).
+The model is trained on trusted text. Its n-grams are strings of one to five
+characters as they stand, whatever their script, so its tables grow with the
+trusted text. Tasks add up the n-grams of their own texts, counts of equal
+n-grams meet, and the model follows by joins of those tables: raw counts for
+the longest n-grams, numbers of different left neighbours for shorter ones,
+three discounts per order from the counts of counts, and the mass a context
+leaves to shorter contexts.
+
+The logarithm of an interpolated probability is a sum of one number for each
+n-gram that ends at a character: a seen one adds what it gains over the shorter
+context, and every context adds the mass it leaves. So a text's figure is the
+sum over its n-grams of count times weight, and the documents are joined with
+the weights, dealt into shards by the n-gram's hash:
+
+1. tasks count the n-grams of some texts at a time and send each shard its part:
+   sorted hashes, numbers of documents and counts, packed;
+2. a shard's task reads its weights, then takes the parts one after another
+   and answers each with one sum per document;
+3. the answers of 1,024 documents meet and are added.
+
+An n-gram is one entry per document however often it occurs, and a shard is
+repeated for as many tasks as the documents need, so no key is hot. Weights are
+whole multiples of 2**-20: sums do not depend on the order of addition, and equal
+texts have equal figures. N-grams are known by 54 bits of their hash. Every
+answer tells how many n-grams it covers; a document with others than it has
+stops the job instead of getting a wrong figure.
 
 A document is kept unless its perplexity exceeds the ``quantile`` of trusted
 documents of its language. One trusted document in five is not learnt from;
 those set the quantiles, counted exactly over all of them in steps of 0.001 of
 the logarithm. A language without trusted documents takes the threshold of
 all. Null and empty texts have no perplexity and are not kept. Without trusted
-text all others are kept. Equal texts have equal figures.
+text all others are kept, with perplexity 1. Very long texts are read whole, in
+pieces. Repeated rows are rows of their own, ties with the threshold are kept,
+empty tables give empty results, and further columns, also those named like a
+new one, do not matter.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..staging import broadcast_if_small, stage
+from ..staging import broadcast_if_small, partitions_for, stage
 from . import rows
 
-ORDER = 4
-CLASSES = 40
+ORDER = 5
 QUANTILE = 0.99
 # One trusted document in so many is not learnt from but sets the thresholds.
 HELD_PARTS = 5
-_STEP = 0.001
-_PIECE = 1 << 18
+# What stands before and after a text (no characters by the Unicode standard).
+START, END = "\ufdd0", "\ufdd1"
+# Characters of a text taken at a time, characters counted at a time, weights of a shard, bytes of documents per task.
+PIECE = 1 << 18
 _HELD = 1 << 20
-_SPACE, _UPPER, _DIGIT, _COMMA, _STOP, _MARK, _SIGN, _BRACKET = range(26, 34)
-_LETTERS = 34  # further letters, in six classes
+_SHARD_ROWS = 1 << 21
+_TASK_BYTES = 256 << 20
+_STEP = 0.001
+_UNIT = 1 << 20
+_DOC_BITS = 10
+_DOCS = 1 << _DOC_BITS
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+@dataclass
+class Model:
+    """``weights``: ``(gram, weight)``, several rows of a gram to be added; the others are added per character and per text."""
+
+    weights: DataFrame
+    per_character: float
+    per_text: float
+
+
+# --- n-grams of texts ---------------------------------------------------------------
+
+
+def pieces(text: str) -> Iterator[str]:
+    """Parts of a text with the ``ORDER - 1`` characters before each; the last part ends the text."""
+    whole = START * (ORDER - 1) + text + END
+    for at in range(0, len(text) + 1, PIECE):
+        yield whole[at : at + PIECE + ORDER - 1]
+
 
+def points_of(parts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
 
-def character_class(char: str) -> int:
-    if "a" <= char <= "z":
-        return ord(char) - 97
-    if char.isspace():
-        return _SPACE
-    if char.isalpha():
-        return _UPPER if char.isupper() else _LETTERS + ord(char) % (CLASSES - _LETTERS)
-    if char.isdigit():
-        return _DIGIT
-    if char == ",":
-        return _COMMA
-    if char == ".":
-        return _STOP
-    return _MARK if char in "!?;:" else _BRACKET if char in "()[]{}<>\"'-" else _SIGN
 
+def hashes(points: np.ndarray, ends: np.ndarray, orders: Iterator[int]) -> Iterator[np.ndarray]:
+    """For each order the 64-bit hashes of the n-grams that end at ``ends``."""
+    total, power = np.zeros(ends.size, np.uint64), np.uint64(1)
+    wanted = set(orders)
+    for k in range(1, max(wanted) + 1):
+        total = total + (points[ends - (k - 1)].astype(np.uint64) + np.uint64(1)) * power
+        power = np.uint64(int(power) * int(_BASE) % (1 << 64))
+        if k in wanted:
+            yield rows.mix(total + np.uint64(k))
 
-def codes_of(text: str, table: np.ndarray) -> Iterator[np.ndarray]:
-    """Numbers of the n-grams of a text, begun with spaces, in pieces."""
-    points = np.frombuffer((" " * (ORDER - 1) + text).encode("utf-32-le", "surrogatepass"), np.uint32)
-    for at in range(0, points.size - ORDER + 1, _PIECE):
-        classes = table[np.minimum(points[at : at + _PIECE + ORDER - 1], 0xFFFF)]
-        out = np.zeros(classes.size - ORDER + 1, np.int64)
-        for i in range(ORDER):
-            out = out * CLASSES + classes[i : i + out.size]
-        yield out
 
+def ends_of(parts: list[str]) -> np.ndarray:
+    """Places of the characters of joined ``parts`` that are not context only."""
+    sizes = np.array([len(p) for p in parts])
+    own = sizes - (ORDER - 1)
+    before = np.repeat(np.cumsum(sizes) - sizes, own)
+    return before + (ORDER - 1) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
 
-def _table() -> np.ndarray:
-    return np.array([character_class(chr(c)) for c in range(1 << 16)], np.int64)
+
+# --- the model ------------------------------------------------------------------------
 
 
 def count(texts: DataFrame, text: str) -> DataFrame:
-    """``(code, n)``: counts of all n-grams of the longest order."""
+    """``(gram, n)``: counts of all n-grams of the longest order."""
+
+    def flush(held: list[str]) -> pa.RecordBatch:
+        points, ends = points_of(held), ends_of(held)
+        (found,) = hashes(points, ends, [ORDER])
+        _, first, n = np.unique(found, return_index=True, return_counts=True)
+        windows = np.lib.stride_tricks.sliding_window_view(points, ORDER)[ends[first] - (ORDER - 1)]
+        joined = windows.tobytes().decode("utf-32-le", "surrogatepass")
+        grams = [joined[i : i + ORDER] for i in range(0, len(joined), ORDER)]
+        return pa.RecordBatch.from_pydict({"gram": pa.array(grams, pa.string()), "n": pa.array(n, pa.int64())})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, size = _table(), CLASSES**ORDER
-        total = np.zeros(size, np.int64)
-        held: list[np.ndarray] = []
+        held: list[str] = []
         waiting = 0
         for batch in batches:
             for value in batch.column(0):
                 own = value.as_py()
-                for codes in codes_of(own, table) if own else ():
-                    held.append(codes)
-                    waiting += codes.size
+                for part in pieces(own) if own else ():
+                    held.append(part)
+                    waiting += len(part)
                     if waiting > _HELD:
-                        total += np.bincount(np.concatenate(held), minlength=size)
+                        yield flush(held)
                         held, waiting = [], 0
         if held:
-            total += np.bincount(np.concatenate(held), minlength=size)
-        found = np.flatnonzero(total)
-        for at in range(0, found.size, 1 << 16):
-            part = found[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_pydict({"code": pa.array(part), "n": pa.array(total[part])})
+            yield flush(held)
 
     rows.bound_batches(texts.sparkSession)
-    own = texts.select(text).mapInArrow(work, "code bigint, n bigint")
-    return own.groupBy("code").agg(F.sum("n").alias("n"))
-
+    own = texts.select(text).mapInArrow(work, "gram string, n bigint")
+    return own.groupBy("gram").agg(F.sum("n").alias("n"))
 
-def kneser_ney(counts: DataFrame) -> DataFrame:
-    """``(order, code, p, rest)`` of the seen n-grams of all orders.
 
-    ``p`` is the interpolated probability of the last class after the others;
-    ``rest`` is the mass that the n-gram, as a context, leaves to shorter ones
-    (null if it never is one).
-    """
+def kneser_ney(counts: DataFrame) -> Model:
+    """The weights of the n-grams of all orders from the (stored) counts of the longest ones."""
     # An order's table: raw counts at the top, else in how many n-grams one longer it is the end.
-    tables = {ORDER: stage(counts, "counts")}
+    tables = {ORDER: counts}
     for order in range(ORDER - 1, 0, -1):
-        longer = tables[order + 1].select((F.col("code") % CLASSES**order).alias("code"))
-        tables[order] = stage(longer.groupBy("code").agg(F.count("*").alias("n")), "counts")
+        longer = tables[order + 1].select(F.substring("gram", 2, order).alias("gram"))
+        tables[order] = stage(longer.groupBy("gram").agg(F.count("*").alias("n")), "counts")
 
-    lower, done = None, []
+    lower, weights, base, begin = None, [], 0.0, 0.0
     for order in range(1, ORDER + 1):
         table = tables[order]
         kinds = table.agg(*[F.count(F.when(F.col("n") == k, 1)) for k in (1, 2, 3, 4)]).first()
         d = discounts(*kinds)
         cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        parts = table.select("code", "n", F.expr(f"code DIV {CLASSES}").alias("context"), cut.alias("cut"))
-        contexts = parts.groupBy("context").agg(F.sum("n").alias("total"), F.sum("cut").alias("freed"))
-        contexts = contexts.select("context", "total", (F.col("freed") / F.col("total")).alias("rest"))
-        joined = parts.join(contexts, "context")
+        parts = table.select("gram", "n", cut.alias("cut"), F.substring("gram", 1, order - 1).alias("context"))
+        sums = F.sum("n").alias("total"), F.sum("cut").alias("freed")
         if lower is None:
-            below = F.lit(1.0 / CLASSES)
+            total, freed, symbols = parts.agg(*sums, F.count("*")).first()
+            # One more symbol stands for those not seen.
+            base = freed / total / (symbols + 1)
+            p = (F.col("n") - F.col("cut")) / total + base
+            made = parts.select("gram", p.alias("p"), F.log(p / base).alias("weight"))
+            lower = stage(made, "probabilities")
         else:
-            joined = joined.withColumn("shorter", F.col("code") % CLASSES ** (order - 1)).join(
-                lower.select(F.col("code").alias("shorter"), F.col("p").alias("below")), "shorter"
-            )
-            below = F.col("below")
-        p = (F.col("n") - F.col("cut")) / F.col("total") + F.col("rest") * below
-        lower = stage(joined.select("code", p.alias("p")), "probabilities")
-        done.append((lower.select(F.lit(order).alias("order"), "code", "p"), contexts.select(F.lit(order - 1).alias("order"), F.col("context").alias("code"), "rest")))
-    seen, left = done[0]
-    for more, rest in done[1:]:
-        seen, left = seen.unionByName(more), left.unionByName(rest)
-    return seen.join(left, ["order", "code"], "full")
+            contexts = stage(parts.groupBy("context").agg(*sums), "contexts")
+            contexts = contexts.select("context", "total", (F.col("freed") / F.col("total")).alias("rest"))
+            below = lower.select(F.col("gram").alias("shorter"), F.col("p").alias("below"))
+            joined = parts.withColumn("shorter", F.substring("gram", 2, order - 1)).join(contexts, "context").join(below, "shorter")
+            p = (F.col("n") - F.col("cut")) / F.col("total") + F.col("rest") * F.col("below")
+            made = joined.select("gram", p.alias("p"), F.log(p / (F.col("rest") * F.col("below"))).alias("weight"))
+            lower = stage(made, "probabilities")
+            left = contexts.select(F.col("context").alias("gram"), F.log("rest").alias("weight"))
+            weights.append(left)
+            begin += left.where(F.col("gram") == START * (order - 1)).agg(F.sum("weight")).first()[0]
+        weights.append(lower.select("gram", "weight"))
+    seen = weights[0]
+    for more in weights[1:]:
+        seen = seen.unionByName(more)
+    return Model(seen, math.log(base), begin)
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -152,54 +199,239 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return tuple(float(min(max(x, 0.0), k)) if 0 < x else 0.5 for k, x in zip((1, 2, 3), found))
 
 
-def log_table(model: DataFrame) -> np.ndarray:
-    """Log-probability of every n-gram, seen or not: shorter contexts fill what is missing.
-
-    At most ``2 * CLASSES ** ORDER`` numbers come to the driver.
-    """
-    p = [np.full(CLASSES**k, np.nan) for k in range(ORDER + 1)]
-    rest = [np.full(CLASSES**k, 1.0) for k in range(ORDER + 1)]
-    for batch in model.toArrow().to_batches():
-        order = batch.column(0).to_numpy()
-        code, seen, left = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
-        for k in range(ORDER + 1):
-            at = (order == k) & ~np.isnan(seen)
-            p[k][code[at]] = seen[at]
-            at = (order == k) & ~np.isnan(left)
-            rest[k][code[at]] = left[at]
-    below = np.where(np.isnan(p[1]), rest[0][0] / CLASSES, p[1])
-    for k in range(2, ORDER + 1):
-        full = (rest[k - 1][:, None] * np.tile(below.reshape(-1, CLASSES), (CLASSES, 1))).ravel()
-        below = np.where(np.isnan(p[k]), full, p[k])
-    return np.log(below).astype(np.float32)
-
-
-def train(docs: DataFrame, text: str = "text") -> np.ndarray | None:
-    """The table of log-probabilities from all texts of ``docs``; ``None`` if they are empty."""
+def train(docs: DataFrame, text: str = "text") -> Model | None:
+    """The model of all texts of ``docs``; ``None`` if they are empty."""
     counts = stage(count(docs, text), "ngrams")
-    return log_table(kneser_ney(counts)) if counts.limit(1).count() else None
+    return kneser_ney(counts) if counts.limit(1).count() else None
 
 
-def perplexity(docs: DataFrame, model: np.ndarray | None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Rows of ``docs`` with ``perplexity`` per character; null for texts without any."""
-    shared = rows.ship(docs.sparkSession, model)
+# --- documents joined with the weights ------------------------------------------------
 
-    def factory():
-        known, table = shared(), _table()
 
-        def run(texts: list) -> list:
-            out = []
-            for own in texts:
-                if not own or known is None:
-                    out.append(None if not own else 1.0)
-                    continue
-                total = sum(float(known[codes].sum(dtype=np.float64)) for codes in codes_of(own, table))
-                out.append(float(np.exp(-total / len(own))))
-            return [out]
+def _planes(values: np.ndarray, dtype: str) -> bytes:
+    """The numbers' first bytes, then their second bytes and so on: high bytes are mostly zero and pack well."""
+    made = np.ascontiguousarray(values.astype(dtype))
+    return made.view(np.uint8).reshape(-1, made.itemsize).T.tobytes()
+
+
+def _numbers(data: memoryview, n: int, dtype: str) -> tuple[np.ndarray, memoryview]:
+    size = n * np.dtype(dtype).itemsize
+    planes = np.frombuffer(data[:size], np.uint8).reshape(-1, n)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype), data[size:]
+
 
-        return run
+def pack(columns: list[tuple[np.ndarray, str]]) -> bytes:
+    """Columns of numbers as compressed bytes; ``unpack`` with the same types gives them back."""
+    sizes = np.array([len(values) for values, _ in columns], "<u4").tobytes()
+    raw = sizes + b"".join(_planes(values, dtype) for values, dtype in columns)
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, "zstd", asbytes=True)
 
-    return rows.append(docs, text, [T.StructField("perplexity", T.DoubleType())], factory, keep)
+
+def unpack(data: bytes, dtypes: list[str]) -> list[np.ndarray]:
+    raw = memoryview(pa.decompress(data[4:], int.from_bytes(data[:4], "little"), "zstd", asbytes=True))
+    sizes, raw = np.frombuffer(raw[: 4 * len(dtypes)], "<u4"), raw[4 * len(dtypes) :]
+    out = []
+    for n, dtype in zip(sizes.tolist(), dtypes):
+        values, raw = _numbers(raw, n, dtype)
+        out.append(values)
+    return out
+
+
+# Differences of hashes, entries per hash, document numbers, counts; and of an answer: documents, sums, n-grams.
+_PART = ["<u8", "<u2", "<u2", "<u4"]
+_ANSWER = ["<u2", "<i8", "<u4"]
+
+
+def pack_part(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted hashes with a document number in the last bits, and counts."""
+    grams = keys >> np.uint64(_DOC_BITS)
+    first = np.flatnonzero(np.diff(grams, prepend=grams[0] ^ np.uint64(1)))
+    distinct = grams[first]
+    docs = (keys & np.uint64(_DOCS - 1)).astype(np.uint16)
+    return pack([(np.diff(distinct, prepend=np.uint64(0)), _PART[0]), (np.diff(first, append=keys.size), _PART[1]), (docs, _PART[2]), (counts, _PART[3])])
+
+
+def answer(data: bytes, grams: np.ndarray, weights: np.ndarray) -> bytes:
+    """Per document of a part the sum of count times weight, and how many n-grams were counted."""
+    steps, entries, docs, counts = unpack(data, _PART)
+    distinct = np.cumsum(steps)
+    own = np.zeros(distinct.size)
+    if grams.size:
+        at = np.minimum(np.searchsorted(grams, distinct), grams.size - 1)
+        own = np.where(grams[at] == distinct, weights[at], 0.0)
+    # Whole numbers, far below 2 ** 53: exact in any order.
+    sums = np.bincount(docs, np.repeat(own, entries) * counts, _DOCS)
+    covered = np.bincount(docs, counts, _DOCS)
+    some = np.flatnonzero(covered)
+    return pack([(some, _ANSWER[0]), (sums[some], _ANSWER[1]), (covered[some], _ANSWER[2])])
+
+
+def perplexity(docs: DataFrame, model: Model | None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (default: all) of ``docs`` with ``perplexity`` per character; null for texts without any.
+
+    Rows must come in the same order when a lost task runs again, as they do
+    from stored tables; otherwise the job may stop (see above).
+    """
+    spark = docs.sparkSession
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() != "perplexity"]
+    if model is None:
+        return docs.select(*kept, F.when(F.length(text) > 0, 1.0).alias("perplexity"))
+    weights = stage(_hashed(model.weights), "weights")
+    bits = max(2, math.ceil(math.log2(max(1, weights.count() / _SHARD_ROWS))))
+    shards = 1 << bits
+    repeats = -(-partitions_for(docs, _TASK_BYTES) // shards)
+
+    # Kept columns travel under names of their own.
+    own = [f"__c{i}" for i in range(len(kept))]
+    source = docs.select(*[F.col(c).alias(o) for c, o in zip(kept, own)], F.monotonically_increasing_id().alias("__row"), F.col(text).alias("__text"))
+    fields = source.schema.fields[: len(own)]
+    extra = "__row bigint, __slot int, __kind int, __chars bigint, __part binary"
+    packed_schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + T.StructType.fromDDL(extra).fields)
+    n_own = len(own)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = packed_schema.names
+
+        def flush(types: list[pa.DataType], block: int, held: list[str], numbers: list[int]) -> pa.RecordBatch:
+            points, ends = points_of(held), ends_of(held)
+            owner = np.repeat(np.array(numbers, np.uint64), [len(p) - (ORDER - 1) for p in held])
+            clear = np.uint64(((1 << 64) - 1) ^ (_DOCS - 1))
+            keys = np.concatenate([(h & clear) | owner for h in hashes(points, ends, range(1, ORDER + 1))])
+            keys, counts = np.unique(keys, return_counts=True)
+            cuts = np.searchsorted(keys, np.arange(1, shards, dtype=np.uint64) << np.uint64(64 - bits))
+            bounds = [0, *cuts.tolist(), keys.size]
+            some = [s for s in range(shards) if bounds[s] < bounds[s + 1]]
+            blobs = [pack_part(keys[bounds[s] : bounds[s + 1]], counts[bounds[s] : bounds[s + 1]]) for s in some]
+            n = len(some)
+            slots = pa.array([s * repeats + block % repeats for s in some], pa.int32())
+            columns = [pa.nulls(n, t) for t in types]
+            columns += [pa.array([block << _DOC_BITS] * n, pa.int64()), slots, pa.array([1] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.array(blobs, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        held: list[str] = []
+        numbers: list[int] = []
+        waiting, block, types = 0, -1, []
+        for batch in batches:
+            types = [c.type for c in batch.columns[:n_own]]
+            row = batch.column(n_own).to_pylist()
+            chars = []
+            for at, value in zip(row, batch.column(n_own + 1)):
+                if at >> _DOC_BITS != block or waiting > _HELD:
+                    if held:
+                        yield flush(types, block, held, numbers)
+                    held, numbers, waiting, block = [], [], 0, at >> _DOC_BITS
+                text_here = value.as_py()
+                chars.append(len(text_here) if text_here else 0)
+                for piece in pieces(text_here) if text_here else ():
+                    if waiting > _HELD:
+                        yield flush(types, block, held, numbers)
+                        held, numbers, waiting = [], [], 0
+                    held.append(piece)
+                    numbers.append(at & (_DOCS - 1))
+                    waiting += len(piece)
+            n = batch.num_rows
+            slots = pa.array([(at >> _DOC_BITS) % (shards * repeats) for at in row], pa.int32())
+            columns = [*batch.columns[: n_own + 1], slots, pa.array([1] * n, pa.int32()), pa.array(chars, pa.int64()), pa.nulls(n, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+        if held:
+            yield flush(types, block, held, numbers)
+
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot, loaded = -1, None
+        table: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            at = batch.schema.names.index("__slot")
+            slots, kinds = batch.column(at).to_numpy(), batch.column(at + 1).to_numpy()
+            blobs = batch.column(at + 3)
+            made: list = [None] * batch.num_rows
+            for i in _changes(slots, kinds):
+                start, end = i
+                if slots[start] != slot:
+                    slot, loaded, table = slots[start], None, []
+                if kinds[start] == 0:
+                    part = batch.slice(start, end - start)
+                    table.append((part.column(at + 4).to_numpy().view(np.uint64), part.column(at + 5).to_numpy()))
+                    continue
+                if loaded is None:
+                    loaded, table = _added(table), []
+                for j in range(start, end):
+                    blob = blobs[j].as_py()
+                    made[j] = None if blob is None else answer(blob, *loaded)
+            here = pa.array(kinds == 1)
+            columns = [*batch.columns[: at + 3], pa.array(made, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[: at + 4]).filter(here)
+
+    def gathered(group: pa.Table) -> pa.Table:
+        sums, covered = np.zeros(_DOCS), np.zeros(_DOCS)
+        for blob in group.column("__part").drop_null():
+            docs_here, total, n = unpack(blob.as_py(), _ANSWER)
+            sums[docs_here] += total
+            covered[docs_here] += n
+        here = group.filter(pc.is_valid(group.column("__chars")))
+        number = here.column("__row").to_numpy() & (_DOCS - 1)
+        chars = here.column("__chars").to_numpy()
+        if not np.array_equal(covered[number], np.where(chars > 0, (chars + 1) * ORDER, 0)):
+            raise RuntimeError("rows came in another order when a task ran again: store them first")
+        figure = -(sums[number] / _UNIT + per_text) / (chars + 1) - per_character
+        found = pa.array(np.exp(figure), pa.float64(), mask=chars == 0)
+        return pa.Table.from_arrays([*here.columns[:n_own], found], names=[*own, "perplexity"])
+
+    per_text, per_character = model.per_text, model.per_character
+    rows.bound_batches(spark)
+    made = source.mapInArrow(parts, packed_schema)
+    shard = F.shiftrightunsigned("gram", 64 - _DOC_BITS - bits).cast("int")
+    copies = weights.select("gram", "weight", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("copy"))
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in packed_schema.fields]
+    dealt = copies.select(*blank, "gram", "weight", (shard * repeats + F.col("copy")).alias("s"))
+    dealt = dealt.withColumn("__slot", F.col("s").cast("int")).withColumn("__kind", F.lit(0)).drop("s")
+    empty = F.lit(None).cast("bigint").alias("gram"), F.lit(None).cast("double").alias("weight")
+    both = made.select("*", *empty).unionByName(dealt)
+    met = both.repartition(shards * repeats, "__slot").sortWithinPartitions("__slot", "__kind")
+    answered = met.mapInArrow(answers, packed_schema)
+    result = T.StructType([*packed_schema.fields[:n_own], T.StructField("perplexity", T.DoubleType())])
+    block = F.shiftright("__row", _DOC_BITS).alias("__block")
+    figures = answered.groupBy(block).applyInArrow(gathered, result)
+    return figures.select(*[F.col(o).alias(c) for c, o in zip(kept, own)], "perplexity")
+
+
+def _hashed(weights: DataFrame) -> DataFrame:
+    """``(gram, weight)`` with hashes (54 bits) for strings, weights as whole numbers of ``2 ** -20``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = batch.column(0).to_pylist()
+            sizes = np.array([len(g) for g in grams])
+            points, ends = points_of(grams), np.cumsum(sizes) - 1
+            out = np.zeros(len(grams), np.uint64)
+            for k in range(1, ORDER + 1):
+                some = sizes == k
+                if some.any():
+                    (out[some],) = hashes(points, ends[some], [k])
+            whole = np.rint(batch.column(1).to_numpy() * _UNIT)
+            yield pa.RecordBatch.from_pydict({"gram": pa.array((out >> np.uint64(_DOC_BITS)).view(np.int64)), "weight": pa.array(whole)})
+
+    return weights.select("gram", "weight").mapInArrow(work, "gram bigint, weight double")
+
+
+def _changes(*columns: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that agree in all columns."""
+    n = columns[0].size
+    cuts = {0, n}
+    for column in columns:
+        cuts.update((np.flatnonzero(np.diff(column)) + 1).tolist())
+    ordered = sorted(cuts)
+    yield from zip(ordered, ordered[1:])
+
+
+def _added(table: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """A shard's hashes in order, with the sums of their weights."""
+    if not table:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    grams, at = np.unique(np.concatenate([g for g, _ in table]), return_inverse=True)
+    return grams, np.bincount(at, np.concatenate([w for _, w in table]))
+
+
+# --- thresholds ------------------------------------------------------------------------
 
 
 def thresholds(trusted: DataFrame, lang: str, quantile: float = QUANTILE) -> DataFrame:

@@ -158,15 +158,16 @@ def test_toxicity_of_odd_rows(spark):
 
 
 def brute_kneser_ney(texts):
-    """Interpolated modified Kneser-Ney, straight from its definition."""
-    n, size = perplexity.ORDER, perplexity.CLASSES
+    """Interpolated modified Kneser-Ney, straight from its definition: the probability of an n-gram's last character."""
+    n = perplexity.ORDER
     tables = {k: collections.Counter() for k in range(1, n + 1)}
     for text in texts:
-        s = [perplexity.character_class(c) for c in " " * (n - 1) + text]
-        tables[n].update(tuple(s[i : i + n]) for i in range(len(s) - n + 1))
+        s = perplexity.START * (n - 1) + text + perplexity.END
+        tables[n].update(s[i : i + n] for i in range(len(s) - n + 1))
     for k in range(n - 1, 0, -1):
         tables[k].update(g[1:] for g in tables[k + 1])
     cut = {k: perplexity.discounts(*(sum(c == i for c in tables[k].values()) for i in (1, 2, 3, 4))) for k in tables}
+    size = len(tables[1]) + 1
 
     def p(gram):
         k = len(gram)
@@ -184,17 +185,70 @@ def brute_kneser_ney(texts):
     return p
 
 
-def test_model_equals_definition(spark):
-    texts = ["the cat sat on the mat.", "a cat, the hat!", "THE 3 hats", "éa ñu the the", None, ""] + ["abab"] * 3
-    docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    found = np.exp(perplexity.train(docs))
-    p = brute_kneser_ney([t for t in texts if t])
-    rng = random.Random(5)
-    s = [perplexity.character_class(c) for c in "   the cats ate 3 hats, ÉA."]
-    grams = [tuple(s[i : i + 4]) for i in range(len(s) - 3)] + [tuple(rng.randrange(40) for _ in range(4)) for _ in range(20)]
-    for g in grams:
-        assert math.isclose(found[((g[0] * 40 + g[1]) * 40 + g[2]) * 40 + g[3]], p(g), rel_tol=1e-4)
-    assert np.allclose(found.reshape(-1, 40).sum(axis=1), 1, atol=1e-3)
+def brute_perplexity(p, text):
+    n = perplexity.ORDER
+    s = perplexity.START * (n - 1) + text + perplexity.END
+    return math.exp(-sum(math.log(p(s[i : i + n])) for i in range(len(text) + 1)) / (len(text) + 1))
+
+
+SCRIPTS = ["кошка сидела на ковре", "кот и кошка", "猫坐在垫子上。猫在那里", "ἡ γάτα κάθεται", "😀😀 ok 😀", "قطة على"]
+SEEN = ["the cat sat on the mat.", "a cat, the hat!", "THE 3 hats", "éa ñu the the", *SCRIPTS]
+
+
+def test_perplexity_equals_definition(spark):
+    docs = spark.createDataFrame([(t,) for t in [*SEEN, None, ""] + ["abab"] * 3], "text string")
+    model = perplexity.train(docs)
+    p = brute_kneser_ney([*SEEN] + ["abab"] * 3)
+    asked = [*SEEN, "the cats ate 3 hats, ÉA.", "кошки на ковре", "猫在垫子上", "zzz ЖЖ 犬", "x", "a\0b\n", None, ""]
+    rows = perplexity.perplexity(spark.createDataFrame(list(enumerate(asked)), "i int, text string"), model).collect()
+    assert len(rows) == len(asked)
+    for r in rows:
+        assert r.text == asked[r.i]
+        if r.text:
+            assert math.isclose(r.perplexity, brute_perplexity(p, r.text), rel_tol=1e-4), r.text
+        else:
+            assert r.perplexity is None
+
+
+def test_model_grows_with_letters_and_text(spark):
+    def weights(texts):
+        return perplexity.train(spark.createDataFrame([(t,) for t in texts], "text string")).weights
+
+    few, many = weights(["abcabc"] * 3), weights([chr(0x4E00 + i) + chr(0x400 + i % 200) for i in range(2000)])
+    assert many.where(F.length("gram") == 1).count() >= 2200 > 10 >= few.where(F.length("gram") == 1).count()
+
+
+def test_pieces_blocks_and_shards_do_not_change_figures(spark, monkeypatch):
+    texts = [f"{w} the cat sat on mat {i % 7}" * (1 + i % 3) for i, w in enumerate(SEEN * 300)]
+    texts[5] = "the cat sat on the mat. " * 200
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, text string").coalesce(1)
+    model = perplexity.train(docs.limit(50))
+    whole = {r.i: r.perplexity for r in perplexity.perplexity(docs, model).collect()}
+    monkeypatch.setattr(perplexity, "PIECE", 37)
+    monkeypatch.setattr(perplexity, "_HELD", 2_000)
+    monkeypatch.setattr(perplexity, "_SHARD_ROWS", 50)
+    parts = {r.i: r.perplexity for r in perplexity.perplexity(docs, model).collect()}
+    assert len(whole) == len(texts) and parts == whole
+    by_text = collections.defaultdict(set)
+    for i, t in enumerate(texts):
+        by_text[t].add(whole[i])
+    assert all(len(found) == 1 for found in by_text.values())
+
+
+def test_packed_parts_give_answers_of_a_dictionary():
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 1 << 54, 500, dtype=np.uint64)
+    pairs = np.unique((rng.choice(hashes, 4000) << np.uint64(10)) | rng.integers(0, 1024, 4000, dtype=np.uint64))
+    counts = rng.integers(1, 100_000, pairs.size)
+    known = np.sort(hashes[:300])
+    weights = rng.integers(-(1 << 24), 1 << 24, 300).astype(float)
+    docs, sums, covered = perplexity.unpack(perplexity.answer(perplexity.pack_part(pairs, counts), known, weights), perplexity._ANSWER)
+    table, total, seen = dict(zip(known.tolist(), weights.tolist())), collections.Counter(), collections.Counter()
+    for pair, n in zip(pairs.tolist(), counts.tolist()):
+        total[pair & 1023] += table.get(pair >> 10, 0) * n
+        seen[pair & 1023] += n
+    assert dict(zip(docs.tolist(), sums.tolist())) == {d: total[d] for d in seen}
+    assert dict(zip(docs.tolist(), covered.tolist())) == dict(seen)
 
 
 def test_thresholds_are_exact_quantiles(spark):
