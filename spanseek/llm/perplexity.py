@@ -1,6 +1,6 @@
 """Text quality by an interpolated modified Kneser-Ney model of characters.
 
-The model is trained on trusted text. Its n-grams are strings of one to five
+The model is trained on trusted text. Its n-grams are strings of one to four
 characters as they stand, whatever their script, so its tables grow with the
 trusted text. Tasks add up the n-grams of their own texts, counts of equal
 n-grams meet, and the model follows by joins of those tables: raw counts for
@@ -11,21 +11,24 @@ leaves to shorter contexts.
 The logarithm of an interpolated probability is a sum of one number for each
 n-gram that ends at a character: a seen one adds what it gains over the shorter
 context, and every context adds the mass it leaves. So a text's figure is the
-sum over its n-grams of count times weight, and the documents are joined with
-the weights, dealt into shards by the n-gram's hash:
+sum over its n-grams of count times weight, where the weight of one of four
+characters includes those of its endings, and the documents are joined with the
+weights. Shards follow the hash of the last two characters, so that an n-gram
+and its endings share one; those of one character are in every shard.
 
-1. tasks count the n-grams of some texts at a time and send each shard its part:
-   sorted hashes, numbers of documents and counts, packed;
+1. tasks count the longest n-grams of up to 1,024 documents at a time and send
+   each shard its part: n-grams, numbers of documents and counts, packed;
 2. a shard's task reads its weights, then takes the parts one after another
    and answers each with one sum per document;
 3. the answers of 1,024 documents meet and are added.
 
 An n-gram is one entry per document however often it occurs, and a shard is
-repeated for as many tasks as the documents need, so no key is hot. Weights are
-whole multiples of 2**-20: sums do not depend on the order of addition, and equal
-texts have equal figures. N-grams are known by 54 bits of their hash. Every
-answer tells how many n-grams it covers; a document with others than it has
-stops the job instead of getting a wrong figure.
+repeated for as many tasks as the documents need, by number of the block, so a
+frequent ending does not crowd a task. Weights are whole multiples of 2**-20:
+sums do not depend on the order of addition, and equal texts have equal figures.
+N-grams are known by 54 bits of their hash. Every answer tells how many n-grams
+it covers; a document with others than it has stops the job instead of getting a
+wrong figure.
 
 A document is kept unless its perplexity exceeds the ``quantile`` of trusted
 documents of its language. One trusted document in five is not learnt from;
@@ -54,7 +57,7 @@ from pyspark.sql import types as T
 from ..staging import broadcast_if_small, partitions_for, stage
 from . import rows
 
-ORDER = 5
+ORDER = 4
 QUANTILE = 0.99
 # One trusted document in so many is not learnt from but sets the thresholds.
 HELD_PARTS = 5
@@ -62,9 +65,13 @@ HELD_PARTS = 5
 START, END = "\ufdd0", "\ufdd1"
 # Characters of a text taken at a time, characters counted at a time, weights of a shard, bytes of documents per task.
 PIECE = 1 << 18
-_HELD = 1 << 20
+_HELD = 3 << 20
 _SHARD_ROWS = 1 << 21
-_TASK_BYTES = 256 << 20
+_TASK_BYTES = 1 << 30
+# Weights packed at a time.
+_DEALT = 1 << 17
+# Shards of a small model, if there are tasks for them.
+_SHARDS = 16
 _STEP = 0.001
 _UNIT = 1 << 20
 _DOC_BITS = 10
@@ -237,28 +244,49 @@ def unpack(data: bytes, dtypes: list[str]) -> list[np.ndarray]:
     return out
 
 
-# Differences of hashes, entries per hash, document numbers, counts; and of an answer: documents, sums, n-grams.
-_PART = ["<u8", "<u2", "<u2", "<u4"]
+# A part: characters of the n-grams, one place after the other, entries per n-gram, document numbers (first one, then
+# differences), counts. An answer: documents, sums, n-grams covered. Weights: hashes, whole weights.
+_PART = ["<u4", "<u2", "<u2", "<u4"]
 _ANSWER = ["<u2", "<i8", "<u4"]
+_WEIGHTS = ["<u8", "<i8"]
 
 
-def pack_part(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted hashes with a document number in the last bits, and counts."""
+def parts_of(held: list[str], numbers: list[int], bits: int) -> Iterator[tuple[int, bytes]]:
+    """``(shard, part)`` of the joined pieces ``held`` of the documents ``numbers``."""
+    points, ends = points_of(held), ends_of(held)
+    owner = np.repeat(np.array(numbers, np.uint64), [len(p) - (ORDER - 1) for p in held])
+    (whole,) = hashes(points, ends, [ORDER])
+    keys, first, counts = np.unique(whole >> np.uint64(_DOC_BITS) << np.uint64(_DOC_BITS) | owner, return_index=True, return_counts=True)
     grams = keys >> np.uint64(_DOC_BITS)
-    first = np.flatnonzero(np.diff(grams, prepend=grams[0] ^ np.uint64(1)))
-    distinct = grams[first]
-    docs = (keys & np.uint64(_DOCS - 1)).astype(np.uint16)
-    return pack([(np.diff(distinct, prepend=np.uint64(0)), _PART[0]), (np.diff(first, append=keys.size), _PART[1]), (docs, _PART[2]), (counts, _PART[3])])
+    begin = np.flatnonzero(np.diff(grams, prepend=grams[0] ^ np.uint64(1)))
+    entries = np.diff(begin, append=keys.size)
+    docs = (keys & np.uint64(_DOCS - 1)).astype(np.int64)
+    steps = np.diff(docs, prepend=0)
+    steps[begin] = docs[begin]
+    at = ends[first[begin]]
+    (ending,) = hashes(points, at, [2])
+    shard = (ending >> np.uint64(64 - bits)).astype(np.int64)
+    of_entry = np.repeat(shard, entries)
+    for one in np.unique(shard).tolist():
+        own, mine = shard == one, of_entry == one
+        letters = np.concatenate([points[at[own] - (ORDER - 1) + i] for i in range(ORDER)])
+        yield one, pack([(letters, _PART[0]), (entries[own], _PART[1]), (steps[mine], _PART[2]), (counts[mine], _PART[3])])
 
 
 def answer(data: bytes, grams: np.ndarray, weights: np.ndarray) -> bytes:
     """Per document of a part the sum of count times weight, and how many n-grams were counted."""
-    steps, entries, docs, counts = unpack(data, _PART)
-    distinct = np.cumsum(steps)
-    own = np.zeros(distinct.size)
-    if grams.size:
-        at = np.minimum(np.searchsorted(grams, distinct), grams.size - 1)
-        own = np.where(grams[at] == distinct, weights[at], 0.0)
+    letters, entries, steps, counts = unpack(data, _PART)
+    n = entries.size
+    points = np.ascontiguousarray(letters.reshape(ORDER, n).T).reshape(-1)
+    own = np.zeros(n)
+    for found in hashes(points, np.arange(n) * ORDER + ORDER - 1, range(1, ORDER + 1)) if grams.size else ():
+        known = found >> np.uint64(_DOC_BITS)
+        at = np.minimum(np.searchsorted(grams, known), grams.size - 1)
+        own += np.where(grams[at] == known, weights[at], 0.0)
+    # Steps begin anew with each n-gram.
+    run = np.cumsum(steps, dtype=np.int64)
+    begin = np.cumsum(entries, dtype=np.int64) - entries
+    docs = run - np.repeat(run[begin] - steps[begin], entries)
     # Whole numbers, far below 2 ** 53: exact in any order.
     sums = np.bincount(docs, np.repeat(own, entries) * counts, _DOCS)
     covered = np.bincount(docs, counts, _DOCS)
@@ -276,10 +304,11 @@ def perplexity(docs: DataFrame, model: Model | None, text: str = "text", keep: l
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() != "perplexity"]
     if model is None:
         return docs.select(*kept, F.when(F.length(text) > 0, 1.0).alias("perplexity"))
-    weights = stage(_hashed(model.weights), "weights")
-    bits = max(2, math.ceil(math.log2(max(1, weights.count() / _SHARD_ROWS))))
+    tasks = partitions_for(docs, _TASK_BYTES)
+    bits = max(1, math.ceil(math.log2(max(min(tasks, _SHARDS), model.weights.count() / _SHARD_ROWS))))
     shards = 1 << bits
-    repeats = -(-partitions_for(docs, _TASK_BYTES) // shards)
+    repeats = -(-tasks // shards)
+    weights = stage(_sharded(model.weights, bits), "weights")
 
     # Kept columns travel under names of their own.
     own = [f"__c{i}" for i in range(len(kept))]
@@ -293,15 +322,7 @@ def perplexity(docs: DataFrame, model: Model | None, text: str = "text", keep: l
         names = packed_schema.names
 
         def flush(types: list[pa.DataType], block: int, held: list[str], numbers: list[int]) -> pa.RecordBatch:
-            points, ends = points_of(held), ends_of(held)
-            owner = np.repeat(np.array(numbers, np.uint64), [len(p) - (ORDER - 1) for p in held])
-            clear = np.uint64(((1 << 64) - 1) ^ (_DOCS - 1))
-            keys = np.concatenate([(h & clear) | owner for h in hashes(points, ends, range(1, ORDER + 1))])
-            keys, counts = np.unique(keys, return_counts=True)
-            cuts = np.searchsorted(keys, np.arange(1, shards, dtype=np.uint64) << np.uint64(64 - bits))
-            bounds = [0, *cuts.tolist(), keys.size]
-            some = [s for s in range(shards) if bounds[s] < bounds[s + 1]]
-            blobs = [pack_part(keys[bounds[s] : bounds[s + 1]], counts[bounds[s] : bounds[s + 1]]) for s in some]
+            some, blobs = zip(*parts_of(held, numbers, bits))
             n = len(some)
             slots = pa.array([s * repeats + block % repeats for s in some], pa.int32())
             columns = [pa.nulls(n, t) for t in types]
@@ -338,28 +359,23 @@ def perplexity(docs: DataFrame, model: Model | None, text: str = "text", keep: l
 
     def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot, loaded = -1, None
-        table: list[tuple[np.ndarray, np.ndarray]] = []
+        table: list[list[np.ndarray]] = []
         for batch in batches:
             at = batch.schema.names.index("__slot")
-            slots, kinds = batch.column(at).to_numpy(), batch.column(at + 1).to_numpy()
-            blobs = batch.column(at + 3)
+            slots, kinds, blobs = batch.column(at).to_numpy(), batch.column(at + 1).to_numpy(), batch.column(at + 3)
             made: list = [None] * batch.num_rows
-            for i in _changes(slots, kinds):
-                start, end = i
-                if slots[start] != slot:
-                    slot, loaded, table = slots[start], None, []
-                if kinds[start] == 0:
-                    part = batch.slice(start, end - start)
-                    table.append((part.column(at + 4).to_numpy().view(np.uint64), part.column(at + 5).to_numpy()))
+            for i, (here, kind) in enumerate(zip(slots.tolist(), kinds.tolist())):
+                if here != slot:
+                    slot, loaded, table = here, None, []
+                blob = blobs[i].as_py()
+                if kind == 0:
+                    table.append(unpack(blob, _WEIGHTS))
                     continue
                 if loaded is None:
                     loaded, table = _added(table), []
-                for j in range(start, end):
-                    blob = blobs[j].as_py()
-                    made[j] = None if blob is None else answer(blob, *loaded)
-            here = pa.array(kinds == 1)
+                made[i] = None if blob is None else answer(blob, *loaded)
             columns = [*batch.columns[: at + 3], pa.array(made, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[: at + 4]).filter(here)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(kinds == 1))
 
     def gathered(group: pa.Table) -> pa.Table:
         sums, covered = np.zeros(_DOCS), np.zeros(_DOCS)
@@ -370,7 +386,7 @@ def perplexity(docs: DataFrame, model: Model | None, text: str = "text", keep: l
         here = group.filter(pc.is_valid(group.column("__chars")))
         number = here.column("__row").to_numpy() & (_DOCS - 1)
         chars = here.column("__chars").to_numpy()
-        if not np.array_equal(covered[number], np.where(chars > 0, (chars + 1) * ORDER, 0)):
+        if not np.array_equal(covered[number], np.where(chars > 0, chars + 1, 0)):
             raise RuntimeError("rows came in another order when a task ran again: store them first")
         figure = -(sums[number] / _UNIT + per_text) / (chars + 1) - per_character
         found = pa.array(np.exp(figure), pa.float64(), mask=chars == 0)
@@ -379,13 +395,10 @@ def perplexity(docs: DataFrame, model: Model | None, text: str = "text", keep: l
     per_text, per_character = model.per_text, model.per_character
     rows.bound_batches(spark)
     made = source.mapInArrow(parts, packed_schema)
-    shard = F.shiftrightunsigned("gram", 64 - _DOC_BITS - bits).cast("int")
-    copies = weights.select("gram", "weight", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("copy"))
-    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in packed_schema.fields]
-    dealt = copies.select(*blank, "gram", "weight", (shard * repeats + F.col("copy")).alias("s"))
-    dealt = dealt.withColumn("__slot", F.col("s").cast("int")).withColumn("__kind", F.lit(0)).drop("s")
-    empty = F.lit(None).cast("bigint").alias("gram"), F.lit(None).cast("double").alias("weight")
-    both = made.select("*", *empty).unionByName(dealt)
+    slot = F.explode(F.sequence(F.col("shard") * repeats, F.col("shard") * repeats + (repeats - 1)))
+    given = {"__slot": slot, "__kind": F.lit(0), "__part": F.col("part")}
+    dealt = weights.select(*[given.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in packed_schema.fields])
+    both = made.unionByName(dealt)
     met = both.repartition(shards * repeats, "__slot").sortWithinPartitions("__slot", "__kind")
     answered = met.mapInArrow(answers, packed_schema)
     result = T.StructType([*packed_schema.fields[:n_own], T.StructField("perplexity", T.DoubleType())])
@@ -394,36 +407,44 @@ def perplexity(docs: DataFrame, model: Model | None, text: str = "text", keep: l
     return figures.select(*[F.col(o).alias(c) for c, o in zip(kept, own)], "perplexity")
 
 
-def _hashed(weights: DataFrame) -> DataFrame:
-    """``(gram, weight)`` with hashes (54 bits) for strings, weights as whole numbers of ``2 ** -20``."""
+def _sharded(weights: DataFrame, bits: int) -> DataFrame:
+    """``(shard, part)``: hashes (54 bits) for strings, with weights as whole numbers of ``2 ** -20``."""
+
+    def deal(grams: list[str], weight: np.ndarray) -> Iterator[pa.RecordBatch]:
+        sizes = np.array([len(g) for g in grams])
+        points, ends = points_of(grams), np.cumsum(sizes) - 1
+        out, ending = np.zeros(len(grams), np.uint64), np.zeros(len(grams), np.uint64)
+        for k in range(1, ORDER + 1):
+            some = sizes == k
+            if some.any():
+                (out[some],) = hashes(points, ends[some], [k])
+        some = sizes > 1
+        if some.any():
+            (ending[some],) = hashes(points, ends[some], [2])
+        whole = np.rint(weight * _UNIT)
+        shard = (ending >> np.uint64(64 - bits)).astype(np.int64)
+        for one in range(1 << bits):
+            own = (shard == one) & some | (sizes == 1)
+            if own.any():
+                part = pack([(out[own] >> np.uint64(_DOC_BITS), _WEIGHTS[0]), (whole[own], _WEIGHTS[1])])
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([one], pa.int32()), "part": pa.array([part], pa.binary())})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams: list[str] = []
+        weight: list[np.ndarray] = []
         for batch in batches:
-            grams = batch.column(0).to_pylist()
-            sizes = np.array([len(g) for g in grams])
-            points, ends = points_of(grams), np.cumsum(sizes) - 1
-            out = np.zeros(len(grams), np.uint64)
-            for k in range(1, ORDER + 1):
-                some = sizes == k
-                if some.any():
-                    (out[some],) = hashes(points, ends[some], [k])
-            whole = np.rint(batch.column(1).to_numpy() * _UNIT)
-            yield pa.RecordBatch.from_pydict({"gram": pa.array((out >> np.uint64(_DOC_BITS)).view(np.int64)), "weight": pa.array(whole)})
-
-    return weights.select("gram", "weight").mapInArrow(work, "gram bigint, weight double")
-
-
-def _changes(*columns: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of rows that agree in all columns."""
-    n = columns[0].size
-    cuts = {0, n}
-    for column in columns:
-        cuts.update((np.flatnonzero(np.diff(column)) + 1).tolist())
-    ordered = sorted(cuts)
-    yield from zip(ordered, ordered[1:])
-
-
-def _added(table: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+            grams += batch.column(0).to_pylist()
+            weight.append(batch.column(1).to_numpy())
+            if len(grams) >= _DEALT:
+                yield from deal(grams, np.concatenate(weight))
+                grams, weight = [], []
+        if grams:
+            yield from deal(grams, np.concatenate(weight))
+
+    return weights.select("gram", "weight").mapInArrow(work, "shard int, part binary")
+
+
+def _added(table: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """A shard's hashes in order, with the sums of their weights."""
     if not table:
         return np.zeros(0, np.uint64), np.zeros(0)

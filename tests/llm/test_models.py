@@ -235,20 +235,27 @@ def test_pieces_blocks_and_shards_do_not_change_figures(spark, monkeypatch):
     assert all(len(found) == 1 for found in by_text.values())
 
 
-def test_packed_parts_give_answers_of_a_dictionary():
-    rng = np.random.default_rng(3)
-    hashes = rng.integers(0, 1 << 54, 500, dtype=np.uint64)
-    pairs = np.unique((rng.choice(hashes, 4000) << np.uint64(10)) | rng.integers(0, 1024, 4000, dtype=np.uint64))
-    counts = rng.integers(1, 100_000, pairs.size)
-    known = np.sort(hashes[:300])
-    weights = rng.integers(-(1 << 24), 1 << 24, 300).astype(float)
-    docs, sums, covered = perplexity.unpack(perplexity.answer(perplexity.pack_part(pairs, counts), known, weights), perplexity._ANSWER)
-    table, total, seen = dict(zip(known.tolist(), weights.tolist())), collections.Counter(), collections.Counter()
-    for pair, n in zip(pairs.tolist(), counts.tolist()):
-        total[pair & 1023] += table.get(pair >> 10, 0) * n
-        seen[pair & 1023] += n
-    assert dict(zip(docs.tolist(), sums.tolist())) == {d: total[d] for d in seen}
-    assert dict(zip(docs.tolist(), covered.tolist())) == dict(seen)
+def test_parts_and_answers_equal_a_dictionary():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abc é猫") for _ in range(rng.randrange(1, 90))) for _ in range(40)]
+    weights = collections.Counter()
+    for text in texts[:20]:
+        weights.update({text[i : i + k]: rng.randrange(-9, 9) for k in (1, 2, 3, 4) for i in range(len(text) - k + 1)})
+    table = {}
+    for gram, weight in weights.items():
+        (found,) = perplexity.hashes(perplexity.points_of([gram]), np.array([len(gram) - 1]), [len(gram)])
+        table[int(found[0]) >> 10] = weight
+    known = np.array(sorted(table), np.uint64)
+    whole = np.array([float(table[int(k)]) for k in known])
+    sums, covered = np.zeros(1024), np.zeros(1024)
+    for _, part in perplexity.parts_of([p for t in texts for p in perplexity.pieces(t)], list(range(7, 47)), 2):
+        docs, total, n = perplexity.unpack(perplexity.answer(part, known, whole), perplexity._ANSWER)
+        sums[docs] += total
+        covered[docs] += n
+    for i, text in enumerate(texts):
+        s = perplexity.START * 3 + text + perplexity.END
+        expected = sum(weights.get(s[at - k : at], 0) for at in range(4, len(s) + 1) for k in (1, 2, 3, 4))
+        assert (sums[i + 7], covered[i + 7]) == (expected, len(text) + 1)
 
 
 def test_thresholds_are_exact_quantiles(spark):
