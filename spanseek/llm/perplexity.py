@@ -273,6 +273,11 @@ def parts_of(held: list[str], numbers: list[int], bits: int) -> Iterator[tuple[i
         yield one, pack([(letters, _PART[0]), (entries[own], _PART[1]), (steps[mine], _PART[2]), (counts[mine], _PART[3])])
 
 
+def spread(block: int) -> int:
+    """Evenly dealt numbers for blocks; their own last bits are alike in all partitions."""
+    return (block * int(_BASE) & ((1 << 64) - 1)) >> 33
+
+
 def answer(data: bytes, grams: np.ndarray, weights: np.ndarray) -> bytes:
     """Per document of a part the sum of count times weight, and how many n-grams were counted."""
     letters, entries, steps, counts = unpack(data, _PART)
@@ -324,7 +329,7 @@ def perplexity(docs: DataFrame, model: Model | None, text: str = "text", keep: l
         def flush(types: list[pa.DataType], block: int, held: list[str], numbers: list[int]) -> pa.RecordBatch:
             some, blobs = zip(*parts_of(held, numbers, bits))
             n = len(some)
-            slots = pa.array([s * repeats + block % repeats for s in some], pa.int32())
+            slots = pa.array([s * repeats + spread(block) % repeats for s in some], pa.int32())
             columns = [pa.nulls(n, t) for t in types]
             columns += [pa.array([block << _DOC_BITS] * n, pa.int64()), slots, pa.array([1] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.array(blobs, pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=names)
@@ -351,7 +356,7 @@ def perplexity(docs: DataFrame, model: Model | None, text: str = "text", keep: l
                     numbers.append(at & (_DOCS - 1))
                     waiting += len(piece)
             n = batch.num_rows
-            slots = pa.array([(at >> _DOC_BITS) % (shards * repeats) for at in row], pa.int32())
+            slots = pa.array([spread(at >> _DOC_BITS) % (shards * repeats) for at in row], pa.int32())
             columns = [*batch.columns[: n_own + 1], slots, pa.array([1] * n, pa.int32()), pa.array(chars, pa.int64()), pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
         if held:
@@ -399,7 +404,7 @@ def perplexity(docs: DataFrame, model: Model | None, text: str = "text", keep: l
     given = {"__slot": slot, "__kind": F.lit(0), "__part": F.col("part")}
     dealt = weights.select(*[given.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in packed_schema.fields])
     both = made.unionByName(dealt)
-    met = both.repartition(shards * repeats, "__slot").sortWithinPartitions("__slot", "__kind")
+    met = both.repartitionById(shards * repeats, F.col("__slot")).sortWithinPartitions("__slot", "__kind")
     answered = met.mapInArrow(answers, packed_schema)
     result = T.StructType([*packed_schema.fields[:n_own], T.StructField("perplexity", T.DoubleType())])
     block = F.shiftright("__row", _DOC_BITS).alias("__block")
