@@ -11,11 +11,15 @@ alone, its value stands for the sample, so one minimum per sample is all a text
 has to aggregate.
 
 Null texts count as empty. Empty texts have one common term of weight one, so
-they are alike among themselves and unlike all others.
+they are alike among themselves and unlike all others. Very long texts are read
+whole, repeated rows are rows of their own, an empty table gives an empty
+result, and further columns, whatever their names, do not matter.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,27 +92,36 @@ def hexadecimal(samples: str) -> Column:
 
 
 def _bucketed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``(bucket, id, text)`` with buckets that follow the order of the key.
+    """``(bucket, id, order, text)`` with buckets that follow the order of the key.
 
     Quantiles of the key bound cells with equally many rows; cells are cut
-    evenly so that buckets stay small on large tables. Only the bounds, a fixed
+    evenly so that buckets stay small on large tables. A key that is a bound, as
+    every one with 1/CELLS of the rows is, has buckets of its own, as has null;
+    there the hash of the text, ``order``, cuts them. Only the bounds, a fixed
     number, come to the driver.
     """
-    source = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    given = F.coalesce(F.col(text), F.lit(""))
+    source = docs.select(F.col(key).alias("id"), given.alias("text"), F.xxhash64(given).alias("order"))
     parts = -(-partitions_for(docs.select(text), BUCKET_BYTES) // CELLS)
     quantiles = F.percentile_approx("id", [i / CELLS for i in range(CELLS + 1)], F.lit(10 * CELLS))
-    found = source.agg(quantiles).first()[0]
-    if not found:
-        return source.select(F.lit(-1).cast("bigint").alias("bucket"), "id", "text")
-    bounds = F.array(*[F.lit(b) for b in found])
-    cell = F.size(F.filter(bounds, lambda b: b <= F.col("id")))
-    if parts == 1:
-        bucket = cell
-    else:
-        low, high = F.try_element_at(bounds, F.greatest(cell, F.lit(1))), F.try_element_at(bounds, cell + 1)
-        share = F.coalesce((F.col("id") - low) / F.nullif(high - low, F.lit(0)), F.lit(0.0))
-        bucket = cell * parts + F.least(F.floor(share * parts), F.lit(parts - 1))
-    return source.select(F.coalesce(bucket.cast("bigint"), F.lit(-1)).alias("bucket"), "id", "text")
+    found, without, rows = source.agg(quantiles, F.count_if(F.col("id").isNull()), F.count("*")).first()
+    share = _uniform(F.shiftright("order", 32))
+    null_cells = max(1, -(-without * CELLS * parts // max(1, rows)))
+    bucket = F.lit(None).cast("bigint")
+    if found:
+        bounds = F.array(*[F.lit(b) for b in found])
+        cell = F.size(F.filter(bounds, lambda b: b <= F.col("id"))).cast("bigint")
+        own = {b: n * parts for b, n in Counter(found).items() if n * parts > 1}
+        room = max(own.values(), default=0)
+        low, high = F.try_element_at(bounds, F.greatest(cell, F.lit(1)).cast("int")), F.try_element_at(bounds, (cell + 1).cast("int"))
+        along = F.coalesce((F.col("id") - low) / F.nullif(high - low, F.lit(0)), F.lit(0.0))
+        within = room + F.least(F.floor(along * parts), F.lit(parts - 1))
+        if own:
+            cuts = F.try_element_at(F.create_map(*[F.lit(x) for pair in own.items() for x in pair]), F.col("id"))
+            within = F.when(cuts.isNotNull(), F.floor(share * cuts)).otherwise(within)
+        bucket = cell * (room + parts) + within
+    bucket = F.when(F.col("id").isNull(), F.floor(share * null_cells) - null_cells).otherwise(bucket.cast("bigint"))
+    return source.select(bucket.alias("bucket"), "id", "order", "text")
 
 
 def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -116,10 +129,10 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     The last third of a text (code points, rounded down) is replaced by as many
     of the first ones of the next text, by descending key; after the last comes
-    the first. Equal keys go by text, null keys come last.
+    the first. Equal keys go by the hash of the text, then by text; null keys come last.
     """
     rows = _bucketed(docs, key, text)
-    order = Window.partitionBy("bucket").orderBy(F.col("id").desc_nulls_last(), "text")
+    order = Window.partitionBy("bucket").orderBy(F.col("id").desc_nulls_last(), F.col("order").desc(), "text")
     placed = rows.select("*", F.row_number().over(order).alias("place"), F.lead("text").over(order).alias("next"))
     # The last row of a bucket goes on with the first of the next bucket that has rows: one row per bucket.
     firsts = placed.where("place = 1").select("bucket", F.col("text").alias("first"))

@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import io
+import random
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from spanseek.llm import warc, weighted_sampling
@@ -133,10 +135,14 @@ def test_collisions_equal_generalised_jaccard(spark):
         assert abs(same - jaccard(a, b)) < 0.1, (a, b)
 
 
+def signed_hash(text):
+    return (xxhash.xxh64_intdigest(text.encode(), seed=42) ^ (1 << 63)) - (1 << 63)
+
+
 def check_compared(spark, rows):
     frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("bucket", F.lit("clash"))
     found = weighted_sampling.compared(frame).collect()
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -signed_hash(r[1] or ""), r[1] or ""))
     expected = []
     for at, (i, text) in enumerate(order):
         text, after = text or "", order[(at + 1) % len(order)][1] or ""
@@ -170,7 +176,32 @@ def test_many_buckets_and_code_points(spark, monkeypatch):
     check_compared(spark, [(i * i, f"{words[i % 5]} {i}") for i in range(60)])
 
 
+def test_rows_of_one_key_or_none_fill_many_buckets(spark, monkeypatch):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} of {i % 11} words") for i in range(900)]
+    check_compared(spark, rows)
+    monkeypatch.setattr(weighted_sampling, "BUCKET_BYTES", 1)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = sorted(r["count"] for r in weighted_sampling._bucketed(frame, "doc_id", "text").groupBy("bucket").count().collect())
+    assert sum(sizes) == 900 and sizes[-1] < 30
+
+
+def test_likeness_at_the_production_number(spark):
+    rng, words = random.Random(4), [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(5, 60)))) for i in range(300)]
+    found = {r.doc_id: r for r in weighted_sampling.compared(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    errors = []
+    for i, text in rows:
+        after = rows[i - 1][1]
+        third = len(text) // 3
+        changed = text[: len(text) - third] + after[:third]
+        errors += [found[i].near_edited - jaccard(text, changed), found[i].near_next - jaccard(text, after)]
+    bound = 0.5 / weighted_sampling.SAMPLES**0.5
+    assert abs(sum(errors) / len(errors)) < 0.02
+    assert (sum(e * e for e in errors) / len(errors)) ** 0.5 < bound and max(map(abs, errors)) < 5 * bound
+
+
 def test_no_python_on_the_main_path(spark):
     frame = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
-    plan = weighted_sampling.edited(frame)._jdf.queryExecution().executedPlan().toString()
-    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+    for made in (weighted_sampling.edited(frame), weighted_sampling.compared(frame)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
