@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..staging import partitions_for, stage
 
-SAMPLES = 36
+SAMPLES = 30
 # Cells of the key range that hold equally many rows, and bytes of text per bucket.
 CELLS = 256
 BUCKET_BYTES = 8 << 20
