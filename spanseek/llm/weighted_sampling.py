@@ -29,6 +29,8 @@ SAMPLES = 30
 # Cells of the key range that hold equally many rows, and bytes of text per bucket.
 CELLS = 256
 BUCKET_BYTES = 8 << 20
+# Buckets per cell of small tables, so that tasks get similar numbers of them.
+LEAST_PARTS = 4
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -102,7 +104,7 @@ def _bucketed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """
     given = F.coalesce(F.col(text), F.lit(""))
     source = docs.select(F.col(key).alias("id"), given.alias("text"), F.xxhash64(given).alias("order"))
-    parts = -(-partitions_for(docs.select(text), BUCKET_BYTES) // CELLS)
+    parts = max(LEAST_PARTS, -(-partitions_for(docs.select(text), BUCKET_BYTES) // CELLS))
     quantiles = F.percentile_approx("id", [i / CELLS for i in range(CELLS + 1)], F.lit(10 * CELLS))
     found, without, rows = source.agg(quantiles, F.count_if(F.col("id").isNull()), F.count("*")).first()
     share = _uniform(F.shiftright("order", 32))
@@ -111,7 +113,7 @@ def _bucketed(docs: DataFrame, key: str, text: str) -> DataFrame:
     if found:
         bounds = F.array(*[F.lit(b) for b in found])
         cell = F.size(F.filter(bounds, lambda b: b <= F.col("id"))).cast("bigint")
-        own = {b: n * parts for b, n in Counter(found).items() if n * parts > 1}
+        own = {b: n * parts for b, n in Counter(found).items() if n > 1 or parts > LEAST_PARTS}
         room = max(own.values(), default=0)
         low, high = F.try_element_at(bounds, F.greatest(cell, F.lit(1)).cast("int")), F.try_element_at(bounds, (cell + 1).cast("int"))
         along = F.coalesce((F.col("id") - low) / F.nullif(high - low, F.lit(0)), F.lit(0.0))
