@@ -10,6 +10,9 @@ the sample.
 Null texts and texts without a letter get ``und`` and score 0, so does every
 text if there was nothing to learn from. Equal posteriors go to the language
 that sorts first. Texts of any length are read whole, in bounded pieces.
+Repeated rows are predicted alike, an empty table gives an empty result, and a
+column named like a new one is replaced by it. More than ``MAX_LANGUAGES``
+labels are an error.
 """
 
 from __future__ import annotations
