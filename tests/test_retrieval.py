@@ -96,6 +96,53 @@ def test_statistics_count_chunks_without_tokens(index, corpus):
     assert index.postings.where("term = ''").count() == len(corpus)
 
 
+def test_postings_are_counted_before_they_become_rows(spark, corpus, rows):
+    twice = spark.createDataFrame([*corpus, *corpus[:9], (None, 0, 9, "io io beta"), (None, 0, 9, "eta beta io"), (None, 0, 9, None)], chunk)
+    counted = lexical.count_terms(twice, 3, 2)
+    assert "HashAggregate" not in counted._jdf.queryExecution().executedPlan().toString()
+    expected = Counter()
+    for path, first, last, text in [(c.file_path, *c[1:]) for c in twice.where("content IS NOT NULL").collect()]:
+        words = [w for w in text.split() if w.isalpha() and w not in STOP_WORDS]
+        expected.update((path, first, last, len(words), w) for w in ["", *words])
+    assert rows(counted.drop("block")) == sorted(((*key, n) for key, n in expected.items()), key=repr)
+
+
+def test_counts_of_a_span_meet_across_slices(monkeypatch):
+    terms = [["", "b", "a", "b"], ["", "c", "b", "a"], ["", "b", "b", "b"], ["", "d"], ["", "a"]]
+    keys = {"file_path": [None, None, None, "x", "x"], SPAN[1]: [0] * 5, SPAN[2]: [9] * 5, "dl": [3, 3, 3, 1, 1], "block": [4, 4, 4, 1, 1]}
+    batch = pa.RecordBatch.from_pydict({**keys, "terms": terms})
+    found = []
+    for size in (1, 2, 3, 1000):
+        monkeypatch.setattr(lexical, "_SLICE_ROWS", size)
+        out = pa.Table.from_batches(lexical._count_slices(iter([batch.slice(0, 2), batch.slice(2, 0), batch.slice(2)])))
+        found.append(sorted(((r["file_path"] or "", r["term"], r["tf"], r["block"]) for r in out.to_pylist())))
+    own = [("", "", 3, 4), ("", "a", 2, 4), ("", "b", 6, 4), ("", "c", 1, 4)]
+    assert all(f == own + [("x", "", 2, 1), ("x", "a", 1, 1), ("x", "d", 1, 1)] for f in found)
+
+
+def test_buckets_are_written_in_order_without_the_writers_sort(spark, chunks, tmp_path):
+    key, held = "spark.sql.maxConcurrentOutputFileWriters", []
+
+    def watched(frame, *columns):
+        held.append(list(columns))
+        return within(frame, *columns)
+
+    kind = type(chunks)
+    within, kind.sortWithinPartitions = kind.sortWithinPartitions, watched
+    try:
+        path, before = str(tmp_path / "index"), spark.conf.get(key, None)
+        lexical.write_index(chunks, path, 2, blocks=4)
+    finally:
+        kind.sortWithinPartitions = within
+    assert ["term", "block"] in held
+    assert spark.conf.get(key, None) == before
+    files = sorted((tmp_path / "index" / "postings").glob("*.parquet"))
+    assert len(files) == 2
+    for file in files:
+        stored = [(r.term, r.block) for r in spark.read.parquet(str(file)).coalesce(1).collect()]
+        assert stored == sorted(stored)
+
+
 def test_weights_do_not_depend_on_hot_split(index, monkeypatch, rows):
     whole = rows(lexical.weighted_postings(index))
     monkeypatch.setattr(lexical, "is_small", lambda df: False)
