@@ -434,6 +434,22 @@ def test_scalar_metadata(spark):
     assert tuple(vectors.scalar_metadata(df).first()) == ("a", 1, 2.5, True, None, "[1,2]", '{"x":1}', "2020-01-02")
 
 
+def test_batches_are_compared_and_embedded_in_slices(monkeypatch):
+    rng = np.random.default_rng(5)
+    queries, stored = rng.normal(size=(3, 4)), rng.normal(size=(5000, 4))
+    batch = pa.RecordBatch.from_pydict({"vec_id": list(range(5000)), "embedding": stored.tolist()})
+    seen, distances = [], vectors._distances
+    monkeypatch.setattr(vectors, "_distances", lambda q, v, m: seen.append(len(v)) or distances(q, v, m))
+    best = vectors._RunningBest(pa.array([0, 1, 2]), queries, ["vec_id"], 10, "l2")
+    best.add(batch)
+    nearest = distances(queries, stored, "l2").argsort(axis=1, kind="stable")[:, :10]
+    assert pa.Table.from_batches(best.batches()).column("vec_id").to_pylist() == nearest.ravel().tolist()
+    assert max(seen) <= 1024 and sum(seen) == 5000
+    tokens = pa.array([["a", "b"][: i % 3] for i in range(3000)])
+    whole = vectors._histogram_slice(tokens)
+    assert whole.equals(pa.concat_arrays([vectors._histogram_slice(tokens.slice(at, 1024)) for at in (0, 1024, 2048)]))
+
+
 # --- hybrid -------------------------------------------------------------------
 
 
