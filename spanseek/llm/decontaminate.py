@@ -8,7 +8,8 @@ of its own and samples steps of it; a window whose sampled bytes equal those of
 an item is a candidate. Walks are short, so that some window of an item lies
 between the edits even if a fifth of its characters are edited; items of
 different length use walks of different length (``CLASSES``), whose numbers of
-repetitions come from measured recall at the edit limit.
+repetitions come from measured recall at the edit limit. A window is walked on
+only while some window of an item begins with the bytes sampled so far.
 
 The text around a candidate is verified by exact edit distance. Candidates are
 first given the sum of the distances of the item's parts of 64 characters, a
@@ -42,9 +43,14 @@ BLOCK_ITEMS = 10_000
 # Characters of an item compared at a time for the lower bound.
 _PART = 64
 _SEED = 2
+# Least bits of a place in a table of hints; there are four places a key or more.
 _HINT_BITS = 18
 _SLICE_BYTES = 1 << 20
-_BOUND_ROWS = 1 << 14
+# Windows walked and candidates bounded at a time; their numbers fit the processor's caches.
+_WINDOWS = 1 << 15
+_BOUND_ROWS = 1 << 12
+# Shares of a walk after which windows that no item begins like are left out.
+_STAGES = (0.32, 0.44, 0.63, 1.0)
 
 
 def normalise(text: str | None) -> list[str]:
@@ -58,35 +64,77 @@ def repetitions(recall: float, agreement: float, samples: int) -> int:
 
 
 class Walk:
-    """A random walk with the steps it samples."""
+    """A random walk with the steps it samples.
+
+    Two steps are taken at a time: a table tells for every two bytes from a
+    place on how far both steps go and which bytes they sample.
+    """
 
     def __init__(self, steps: int, samples: int, number: int) -> None:
         draw = random.Random(f"{_SEED}:{steps}:{number}")
         # Bit j of a byte's number says whether step j moves on; zeros end texts and hold the walk.
         self.moves = np.array([0, *(draw.getrandbits(steps) for _ in range(255))], np.uint32)
         self.samples = sorted(draw.sample(range(steps), samples))
-
-    def keys(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The sampled bytes of the windows at ``at`` as one number each, and the last place read."""
-        moves = self.moves[data]
-        at = at.astype(np.int32)
+        self._tables: list[np.ndarray] = []
+
+    def __getstate__(self) -> dict:
+        # Tables are made where they are used.
+        return self.__dict__ | {"_tables": []}
+
+    def __len__(self) -> int:
+        """The number of double steps."""
+        return self.samples[-1] // 2 + 1
+
+    def _step(self, j: int) -> np.ndarray:
+        """For the bytes ``a``, ``b`` at ``a + 256 * b``: the way of steps ``j`` and ``j + 1`` in the two lowest bits, then what they sample."""
+        # The walk stands still after its last sample.
+        first, second = (self.moves >> np.uint32(i) & np.uint32(i < self.samples[-1]) for i in (j, j + 1))
+        here = np.arange(256, dtype=np.uint32)[None, :]
+        there = np.where(first[None, :] > 0, np.arange(256, dtype=np.uint32)[:, None], here)
+        seen = here * np.uint32(j in self.samples) << np.uint32(8) | there * np.uint32(j + 1 in self.samples)
+        return (seen << np.uint32(2) | first[None, :] + second[there]).ravel()
+
+    def walk(self, pairs: np.ndarray, at: np.ndarray, stages: dict[int, np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """``(n, own, keys, at)`` after each double step ``n`` of ``stages``: window numbers, their sampled bytes as one number, places.
+
+        The places are those read last if ``n`` is the last double step. Windows
+        whose key has no place in the stage's table are not walked on. The
+        arrays are changed by the next step.
+        """
+        if not self._tables:
+            self._tables = [self._step(2 * n) for n in range(len(self))]
+        own = np.arange(at.size)
+        at = at.astype(np.int64)
         out = np.zeros(at.size, np.uint64)
-        bits = np.empty(at.size, np.uint32)
-        step = bits.view(np.int32)
-        for j in range(self.samples[-1] + 1):
-            if j in self.samples:
-                out *= np.uint64(0x100000001B3)
-                out ^= data.take(at)
-            if j < self.samples[-1]:
-                np.take(moves, at, out=bits, mode="clip")
-                np.right_shift(bits, np.uint32(j), out=bits)
-                np.bitwise_and(bits, np.uint32(1), out=bits)
-                np.add(at, step, out=at)
-        return out, at
+        for n, table in enumerate(self._tables):
+            seen = table.take(pairs.take(at))
+            at += seen & np.uint32(3)
+            seen >>= np.uint32(2)
+            out *= np.uint64(0x100000001B3)
+            out ^= seen
+            if n in stages:
+                hint = stages[n]
+                near = np.flatnonzero(hint.take(_place(out, hint.size)))
+                own, at, out = own.take(near), at.take(near), out.take(near)
+                yield n, own, out, at
+
+
+def _pairs(data: np.ndarray) -> np.ndarray:
+    """Every byte with the next one."""
+    out = data.astype(np.uint16)
+    out[:-1] |= out[1:] << np.uint16(8)
+    return out
 
 
-def _place(keys: np.ndarray) -> np.ndarray:
-    return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _HINT_BITS)).astype(np.int64)
+def _place(keys: np.ndarray, places: int) -> np.ndarray:
+    return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(65 - places.bit_length())).view(np.int64)
+
+
+def _hint(keys: np.ndarray) -> np.ndarray:
+    """Whether some key has a place: no for nearly all others."""
+    out = np.zeros(1 << max(_HINT_BITS, (4 * keys.size).bit_length()), bool)
+    out[_place(keys, out.size)] = True
+    return out
 
 
 def _folded(text: str) -> np.ndarray:
@@ -105,7 +153,7 @@ class Index:
         self.folded_at = np.cumsum(self.sizes) - self.sizes
         texts = [text.encode("utf-8", "surrogatepass") for _, text in self.items]
         begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        data = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
+        pairs = _pairs(np.frombuffer(b"\0".join([*texts, b""]), np.uint8))
         windows: dict[tuple, list] = {}
         for n, (_, words) in enumerate(items):
             kind = next(c for c in CLASSES if len(texts[n]) >= c[0])
@@ -119,21 +167,26 @@ class Index:
             owner, offset, place = (np.array(x, np.int64) for x in zip(*anchors))
             for number in range(repeats):
                 walk = Walk(steps, samples, number)
-                keys, last = walk.keys(data, place)
+                # Hints that leave nothing out.
+                stages = {max(0, round(len(walk) * share) - 1): np.ones(1, bool) for share in _STAGES}
+                walked = [(n, keys.copy(), last) for n, _, keys, last in walk.walk(pairs, place, stages)]
+                _, keys, last = walked[-1]
                 # A walk that leaves its item says nothing about documents.
                 inside = np.flatnonzero(last < begin[owner + 1] - 1)
+                hints = {n: _hint(np.unique(begun[inside])) for n, begun, _ in walked}
                 order = inside[np.argsort(keys[inside], kind="stable")]
-                hint = np.zeros(1 << _HINT_BITS, bool)
-                hint[_place(keys[order])] = True
-                self.tables.append((walk, hint, keys[order], owner[order], offset[order]))
+                self.tables.append((walk, hints, keys[order], owner[order], offset[order]))
 
 
 def candidates(index: Index, data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(window numbers, item numbers, offsets)``: windows whose samples equal those of an item."""
-    for walk, hint, keys, owner, offset in index.tables:
-        own, _ = walk.keys(data, starts)
-        near = np.flatnonzero(hint[_place(own)])
-        own = own[near]
+    pairs = _pairs(data)
+    for walk, hints, keys, owner, offset in index.tables:
+        left = []
+        for some in range(0, starts.size, _WINDOWS):
+            *_, (_, near, own, _) = walk.walk(pairs, starts[some : some + _WINDOWS], hints)
+            left.append((near + some, own))
+        near, own = (np.concatenate(x) for x in zip(*left))
         low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
         counts = high - low
         within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -141,45 +194,86 @@ def candidates(index: Index, data: np.ndarray, starts: np.ndarray) -> Iterator[t
         yield np.repeat(near, counts), owner[hit], offset[hit]
 
 
+def _part_distances(index: Index, item: np.ndarray, begin: np.ndarray, text: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The least edit distance of an item's part from ``begin`` on to a part of ``text[first:last]`` (bit-parallel, many at once).
+
+    The longest places come first. Up to 15 characters after ``last`` are read
+    too, which can only make a distance smaller.
+    """
+    one = np.uint64(1)
+    kinds, which = np.unique(item * (int(index.sizes.max()) + 1) + begin, return_inverse=True)
+    kind, start = np.divmod(kinds, int(index.sizes.max()) + 1)
+    size = np.minimum(index.sizes[kind] - start, _PART)
+    # A part takes the highest bits; the bits below it match every character and change nothing.
+    below = np.uint64(_PART) - size.astype(np.uint64)
+    filled = np.where(size < _PART, (one << below % np.uint64(_PART)) - one, np.uint64(0))
+    masks = np.repeat(filled, 256)
+    for i in range(int(size.max())):
+        has = np.flatnonzero(size > i)
+        masks[has * 256 + index.folded[index.folded_at[kind[has]] + start[has] + i]] |= one << (below[has] + np.uint64(i))
+    row = which * 256
+    plus, minus = ~filled[which], np.zeros(item.size, np.uint64)
+    score = size[which]
+    best = score.copy()
+    at = first.copy()
+    cell = np.empty(item.size, np.int64)
+    diagonal, up, down = (np.empty(item.size, np.uint64) for _ in range(3))
+    whole = (row, plus, minus, score, best, at, cell, diagonal, up, down)
+    steps = last - first
+    for step in range(int(steps.max(initial=0))):
+        if step % 16 == 0:
+            going = int(np.count_nonzero(steps > step))
+            row, plus, minus, score, least, at, cell, diagonal, up, down = (x[:going] for x in whole)
+        np.add(row, text.take(at, mode="clip"), out=cell)
+        at += 1
+        eq = masks.take(cell)
+        np.bitwise_and(eq, plus, out=diagonal)
+        diagonal += plus
+        diagonal ^= plus
+        diagonal |= eq
+        diagonal |= minus
+        np.bitwise_or(diagonal, plus, out=up)
+        np.invert(up, out=up)
+        up |= minus
+        np.bitwise_and(plus, diagonal, out=down)
+        # As signed numbers, those with the highest bit become -1, others 0.
+        np.right_shift(up.view(np.int64), 63, out=cell)
+        score -= cell
+        np.right_shift(down.view(np.int64), 63, out=cell)
+        score += cell
+        np.minimum(least, score, out=least)
+        up <<= one
+        down <<= one
+        np.bitwise_or(diagonal, up, out=plus)
+        np.invert(plus, out=plus)
+        plus |= down
+        np.bitwise_and(up, diagonal, out=minus)
+    return best
+
+
 def bounds(index: Index, item: np.ndarray, text: np.ndarray, low: np.ndarray, high: np.ndarray, slack: np.ndarray) -> np.ndarray:
     """Whether the item may be within its limit in ``text[low:high]``, beginning at ``low`` up to ``low + slack``.
 
-    Bit-parallel edit distance of each part of the item, over many candidates at once; their sum is a lower bound.
+    The sum of the distances of the item's parts is a lower bound. The first two
+    parts leave few candidates, whose other parts are compared together.
     """
     total = np.zeros(item.size, np.int64)
-    alive = np.arange(item.size)
-    one = np.uint64(1)
-    for begin in range(0, int(index.sizes[item].max(initial=0)), _PART):
-        alive = alive[total[alive] <= index.limits[item[alive]]]
-        own = alive[index.sizes[item[alive]] > begin]
-        if not own.size:
-            continue
-        kinds, which = np.unique(item[own], return_inverse=True)
-        size = np.minimum(index.sizes[kinds] - begin, _PART)
-        masks = np.zeros((kinds.size, 256), np.uint64)
-        for i in range(int(size.max())):
-            has = np.flatnonzero(size > i)
-            masks[has, index.folded[index.folded_at[kinds[has]] + begin + i]] |= one << np.uint64(i)
-        masks = masks.ravel()
-        row, length = which * 256, size[which]
-        top = (length - 1).astype(np.uint64)
-        # Where this part may lie, edits before it included.
-        first = np.minimum(low[own] + np.maximum(begin - index.limits[item[own]], 0), high[own])
-        last = np.minimum(low[own] + begin + length + slack[own] + index.limits[item[own]], high[own])
-        plus, minus = np.full(own.size, ~np.uint64(0)), np.zeros(own.size, np.uint64)
-        score = length.astype(np.int64)
-        best = score.copy()
-        for step in range(int((last - first).max(initial=0))):
-            at = first + step
-            eq = masks[row + text.take(np.minimum(at, text.size - 1))]
-            diagonal = (((eq & plus) + plus) ^ plus) | eq | minus
-            up, down = minus | ~(diagonal | plus), plus & diagonal
-            score += ((up >> top) & one).astype(np.int64) - ((down >> top) & one).astype(np.int64)
-            up, down = up << one, down << one
-            plus, minus = down | ~(diagonal | up), up & diagonal
-            # Reading on past the end of the place only makes the bound smaller.
-            np.minimum(best, score, out=best)
-        total[own] += best
+    most = -(-int(index.sizes[item].max(initial=0)) // _PART)
+    for parts in ([0], [1], range(2, most)):
+        alive = np.flatnonzero(total <= index.limits[item])
+        own = np.repeat(alive, len(parts))
+        begin = np.tile(np.array(parts, np.int64) * _PART, alive.size)
+        inside = index.sizes[item[own]] > begin
+        own, begin = own[inside], begin[inside]
+        limit = index.limits[item[own]]
+        # Where a part may lie, edits before it included.
+        first = np.minimum(low[own] + np.maximum(begin - limit, 0), high[own])
+        size = np.minimum(index.sizes[item[own]] - begin, _PART)
+        last = np.minimum(low[own] + begin + size + slack[own] + limit, high[own])
+        order = np.argsort(first - last, kind="stable")
+        for some in range(0, order.size, _BOUND_ROWS):
+            rows = order[some : some + _BOUND_ROWS]
+            np.add.at(total, own[rows], _part_distances(index, item[own[rows]], begin[rows], text, first[rows], last[rows]))
     return total <= index.limits[item]
 
 
@@ -235,7 +329,7 @@ def search_texts(index: Index, texts: list[list[str]]) -> list[tuple[int, int, i
     starts = np.flatnonzero(first & ~gaps)
     if not starts.size or not index.items:
         return []
-    characters = np.cumsum((data & 0xC0) != 0x80)[starts] - 1
+    characters = starts - np.searchsorted(np.flatnonzero((data & 0xC0) == 0x80), starts)
     ends = np.cumsum([len(s) + 1 for s in strings])
     begins = ends - [len(s) + 1 for s in strings]
     owners = np.searchsorted(ends, characters, "right")
@@ -253,12 +347,7 @@ def search_texts(index: Index, texts: list[list[str]]) -> list[tuple[int, int, i
     high = np.minimum(at + index.sizes[item] + limit + limit // 2 + 2 + begins[owner], ends[owner] - 1)
     folded = np.concatenate([_folded(s + "\0") for s in strings])
     slack = 2 * limit + limit // 2 + 4
-    out = []
-    for some in range(0, at.size, _BOUND_ROWS):
-        part = slice(some, some + _BOUND_ROWS)
-        near = bounds(index, item[part], folded, low[part], np.maximum(high[part], low[part]), slack[part])
-        out.append(np.flatnonzero(near) + some)
-    kept = np.concatenate(out) if out else np.zeros(0, np.int64)
+    kept = np.flatnonzero(bounds(index, item, folded, low, np.maximum(high, low), slack))
     found: list[tuple[int, int, int, int, int]] = []
     last, covered = None, -1
     for o, n, place in zip(owner[kept].tolist(), item[kept].tolist(), at[kept].tolist()):

@@ -391,3 +391,61 @@ def test_recall_up_to_the_limit_in_each_length_class(spark):
                 part = [f"{text[:150]} {edited(rng, ' '.join(items[n][1]), share)} {text[150:300]}"]
                 hits += any(f[1] == n for f in decontaminate.search_texts(index, [decontaminate.normalise(t) for t in part]))
             assert hits >= 90, (size, share, hits)
+
+
+def plain_keys(walk, data, start):
+    """The bytes sampled by a walk of single steps and the last place read."""
+    seen, at = [], start
+    for j in range(walk.samples[-1] + 1):
+        if j in walk.samples:
+            seen.append(data[at])
+        if j < walk.samples[-1]:
+            at += int(walk.moves[data[at]]) >> j & 1
+    return bytes(seen), at
+
+
+def test_walks_end_early_and_lose_no_candidate(spark):
+    """Windows that no item begins like are left out of the later steps; the candidates are those of whole walks."""
+    items = [(n, decontaminate.normalise(r.text)) for n, r in enumerate(table(spark, SF, "benchmark").collect())]
+    items += [(n + 1000, words[:size]) for n, words in items[:20] for size in (1, 2, 4, 7, 12)]
+    index = decontaminate.Index(items, decontaminate.SHARE)
+    strings = [" ".join(decontaminate.normalise(r.text))[:1500] for r in documents(spark, "sf0.01").limit(30).collect()]
+    strings += [f"{items[n][1][0]} {' '.join(items[n][1])}" for n in range(10)]
+    encoded = b"\0".join([*(s.encode() for s in strings), b""])
+    data = np.frombuffer(encoded, np.uint8)
+    starts = np.array([i for i in range(data.size) if data[i] not in (0, 32) and (i == 0 or data[i - 1] in (0, 32))])
+    texts = [" ".join(words).encode() for _, words in items]
+    steps, walked = collections.Counter(), collections.Counter()
+    for (walk, hints, *_), found in zip(index.tables, decontaminate.candidates(index, data, starts), strict=True):
+        size = next(c for c in decontaminate.CLASSES if c[2] == len(walk.samples))
+        known = {}
+        for n, (text, (_, words)) in enumerate(zip(texts, items)):
+            if next(c for c in decontaminate.CLASSES if len(text) >= c[0]) == size:
+                place = offset = 0
+                for word in words:
+                    key, last = plain_keys(walk, text + b"\0", place)
+                    if last < len(text):
+                        known.setdefault(key, []).append((n, offset))
+                    place, offset = place + len(word.encode()) + 1, offset + len(word) + 1
+        plain = {(w, *hit) for w, at in enumerate(starts.tolist()) for hit in known.get(plain_keys(walk, encoded, at)[0], ())}
+        assert plain == set(zip(*(x.tolist() for x in found)))
+        left, before = starts.size, 0
+        for n, near, *_ in walk.walk(decontaminate._pairs(data), starts, hints):
+            walked[size] += left * (n + 1 - before)
+            left, before = near.size, n + 1
+        steps[size] += starts.size * len(walk)
+    assert walked[decontaminate.CLASSES[0]] < 0.6 * steps[decontaminate.CLASSES[0]]
+
+
+def test_distances_of_parts_equal_brute_force():
+    rng = random.Random(8)
+    items = [(n, ["".join(rng.choice("abcé") for _ in range(size))]) for n, size in enumerate((1, 5, 40, 63, 64, 65, 130, 200))]
+    index = decontaminate.Index(items, decontaminate.SHARE)
+    text = "".join(rng.choice("abcé") for _ in range(400))
+    rows = [(n, b, first, first + size) for n, (_, (word,)) in enumerate(items) for b in range(0, len(word), 64) for first, size in ((0, 150), (70, 90), (300, 7), (20, 0))]
+    rows.sort(key=lambda r: r[2] - r[3])
+    item, begin, first, last = (np.array(x) for x in zip(*rows))
+    found = decontaminate._part_distances(index, item, begin, decontaminate._folded(text), first, last)
+    for (n, b, low, high), distance in zip(rows, found.tolist()):
+        part = items[n][1][0][b : b + 64]
+        assert brute_distance(part, text[low : high + 15]) <= distance <= brute_distance(part, text[low:high])
